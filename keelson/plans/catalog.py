@@ -329,3 +329,289 @@ def q_typed_stamp(spark, d):
                     typed_stamp(o.schema["o_orderdate"].dataType, STAMP).alias("o_orderdate"),
                     typed_stamp(T.DateType(), STAMP).alias("stamp_date"),
                     typed_stamp(T.StringType(), STAMP).alias("stamp_text"))
+
+
+# ---------------------------------------------------------------- coercion
+from pyspark.sql import types as T  # noqa: E402
+
+from keelson.functions.coerce import coerce_json  # noqa: E402
+
+
+def _one_field(df: DataFrame, text, dtype: T.DataType, keep: list[str], mode: str = "strict"):
+    """Wrap a JSON value text as ``{"x": value}`` and coerce field ``x`` to ``dtype``."""
+    rec = F.concat(F.lit('{"x":'), text, F.lit("}"))
+    staged = df.select(*keep, rec.alias("__j"))
+    return coerce_json(staged, "__j", T.StructType([T.StructField("x", dtype)]), mode=mode, keep=keep)
+
+
+def _jstr(c):
+    return F.to_json(F.struct(c.alias("s"))).substr(F.lit(6), F.length(F.to_json(F.struct(c.alias("s")))) - 6)
+
+
+@register("coerce_record", "select * from lineitem")
+def q_coerce_record(spark, d):
+    li = I.table(spark, d, "lineitem")
+    text = li.select(F.to_json(F.struct(*li.columns)).alias("j"))
+    return coerce_json(text, "j", li.schema)
+
+
+@register("coerce_integer", """
+select l_orderkey, l_linenumber,
+  case l_linenumber % 4 when 0 then cast(trunc(l_quantity) as bigint)
+                        when 1 then cast(l_quantity as bigint)
+                        when 2 then -cast(trunc(l_quantity) as bigint)
+                        else cast(1 as bigint) end as x
+from lineitem""")
+def q_coerce_integer(spark, d):
+    li = I.table(spark, d, "lineitem")
+    q = F.col("l_quantity")
+    text = (F.when(F.col("l_linenumber") % 4 == 0, _jstr(q.cast("string")))           # "23.0"
+            .when(F.col("l_linenumber") % 4 == 1, _jstr(F.concat(F.lit(" "), q.cast("bigint").cast("string"), F.lit(" "))))
+            .when(F.col("l_linenumber") % 4 == 2, (-(q + 0.5)).cast("string"))         # -23.5 → -23
+            .otherwise(F.lit("true")))
+    return _one_field(li, text, T.LongType(), ["l_orderkey", "l_linenumber"])
+
+
+@register("coerce_double", "select l_orderkey, l_linenumber, l_extendedprice as x from lineitem")
+def q_coerce_double(spark, d):
+    li = I.table(spark, d, "lineitem")
+    p = F.col("l_extendedprice")
+    text = (F.when(F.col("l_linenumber") % 3 == 0, _jstr(p.cast("string")))
+            .when(F.col("l_linenumber") % 3 == 1,
+                  _jstr(F.concat(F.lit(" "), F.round(p * 100).cast("bigint").cast("string"), F.lit("e-2 "))))
+            .otherwise(p.cast("string")))
+    return _one_field(li, text, T.DoubleType(), ["l_orderkey", "l_linenumber"])
+
+
+@register("coerce_decimal",
+          "select l_orderkey, l_linenumber, cast(l_extendedprice as decimal(12,2)) as x from lineitem")
+def q_coerce_decimal(spark, d):
+    li = I.table(spark, d, "lineitem")
+    p = F.col("l_extendedprice")
+    text = F.when(F.col("l_linenumber") % 2 == 0, _jstr(p.cast("string"))).otherwise(p.cast("string"))
+    return _one_field(li, text, T.DecimalType(12, 2), ["l_orderkey", "l_linenumber"])
+
+
+@register("coerce_boolean", """
+select l_orderkey, l_linenumber,
+  case l_linenumber % 3 when 0 then l_returnflag <> 'N'
+                        when 1 then l_linestatus = 'O'
+                        else l_tax <> 0 end as x
+from lineitem""")
+def q_coerce_boolean(spark, d):
+    li = I.table(spark, d, "lineitem")
+    text = (F.when(F.col("l_linenumber") % 3 == 0, _jstr(F.col("l_returnflag")))
+            .when(F.col("l_linenumber") % 3 == 1,
+                  _jstr(F.when(F.col("l_linestatus") == "O", F.lit("Yes")).otherwise(F.lit("no"))))
+            .otherwise(F.col("l_tax").cast("string")))
+    return _one_field(li, text, T.BooleanType(), ["l_orderkey", "l_linenumber"])
+
+
+@register("coerce_date",
+          "select l_orderkey, l_linenumber, cast(l_shipdate as date) as x from lineitem")
+def q_coerce_date(spark, d):
+    li = I.table(spark, d, "lineitem")
+    s = F.col("l_shipdate")
+    fmt = ["yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyy/MM/dd", "yyyy-MM-dd'T'HH:mm:ss'-05:00'"]
+    text = F.lit(None).cast("string")
+    for i, f in enumerate(fmt):
+        text = F.when(F.col("l_linenumber") % len(fmt) == i, F.date_format(s, f)).otherwise(text)
+    return _one_field(li, _jstr(text), T.DateType(), ["l_orderkey", "l_linenumber"])
+
+
+@register("coerce_timestamp", "select l_orderkey, l_linenumber, l_shipdate as x from lineitem")
+def q_coerce_timestamp(spark, d):
+    li = I.table(spark, d, "lineitem")
+    s = F.col("l_shipdate")
+    n = F.col("l_linenumber") % 4
+    text = (F.when(n == 0, _jstr(F.date_format(s, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+            .when(n == 1, _jstr(F.date_format(s, "yyyy/MM/dd HH:mm:ss")))
+            .when(n == 2, F.unix_seconds(s.cast("timestamp")).cast("string"))
+            .otherwise(_jstr(F.date_format(s, "yyyy-MM-dd HH:mm:ss"))))
+    return _one_field(li, text, T.TimestampNTZType(), ["l_orderkey", "l_linenumber"])
+
+
+@register("coerce_binary", """
+select c_custkey,
+  case c_custkey % 4
+    when 0 then hex(c_name)
+    when 1 then case when length(hex(c_name)) % 4 = 0 then hex(from_base64(hex(c_name))) else hex(c_name) end
+    when 2 then hex(c_name)
+    else printf('%02X%02X', c_nationkey, c_nationkey + 1) end as x
+from customer""")
+def q_coerce_binary(spark, d):
+    c = I.table(spark, d, "customer")
+    n = F.col("c_custkey") % 4
+    name = F.col("c_name")
+    text = (F.when(n == 0, _jstr(F.base64(F.encode(name, "UTF-8"))))
+            .when(n == 1, _jstr(F.hex(name)))
+            .when(n == 2, _jstr(name))
+            .otherwise(F.concat(F.lit("["), F.col("c_nationkey").cast("string"), F.lit(","),
+                                (F.col("c_nationkey") + 1).cast("string"), F.lit("]"))))
+    out = _one_field(c, text, T.BinaryType(), ["c_custkey"])
+    return out.select("c_custkey", F.hex("x").alias("x"))
+
+
+@register("coerce_array", """
+select l_orderkey, l_linenumber, 0 as pos, l_quantity as x from lineitem where l_linenumber % 2 = 0
+union all select l_orderkey, l_linenumber, 1, l_tax from lineitem where l_linenumber % 2 = 0
+union all select l_orderkey, l_linenumber, 0, l_discount from lineitem where l_linenumber % 2 = 1""")
+def q_coerce_array(spark, d):
+    li = I.table(spark, d, "lineitem")
+    text = F.when(F.col("l_linenumber") % 2 == 0,
+                  F.to_json(F.array(F.col("l_quantity"), F.col("l_tax")))) \
+        .otherwise(F.col("l_discount").cast("string"))
+    out = _one_field(li, text, T.ArrayType(T.DoubleType(), True), ["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", F.posexplode("x").alias("pos", "x"))
+
+
+@register("coerce_map", """
+select event_id, k as key, cast(json_extract(props, '$.' || k) as integer) as value
+from events, unnest(json_keys(props)) t(k)""")
+def q_coerce_map(spark, d):
+    ev = I.events(spark, d)
+    out = _one_field(ev, F.col("props"), T.MapType(T.StringType(), T.IntegerType()), ["event_id"])
+    return out.select("event_id", F.explode("x").alias("key", "value"))
+
+
+@register("coerce_struct", """
+select event_id, cast(json_extract(props, '$.k') as integer) as k,
+  cast(null as varchar) as missing, event_type as kind from events""")
+def q_coerce_struct(spark, d):
+    ev = I.events(spark, d)
+    rec = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"props":'), F.col("props"),
+                   F.lit(',"kind":'), F.coalesce(_jstr(F.col("event_type")), F.lit("null")),
+                   F.lit(',"extra":1}'))
+    schema = T.StructType([
+        T.StructField("id", T.LongType()),
+        T.StructField("props", T.StructType([T.StructField("k", T.IntegerType()),
+                                             T.StructField("missing", T.StringType())])),
+        T.StructField("kind", T.StringType())])
+    out = coerce_json(ev.select(rec.alias("j")), "j", schema)
+    return out.select(F.col("id").alias("event_id"), "props.k", "props.missing", F.col("kind"))
+
+
+@register("coerce_string", "select event_id, cast(json(props) as varchar) as x from events")
+def q_coerce_string(spark, d):
+    ev = I.events(spark, d)
+    return _one_field(ev, F.col("props"), T.StringType(), ["event_id"])
+
+
+@register("coerce_variant",
+          "select event_id, cast(json_extract(props, '$.k') as integer) as k from events")
+def q_coerce_variant(spark, d):
+    ev = I.events(spark, d)
+    out = _one_field(ev, _jstr(F.col("props")), T.VariantType(), ["event_id"])
+    return out.select("event_id", F.variant_get("x", "$.k", "int").alias("k"))
+
+
+@register("coerce_errors", """
+select o_orderkey, cast(substr(o_orderpriority, 1, 1) as bigint) as prio,
+  cast(null as bigint) as raw, 1 as n_errors from orders""")
+def q_coerce_errors(spark, d):
+    o = I.table(spark, d, "orders")
+    rec = F.concat(F.lit('{"prio":'), _jstr(F.substring("o_orderpriority", 1, 1)),
+                   F.lit(',"raw":'), _jstr(F.col("o_orderpriority")), F.lit("}"))
+    schema = T.StructType([T.StructField("prio", T.LongType()), T.StructField("raw", T.LongType())])
+    out = coerce_json(o.select("o_orderkey", rec.alias("j")), "j", schema, mode="permissive",
+                      keep=["o_orderkey"])
+    return out.select("o_orderkey", "prio", "raw", F.size("_errors").alias("n_errors"))
+
+
+@register("nested_as_text", """
+select o_orderkey, '{"id":' || o_custkey || ',"status":"' || o_orderstatus || '"}' as user_text
+from orders""")
+def q_nested_as_text(spark, d):
+    from keelson.operators.schema import nested_as_text
+    o = I.table(spark, d, "orders")
+    rec = F.to_json(F.struct(F.col("o_orderkey").alias("id"),
+                             F.struct(F.col("o_orderstatus").alias("status"),
+                                      F.col("o_custkey").alias("id")).alias("user")))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("user", T.StringType())])
+    out = nested_as_text(o.select(rec.alias("j")), "j", schema)
+    return out.select(F.col("id").alias("o_orderkey"), F.col("user").alias("user_text"))
+
+
+# ---------------------------------------------------------------- schema inference
+@register("infer_schema")
+def q_infer_schema(spark, d):
+    from keelson.operators.schema import infer_schema
+    return infer_schema(I.events(spark, d), "props")
+
+
+@register("schema_fallback")
+def q_schema_fallback(spark, d):
+    from keelson.operators.schema import schema_or_fallback
+    ev = schema_or_fallback(I.events(spark, d), "props").withColumn("source", F.lit("events.props"))
+    cv = schema_or_fallback(I.table(spark, d, "conversations"), "text") \
+        .withColumn("source", F.lit("conversations.text"))
+    return ev.unionByName(cv)
+
+
+@register("schema_drift", """
+select k as field, count(*) as records, 'declared' as status
+from events, unnest(json_keys(props)) t(k) group by k
+union all select 'j', 0, 'missing'""")
+def q_schema_drift(spark, d):
+    from keelson.operators.schema import schema_drift
+    declared = T.StructType([T.StructField("k", T.LongType()), T.StructField("j", T.StringType())])
+    return schema_drift(I.events(spark, d), "props", declared)
+
+
+# ---------------------------------------------------------------- pages
+from keelson.sources import pages as P  # noqa: E402
+
+
+def _customer_schema(spark, d):
+    return I.table(spark, d, "customer").schema
+
+
+@register("unnest_results", "select * from customer")
+def q_unnest_results(spark, d):
+    pages = I.customer_pages(spark, d, shape="results")
+    return P.unnest_results(pages, _customer_schema(spark, d))
+
+
+@register("unnest_list", "select * from customer")
+def q_unnest_list(spark, d):
+    res = I.customer_pages(spark, d, shape="results")
+    lst = I.customer_pages(spark, d, shape="list")
+    both = res.where(F.col("page") % 2 == 0).unionByName(lst.where(F.col("page") % 2 == 1))
+    return P.unnest_list(both, _customer_schema(spark, d))
+
+
+@register("page_chain", f"""
+with p as (select distinct c_custkey // 100 as page from customer),
+m as (select max(page) as last from p)
+select 'customers' as table_name, 'run-1' as run_id, page,
+  case when page = 0 then '{I.API_BASE}/customers'
+       else '{I.API_BASE}/customers?cursor=' || page end as request_abs,
+  case when page < last then '{I.API_BASE}/customers?cursor=' || (page + 1) end as next_abs,
+  case when page < last then 'ok' else 'end' end as status
+from p, m""")
+def q_page_chain(spark, d):
+    pages = I.customer_pages(spark, d, shape="results")
+    return P.page_chain(pages, I.API_BASE)
+
+
+@register("stop_at_short_page", "select * from customer")
+def q_stop_at_short_page(spark, d):
+    pages = I.customer_offset_pages(spark, d)
+    kept = P.stop_at_short_page(pages, I.PAGE_SIZE)
+    return P.unnest_list(kept, _customer_schema(spark, d))
+
+
+@register("derived_table", "select conv_id, turn, role, text from conversations")
+def q_derived_table(spark, d):
+    parents = I.conversation_parents(spark, d)
+    schema = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                           T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
+    return P.derived_table(parents, "messages", "id", "conv_id", schema)
+
+
+@register("nested_array_rows", f"""
+select conv_id, turn // {I.CHUNK} as chunk,
+  row_number() over (partition by conv_id, turn // {I.CHUNK} order by turn) - 1 as pos,
+  turn, role, text from conversations""")
+def q_nested_array_rows(spark, d):
+    return P.nested_array_rows(I.conversation_nested(spark, d), "messages", keep=["conv_id", "chunk"])
