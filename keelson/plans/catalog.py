@@ -615,3 +615,85 @@ select conv_id, turn // {I.CHUNK} as chunk,
   turn, role, text from conversations""")
 def q_nested_array_rows(spark, d):
     return P.nested_array_rows(I.conversation_nested(spark, d), "messages", keep=["conv_id", "chunk"])
+
+
+# ---------------------------------------------------------------- streams, sinks, sources
+from keelson.streaming import flows as FL  # noqa: E402
+
+SCD1_DELETES = f"select * from ({LATEST}) where event_type <> 'error'"
+
+
+@register("snapshot_scan", "select * from orders")
+def q_snapshot_scan(spark, d):
+    schema = I.table(spark, d, "orders").schema
+    return spark.read.schema(schema).parquet(f"{d.rstrip('/')}/orders.parquet")
+
+
+@register("incremental_stream", "select * from events")
+def q_incremental_stream(spark, d):
+    return FL.append_run(spark, d, files_per_batch=3)
+
+
+@register("append_sink", "select * from events")
+def q_append_sink(spark, d):
+    return FL.append_run(spark, d)
+
+
+@register("stream_resume", "select * from events")
+def q_stream_resume(spark, d):
+    return FL.resume_run(spark, d)
+
+
+@register("stream_replay", LATEST)
+def q_stream_replay(spark, d):
+    return FL.stream_replay(spark, d)
+
+
+@register("stream_scd1", LATEST)
+def q_stream_scd1(spark, d):
+    return FL.stream_scd(spark, d, "scd1")
+
+
+@register("stream_scd2", HISTORY)
+def q_stream_scd2(spark, d):
+    return FL.stream_scd(spark, d, "scd2")
+
+
+@register("stream_deletes", SCD1_DELETES)
+def q_stream_deletes(spark, d):
+    return FL.stream_deletes(spark, d)
+
+
+@register("upsert_sink", LATEST)
+def q_upsert_sink(spark, d):
+    return FL.upsert_sink_run(spark, d)
+
+
+@register("snapshot_sink", f"with {V2} select * from v2")
+def q_snapshot_sink(spark, d):
+    return FL.snapshot_sink_run(spark, d)
+
+
+def _landed_events(spark, d, n_files: int = 8) -> str:
+    from keelson.session import work_dir
+    base = work_dir(spark, "landed")
+    return FL.stage_files(I.events(spark, d), f"{base}/events", n_files, by=I.EVENT_TIE)
+
+
+@register("partitioned_scan", "select * from events")
+def q_partitioned_scan(spark, d):
+    from keelson.sources.landed import register as reg
+    fmt = reg(spark)
+    return spark.read.format(fmt).option("path", _landed_events(spark, d)).load()
+
+
+@register("partitioned_stream", "select * from events")
+def q_partitioned_stream(spark, d):
+    from keelson.session import work_dir
+    from keelson.sources.landed import register as reg
+    fmt = reg(spark)
+    src = _landed_events(spark, d)
+    base = work_dir(spark, "pstream")
+    stream = spark.readStream.format(fmt).option("path", src).option("cursor", I.EVENT_SEQ).load()
+    FL.run_available(stream, f"{base}/chk", sink=f"{base}/out")
+    return spark.read.parquet(f"{base}/out")
