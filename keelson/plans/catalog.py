@@ -697,3 +697,63 @@ def q_partitioned_stream(spark, d):
     stream = spark.readStream.format(fmt).option("path", src).option("cursor", I.EVENT_SEQ).load()
     FL.run_available(stream, f"{base}/chk", sink=f"{base}/out")
     return spark.read.parquet(f"{base}/out")
+
+
+# ---------------------------------------------------------------- multi-table ingest
+def _connector(spark, d):
+    from keelson.plans.ingest import ParquetTables
+    return ParquetTables(spark, d, {
+        "events": {"primary_keys": ["user_id"], "cursor_field": "ts", "tie": "event_id",
+                   "ingestion_type": "cdc_with_deletes", "delete_when": "event_type = 'error'"},
+        "orders": {"primary_keys": ["o_orderkey"], "cursor_field": "o_orderdate",
+                   "ingestion_type": "snapshot"},
+        "customer": {"primary_keys": ["c_custkey"], "ingestion_type": "cdc",
+                     "cursor_field": "c_custkey"},
+        "lineitem": {"ingestion_type": "append"},
+    })
+
+
+INGEST_SUMMARY = f"""
+select 'events' as destination, count(*) as row_count, cast(sum(user_id) as bigint) as key_sum
+from ({SCD1_DELETES})
+union all select '`main`.`sales`.`orders_snap`', count(*), cast(sum(o_orderkey) as bigint) from orders
+union all select 'customer', count(*), cast(sum(c_custkey) as bigint) from customer
+union all select 'lineitem', count(*), cast(sum(l_orderkey) as bigint) from lineitem"""
+
+
+@register("ingest_multi", INGEST_SUMMARY)
+def q_ingest_multi(spark, d):
+    """Four tables, one per ingestion type; one summary row per destination."""
+    from functools import reduce
+    from keelson.plans.ingest import ingest, read_destination
+    from keelson.session import work_dir
+    spec = {"connection_name": "parquet-tables", "objects": [
+        {"table": {"source_table": "events", "table_configuration": {"tie": "event_id"}}},
+        {"table": {"source_table": "orders", "destination_catalog": "main",
+                   "destination_schema": "sales", "destination_table": "orders_snap"}},
+        {"table": {"source_table": "customer"}},
+        {"table": {"source_table": "lineitem"}},
+    ]}
+    keys = {"events": "user_id", "`main`.`sales`.`orders_snap`": "o_orderkey",
+            "customer": "c_custkey", "lineitem": "l_orderkey"}
+    plans = ingest(spark, spec, _connector(spark, d), work_dir(spark, "ingest"), buckets=8)
+    parts = [read_destination(spark, p).agg(F.count(F.lit(1)).alias("row_count"),
+                                            F.sum(keys[name]).cast("bigint").alias("key_sum"))
+             .select(F.lit(name).alias("destination"), "row_count", "key_sum")
+             for name, p in plans.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("ingest_override", LATEST)
+def q_ingest_override(spark, d):
+    """Spec values beat source metadata: key, sequence and SCD type come from the spec."""
+    from keelson.plans.ingest import ParquetTables, ingest, read_destination
+    from keelson.session import work_dir
+    conn = ParquetTables(spark, d, {"events": {"primary_keys": ["event_id"], "cursor_field": "event_id",
+                                               "ingestion_type": "cdc"}})
+    spec = {"objects": [{"table": {"source_table": "events", "destination_table": "latest_by_user",
+                                   "table_configuration": {"scd_type": "scd_type_1",
+                                                           "primary_keys": '["user_id"]',
+                                                           "sequence_by": "ts", "tie": "event_id"}}}]}
+    plans = ingest(spark, spec, conn, work_dir(spark, "ingest-override"), buckets=8)
+    return read_destination(spark, plans["latest_by_user"])
