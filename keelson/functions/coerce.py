@@ -268,47 +268,77 @@ def strict(value: Column, errors: Column) -> Column:
     return F.when(F.size(errors) > 0, F.raise_error(F.concat_ws("; ", errors))).otherwise(value)
 
 
-def _typed(df: DataFrame, v: str, schema: T.StructType, mode: str, keep: list[str],
-           extra_errs: list[Column] | None = None) -> DataFrame:
-    """Type a VARIANT record column in staged projections.
+def _typed(df: DataFrame, source: str, schema: T.StructType, mode: str, keep: list[str],
+           text: bool) -> DataFrame:
+    """Type a record column (JSON text or VARIANT) in staged projections.
 
-    Each stage computes the expensive pieces once (field lookup, kind, text, value) and
+    Each stage computes the expensive pieces once (field values, kinds, typed values) and
     the next stage refers to them as columns, so nothing is evaluated twice per row
     (common-subexpression elimination cannot reach into conditional branches).
+
+    JSON text goes through one ``from_json`` pass into a struct of VARIANT fields (absent
+    field → SQL null, JSON null → variant null). Only a row whose declared fields are all
+    absent is parsed again to tell ``{}``, a non-object and bad JSON apart.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
     fields = schema.fields
-    carry = [*keep] + (["__bad"] if "__bad" in df.columns else [])
-    rec = F.col(v)
-    # stage 1: object probe (a struct cast reads only the header) and one lookup per field
-    s1 = df.select(*carry, rec.alias("__v"),
-                   F.try_variant_get(rec, "$", "struct<__probe__:int>").isNotNull().alias("__obj"),
-                   *[F.try_variant_get(rec, _path(f.name), "variant").alias(f"__f{i}")
-                     for i, f in enumerate(fields)])
-    # stage 2: kind and text of every field; the empty-object test only when no field is present
-    absent = F.lit(True)
-    for i in range(len(fields)):
-        absent = absent & F.col(f"__f{i}").isNull()
-    empty = F.when(F.col("__obj") & absent, F.schema_of_variant("__v") == "OBJECT<>").otherwise(False)
-    s2 = s1.select(*carry, "__v", "__obj", empty.alias("__empty"),
-                   *[c for i in range(len(fields)) for c in (
+    n = len(fields)
+    src = F.col(source)
+    if text:
+        as_variants = T.StructType([T.StructField(f.name, T.VariantType()) for f in fields])
+        s0 = df.select(*keep, src.alias("__j"), F.from_json(src, as_variants).alias("__s"))
+        s1 = s0.select(*keep, "__j", *[F.col("__s").getField(f.name).alias(f"__f{i}")
+                                       for i, f in enumerate(fields)])
+        absent = F.lit(True)
+        for i in range(n):
+            absent = absent & F.col(f"__f{i}").isNull()
+        s1 = s1.select("*", absent.alias("__none"))
+        s1 = s1.select("*", F.when(F.col("__none") & F.col("__j").isNotNull(),
+                                   F.try_parse_json("__j")).alias("__diag"))
+        diag = F.col("__diag")
+        rnull = F.col("__j").isNull() | (F.col("__none") & F.coalesce(F.is_variant_null(diag), F.lit(False)))
+        obj = ~F.col("__none") | F.try_variant_get(diag, "$", "struct<__probe__:int>").isNotNull()
+        empty = F.col("__none") & F.coalesce(F.schema_of_variant(diag) == "OBJECT<>", F.lit(False))
+        bad = F.col("__j").isNotNull() & F.col("__none") & diag.isNull()
+        shown = F.col("__j")
+        head = ["__j"]
+    else:
+        s1 = df.select(*keep, src.alias("__v"),
+                       *[F.try_variant_get(src, _path(f.name), "variant").alias(f"__f{i}")
+                         for i, f in enumerate(fields)])
+        v = F.col("__v")
+        absent = F.lit(True)
+        for i in range(n):
+            absent = absent & F.col(f"__f{i}").isNull()
+        rnull = v.isNull() | F.is_variant_null(v)
+        obj = F.try_variant_get(v, "$", "struct<__probe__:int>").isNotNull()
+        empty = F.when(absent & obj, F.schema_of_variant(v) == "OBJECT<>").otherwise(F.lit(False))
+        bad = F.lit(False)
+        shown = F.try_variant_get(v, "$", "string")
+        head = ["__v"]
+    # stage 2: record flags, kind of every field, text of string fields
+    s2 = s1.select(*keep, *head, rnull.alias("__rnull"), obj.alias("__obj"), empty.alias("__empty"),
+                   bad.alias("__bad"),
+                   *[c for i in range(n) for c in (
                        F.col(f"__f{i}"),
-                       F.schema_of_variant(F.col(f"__f{i}")).alias(f"__k{i}"),
-                       F.try_variant_get(F.col(f"__f{i}"), "$", "string").alias(f"__t{i}"))])
+                       F.schema_of_variant(F.col(f"__f{i}")).alias(f"__k{i}"))])
+    s2 = s2.select("*", *[F.when(F.col(f"__k{i}") == "STRING",
+                                 F.try_variant_get(F.col(f"__f{i}"), "$", "string")).alias(f"__t{i}")
+                          for i in range(n)])
     ok = F.col("__obj") & ~F.col("__empty")
-    kinds = [_V(F.col(f"__f{i}"), F.col(f"__k{i}"), F.col(f"__t{i}")) for i in range(len(fields))]
+    kinds = [_V(F.col(f"__f{i}"), F.col(f"__k{i}"),
+                F.coalesce(F.col(f"__t{i}"), F.try_variant_get(F.col(f"__f{i}"), "$", "string")))
+             for i in range(n)]
     built = [_coerce(F.col(f"__f{i}"), f.dataType, f"$.{f.name}", kinds[i])
              for i, f in enumerate(fields)]
     # stage 3: values
-    s3 = s2.select(*carry, "__v", "__obj", "__empty",
-                   *[c for i in range(len(fields)) for c in (F.col(f"__f{i}"), F.col(f"__k{i}"), F.col(f"__t{i}"))],
-                   *[F.when(ok, built[i][0]).alias(f"__x{i}") for i in range(len(fields))])
+    s3 = s2.select("*", *[F.when(ok, built[i][0]).alias(f"__x{i}") for i in range(n)])
     # stage 4: errors, referring to the values as columns
-    rnull = F.col("__v").isNull() | F.is_variant_null("__v")
-    errs = list(extra_errs or []) + [
-        _err(~rnull & ~F.col("__obj"), "$", "a struct", F.try_variant_get("__v", "$", "string")),
-        _err(F.col("__empty"), "$", "empty object for a struct")]
+    head_shown = shown if text else F.try_variant_get("__v", "$", "string")
+    errs = [_err(F.col("__bad"), "$", "bad JSON"),
+            _err(~F.col("__rnull") & ~F.col("__bad") & ~F.col("__obj"), "$", "a struct", head_shown),
+            _err(F.col("__empty"), "$", "empty object for a struct")]
     for i, f in enumerate(fields):
         errs += [F.when(ok, e) for e in _errors(built[i], F.col(f"__x{i}"))]
         if not f.nullable:
@@ -323,18 +353,13 @@ def _typed(df: DataFrame, v: str, schema: T.StructType, mode: str, keep: list[st
 def coerce_variant_column(df: DataFrame, col: str, schema: T.StructType, mode: str = "strict",
                           keep: list[str] | None = None) -> DataFrame:
     """C14: a VARIANT record column → typed columns of ``schema`` (+ ``_errors`` if permissive)."""
-    return _typed(df, col, schema, mode, list(keep or []))
+    return _typed(df, col, schema, mode, list(keep or []), text=False)
 
 
 def coerce_json(df: DataFrame, col: str, schema: T.StructType, mode: str = "strict",
                 keep: list[str] | None = None) -> DataFrame:
     """C14: a JSON text column → typed columns of ``schema``.
 
-    The text is parsed once (its own projection); bad JSON fails the job in strict mode
-    and is reported in ``_errors`` in permissive mode.
+    Bad JSON fails the job in strict mode and is reported in ``_errors`` in permissive mode.
     """
-    keep = list(keep or [])
-    staged = (df.select(*keep, F.col(col).alias("__j"), F.try_parse_json(F.col(col)).alias("__v"))
-              .select(*keep, "__v", (F.col("__j").isNotNull() & F.col("__v").isNull()).alias("__bad")))
-    bad = [_err(F.col("__bad"), "$", "bad JSON")]
-    return _typed(staged, "__v", schema, mode, keep, bad)
+    return _typed(df, col, schema, mode, list(keep or []), text=True)

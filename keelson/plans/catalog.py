@@ -350,8 +350,10 @@ def _jstr(c):
 
 @register("coerce_record", "select * from lineitem")
 def q_coerce_record(spark, d):
+    """lineitem landed as JSON text (spread like a landing zone of many files), typed back."""
     li = I.table(spark, d, "lineitem")
-    text = li.select(F.to_json(F.struct(*li.columns)).alias("j"))
+    text = li.select(F.to_json(F.struct(*li.columns)).alias("j")) \
+        .repartition(spark.sparkContext.defaultParallelism)
     return coerce_json(text, "j", li.schema)
 
 
@@ -533,13 +535,34 @@ def q_nested_as_text(spark, d):
 
 
 # ---------------------------------------------------------------- schema inference
-@register("infer_schema")
+def _ddl_sql(table: str, col: str) -> str:
+    """DuckDB: top-level keys of a JSON text column with their scalar types as Spark DDL."""
+    return f"""
+select case when count(*) = 0 then null
+            else 'STRUCT<' || string_agg(k || ': ' || t, ', ' order by k) || '>' end as ddl
+from (select k, case when count(distinct jt) > 1 then 'VARIANT'
+                     else max(case jt when 'BIGINT' then 'BIGINT' when 'UBIGINT' then 'BIGINT'
+                                      when 'DOUBLE' then 'DOUBLE' when 'VARCHAR' then 'STRING'
+                                      when 'BOOLEAN' then 'BOOLEAN' when 'NULL' then 'STRING'
+                                      else 'VARIANT' end) end as t
+      from (select k, json_type({col}, '$."' || k || '"') as jt
+            from {table}, unnest(json_keys({col})) u(k) where json_valid({col})) x
+      group by k) y"""
+
+
+@register("infer_schema", _ddl_sql("events", "props"))
 def q_infer_schema(spark, d):
     from keelson.operators.schema import infer_schema
     return infer_schema(I.events(spark, d), "props")
 
 
-@register("schema_fallback")
+@register("schema_fallback", f"""
+select coalesce(ddl, '{{FALLBACK}}') as ddl, ddl is null as fallback, 'events.props' as source
+from ({_ddl_sql("events", "props")}) a
+union all
+select coalesce(ddl, '{{FALLBACK}}'), ddl is null, 'conversations.text'
+from ({_ddl_sql("(select text from conversations where json_valid(text) and json_type(text) = 'OBJECT')", "text")}) b
+""".replace("{FALLBACK}", "STRUCT<id: STRING, created_at: STRING, updated_at: STRING>"))
 def q_schema_fallback(spark, d):
     from keelson.operators.schema import schema_or_fallback
     ev = schema_or_fallback(I.events(spark, d), "props").withColumn("source", F.lit("events.props"))

@@ -21,6 +21,10 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Coercion builds wide expression trees; let HotSpot JIT-compile the large methods
+    # whole-stage codegen generates instead of interpreting them (applies at JVM start).
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 _LOCAL_WORK: dict[str, str] = {}

@@ -83,15 +83,11 @@ class ChangeSink:
         if not buckets:
             return
         current = self.target.read(buckets)
-        rows = self.merge(current, batch)
-        out = rows.withColumn("bucket", self.target.bucket_of(rows))
-        (out.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-            .parquet(f"{self.target.path}/data/v={batch_id}"))
+        self.target.write_data(batch_id, self.merge(current, batch))
         if self._fail:  # fault injection for the replay test: data written, log not
             self._fail = False
             raise RuntimeError("injected failure after data write")
-        log = batch.sparkSession.createDataFrame([(b,) for b in buckets], "bucket int")
-        log.coalesce(1).write.mode("overwrite").json(f"{self.target.path}/_log/v={batch_id}")
+        self.target.write_log(batch_id, buckets)
 
     def read(self) -> DataFrame | None:
         out = self.target.read()

@@ -27,6 +27,8 @@ VERSION = "v"
 class VersionedTarget:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16):
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self._live: dict[int, int] | None = None  # {bucket: version}, loaded once from the log
+        self._versions: set[int] = set()
 
     # ---------------------------------------------------------------- log
     def _log(self) -> DataFrame | None:
@@ -35,17 +37,36 @@ class VersionedTarget:
         except AnalysisException:
             return None
 
-    def live_versions(self) -> dict[int, int]:
-        """{bucket: version} of the live table (at most ``buckets`` entries)."""
+    def _load(self) -> None:
+        """Read the log once (one small Spark job); later commits update the cache."""
+        if self._live is not None:
+            return
+        self._live, self._versions = {}, set()
         log = self._log()
         if log is None:
-            return {}
+            return
         rows = log.groupBy(BUCKET).agg(F.max(VERSION).alias("v")).collect()
-        return {r[BUCKET]: r["v"] for r in rows}
+        self._live = {r[BUCKET]: r["v"] for r in rows}
+        self._versions = {r[0] for r in log.select(VERSION).distinct().collect()}
+
+    def refresh(self) -> None:
+        """Forget the cached log (another writer may have committed)."""
+        self._live = None
+
+    def live_versions(self) -> dict[int, int]:
+        """{bucket: version} of the live table (at most ``buckets`` entries)."""
+        self._load()
+        return dict(self._live)
 
     def committed(self, version: int) -> bool:
-        log = self._log()
-        return log is not None and log.where(F.col(VERSION) == version).limit(1).count() > 0
+        self._load()
+        return version in self._versions
+
+    def _logged(self, version: int, buckets: list[int]) -> None:
+        self._load()
+        self._versions.add(version)
+        for b in buckets:
+            self._live[b] = max(version, self._live.get(b, version))
 
     # ---------------------------------------------------------------- read
     def bucket_of(self, df: DataFrame):
@@ -71,12 +92,19 @@ class VersionedTarget:
 
     def commit(self, version: int, rows: DataFrame, buckets: list[int]) -> None:
         """Write ``rows`` as the new content of ``buckets`` at ``version``, then log it."""
-        out = rows.withColumn(BUCKET, self.bucket_of(rows))
         # AQE rebalance: few files per bucket, hot buckets split, small ones merged
+        self.write_data(version, rows)
+        self.write_log(version, buckets)
+
+    def write_data(self, version: int, rows: DataFrame) -> None:
+        out = rows.withColumn(BUCKET, self.bucket_of(rows))
         (out.hint("rebalance", BUCKET)
             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/{VERSION}={version}"))
+
+    def write_log(self, version: int, buckets: list[int]) -> None:
         log = self.spark.createDataFrame([(b,) for b in buckets], "bucket int")
         log.coalesce(1).write.mode("overwrite").json(f"{self.path}/_log/{VERSION}={version}")
+        self._logged(version, buckets)
 
     def apply(self, version: int, changes: DataFrame,
               merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> bool:
