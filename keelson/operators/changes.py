@@ -120,11 +120,12 @@ def scd2_history(target: DataFrame | None, feed: DataFrame, keys: list[str], seq
     into. A replayed row (same key, sequence and tie) is kept once.
     """
     feed = _require_seq(feed, seq)
+    cols = [c for c in feed.columns if c not in (START_AT, END_AT)] + [START_AT, END_AT]
     keep, redo = _affected(target, feed, keys)
     versions = union_changes(redo, feed)
     if redo is not None:
         versions = versions.dropDuplicates([*keys, seq] + ([tie] if tie else []))
-    return union_changes(keep, _history(versions, keys, seq, tie))
+    return union_changes(keep, _history(versions, keys, seq, tie)).select(*cols)
 
 
 def scd2_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: DataFrame,
@@ -140,7 +141,8 @@ def scd2_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: Dat
         versions = feed
     hist = _history(versions, keys, seq, tie)
     hist = hist.where(F.col(OP) != DELETE).drop(OP)
-    return union_changes(keep, hist)
+    cols = [c for c in upserts.columns if c not in (START_AT, END_AT, OP)] + [START_AT, END_AT]
+    return union_changes(keep, hist).select(*cols)
 
 
 def append_only(target: DataFrame | None, feed: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ If a single key holds a third of the data, that task does a third of the work.
 windows can be partitioned by ``(key, __sub)``; ``next_in_key`` then repairs the
 one row per range whose successor lives in the following range.
 
-Size bounds: the hot-key table keeps at most ``max_hot_keys`` keys (top-k by row
-count; every other key has fewer rows than the k-th, so it is small anyway) and
-at most ``max_splits`` cut points per key, so what is broadcast is bounded by
-``max_hot_keys * max_splits`` values regardless of the input size.
+Size bounds: the hot-key list is collected by one aggregation and holds at most
+``max_hot_keys`` keys (top-k by row count; every other key has fewer rows than the
+k-th, so it is small anyway); each hot key gets at most ``max_splits`` cut points, so
+what is broadcast is bounded by ``max_hot_keys * max_splits`` values regardless of the
+input size. Without hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -34,38 +35,50 @@ def _numeric_order(df: DataFrame, col: str) -> Column | None:
     return None
 
 
+def hot_keys(df: DataFrame, keys: list[str], rows_per_group: int = 1_000_000,
+             max_hot_keys: int = 1024) -> list:
+    """Keys with more than ``rows_per_group`` rows, at most ``max_hot_keys`` of them (the
+    largest). One aggregation, partial before the shuffle; at most ``max_hot_keys`` rows
+    reach the driver."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+            .where(F.col("__rows") > rows_per_group)
+            .orderBy(F.desc("__rows")).limit(max_hot_keys).collect())
+
+
 def with_subgroups(df: DataFrame, keys: list[str], order_col: str, *,
                    rows_per_group: int = 1_000_000, max_hot_keys: int = 1024,
-                   max_splits: int = 512, accuracy: int = 10_000) -> DataFrame:
+                   max_splits: int = 512, accuracy: int = 10_000) -> tuple[DataFrame, bool]:
     """Add ``__sub`` so that each (keys, __sub) is a contiguous range of ``order_col``.
 
     Keys with at most ``rows_per_group`` rows get ``__sub = -1`` (one range). Hotter keys get
     ``ceil(rows / rows_per_group)`` ranges (at most ``max_splits``) cut at approximate
     quantiles; rows with equal order values always share a range. The cut is only a
-    partitioning choice: any cut gives the same results downstream.
+    partitioning choice: any cut gives the same results downstream. Returns the frame and
+    whether any key was split.
     """
     num = _numeric_order(df, order_col)
-    if num is None:  # text cursors: no quantiles, one range per key
-        return df.withColumn(SUB, F.lit(-1))
+    hot = hot_keys(df, keys, rows_per_group, max_hot_keys) if num is not None else []
+    if not hot:
+        return df.withColumn(SUB, F.lit(-1)), False
+    spark = df.sparkSession
+    key_schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("__rows", T.LongType())])
+    hot_df = spark.createDataFrame([tuple(r) for r in hot], key_schema)
+    hot_df = hot_df.withColumn("__k", F.least(F.ceil(F.col("__rows") / rows_per_group),
+                                              F.lit(max_splits)).cast("int"))
     grid = [i / max_splits for i in range(1, max_splits)]
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-           .where(F.col("__rows") > rows_per_group)
-           .orderBy(F.desc("__rows")).limit(max_hot_keys))
-    hot = hot.withColumn("__k", F.least(F.ceil(F.col("__rows") / rows_per_group),
-                                        F.lit(max_splits)).cast("int"))
-    cuts = (df.join(F.broadcast(hot.select(*keys, "__k")), keys, "left_semi")
+    cuts = (df.join(F.broadcast(hot_df.select(*keys)), keys, "left_semi")
             .withColumn("__ord", num)
             .groupBy(*keys).agg(F.percentile_approx("__ord", grid, accuracy).alias("__grid")))
-    cuts = (cuts.join(F.broadcast(hot.select(*keys, "__k")), keys)
+    cuts = (cuts.join(F.broadcast(hot_df.select(*keys, "__k")), keys)
             .select(*keys, F.transform(
                 F.sequence(F.lit(1), F.col("__k") - 1),
                 lambda j: F.element_at("__grid", ((j * max_splits) / F.col("__k")).cast("int"))
             ).alias("__cuts")))
+    # bounded: one row per hot key, at most max_splits cut points each
     out = df.join(F.broadcast(cuts), keys, "left")
-    ordv = num
     return (out.withColumn(SUB, F.coalesce(
-                F.size(F.filter("__cuts", lambda s: s < ordv)), F.lit(-1)))
-            .drop("__cuts"))
+                F.size(F.filter("__cuts", lambda s: s < num)), F.lit(-1)))
+            .drop("__cuts")), True
 
 
 def next_in_key(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "__next",
@@ -73,10 +86,13 @@ def next_in_key(df: DataFrame, keys: list[str], order_cols: list[str], out: str
     """Add ``out`` = struct of ``order_cols`` of the next row of the same key (null for the last).
 
     Equivalent to ``lead(struct(order_cols)) over (partition by keys order by order_cols)``
-    but balanced under key skew (see module doc).
+    but balanced under key skew (see module doc). Without hot keys it is exactly that window.
     """
-    d = with_subgroups(df, keys, order_cols[0], **split_opts)
     ordered = F.struct(*[F.col(c) for c in order_cols])
+    d, split = with_subgroups(df, keys, order_cols[0], **split_opts)
+    if not split:
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        return d.drop(SUB).withColumn(out, F.lead(ordered).over(w))
     w = Window.partitionBy(*keys, SUB).orderBy(*order_cols)
     d = d.withColumn("__lead", F.lead(ordered).over(w))
     # For every range of a hot key: the first element of the following non-empty range.
