@@ -7,7 +7,10 @@ batches of the requested columns. As a stream, offsets are cursor values: a micr
 covers ``(start, end]`` exactly, row groups outside that range by their footer statistics
 are not planned, and a replay of the same offsets returns the same rows.
 
-Options: ``path`` (folder of ``*.parquet`` files), ``cursor`` (column for streaming).
+Options: ``path`` (folder of ``*.parquet`` files), ``cursor`` (column for streaming),
+``splitRowGroups`` (batch: ``auto`` splits by row group only below ``maxFooterFiles``
+files, 256 by default; with more files each file is one partition and no footer is read
+while planning).
 """
 
 from __future__ import annotations
@@ -68,17 +71,25 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.path = options["path"]
         self.columns = [f.name for f in schema.fields]
+        self.split = options.get("splitRowGroups", "auto").lower()
+        self.max_footers = int(options.get("maxFooterFiles", "256"))
 
     def partitions(self):
+        files = _files(self.path)
+        split = self.split == "true" or (self.split == "auto" and len(files) <= self.max_footers)
+        if not split:
+            return [RowGroup(f, -1) for f in files]  # whole file, footers read by the task
         parts = []
-        for f in _files(self.path):
+        for f in files:
             n = _open(f).metadata.num_row_groups
             parts += [RowGroup(f, g) for g in range(n)]
         return parts
 
     def read(self, partition: RowGroup):
         pf = _open(partition.file)
-        yield from pf.read_row_group(partition.group, columns=self.columns).to_batches()
+        groups = range(pf.metadata.num_row_groups) if partition.group < 0 else [partition.group]
+        for g in groups:
+            yield from pf.read_row_group(g, columns=self.columns).to_batches()
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -86,6 +97,13 @@ class _StreamReader(DataSourceStreamReader):
         self.path = options["path"]
         self.cursor = options["cursor"]
         self.columns = [f.name for f in schema.fields]
+        self._footers: dict[str, list] = {}  # file → [(min, max)] per row group; files are immutable
+
+    def _groups(self, f: str) -> list:
+        if f not in self._footers:
+            pf = _open(f)
+            self._footers[f] = [_stats(pf, g, self.cursor) for g in range(pf.metadata.num_row_groups)]
+        return self._footers[f]
 
     def initialOffset(self) -> dict:
         return {"cursor": None}
@@ -93,9 +111,7 @@ class _StreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         best = None
         for f in _files(self.path):
-            pf = _open(f)
-            for g in range(pf.metadata.num_row_groups):
-                hi = _stats(pf, g, self.cursor)[1]
+            for _lo, hi in self._groups(f):
                 if hi is not None and (best is None or hi > best):
                     best = hi
         return {"cursor": _iso(best)}
@@ -106,9 +122,7 @@ class _StreamReader(DataSourceStreamReader):
             return []
         parts = []
         for f in _files(self.path):
-            pf = _open(f)
-            for g in range(pf.metadata.num_row_groups):
-                gmin, gmax = _stats(pf, g, self.cursor)
+            for g, (gmin, gmax) in enumerate(self._groups(f)):
                 if gmin is not None and _iso(gmin) > hi:
                     continue
                 if gmax is not None and lo is not None and _iso(gmax) <= lo:

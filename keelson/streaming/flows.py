@@ -9,6 +9,7 @@ batch id, so a replayed batch is skipped and a failed one is rewritten.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,15 +80,19 @@ class ChangeSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.target.committed(batch_id):
             return
-        buckets = self.target.touched(batch)
-        if not buckets:
-            return
-        current = self.target.read(buckets)
-        self.target.write_data(batch_id, self.merge(current, batch))
-        if self._fail:  # fault injection for the replay test: data written, log not
-            self._fail = False
-            raise RuntimeError("injected failure after data write")
-        self.target.write_log(batch_id, buckets)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read twice: buckets, merge
+        try:
+            buckets = self.target.touched(batch)
+            if not buckets:
+                return
+            current = self.target.read(buckets)
+            self.target.write_data(batch_id, self.merge(current, batch))
+            if self._fail:  # fault injection for the replay test: data written, log not
+                self._fail = False
+                raise RuntimeError("injected failure after data write")
+            self.target.write_log(batch_id, buckets)
+        finally:
+            batch.unpersist()
 
     def read(self) -> DataFrame | None:
         out = self.target.read()

@@ -28,7 +28,7 @@ class VersionedTarget:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16):
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
         self._live: dict[int, int] | None = None  # {bucket: version}, loaded once from the log
-        self._versions: set[int] = set()
+        self._last = -1  # highest logged version; versions are applied in increasing order
 
     # ---------------------------------------------------------------- log
     def _log(self) -> DataFrame | None:
@@ -41,13 +41,13 @@ class VersionedTarget:
         """Read the log once (one small Spark job); later commits update the cache."""
         if self._live is not None:
             return
-        self._live, self._versions = {}, set()
+        self._live, self._last = {}, -1
         log = self._log()
         if log is None:
             return
-        rows = log.groupBy(BUCKET).agg(F.max(VERSION).alias("v")).collect()
+        rows = log.groupBy(BUCKET).agg(F.max(VERSION).alias("v")).collect()  # <= buckets rows
         self._live = {r[BUCKET]: r["v"] for r in rows}
-        self._versions = {r[0] for r in log.select(VERSION).distinct().collect()}
+        self._last = max(self._live.values(), default=-1)
 
     def refresh(self) -> None:
         """Forget the cached log (another writer may have committed)."""
@@ -59,12 +59,14 @@ class VersionedTarget:
         return dict(self._live)
 
     def committed(self, version: int) -> bool:
+        """True for a version at or below the last logged one (stream batch ids only grow;
+        a replay after a failure re-offers the last, unlogged batch)."""
         self._load()
-        return version in self._versions
+        return version <= self._last
 
     def _logged(self, version: int, buckets: list[int]) -> None:
         self._load()
-        self._versions.add(version)
+        self._last = max(self._last, version)
         for b in buckets:
             self._live[b] = max(version, self._live.get(b, version))
 
