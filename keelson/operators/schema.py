@@ -51,7 +51,8 @@ def schema_drift(df: DataFrame, json_col: str, schema: T.StructType) -> DataFram
     """
     keys = (df.select(F.explode(F.json_object_keys(F.col(json_col))).alias("field"))
             .groupBy("field").agg(F.count(F.lit(1)).alias("records")))
-    declared = df.sparkSession.createDataFrame([(f.name,) for f in schema.fields], "field string")
+    declared = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(f.name) for f in schema.fields])).alias("field"))
     j = keys.join(declared.withColumn("__d", F.lit(True)), "field", "full_outer")
     status = (F.when(F.col("records").isNull(), F.lit("missing"))
               .when(F.col("__d").isNull(), F.lit("undeclared"))

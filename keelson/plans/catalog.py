@@ -352,8 +352,8 @@ def _jstr(c):
 def q_coerce_record(spark, d):
     """lineitem landed as JSON text (spread like a landing zone of many files), typed back."""
     li = I.table(spark, d, "lineitem")
-    text = li.select(F.to_json(F.struct(*li.columns)).alias("j")) \
-        .repartition(spark.sparkContext.defaultParallelism)
+    landed = li.repartition(spark.sparkContext.defaultParallelism)
+    text = landed.select(F.to_json(F.struct(*li.columns)).alias("j"))
     return coerce_json(text, "j", li.schema)
 
 

@@ -104,8 +104,10 @@ class VersionedTarget:
             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/{VERSION}={version}"))
 
     def write_log(self, version: int, buckets: list[int]) -> None:
-        log = self.spark.createDataFrame([(b,) for b in buckets], "bucket int")
-        log.coalesce(1).write.mode("overwrite").json(f"{self.path}/_log/{VERSION}={version}")
+        # at most ``buckets`` literals, built on the JVM side (no Python data transfer)
+        log = self.spark.range(1).select(
+            F.explode(F.array(*[F.lit(int(b)) for b in buckets])).cast("int").alias(BUCKET))
+        log.write.mode("overwrite").json(f"{self.path}/_log/{VERSION}={version}")
         self._logged(version, buckets)
 
     def apply(self, version: int, changes: DataFrame,
