@@ -106,7 +106,7 @@ class VersionedTarget:
     def write_log(self, version: int, buckets: list[int]) -> None:
         # at most ``buckets`` literals, built on the JVM side (no Python data transfer)
         log = self.spark.range(1).select(
-            F.explode(F.array(*[F.lit(int(b)) for b in buckets])).cast("int").alias(BUCKET))
+            F.explode(F.array(*[F.lit(int(b)).cast("int") for b in buckets])).alias(BUCKET))
         log.write.mode("overwrite").json(f"{self.path}/_log/{VERSION}={version}")
         self._logged(version, buckets)
 
