@@ -39,6 +39,10 @@ DATE_FORMATS = ["yyyy-M-d", "M/d/yyyy", "d-M-yyyy", "yyyy/M/d"]
 TIMESTAMP_FORMATS = ["yyyy/MM/dd HH:mm:ss"]
 
 ERRORS = "_errors"
+# Element types whose VARIANT cast gives the reference's result whenever it succeeds
+# (text, integers through truncation, floats); others always go element by element.
+_FAST_CAST = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType,
+              T.DoubleType, T.FloatType)
 _NUM = "^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -164,6 +168,11 @@ def _coerce(v: Column, dtype: T.DataType, path: str, k: _V | None = None):
         el = dtype.elementType
         vals = F.transform(arr, lambda e: _coerce(e, el, f"{path}[]")[0])
         el_errs = F.flatten(F.transform(arr, lambda e: _pack(_inline_errors(e, el, f"{path}[]"))))
+        if isinstance(el, _FAST_CAST):
+            # one vectorised cast of the whole list; element lambdas only when it fails
+            fast = F.try_variant_get(v, "$", T.ArrayType(el, True).simpleString())
+            vals = F.when(fast.isNotNull(), fast).otherwise(vals)
+            el_errs = F.when(fast.isNull(), el_errs)
         one_val = _coerce(v, el, f"{path}[]")[0]
         one_errs = _inline_errors(v, el, f"{path}[]")
         if dtype.containsNull:
@@ -183,6 +192,10 @@ def _coerce(v: Column, dtype: T.DataType, path: str, k: _V | None = None):
             mk = F.transform_keys(m, lambda key, _x: coerce_text(key, kt, f"{path}{{key}}")[0])
         mv = F.transform_values(mk, lambda _key, x: _coerce(x, vt, f"{path}{{}}")[0])
         verrs = F.flatten(F.transform(F.map_values(m), lambda x: _pack(_inline_errors(x, vt, f"{path}{{}}"))))
+        if isinstance(kt, T.StringType) and isinstance(vt, _FAST_CAST):
+            fast = F.try_variant_get(v, "$", T.MapType(kt, vt, True).simpleString())
+            mv = F.when(fast.isNotNull(), fast).otherwise(mv)
+            verrs = F.when(fast.isNull(), verrs)
         errs = [F.when(ok, verrs), _err(notnull & ~ok, path, "a map", k.text)]
         if not isinstance(kt, T.StringType):
             kerrs = F.flatten(F.transform(F.map_keys(m), lambda key: _pack(_errors(coerce_text(key, kt, f"{path}{{key}}"), coerce_text(key, kt, f"{path}{{key}}")[0]))))

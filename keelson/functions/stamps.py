@@ -24,9 +24,12 @@ def typed_stamp(dtype: T.DataType, at) -> Column:
     a field declared ``date`` in a text schema is not knowable, so text gets ISO timestamp.
     ``at`` is a datetime or a timestamp column (e.g. the batch time).
     """
-    at_c = at if isinstance(at, Column) else F.lit(at)
-    if isinstance(at, datetime.datetime) and at.tzinfo is not None:
-        at_c = F.lit(at.astimezone(datetime.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    if isinstance(at, Column):
+        at_c = at
+    else:
+        if isinstance(at, datetime.datetime) and at.tzinfo is not None:
+            at = at.astimezone(datetime.timezone.utc).replace(tzinfo=None)
+        at_c = F.lit(str(at)).cast("timestamp_ntz")  # UTC wall clock, no Python time zone
     if isinstance(dtype, T.DateType):
         return at_c.cast("date")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

@@ -186,7 +186,7 @@ def touch_upsert(target: DataFrame, rows: DataFrame, keys: list[str], stamp_col:
     staged = rows.join(existing, keys, "left")
     if stamp_col is not None:
         dt = rows.schema[stamp_col].dataType
-        s = F.lit(stamp).cast(dt)
+        s = F.lit(str(stamp)).cast(dt)  # text literal: no dependence on the Python time zone
         staged = staged.withColumn(stamp_col, F.when(F.col("__hit"), s)
                                    .otherwise(F.coalesce(F.col(stamp_col), s)))
     staged = staged.drop("__hit").select(*target.columns)

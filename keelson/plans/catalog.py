@@ -464,7 +464,10 @@ def q_coerce_array(spark, d):
                   F.to_json(F.array(F.col("l_quantity"), F.col("l_tax")))) \
         .otherwise(F.col("l_discount").cast("string"))
     out = _one_field(li, text, T.ArrayType(T.DoubleType(), True), ["l_orderkey", "l_linenumber"])
-    return out.select("l_orderkey", "l_linenumber", F.posexplode("x").alias("pos", "x"))
+    # _outer + filter on the generator output: a plain explode would let Catalyst infer a
+    # size(x) > 0 filter and push it (with the whole coercion tree) down to the scan
+    return (out.select("l_orderkey", "l_linenumber", F.posexplode_outer("x").alias("pos", "x"))
+            .where(F.col("pos").isNotNull()))
 
 
 @register("coerce_map", """
@@ -473,7 +476,8 @@ from events, unnest(json_keys(props)) t(k)""")
 def q_coerce_map(spark, d):
     ev = I.events(spark, d)
     out = _one_field(ev, F.col("props"), T.MapType(T.StringType(), T.IntegerType()), ["event_id"])
-    return out.select("event_id", F.explode("x").alias("key", "value"))
+    return (out.select("event_id", F.explode_outer("x").alias("key", "value"))
+            .where(F.col("key").isNotNull()))
 
 
 @register("coerce_struct", """

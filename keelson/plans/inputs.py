@@ -25,6 +25,9 @@ API_BASE = "https://api.example.test/v1"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # the engine types and stamps in UTC (text with offsets → instants → UTC wall clock)
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
