@@ -9,7 +9,8 @@ Rows go to ``bucket = pmod(xxhash64(keys), buckets)``. A version rewrites only t
 its changes touch; the live table is, per bucket, the latest logged version. The log row
 is written by Spark after the data, so a version without its log entry is invisible and
 is simply overwritten when the same batch id is replayed; a logged version is skipped.
-Reads prune to the live (version, bucket) pairs at planning time.
+Reads list only the folders of live versions (at most one per bucket, however long the
+history) and prune to the live (version, bucket) pairs at planning time.
 """
 
 from __future__ import annotations
@@ -81,7 +82,10 @@ class VersionedTarget:
             live = {b: v for b, v in live.items() if b in set(buckets)}
         if not live:
             return None
-        data = self.spark.read.parquet(f"{self.path}/data")
+        # list only the folders of live versions (at most one per bucket), never the history
+        versions = sorted(set(live.values()))
+        data = (self.spark.read.option("basePath", f"{self.path}/data")
+                .parquet(*[f"{self.path}/data/{VERSION}={v}" for v in versions]))
         cond = F.lit(False)
         for b, v in sorted(live.items()):
             cond = cond | ((F.col(BUCKET) == b) & (F.col(VERSION) == v))
