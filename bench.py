@@ -36,7 +36,7 @@ def _stream_metrics(spark, sf_dir: str) -> dict:
     FL.run_available(FL.file_stream(spark, src, ev.schema, 5), f"{base}/chk", batch_fn=sink)
     run = time.perf_counter() - t0
     # restart: new files land (the next arrival batch), the query resumes at its checkpoint
-    extra = I.arrival_batch(ev, I.EVENT_TIE, 10).where(F.col("__batch") == 0).drop("__batch")
+    extra = I.arrival_batch(ev, I.EVENT_SEQ, 10).where(F.col("__batch") == 0).drop("__batch")
     FL.stage_files(extra.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")), src, 1,
                    by=I.EVENT_TIE, mode="append")
     t1 = time.perf_counter()

@@ -68,7 +68,7 @@ def q_latest_per_key(spark, d):
 
 @register("scd1_upsert", LATEST)
 def q_scd1_upsert(spark, d):
-    ev = I.arrival_batch(I.events(spark, d), ET, 2)
+    ev = I.arrival_batch(I.events(spark, d), ES, 2)
     first = ev.where(F.col("__batch") == 0).drop("__batch")
     second = ev.where(F.col("__batch") == 1).drop("__batch")
     target = C.scd1_upsert(None, first, EK, ES, ET)
@@ -77,9 +77,10 @@ def q_scd1_upsert(spark, d):
 
 @register("late_arrivals", LATEST)
 def q_late_arrivals(spark, d):
-    """Four hash-split arrival batches applied one by one: same target as one pass."""
+    """Four sequence ranges applied newest first (each later batch arrives late), with the
+    target checkpointed between batches: same target as one pass."""
     n = 4
-    ev = I.arrival_batch(I.events(spark, d), ET, n)
+    ev = I.arrival_batch(I.events(spark, d), ES, n)
     target = None
     for b in range(n):
         feed = ev.where(F.col("__batch") == b).drop("__batch")
@@ -96,7 +97,7 @@ def q_scd1_with_deletes(spark, d):
 
 @register("scd2_history", HISTORY)
 def q_scd2_history(spark, d):
-    ev = I.arrival_batch(I.events(spark, d), ET, 2)
+    ev = I.arrival_batch(I.events(spark, d), ES, 2)
     first = ev.where(F.col("__batch") == 0).drop("__batch")
     second = ev.where(F.col("__batch") == 1).drop("__batch")
     hist = C.scd2_history(None, first, EK, ES, ET)
@@ -110,7 +111,7 @@ def q_scd2_with_deletes(spark, d):
 
 @register("append_only", "select * from events")
 def q_append_only(spark, d):
-    ev = I.arrival_batch(I.events(spark, d), ET, 2)
+    ev = I.arrival_batch(I.events(spark, d), ES, 2)
     target = C.append_only(None, ev.where(F.col("__batch") == 0).drop("__batch"))
     return C.append_only(target, ev.where(F.col("__batch") == 1).drop("__batch"))
 
@@ -455,9 +456,11 @@ def q_coerce_binary(spark, d):
 
 
 @register("coerce_array", """
-select l_orderkey, l_linenumber, 0 as pos, l_quantity as x from lineitem where l_linenumber % 2 = 0
-union all select l_orderkey, l_linenumber, 1, l_tax from lineitem where l_linenumber % 2 = 0
-union all select l_orderkey, l_linenumber, 0, l_discount from lineitem where l_linenumber % 2 = 1""")
+select l_orderkey, l_linenumber, cast(generate_subscripts(arr, 1) - 1 as integer) as pos,
+       unnest(arr) as x
+from (select l_orderkey, l_linenumber,
+        case when l_linenumber % 2 = 0 then [l_quantity, l_tax] else [l_discount] end as arr
+      from lineitem)""")
 def q_coerce_array(spark, d):
     li = I.table(spark, d, "lineitem")
     text = F.when(F.col("l_linenumber") % 2 == 0,
@@ -638,7 +641,7 @@ def q_derived_table(spark, d):
 
 @register("nested_array_rows", f"""
 select conv_id, turn // {I.CHUNK} as chunk,
-  row_number() over (partition by conv_id, turn // {I.CHUNK} order by turn) - 1 as pos,
+  cast(row_number() over (partition by conv_id, turn // {I.CHUNK} order by turn) - 1 as integer) as pos,
   turn, role, text from conversations""")
 def q_nested_array_rows(spark, d):
     return P.nested_array_rows(I.conversation_nested(spark, d), "messages", keep=["conv_id", "chunk"])

@@ -5,6 +5,7 @@
 * ``orders`` gives two snapshots by business rule, so every order is in at least one:
   v1 = orders whose priority is not ``1-URGENT``; v2 = orders whose priority is not
   ``5-LOW``, with ``o_totalprice + 1`` for open orders (status ``O``).
+* Arrival order: a feed is cut into sequence ranges applied newest first (late arrivals).
 * Page bodies are ``customer`` rows grouped by key range, 100 keys per page.
 * Parents are ``conversations`` grouped by ``conv_id`` in chunks of 50 turns, so no
   parent array grows with the size of a conversation.
@@ -58,9 +59,17 @@ def orders_v2(spark, sf_dir) -> DataFrame:
                         .otherwise(F.col("o_totalprice")))
 
 
-def arrival_batch(df: DataFrame, col: str, n: int) -> DataFrame:
-    """Adds ``__batch`` in [0, n): a hash of ``col``, so arrival order differs from sequence order."""
-    return df.withColumn("__batch", F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("int"))
+def arrival_batch(df: DataFrame, seq: str, n: int) -> DataFrame:
+    """Adds ``__batch`` in [0, n): the feed cut into ``n`` ranges of ``seq`` (approximate
+    quantiles, one scalar subquery), numbered newest first. Applying batch 0, 1, ... in turn
+    delivers ever older rows, so every batch after the first is a late arrival. Every row
+    belongs to exactly one batch."""
+    num = F.unix_micros(F.col(seq).cast("timestamp")).cast("double")
+    cuts = df.agg(F.percentile_approx(num, [i / n for i in range(1, n)], 10_000)).scalar()
+    older_cuts = F.lit(0)
+    for i in range(1, n):
+        older_cuts = older_cuts + (F.element_at(cuts, i) < num).cast("int")
+    return df.withColumn("__batch", (F.lit(n - 1) - older_cuts).cast("int"))
 
 
 def customer_pages(spark, sf_dir, shape: str = "results", page_size: int = PAGE_SIZE) -> DataFrame:

@@ -173,7 +173,7 @@ class LandedParquet(DataSource):
         files = _files(self.options["path"])
         if not files:
             raise ValueError(f"no parquet files under {self.options['path']}")
-        return from_arrow_schema(_open(files[0]).schema_arrow)
+        return from_arrow_schema(_open(files[0]).schema_arrow, prefer_timestamp_ntz=True)
 
     def reader(self, schema: StructType):
         return _Reader(self.options, schema)

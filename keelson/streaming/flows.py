@@ -163,7 +163,7 @@ def append_run(spark: SparkSession, sf_dir: str, files_per_batch: int = 5) -> Da
 def resume_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run with the same checkpoint reads only the files that arrived since."""
     base = work_dir(spark, "resume")
-    ev = I.arrival_batch(I.events(spark, sf_dir), I.EVENT_TIE, 2)
+    ev = I.arrival_batch(I.events(spark, sf_dir), I.EVENT_SEQ, 2)
     schema = I.events(spark, sf_dir).schema
     src = f"{base}/src/events"
     stage_files(ev.where(F.col("__batch") == 0).drop("__batch"), src, 6, by=I.EVENT_TIE)
@@ -210,7 +210,7 @@ def snapshot_sink_run(spark: SparkSession, sf_dir: str, buckets: int = 8) -> Dat
 def upsert_sink_run(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
     """K2: initial batch load of half the feed, then the other half streamed into the sink."""
     base = work_dir(spark, "upsert-sink")
-    ev = I.arrival_batch(I.events(spark, sf_dir), I.EVENT_TIE, 2)
+    ev = I.arrival_batch(I.events(spark, sf_dir), I.EVENT_SEQ, 2)
     target = VersionedTarget(spark, f"{base}/target", I.EVENT_KEYS, buckets)
     first = ev.where(F.col("__batch") == 0).drop("__batch")
     target.replace(0, C.scd1_upsert(None, first, I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE))

@@ -28,7 +28,7 @@ def events(spark, sf_small):
 @pytest.mark.parametrize("n", [2, 3, 5])
 def test_scd1_any_batching(spark, events, n):
     one = _rows(C.scd1_upsert(None, events, K, S, T_))
-    ev = I.arrival_batch(events, T_, n)
+    ev = I.arrival_batch(events, S, n)
     target = None
     for b in reversed(range(n)):
         target = C.scd1_upsert(target, ev.where(F.col("__batch") == b).drop("__batch"), K, S, T_)
@@ -39,7 +39,7 @@ def test_scd1_any_batching(spark, events, n):
 @pytest.mark.parametrize("n", [2, 4])
 def test_scd2_any_batching(spark, events, n):
     one = _rows(C.scd2_history(None, events, K, S, T_))
-    ev = I.arrival_batch(events, T_, n)
+    ev = I.arrival_batch(events, S, n)
     hist = None
     for b in range(n - 1, -1, -1):
         hist = C.scd2_history(hist, ev.where(F.col("__batch") == b).drop("__batch"), K, S, T_).cache()
