@@ -69,6 +69,18 @@ def live(state: DataFrame) -> DataFrame:
     return state.where(F.col(OP).isNull() | (F.col(OP) != DELETE)).drop(OP)
 
 
+def expire_tombstones(state: DataFrame, seq: str, older_than) -> DataFrame:
+    """Drop tombstones whose sequence is below ``older_than`` (retention of decision D8).
+
+    Until then a delete keeps out older upserts that arrive late; after it, such an upsert
+    would bring the key back, so the retention must exceed the latest expected lateness.
+    """
+    if OP not in state.columns:
+        return state
+    bound = F.lit(str(older_than)).cast(state.schema[seq].dataType)
+    return state.where((F.col(OP) != DELETE) | (F.col(seq) >= bound))
+
+
 def scd1_upsert(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
                 tie: str | None = None) -> DataFrame:
     """Target after applying ``feed`` as SCD type 1, whatever the arrival order."""

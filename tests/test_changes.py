@@ -64,6 +64,18 @@ def test_scd1_delete_beats_older_upsert(spark):
     assert C.live(state2).count() == 0         # an older upsert does not resurrect it (D8)
 
 
+def test_tombstone_retention(spark):
+    ts = datetime.datetime(2024, 1, 1)
+    ups = spark.createDataFrame([(1, ts, "a"), (2, ts, "b")], "k int, s timestamp, v string")
+    dels = spark.createDataFrame([(1, ts + datetime.timedelta(days=1), None)], "k int, s timestamp, v string")
+    state = C.scd1_with_deletes(None, ups, dels, ["k"], "s").cache()
+    assert state.where(F.col("_op") == "delete").count() == 1
+    kept = C.expire_tombstones(state, "s", "2024-01-01 12:00:00")
+    assert kept.where(F.col("_op") == "delete").count() == 1
+    gone = C.expire_tombstones(state, "s", "2024-01-03 00:00:00")
+    assert gone.where(F.col("_op") == "delete").count() == 0 and gone.count() == 1
+
+
 def test_null_sequence_fails(spark):
     df = spark.createDataFrame([(1, None)], "k int, s timestamp")
     with pytest.raises(Exception, match="sequence"):
