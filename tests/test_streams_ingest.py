@@ -83,3 +83,19 @@ def test_destination_names():
     assert destination_name({"table": {"source_table": "a", "destination_catalog": "c"}}) == "a"
     assert destination_name({"table": {"source_table": "a", "destination_catalog": "c",
                                        "destination_schema": "s", "destination_table": "t"}}) == "`c`.`s`.`t`"
+
+
+def test_ingest_twice_is_idempotent(spark, sf_small):
+    from keelson.plans.ingest import ingest, read_destination
+    conn = ParquetTables(spark, sf_small, {
+        "events": {"primary_keys": ["user_id"], "cursor_field": "ts", "ingestion_type": "cdc"},
+        "orders": {"primary_keys": ["o_orderkey"], "ingestion_type": "snapshot"},
+        "region": {"ingestion_type": "append"}})
+    spec = {"objects": [{"table": {"source_table": t}} for t in ("events", "orders", "region")]}
+    root = work_dir(spark, "t-ingest-twice")
+    first = {n: sorted(tuple(r) for r in read_destination(spark, p).collect())
+             for n, p in ingest(spark, spec, conn, root, buckets=4).items()}
+    second = {n: sorted(tuple(r) for r in read_destination(spark, p).collect())
+              for n, p in ingest(spark, spec, conn, root, buckets=4).items()}
+    assert first == second
+    assert len(first["region"]) == 5 and len(first["orders"]) == I.table(spark, sf_small, "orders").count()
