@@ -81,10 +81,26 @@ def expire_tombstones(state: DataFrame, seq: str, older_than) -> DataFrame:
     return state.where((F.col(OP) != DELETE) | (F.col(seq) >= bound))
 
 
+def _merge_touched(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
+                   tie: str | None) -> DataFrame:
+    """Only keys present in ``feed`` can change: the other target rows pass through an anti
+    join on the feed's distinct keys (broadcast by AQE when small), and only the target rows
+    of feed keys are aggregated with the feed. The shuffle grows with the batch, not with
+    the target."""
+    if target is None:
+        return latest_per_key(feed, keys, seq, tie)
+    fkeys = feed.select(*keys).distinct()
+    untouched = target.join(fkeys, keys, "left_anti")
+    touched = target.join(fkeys, keys, "left_semi")
+    merged = latest_per_key(union_changes(touched, feed), keys, seq, tie)
+    cols = merged.columns
+    return untouched.select(*cols).unionByName(merged)
+
+
 def scd1_upsert(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
                 tie: str | None = None) -> DataFrame:
     """Target after applying ``feed`` as SCD type 1, whatever the arrival order."""
-    return latest_per_key(union_changes(target, feed), keys, seq, tie)
+    return _merge_touched(target, feed, keys, seq, tie)
 
 
 def mark(df: DataFrame, op: str) -> DataFrame:
@@ -97,7 +113,7 @@ def scd1_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: Dat
     if target is not None and OP not in target.columns:
         target = mark(target, UPSERT)
     feed = union_changes(mark(upserts, UPSERT), mark(deletes, DELETE))
-    return latest_per_key(union_changes(target, feed), keys, seq, tie)
+    return _merge_touched(target, feed, keys, seq, tie)
 
 
 def _history(versions: DataFrame, keys: list[str], seq: str, tie: str | None) -> DataFrame:
