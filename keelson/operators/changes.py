@@ -89,12 +89,12 @@ def _merge_touched(target: DataFrame | None, feed: DataFrame, keys: list[str], s
     the target."""
     if target is None:
         return latest_per_key(feed, keys, seq, tie)
+    cols = list(feed.columns) + [c for c in target.columns if c not in feed.columns]
     fkeys = feed.select(*keys).distinct()
     untouched = target.join(fkeys, keys, "left_anti")
     touched = target.join(fkeys, keys, "left_semi")
     merged = latest_per_key(union_changes(touched, feed), keys, seq, tie)
-    cols = merged.columns
-    return untouched.select(*cols).unionByName(merged)
+    return untouched.unionByName(merged, allowMissingColumns=True).select(*cols)
 
 
 def scd1_upsert(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
