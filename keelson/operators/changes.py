@@ -82,13 +82,16 @@ def expire_tombstones(state: DataFrame, seq: str, older_than) -> DataFrame:
 
 
 def _merge_touched(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
-                   tie: str | None) -> DataFrame:
-    """Only keys present in ``feed`` can change: the other target rows pass through an anti
-    join on the feed's distinct keys (broadcast by AQE when small), and only the target rows
-    of feed keys are aggregated with the feed. The shuffle grows with the batch, not with
-    the target."""
+                   tie: str | None, only_touched: bool) -> DataFrame:
+    """Union and aggregate (one shuffle of target + feed), or, with ``only_touched``, let the
+    target rows of keys absent from ``feed`` pass through an anti join on the feed's
+    distinct keys (broadcast by AQE when small) and aggregate only the target rows of feed
+    keys with the feed: the shuffle then grows with the batch, not with the target. The
+    second form is for micro-batches small next to their target; a backfill uses the first."""
     if target is None:
         return latest_per_key(feed, keys, seq, tie)
+    if not only_touched:
+        return latest_per_key(union_changes(target, feed), keys, seq, tie)
     cols = list(feed.columns) + [c for c in target.columns if c not in feed.columns]
     fkeys = feed.select(*keys).distinct()
     untouched = target.join(fkeys, keys, "left_anti")
@@ -98,9 +101,9 @@ def _merge_touched(target: DataFrame | None, feed: DataFrame, keys: list[str], s
 
 
 def scd1_upsert(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
-                tie: str | None = None) -> DataFrame:
+                tie: str | None = None, only_touched: bool = False) -> DataFrame:
     """Target after applying ``feed`` as SCD type 1, whatever the arrival order."""
-    return _merge_touched(target, feed, keys, seq, tie)
+    return _merge_touched(target, feed, keys, seq, tie, only_touched)
 
 
 def mark(df: DataFrame, op: str) -> DataFrame:
@@ -108,12 +111,13 @@ def mark(df: DataFrame, op: str) -> DataFrame:
 
 
 def scd1_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: DataFrame,
-                      keys: list[str], seq: str, tie: str | None = None) -> DataFrame:
+                      keys: list[str], seq: str, tie: str | None = None,
+                      only_touched: bool = False) -> DataFrame:
     """SCD 1 state (tombstones included) after upserts and deletes; read it with ``live``."""
     if target is not None and OP not in target.columns:
         target = mark(target, UPSERT)
     feed = union_changes(mark(upserts, UPSERT), mark(deletes, DELETE))
-    return _merge_touched(target, feed, keys, seq, tie)
+    return _merge_touched(target, feed, keys, seq, tie, only_touched)
 
 
 def _history(versions: DataFrame, keys: list[str], seq: str, tie: str | None) -> DataFrame:

@@ -68,13 +68,13 @@ class ChangeSink:
     def merge(self, current: DataFrame | None, batch: DataFrame) -> DataFrame:
         k, s, t = self.keys, self.seq, self.tie
         if self.mode == "scd1":
-            return C.scd1_upsert(current, batch, k, s, t)
+            return C.scd1_upsert(current, batch, k, s, t, only_touched=True)
         if self.mode == "scd2":
             return C.scd2_history(current, batch, k, s, t)
         ups = batch.where(F.col(C.OP) == C.UPSERT).drop(C.OP)
         dels = batch.where(F.col(C.OP) == C.DELETE).drop(C.OP)
         if self.mode == "scd1_deletes":
-            return C.scd1_with_deletes(current, ups, dels, k, s, t)
+            return C.scd1_with_deletes(current, ups, dels, k, s, t, only_touched=True)
         return C.scd2_with_deletes(current, ups, dels, k, s, t)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:

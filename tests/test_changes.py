@@ -25,13 +25,14 @@ def events(spark, sf_small):
     return I.events(spark, sf_small).cache()
 
 
-@pytest.mark.parametrize("n", [2, 3, 5])
-def test_scd1_any_batching(spark, events, n):
+@pytest.mark.parametrize("n,touched", [(2, False), (3, True), (5, True)])
+def test_scd1_any_batching(spark, events, n, touched):
     one = _rows(C.scd1_upsert(None, events, K, S, T_))
     ev = I.arrival_batch(events, S, n)
     target = None
     for b in reversed(range(n)):
-        target = C.scd1_upsert(target, ev.where(F.col("__batch") == b).drop("__batch"), K, S, T_)
+        target = C.scd1_upsert(target, ev.where(F.col("__batch") == b).drop("__batch"), K, S, T_,
+                               only_touched=touched)
         target = target.cache()
     assert _rows(target) == one
 
