@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.operators import changes as C
-from keelson.operators import snapshot as SN
 from keelson.streaming import flows as FL
 from keelson.streaming.target import VersionedTarget
 
@@ -121,9 +120,7 @@ def _run_table(spark: SparkSession, p: TablePlan, connector, version: int, bucke
         if p.scd_type == "1":
             FL.snapshot_sink(spark, target, snap, version)
         else:
-            current = target.read()
-            hist = SN.snapshot_scd2(current, snap, p.primary_keys, version)
-            target.replace(version, hist)
+            FL.snapshot_history_sink(spark, target, snap, version)
         return
     mode = ("scd1" if p.scd_type == "1" else "scd2")
     stream = connector.read_stream(p.source_table, p.options)

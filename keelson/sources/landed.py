@@ -184,6 +184,13 @@ class LandedParquet(DataSource):
         return _StreamReader(self.options, schema)
 
 
+_REGISTERED: set[str] = set()
+
+
 def register(spark) -> str:
-    spark.dataSource.register(LandedParquet)
+    """Register the source once per Spark application; returns its format name."""
+    app = spark.sparkContext.applicationId
+    if app not in _REGISTERED:
+        spark.dataSource.register(LandedParquet)
+        _REGISTERED.add(app)
     return NAME

@@ -199,6 +199,25 @@ def snapshot_sink(spark: SparkSession, target: VersionedTarget, snapshot: DataFr
     return True
 
 
+def snapshot_history_sink(spark: SparkSession, target: VersionedTarget, snapshot: DataFrame,
+                          version) -> bool:
+    """K3 for SCD 2: close/open versions at ``version``; only buckets with a change are rewritten."""
+    from keelson.operators.changes import END_AT
+    from keelson.operators.snapshot import snapshot_scd2
+    if target.committed(version):
+        return False
+    history = target.read()
+    if history is None:
+        target.replace(version, snapshot_scd2(None, snapshot, target.keys, version))
+        return True
+    current = history.where(F.col(END_AT).isNull()).drop("__START_AT", END_AT)
+    buckets = target.touched(snapshot_changes(current, snapshot, target.keys))
+    if buckets:
+        in_b = lambda df: df.where(target.bucket_of(df).isin(buckets))
+        target.commit(version, snapshot_scd2(in_b(history), in_b(snapshot), target.keys, version), buckets)
+    return True
+
+
 def snapshot_sink_run(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
     base = work_dir(spark, "snapshot-sink")
     target = VersionedTarget(spark, f"{base}/target", I.ORDER_KEYS, buckets)

@@ -99,3 +99,16 @@ def test_ingest_twice_is_idempotent(spark, sf_small):
               for n, p in ingest(spark, spec, conn, root, buckets=4).items()}
     assert first == second
     assert len(first["region"]) == 5 and len(first["orders"]) == I.table(spark, sf_small, "orders").count()
+
+
+def test_snapshot_history_sink_rewrites_changed_buckets(spark, sf_small):
+    from keelson.operators.snapshot import snapshot_scd2
+    base = work_dir(spark, "t-snap2")
+    target = VersionedTarget(spark, f"{base}/t", I.ORDER_KEYS, 8)
+    v1, v2 = I.orders_v1(spark, sf_small), I.orders_v2(spark, sf_small)
+    FL.snapshot_history_sink(spark, target, v1, 1)
+    FL.snapshot_history_sink(spark, target, v2, 2)
+    want = snapshot_scd2(snapshot_scd2(None, v1, I.ORDER_KEYS, 1), v2, I.ORDER_KEYS, 2)
+    got = target.read().select(*want.columns)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+    assert not FL.snapshot_history_sink(spark, target, v2, 2)   # same version again: skipped
