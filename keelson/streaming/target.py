@@ -17,8 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 BUCKET = "bucket"
@@ -30,11 +33,12 @@ class VersionedTarget:
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
         self._live: dict[int, int] | None = None  # {bucket: version}, loaded once from the log
         self._last = -1  # highest logged version; versions are applied in increasing order
+        self._schema: str | None = None  # JSON of the row schema, kept in every log entry
 
     # ---------------------------------------------------------------- log
     def _log(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema("bucket int").json(f"{self.path}/_log")
+            return self.spark.read.schema("bucket int, schema string").json(f"{self.path}/_log")
         except AnalysisException:
             return None
 
@@ -49,6 +53,7 @@ class VersionedTarget:
         rows = log.groupBy(BUCKET).agg(F.max(VERSION).alias("v")).collect()  # <= buckets rows
         self._live = {r[BUCKET]: r["v"] for r in rows}
         self._last = max(self._live.values(), default=-1)
+        self._schema = log.agg(F.max_by("schema", VERSION)).first()[0]
 
     def refresh(self) -> None:
         """Forget the cached log (another writer may have committed)."""
@@ -84,8 +89,12 @@ class VersionedTarget:
             return None
         # list only the folders of live versions (at most one per bucket), never the history
         versions = sorted(set(live.values()))
-        data = (self.spark.read.option("basePath", f"{self.path}/data")
-                .parquet(*[f"{self.path}/data/{VERSION}={v}" for v in versions]))
+        reader = self.spark.read.option("basePath", f"{self.path}/data")
+        if self._schema:  # a version whose buckets all ended empty has no file to infer from
+            fields = StructType.fromJson(json.loads(self._schema)).fields
+            reader = reader.schema(StructType(fields + [StructField(VERSION, IntegerType()),
+                                                        StructField(BUCKET, IntegerType())]))
+        data = reader.parquet(*[f"{self.path}/data/{VERSION}={v}" for v in versions])
         cond = F.lit(False)
         for b, v in sorted(live.items()):
             cond = cond | ((F.col(BUCKET) == b) & (F.col(VERSION) == v))
@@ -103,6 +112,7 @@ class VersionedTarget:
         self.write_log(version, buckets)
 
     def write_data(self, version: int, rows: DataFrame) -> None:
+        self._schema = rows.schema.json()
         out = rows.withColumn(BUCKET, self.bucket_of(rows))
         (out.hint("rebalance", BUCKET)
             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/{VERSION}={version}"))
@@ -110,7 +120,8 @@ class VersionedTarget:
     def write_log(self, version: int, buckets: list[int]) -> None:
         # at most ``buckets`` literals, built on the JVM side (no Python data transfer)
         log = self.spark.range(1).select(
-            F.explode(F.array(*[F.lit(int(b)).cast("int") for b in buckets])).alias(BUCKET))
+            F.explode(F.array(*[F.lit(int(b)).cast("int") for b in buckets])).alias(BUCKET),
+            F.lit(self._schema).cast("string").alias("schema"))
         log.write.mode("overwrite").json(f"{self.path}/_log/{VERSION}={version}")
         self._logged(version, buckets)
 

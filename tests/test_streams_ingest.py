@@ -112,3 +112,14 @@ def test_snapshot_history_sink_rewrites_changed_buckets(spark, sf_small):
     got = target.read().select(*want.columns)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
     assert not FL.snapshot_history_sink(spark, target, v2, 2)   # same version again: skipped
+
+
+def test_target_survives_emptied_buckets(spark, sf_small):
+    base = work_dir(spark, "t-empty")
+    target = VersionedTarget(spark, f"{base}/t", ["o_orderkey"], 4)
+    orders = I.table(spark, sf_small, "orders")
+    target.replace(0, orders)
+    target.replace(1, orders.limit(0))          # every bucket rewritten empty
+    fresh = VersionedTarget(spark, f"{base}/t", ["o_orderkey"], 4)
+    out = fresh.read()
+    assert out.count() == 0 and out.columns == orders.columns
