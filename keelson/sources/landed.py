@@ -7,6 +7,11 @@ batches of the requested columns. As a stream, offsets are cursor values: a micr
 covers ``(start, end]`` exactly, row groups outside that range by their footer statistics
 are not planned, and a replay of the same offsets returns the same rows.
 
+Filters (``spark.sql.python.filterPushdown.enabled``): comparisons, ``IN`` and null tests
+on top-level columns are taken by the batch reader; they prune row groups by footer
+statistics while planning and are applied exactly (Arrow compute) in the task, so Spark
+does not evaluate them again.
+
 Options: ``path`` (folder of ``*.parquet`` files), ``cursor`` (column for streaming),
 ``splitRowGroups`` (batch: ``auto`` splits by row group only below ``maxFooterFiles``
 files, 256 by default; with more files each file is one partition and no footer is read
@@ -19,7 +24,8 @@ import datetime
 import json
 
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceStreamReader,
-                                    InputPartition)
+                                    EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition,
+                                    IsNotNull, IsNull, LessThan, LessThanOrEqual)
 from pyspark.sql.types import StructType
 
 NAME = "keelson_parquet"
@@ -67,12 +73,64 @@ def _iso(v) -> str | None:
     return str(v)
 
 
+_COMPARE = (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)
+
+
+def _may_match(f, lo, hi) -> bool:
+    """False only when footer statistics prove that no row of the group passes ``f``."""
+    if lo is None or hi is None or not isinstance(f, _COMPARE):
+        return True
+    v = f.value
+    try:
+        if isinstance(f, EqualTo):
+            return lo <= v <= hi
+        if isinstance(f, GreaterThan):
+            return hi > v
+        if isinstance(f, GreaterThanOrEqual):
+            return hi >= v
+        if isinstance(f, LessThan):
+            return lo < v
+        return lo <= v
+    except TypeError:
+        return True
+
+
+def _mask(table, filters):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    ops = {EqualTo: pc.equal, GreaterThan: pc.greater, GreaterThanOrEqual: pc.greater_equal,
+           LessThan: pc.less, LessThanOrEqual: pc.less_equal}
+    mask = None
+    for f in filters:
+        col = table.column(f.attribute[0])
+        if isinstance(f, IsNull):
+            m = pc.is_null(col)
+        elif isinstance(f, IsNotNull):
+            m = pc.is_valid(col)
+        elif isinstance(f, In):
+            m = pc.is_in(col, value_set=pa.array(list(f.value), type=col.type))
+        else:
+            m = ops[type(f)](col, pa.scalar(f.value, type=col.type))
+        m = pc.fill_null(m, False)
+        mask = m if mask is None else pc.and_(mask, m)
+    return mask
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.path = options["path"]
         self.columns = [f.name for f in schema.fields]
         self.split = options.get("splitRowGroups", "auto").lower()
         self.max_footers = int(options.get("maxFooterFiles", "256"))
+        self.pushed: list = []
+
+    def pushFilters(self, filters):
+        kinds = _COMPARE + (In, IsNull, IsNotNull)
+        for f in filters:
+            if isinstance(f, kinds) and len(f.attribute) == 1 and f.attribute[0] in self.columns:
+                self.pushed.append(f)
+            else:
+                yield f
 
     def partitions(self):
         files = _files(self.path)
@@ -81,15 +139,20 @@ class _Reader(DataSourceReader):
             return [RowGroup(f, -1) for f in files]  # whole file, footers read by the task
         parts = []
         for f in files:
-            n = _open(f).metadata.num_row_groups
-            parts += [RowGroup(f, g) for g in range(n)]
+            pf = _open(f)
+            for g in range(pf.metadata.num_row_groups):
+                if all(_may_match(flt, *_stats(pf, g, flt.attribute[0])) for flt in self.pushed):
+                    parts.append(RowGroup(f, g))
         return parts
 
     def read(self, partition: RowGroup):
         pf = _open(partition.file)
         groups = range(pf.metadata.num_row_groups) if partition.group < 0 else [partition.group]
         for g in groups:
-            yield from pf.read_row_group(g, columns=self.columns).to_batches()
+            table = pf.read_row_group(g, columns=self.columns)
+            if self.pushed:
+                table = table.filter(_mask(table, self.pushed))
+            yield from table.to_batches()
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -188,7 +251,17 @@ _REGISTERED: set[str] = set()
 
 
 def register(spark) -> str:
-    """Register the source once per Spark application; returns its format name."""
+    """Register the source once per Spark application; returns its format name.
+
+    The module is pickled by value, so Python workers on any machine can run the reader
+    without the package being installed there.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    # the batch reader takes filters; Spark refuses such a reader unless this is on
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     app = spark.sparkContext.applicationId
     if app not in _REGISTERED:
         spark.dataSource.register(LandedParquet)

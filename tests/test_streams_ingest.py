@@ -123,3 +123,17 @@ def test_target_survives_emptied_buckets(spark, sf_small):
     fresh = VersionedTarget(spark, f"{base}/t", ["o_orderkey"], 4)
     out = fresh.read()
     assert out.count() == 0 and out.columns == orders.columns
+
+
+def test_landed_source_pushes_filters(spark, sf_small):
+    import datetime
+    from keelson.sources.landed import register
+    fmt = register(spark)
+    base = work_dir(spark, "t-push")
+    src = FL.stage_files(I.events(spark, sf_small), f"{base}/ev", 3, by="event_id")
+    ev = I.events(spark, sf_small)
+    df = spark.read.format(fmt).option("path", src).load()
+    cond = (F.col("ts") > datetime.datetime(2024, 1, 3)) & F.col("event_type").isin("click", "view") \
+        & (F.col("user_id") <= 50)
+    assert sorted(tuple(r) for r in df.where(cond).collect()) == sorted(tuple(r) for r in ev.where(cond).collect())
+    assert df.where(F.col("props").isNull()).count() == ev.where(F.col("props").isNull()).count()
