@@ -604,10 +604,8 @@ def q_unnest_results(spark, d):
 
 @register("unnest_list", "select * from customer")
 def q_unnest_list(spark, d):
-    res = I.customer_pages(spark, d, shape="results")
-    lst = I.customer_pages(spark, d, shape="list")
-    both = res.where(F.col("page") % 2 == 0).unionByName(lst.where(F.col("page") % 2 == 1))
-    return P.unnest_list(both, _customer_schema(spark, d))
+    pages = I.customer_pages(spark, d, shape="mixed")
+    return P.unnest_list(pages, _customer_schema(spark, d))
 
 
 @register("page_chain", f"""

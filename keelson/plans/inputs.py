@@ -76,7 +76,8 @@ def customer_pages(spark, sf_dir, shape: str = "results", page_size: int = PAGE_
     """Landed page bodies built from ``customer``.
 
     Columns: ``table_name, run_id, page, request_link, next_link, n_rows, body``. ``shape``
-    is ``results`` (``{"results": [...], "next_link": ...}``) or ``list`` (bare JSON list).
+    is ``results`` (``{"results": [...], "next_link": ...}``), ``list`` (bare JSON list) or
+    ``mixed`` (even pages as results objects, odd pages as bare lists).
     Page ``p`` holds the customers with ``c_custkey div page_size = p``; the next link of
     the last page is null. Links alternate between relative and absolute form.
     """
@@ -97,10 +98,14 @@ def customer_pages(spark, sf_dir, shape: str = "results", page_size: int = PAGE_
         F.when(p < last, link(p + 1)).alias("next_link"),
         F.size("rows").cast("bigint").alias("n_rows"),
         "rows")
+    as_results = F.to_json(F.struct(F.col("rows").alias("results"), F.col("next_link")))
+    as_list = F.to_json(F.col("rows"))
     if shape == "results":
-        body = F.to_json(F.struct(F.col("rows").alias("results"), F.col("next_link")))
+        body = as_results
+    elif shape == "list":
+        body = as_list
     else:
-        body = F.to_json(F.col("rows"))
+        body = F.when(F.col("page") % 2 == 0, as_results).otherwise(as_list)
     return out.withColumn("body", body).drop("rows")
 
 
