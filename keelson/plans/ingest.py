@@ -181,8 +181,9 @@ class ParquetTables:
         schema = self.spark.read.parquet(self._path(table)).schema
         # a file stream reads a folder; the glob filter keeps this table's file
         s = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-        if options.get("maxFilesPerTrigger"):
-            s = s.option("maxFilesPerTrigger", options["maxFilesPerTrigger"])
+        for cap in ("maxFilesPerTrigger", "maxBytesPerTrigger"):
+            if options.get(cap):
+                s = s.option(cap, options[cap])
         df = s.parquet(self.folder)
         pred = self.meta.get(table, {}).get("delete_when")
         if pred is None:

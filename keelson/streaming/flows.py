@@ -30,11 +30,20 @@ def stage_files(df: DataFrame, path: str, n_files: int, by: str | None = None,
     return path
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
-    """S3: incremental read of a folder of files; resumes from the checkpoint of its query."""
+def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None,
+                bytes_per_batch: int | None = None) -> DataFrame:
+    """Incremental read of a folder of files; resumes from the checkpoint of its query.
+
+    A micro-batch is capped by file count or by bytes (one of the two); a row-exact cap is
+    ``keelson.operators.cursor.batch_cap`` on a cursor.
+    """
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("cap a micro-batch by files or by bytes, not both")
     r = spark.readStream.schema(schema)
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        r = r.option("maxBytesPerTrigger", bytes_per_batch)
     return r.parquet(path)
 
 

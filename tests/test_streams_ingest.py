@@ -137,3 +137,15 @@ def test_landed_source_pushes_filters(spark, sf_small):
         & (F.col("user_id") <= 50)
     assert sorted(tuple(r) for r in df.where(cond).collect()) == sorted(tuple(r) for r in ev.where(cond).collect())
     assert df.where(F.col("props").isNull()).count() == ev.where(F.col("props").isNull()).count()
+
+
+def test_bytes_per_batch_cap(spark, sf_small):
+    base = work_dir(spark, "t-bytes")
+    src = FL.stage_files(I.events(spark, sf_small), f"{base}/src", 6, by="event_id")
+    schema = I.events(spark, sf_small).schema
+    batches = []
+    FL.run_available(FL.file_stream(spark, src, schema, bytes_per_batch=1), f"{base}/chk",
+                     batch_fn=lambda df, bid: batches.append(bid))
+    assert len(batches) >= 2          # a cap below one file still admits one file per batch
+    with pytest.raises(ValueError):
+        FL.file_stream(spark, src, schema, files_per_batch=1, bytes_per_batch=1)
