@@ -7,6 +7,6 @@ operator is a function from DataFrame(s) to a DataFrame; only the modules in
 ``keelson.streaming`` and ``keelson.plans.ingest`` write.
 """
 
-from keelson.session import build_session, work_dir
+from keelson.session import build_session, shuffle_partitions_for, work_dir
 
-__all__ = ["build_session", "work_dir"]
+__all__ = ["build_session", "shuffle_partitions_for", "work_dir"]

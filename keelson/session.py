@@ -18,6 +18,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ~128 MB per task on both sides of a shuffle; AQE merges small partitions and splits
+    # skewed ones, so the static partition count only has to be large enough (see below)
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
@@ -49,6 +53,17 @@ def build_session(master: str | None = None, app: str = "keelson",
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, per_partition: int = 128 << 20,
+                           minimum: int = 200) -> int:
+    """A ``spark.sql.shuffle.partitions`` that keeps every shuffle partition near
+    ``per_partition`` bytes for an input of ``input_bytes`` (100 TB → about 800k).
+
+    AQE coalesces partitions that turn out small, so erring high costs little; erring low
+    makes tasks spill.
+    """
+    return max(minimum, -(-int(input_bytes) // per_partition))
+
+
 def _configured_dir(spark: SparkSession) -> str | None:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
