@@ -18,9 +18,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # ~128 MB per task on both sides of a shuffle; AQE merges small partitions and splits
-    # skewed ones, so the static partition count only has to be large enough (see below)
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # 128 MB scan splits; after a shuffle AQE merges small partitions (towards its 64 MB
+    # advisory size) and splits skewed ones, so the static partition count only has to be
+    # large enough (see shuffle_partitions_for)
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
