@@ -25,7 +25,7 @@ KEYS = {
 }
 
 
-def compact(plan: str, width: int = 160) -> str:
+def compact(plan: str, width: int = 400) -> str:
     out = []
     for line in plan.splitlines():
         line = re.sub(r"file:[^,\]]*/", "", line)
@@ -40,7 +40,8 @@ def main() -> None:
     a = ap.parse_args()
     from keelson.plans.catalog import QUERIES
     from keelson.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=16,
+                          extra={"spark.sql.maxMetadataStringLength": "400"})
     print("# Physical plans of the headline queries\n")
     print(f"Generated by `python scripts/plans.py` on `{a.sf_dir}` (AQE on; the plans shown are the")
     print("initial adaptive plans, before runtime re-optimisation). Expression ids are removed.\n")
