@@ -1 +1,7 @@
 """Sources: landed page bodies, file tables (batch and stream), Python data sources."""
+
+from keelson.sources.pages import (derived_table, nested_array_rows, page_chain, stop_at_short_page,
+                                   unnest_list, unnest_results)
+
+__all__ = ["derived_table", "nested_array_rows", "page_chain", "stop_at_short_page",
+           "unnest_list", "unnest_results"]

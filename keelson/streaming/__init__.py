@@ -1 +1,5 @@
 """Targets and Structured Streaming flows: append, SCD 1/2, deletes, snapshots."""
+
+from keelson.streaming.target import VersionedTarget
+
+__all__ = ["VersionedTarget"]
