@@ -8,6 +8,7 @@ import __spark_entry__ as E
 
 
 def _plan(spark, key, sf):
+    spark.catalog.clearCache()  # a table cached by another test would replace the file scan
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     return E.queries()[key](spark, sf)._jdf.queryExecution().executedPlan().toString()
 
