@@ -59,10 +59,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     recipe = F.transform("parts", lambda p: p["h"])
     base = base.withColumn("recipe", recipe)
     bad = unverified_ids(base)
-    doubtful = (base.select("recipe", F.explode("recipe").alias("h")).join(bad, "h", "left_semi")
-                .select("recipe").distinct().withColumn("doubt", F.lit(True)))
+    doubtful = (base.select("row", F.explode("recipe").alias("h")).join(bad, "h", "left_semi")
+                .select("row").distinct().withColumn("doubt", F.lit(True)))
     proof = F.when(F.col("doubt"), F.transform("parts", lambda p: p["s"]))
-    rows = (base.join(doubtful, "recipe", "left")
+    rows = (base.join(doubtful, "row", "left")
             .select("doc_id", "row", "text_sha256", "recipe",
                     F.coalesce(proof, F.array().cast("array<binary>")).alias("proof")))
     groups = rows.groupBy("recipe", "proof").agg(
