@@ -70,3 +70,21 @@ from documents window g as (partition by coalesce(text, ''))
 def op10_chunk_recipes(spark, sf_dir):
     from keelson.llm.chunk_recipes import exact_groups
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op1_simhash_gray")
+def op1_simhash_gray(spark, sf_dir):
+    from keelson.llm.simhash_gray import near_groups
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op3_entropy_mix")
+def op3_entropy_mix(spark, sf_dir):
+    from keelson.llm.entropy_mix import mix
+    return mix(table(spark, sf_dir, "documents"))
+
+
+@register("op8_best_fit")
+def op8_best_fit(spark, sf_dir):
+    from keelson.llm.best_fit import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"))

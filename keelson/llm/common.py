@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +42,13 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     a = left.withColumn(mark, F.xxhash64(*keys))
     b = right.withColumn(mark, F.xxhash64(*keys))
     return a.join(b, [*keys, mark], how).drop(mark)
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``f, r``: file and row of each row where it is stored. The same row has
+    the same key in every scan, however the scan is split. A frame that does not come
+    straight from files is stored first."""
+    try:
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+    except AnalysisException:
+        return row_keys(stored(docs, "rows"))
