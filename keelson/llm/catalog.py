@@ -88,3 +88,75 @@ def op3_entropy_mix(spark, sf_dir):
 def op8_best_fit(spark, sf_dir):
     from keelson.llm.best_fit import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op2_bwt_dedup")
+def op2_bwt_dedup(spark, sf_dir):
+    from keelson.llm.bwt_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op4_viterbi_counts")
+def op4_viterbi_counts(spark, sf_dir):
+    from keelson.llm.viterbi_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+@register("op5_block_extract")
+def op5_block_extract(spark, sf_dir):
+    from keelson.llm.block_extract import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def capture_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Captures and dated list entries, derived from ``pages`` and ``events``.
+
+    A page was fetched when the event of the same number happened. An event is a list entry
+    for the host of the page that its user's number names: ``error`` lists the host and
+    ``purchase`` delists it, ``signup`` lists and ``view`` delists its parent domain.
+    """
+    from pyspark.sql import functions as F
+
+    from keelson.llm.url_asof import host_of
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    events = table(spark, sf_dir, "events")
+    captures = (pages.join(events.select(F.col("event_id").alias("page_id"), F.col("ts").alias("fetched")), "page_id", "left"))
+    host = host_of(F.col("url"))
+    parent = F.when(F.size(F.split(host, r"\.")) > 3, F.regexp_replace(host, r"^[^.]*\.", "")).otherwise(host)
+    named = events.where("event_type <> 'click'").join(pages, events["user_id"] == pages["page_id"])
+    entries = named.select(
+        F.when(F.col("event_type").isin("error", "purchase"), host).otherwise(parent).alias("pattern"),
+        "ts", F.col("event_id").alias("entry_id"), F.col("event_type").isin("error", "signup").alias("listed"))
+    return captures, entries
+
+
+OP7_SQL = r"""
+with p as (select page_id, url, row_number() over () as r, lower(regexp_replace(regexp_replace(regexp_replace(
+             regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''), '\.+$', '')) as host
+           from pages),
+cap as (select p.*, e.ts as fetched from p left join events e on e.event_id = p.page_id),
+ent as (select case when event_type in ('error', 'purchase') or len(string_split(host, '.')) <= 3 then host
+               else regexp_replace(host, '^[^.]*\.', '') end as pattern,
+               ts, event_id as entry_id, event_type in ('error', 'signup') as listed
+        from events e join p on e.user_id = p.page_id where event_type <> 'click'),
+iv as (select *, lead(ts) over (partition by pattern order by ts, entry_id) as until from ent),
+pat as (select r, fetched, array_to_string(l[i:], '.') as pattern from
+        (select r, fetched, l, unnest(generate_series(1, greatest(len(l) - 1, 1))) as i from
+         (select r, fetched, string_split(host, '.') as l from cap where host <> '' and fetched is not null))),
+hit as (select r, count(*) as n, min(iv.ts) as since from pat join iv using (pattern)
+        where listed and ts <= fetched and (until is null or fetched < until) group by r)
+select page_id, url, fetched, host, cast(coalesce(n, 0) as bigint) as n_listed, since as listed_since, n is not null as blocked
+from cap left join hit on cap.r = hit.r
+"""
+
+
+@register("op7_url_asof", OP7_SQL)
+def op7_url_asof(spark, sf_dir):
+    from keelson.llm.url_asof import filter_captures
+    return filter_captures(*capture_tables(spark, sf_dir))
+
+
+@register("op9_bloom_lm")
+def op9_bloom_lm(spark, sf_dir):
+    from keelson.llm.bloom_lm import score
+    return score(table(spark, sf_dir, "documents"))
