@@ -9,13 +9,15 @@ no Python per row. Semantics follow the reference's conversion rules:
 * array: list → element-wise; a scalar becomes a one-element list when the array
   allows nulls, else error.  map: object → keys and values coerced.
 * integer: text with ``.`` goes through double and truncates; other text parses as an
-  integer; numbers truncate toward zero; booleans are 1/0; blank text is an error.
-* double: text parse (exponents, nan, inf, padding); booleans 1.0/0.0.
+  integer; numbers truncate toward zero; booleans are 1/0; blank text is an error. Text
+  must be a plain decimal number (no type suffix, no hexadecimal).
+* double: text parse (exponents, nan, inf, padding, same pattern); booleans 1.0/0.0.
 * decimal: text or number; booleans are errors.
 * boolean: true/t/yes/y/1 and false/f/no/n/0 in any case; other non-empty text is true,
   empty text false; numbers by non-zero; objects/lists by non-empty.
 * date: ``yyyy-M-d``, ``M/d/yyyy``, ``d-M-yyyy``, ``yyyy/M/d``, then ISO (the date part).
-* timestamp: ISO (``Z`` or offsets), ``yyyy/MM/dd HH:mm:ss``; numbers are epoch seconds.
+* timestamp: ISO (dates by month or week, basic or extended form, ``Z`` or offsets, no zone
+  names, no padding), then ``yyyy-M-d H:m:s``, ``yyyy/M/d H:m:s``; numbers are epoch seconds.
 * binary: lenient base64 (foreign characters dropped, length a multiple of 4), else hex,
   else UTF-8 of the text; a list of ints 0..255 is the bytes; other values UTF-8 of JSON.
 * string: the text itself; other values their JSON text (decision D2).
@@ -36,25 +38,27 @@ TRUE_WORDS = ["true", "t", "yes", "y", "1"]
 FALSE_WORDS = ["false", "f", "no", "n", "0"]
 # The date formats tried in order before ISO (reference order).
 DATE_FORMATS = ["yyyy-M-d", "M/d/yyyy", "d-M-yyyy", "yyyy/M/d"]
-TIMESTAMP_FORMATS = ["yyyy/MM/dd HH:mm:ss"]
+TIMESTAMP_FORMATS = ["yyyy-M-d H:m:s", "yyyy/M/d H:m:s"]
+# Shapes of numbers in text, and of ISO dates and times.
+INTEGER_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
+DOUBLE_TEXT = (r"(?i)^\s*[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf(inity)?|nan)\s*$")
+ISO_DAY = r"(\d{4}-\d{2}-\d{2}|\d{8})"
+ISO_WEEK = r"(\d{4})-?W(\d{2})(?:-?([1-7]))?"
+ISO_TIME = r"(\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?)(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)?"
 
 ERRORS = "_errors"
-# Element types whose VARIANT cast gives the reference's result whenever it succeeds
-# (text, integers through truncation, floats); others always go element by element.
-_FAST_CAST = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType,
-              T.DoubleType, T.FloatType)
 _NUM = "^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 class _V:
-    """Kind tests on one VARIANT value (each is a plain expression or a staged column)."""
+    """Kind tests on one VARIANT value."""
 
-    def __init__(self, v: Column, kind: Column | None = None, text: Column | None = None):
+    def __init__(self, v: Column):
         self.v = v
-        self.kind = F.schema_of_variant(v) if kind is None else kind
-        self.null = v.isNull() | F.is_variant_null(v)
-        self.text = F.try_variant_get(v, "$", "string") if text is None else text
+        self.kind = F.schema_of_variant(v)
+        self.null = _absent(v)
+        self.text = F.try_variant_get(v, "$", "string")
         self.is_str = self.kind == "STRING"
         self.is_bool = self.kind == "BOOLEAN"
         self.is_num = self.kind.rlike(_NUM)
@@ -72,51 +76,67 @@ def _path(name: str) -> str:
     return "$['" + name.replace("'", "\\'") + "']"
 
 
-def _errors(built, value_ref: Column) -> list[Column]:
-    """Error parts of a ``_coerce`` result; scalar checks refer to ``value_ref``."""
-    errs = built[1]
-    return errs(value_ref) if callable(errs) else errs
-
-
 def _pack(errs: list[Column]) -> Column:
     if not errs:
         return F.array().cast("array<string>")
     return F.flatten(F.array_compact(F.array(*errs)))
 
 
-def _text_integer(s: Column) -> Column:
-    """Integer parse of text: ``.`` → through double; else integer text (``_`` digit groups ok)."""
-    plain = F.regexp_replace(s, r"(?<=\d)_(?=\d)", "")
-    return (F.when(F.trim(s) == "", F.lit(None).cast("bigint"))
-            .when(s.contains("."), _trunc_double(_try_double(s)))
-            .otherwise(_try_cast(plain, "bigint")))
+def _digits(s: Column) -> Column:
+    """Number text without padding and digit groups."""
+    return F.regexp_replace(F.trim(s), "_", "")
 
 
-def _try_cast(c: Column, t: str) -> Column:
-    return c.try_cast(t)
+def _text_integer(s: Column) -> Column:
+    """Integer parse of text: ``.`` → through double; else integer text (``_`` digit groups ok)."""
+    return (F.when(s.contains("."), _try_double(s).try_cast("bigint"))
+            .when(s.rlike(INTEGER_TEXT), _digits(s).try_cast("bigint")))
 
 
 def _try_double(s: Column) -> Column:
-    return _try_cast(F.regexp_replace(s, r"(?<=\d)_(?=\d)", ""), "double")
-
-
-def _trunc_double(d: Column) -> Column:
-    return d.try_cast("bigint")
+    return F.when(s.rlike(DOUBLE_TEXT), _digits(s).try_cast("double"))
+
+
+def _iso_day(s: Column) -> Column:
+    """Day of an ISO text: calendar or week date, each basic or extended; null if there is none."""
+    calendar = F.regexp_replace(F.regexp_extract(s, f"^{ISO_DAY}", 1), "-", "")
+    year, week = F.regexp_extract(s, f"^{ISO_WEEK}", 1), F.regexp_extract(s, f"^{ISO_WEEK}", 2).try_cast("int")
+    weekday = F.coalesce(F.nullif(F.regexp_extract(s, f"^{ISO_WEEK}", 3), F.lit("")), F.lit("1")).cast("int")
+    fourth = F.concat(year, F.lit("-01-04")).try_cast("date")  # always in week 1
+    monday = F.date_sub(fourth, F.weekday(fourth))
+    in_year = F.date_add(monday, (week - 1) * 7 + weekday - 1)
+    last = F.weekofyear(F.concat(year, F.lit("-12-28")).try_cast("date"))  # always in the last week
+    return F.coalesce(F.try_to_date(F.nullif(calendar, F.lit("")), "yyyyMMdd"), F.when(week.between(1, last), in_year))
+
+
+def _iso_timestamp(s: Column) -> Column:
+    """Instant of an ISO text (UTC without offset); null where the text is not wholly ISO."""
+    pattern = rf"^(?:{ISO_DAY}|{ISO_WEEK})(?:.{ISO_TIME})?$"
+    part = lambda g: F.regexp_extract(s, pattern, g)
+    time = F.regexp_replace(F.regexp_replace(part(5), ":", ""), ",", ".")
+    two = lambda at: F.coalesce(F.nullif(F.substring(time, at, 2), F.lit("")), F.lit("00"))
+    fraction = F.rpad(F.substring(F.regexp_extract(time, r"\.(\d+)", 1), 1, 6), 6, "0")
+    offset = F.regexp_replace(part(6), ":", "")
+    sign = F.when(offset.startswith("-"), -1).otherwise(1)
+    shift = F.when((offset == "") | (offset == "Z"), F.lit(0)).otherwise(
+        sign * (F.substring(offset, 2, 2).cast("int") * 3600
+                + F.coalesce(F.substring(offset, 4, 2).try_cast("int"), F.lit(0)) * 60
+                + F.coalesce(F.substring(offset, 6, 2).try_cast("int"), F.lit(0))))
+    local = F.concat(_iso_day(s).cast("string"), F.lit(" "), two(1), F.lit(":"), two(3), F.lit(":"), two(5),
+                     F.lit("."), fraction, F.lit("Z")).try_cast("timestamp")
+    return F.when(s.rlike(pattern), F.timestamp_micros(F.unix_micros(local) - shift.cast("bigint") * 1_000_000))
 
 
 def _date_from_text(s: Column) -> Column:
+    plain = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}$"), s.try_cast("date"))
     tries = [F.try_to_date(s, f) for f in DATE_FORMATS]
-    iso_ok = s.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$") & (
-        (F.length(s) == 10) | _try_cast(s, "timestamp").isNotNull())
-    iso = F.when(iso_ok, _try_cast(F.substring(s, 1, 10), "date"))
-    basic = F.when(s.rlike(r"^\d{8}$"), F.try_to_date(s, "yyyyMMdd"))
-    return F.coalesce(*tries, iso, basic)
+    return F.coalesce(plain, *tries, F.when(_iso_timestamp(s).isNotNull(), _iso_day(s)))
 
 
 def _ts_from_text(s: Column) -> Column:
-    iso = F.when(s.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), _try_cast(F.trim(s), "timestamp"))
+    plain = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?$"), s.try_cast("timestamp"))
     others = [F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS]
-    return F.coalesce(iso, *others)
+    return F.coalesce(plain, _iso_timestamp(s), *others)
 
 
 def _binary_from_text(s: Column) -> Column:
@@ -135,145 +155,190 @@ def _bool_from_text(s: Column) -> Column:
             .otherwise(F.length(s) > 0))
 
 
-def coerce_text(s: Column, dtype: T.DataType, path: str = "$") -> tuple[Column, list[Column]]:
-    """Coerce a text column (e.g. map keys) to ``dtype``; returns (value, error parts)."""
-    v = F.try_parse_json(F.to_json(F.struct(s.alias("x"))))
-    return _coerce(F.try_variant_get(v, "$.x", "variant"), dtype, path)
+def _let(x: Column, body) -> Column:
+    """``body(x)`` with ``x`` evaluated once, however often the body refers to it."""
+    return F.transform(F.array(x), body)[0]
 
 
-def _coerce(v: Column, dtype: T.DataType, path: str, k: _V | None = None):
-    """(value, errors): errors is a list of ``array<string>`` parts, or a function of a
-    reference to the value for scalar types (so a staged value is not recomputed)."""
-    k = _V(v) if k is None else k
-    notnull = ~k.null
-    tname = dtype.simpleString()
+def _pair(value: Column, errors: Column) -> Column:
+    return F.struct(value.alias("v"), errors.alias("e"))
+
 
+def _coerced(v: Column, dtype: T.DataType, path: str) -> Column:
+    """struct(v = value, e = errors) of a VARIANT. Each level refers to the level below once,
+    so the expression grows in proportion to the type."""
     if isinstance(dtype, T.StructType):
-        ok = k.is_obj & (k.kind != "OBJECT<>")
-        errs = [_err(notnull & ~k.is_obj, path, "a struct", k.text),
-                _err(notnull & (k.kind == "OBJECT<>"), path, "empty object for a struct")]
-        fields = []
-        for f in dtype.fields:
-            name = f.name.replace("'", "\\'")
-            fv = F.try_variant_get(v, f"$['{name}']", "variant")
-            built = _coerce(fv, f.dataType, f"{path}.{f.name}")
-            fields.append(built[0].alias(f.name))
-            errs += [F.when(ok, e) for e in _errors(built, built[0])]
-            if not f.nullable:
-                errs.append(_err(ok & fv.isNull(), f"{path}.{f.name}", "missing non-nullable field"))
-        return F.when(ok, F.struct(*fields)), errs
+        def struct_of(x: Column) -> Column:
+            k = _V(x)
+            ok = k.is_obj & (k.kind != "OBJECT<>")
+            get = {f.name: F.try_variant_get(x, _path(f.name), "variant") for f in dtype.fields}
+            members = F.struct(*[_coerced(get[f.name], f.dataType, f"{path}.{f.name}").alias(f"m{i}")
+                                 for i, f in enumerate(dtype.fields)])
+            missing = [_err(get[f.name].isNull(), f"{path}.{f.name}", "missing non-nullable field")
+                       for f in dtype.fields if not f.nullable]
+            typed = _let(members, lambda m: _pair(
+                F.struct(*[m[f"m{i}"]["v"].alias(f.name) for i, f in enumerate(dtype.fields)]),
+                _pack([m[f"m{i}"]["e"] for i in range(len(dtype.fields))] + missing)))
+            wrong = _pack([_err(~k.null & ~k.is_obj, path, "a struct", k.text),
+                           _err(k.kind == "OBJECT<>", path, "empty object for a struct")])
+            return F.when(ok, typed).otherwise(_pair(F.lit(None).cast(_nullable(dtype)), wrong))
+        return _let(v, struct_of)
 
     if isinstance(dtype, T.ArrayType):
-        arr = F.try_variant_get(v, "$", "array<variant>")
-        el = dtype.elementType
-        vals = F.transform(arr, lambda e: _coerce(e, el, f"{path}[]")[0])
-        el_errs = F.flatten(F.transform(arr, lambda e: _pack(_inline_errors(e, el, f"{path}[]"))))
-        if isinstance(el, _FAST_CAST):
-            # one vectorised cast of the whole list; element lambdas only when it fails
-            fast = F.try_variant_get(v, "$", T.ArrayType(el, True).simpleString())
-            vals = F.when(fast.isNotNull(), fast).otherwise(vals)
-            el_errs = F.when(fast.isNull(), el_errs)
-        one_val = _coerce(v, el, f"{path}[]")[0]
-        one_errs = _inline_errors(v, el, f"{path}[]")
-        if dtype.containsNull:
-            val = F.when(k.null, F.lit(None)).when(k.is_arr, vals).otherwise(F.array(one_val))
-            errs = [F.when(k.is_arr, el_errs)] + [F.when(notnull & ~k.is_arr, e) for e in one_errs]
-        else:
-            val = F.when(k.is_arr, vals)
-            errs = [F.when(k.is_arr, el_errs), _err(notnull & ~k.is_arr, path, "an array", k.text)]
-        return val.cast(dtype), errs
+        def array_of(x: Column) -> Column:
+            k = _V(x)
+            elements = F.try_variant_get(x, "$", "array<variant>")
+            if dtype.containsNull:
+                elements = F.when(k.null, F.lit(None)).when(k.is_arr, elements).otherwise(F.array(x))
+                wrong = F.array().cast("array<string>")
+            else:
+                elements = F.when(k.is_arr, elements)
+                wrong = _pack([_err(~k.null & ~k.is_arr, path, "an array", k.text)])
+            typed = F.transform(elements, lambda e: _coerced(e, dtype.elementType, f"{path}[]"))
+            return _let(typed, lambda t: _pair(F.transform(t, lambda p: p["v"]).cast(_nullable(dtype)), F.concat(
+                wrong, F.coalesce(F.flatten(F.transform(t, lambda p: p["e"])), F.array().cast("array<string>")))))
+        return _let(v, array_of)
 
     if isinstance(dtype, T.MapType):
-        m = F.try_variant_get(v, "$", "map<string,variant>")
-        kt, vt = dtype.keyType, dtype.valueType
-        ok = k.is_obj
-        mk = m
-        if not isinstance(kt, T.StringType):
-            mk = F.transform_keys(m, lambda key, _x: coerce_text(key, kt, f"{path}{{key}}")[0])
-        mv = F.transform_values(mk, lambda _key, x: _coerce(x, vt, f"{path}{{}}")[0])
-        verrs = F.flatten(F.transform(F.map_values(m), lambda x: _pack(_inline_errors(x, vt, f"{path}{{}}"))))
-        if isinstance(kt, T.StringType) and isinstance(vt, _FAST_CAST):
-            fast = F.try_variant_get(v, "$", T.MapType(kt, vt, True).simpleString())
-            mv = F.when(fast.isNotNull(), fast).otherwise(mv)
-            verrs = F.when(fast.isNull(), verrs)
-        errs = [F.when(ok, verrs), _err(notnull & ~ok, path, "a map", k.text)]
-        if not isinstance(kt, T.StringType):
-            kerrs = F.flatten(F.transform(F.map_keys(m), lambda key: _pack(_errors(coerce_text(key, kt, f"{path}{{key}}"), coerce_text(key, kt, f"{path}{{key}}")[0]))))
-            errs.append(F.when(ok, kerrs))
-        return F.when(ok, mv).cast(dtype), errs
+        def map_of(x: Column) -> Column:
+            k = _V(x)
+            entries = F.map_entries(F.when(k.is_obj, F.try_variant_get(x, "$", "map<string,variant>")))
+            typed = F.transform(entries, lambda e: F.struct(
+                _coerced_text(e["key"], dtype.keyType, f"{path}{{key}}").alias("k"),
+                _coerced(e["value"], dtype.valueType, f"{path}{{}}").alias("x")))
+            wrong = _pack([_err(~k.null & ~k.is_obj, path, "a map", k.text)])
+            return _let(typed, lambda t: _pair(
+                F.map_from_entries(F.transform(F.filter(t, lambda p: p["k"]["v"].isNotNull()),
+                                               lambda p: F.struct(p["k"]["v"], p["x"]["v"]))).cast(_nullable(dtype)),
+                F.concat(wrong, F.coalesce(F.flatten(F.transform(t, lambda p: F.concat(p["k"]["e"], p["x"]["e"]))),
+                                           F.array().cast("array<string>")))))
+        return _let(v, map_of)
+
+    def scalar_of(x: Column) -> Column:
+        return _let(_scalar(x, dtype, path), lambda r: _pair(r, _pack(_scalar_errors(x, r, dtype, path))))
+    return _let(v, scalar_of)
+
+
+def _coerced_text(s: Column, dtype: T.DataType, path: str) -> Column:
+    """The same for a text column (map keys)."""
+    if isinstance(dtype, T.StringType):
+        return _pair(s, F.array().cast("array<string>"))
+    v = F.try_parse_json(F.to_json(F.struct(s.alias("x"))))
+    return _coerced(F.try_variant_get(v, "$.x", "variant"), dtype, path)
+
+
+def _nullable(dtype: T.DataType) -> T.DataType:
+    """The type with every inner value nullable: what an expression can promise."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_nullable(dtype.elementType), True)
+    if isinstance(dtype, T.MapType):
+        return T.MapType(_nullable(dtype.keyType), _nullable(dtype.valueType), True)
+    return dtype
+
+
+def _is_nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
+
+
+_NUMBERS = (T.DecimalType, T.DoubleType, T.FloatType, *_INTEGRAL)
+
+
+def _fast(text: Column, dtype: T.DataType) -> Column | None:
+    """Value of a JSON scalar from its text, whether it was quoted or not, where the plain cast
+    agrees with the rules; null where it may not. None for types that need the kind."""
+    if isinstance(dtype, T.StringType):
+        return F.when(~F.substring(text, 1, 1).isin("{", "["), text)
+    if isinstance(dtype, _INTEGRAL):
+        return text.try_cast(dtype)
+    if isinstance(dtype, _NUMBERS):  # ends in a digit: no type suffix, no word
+        return F.when(F.substring(text, -1, 1).between("0", "9") & ~text.contains("x") & ~text.contains("X"), text.try_cast(dtype))
+    if isinstance(dtype, T.BooleanType):
+        return F.when(text == "true", True).when(text == "false", False)
+    if isinstance(dtype, T.DateType):
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?$"),
+                      text.try_cast("timestamp").cast(dtype))
+    return None
+
+
+def _absent(v: Column) -> Column:
+    return v.isNull() | F.is_variant_null(v)
+
+
+def _scalar_errors(v: Column, value: Column, dtype: T.DataType, path: str) -> list[Column]:
+    """Messages for a value that is there but gave none. Text takes anything and any
+    boolean text has a value."""
+    if isinstance(dtype, (T.StringType, T.BooleanType)):
+        return []
+    what = "variant (bad JSON)" if isinstance(dtype, T.VariantType) else dtype.simpleString()
+    return [_err(~_absent(v) & value.isNull(), path, what, F.try_variant_get(v, "$", "string"))]
+
+
+def _scalar(v: Column, dtype: T.DataType, path: str) -> Column:
+    """Value of a VARIANT under the rules of a scalar type; null where it has none."""
+    k = _V(v)
+    notnull = ~k.null
+    tname = dtype.simpleString()
 
     if isinstance(dtype, T.VariantType):
         parsed = F.try_parse_json(k.text)
-        val = F.when(k.null, F.lit(None)).when(k.is_str, parsed).otherwise(v)
-        return val, [_err(notnull & k.is_str & parsed.isNull(), path, "variant (bad JSON)", k.text)]
+        return F.when(k.null, F.lit(None)).when(k.is_str, parsed).otherwise(v)
 
     if isinstance(dtype, T.StringType):
-        return F.when(notnull, k.text), []
+        return F.when(notnull, k.text)
 
     if isinstance(dtype, _INTEGRAL):
         num = F.try_variant_get(v, "$", "bigint")
         val = F.when(k.is_str, _text_integer(k.text)).when(k.is_num | k.is_bool, num)
-        if not isinstance(dtype, T.LongType):
-            val = val.try_cast(dtype)
-        return val, (lambda ref: [_err(notnull & ref.isNull(), path, tname, k.text)])
+        return val if isinstance(dtype, T.LongType) else val.try_cast(dtype)
 
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         num = F.try_variant_get(v, "$", "double")
-        val = F.when(k.is_str, _try_double(F.trim(k.text))).when(k.is_num | k.is_bool, num)
-        if isinstance(dtype, T.FloatType):
-            val = val.cast("float")
-        return val, (lambda ref: [_err(notnull & ref.isNull(), path, tname, k.text)])
+        val = F.when(k.is_str, _try_double(k.text)).when(k.is_num | k.is_bool, num)
+        return val.cast("float") if isinstance(dtype, T.FloatType) else val
 
     if isinstance(dtype, T.DecimalType):
-        val = (F.when(k.is_str, F.trim(k.text).try_cast(dtype))
-               .when(k.is_num, F.try_variant_get(v, "$", tname)))
-        return val, (lambda ref: [_err(notnull & ref.isNull(), path, tname, k.text)])
+        return (F.when(k.is_str, F.trim(k.text).try_cast(dtype))
+                .when(k.is_num, F.try_variant_get(v, "$", tname)))
 
     if isinstance(dtype, T.BooleanType):
         arr = F.try_variant_get(v, "$", "array<variant>")
-        val = (F.when(k.null, F.lit(None))
-               .when(k.is_str, _bool_from_text(k.text))
-               .when(k.is_bool, F.try_variant_get(v, "$", "boolean"))
-               .when(k.is_num, F.try_variant_get(v, "$", "double") != 0)
-               .when(k.is_obj, k.kind != "OBJECT<>")
-               .when(k.is_arr, F.size(arr) > 0))
-        return val.cast("boolean"), []
+        return (F.when(k.null, F.lit(None))
+                .when(k.is_str, _bool_from_text(k.text))
+                .when(k.is_bool, F.try_variant_get(v, "$", "boolean"))
+                .when(k.is_num, F.try_variant_get(v, "$", "double") != 0)
+                .when(k.is_obj, k.kind != "OBJECT<>")
+                .when(k.is_arr, F.size(arr) > 0)).cast("boolean")
 
     if isinstance(dtype, T.DateType):
-        val = F.when(k.is_str, _date_from_text(k.text))
-        return val, (lambda ref: [_err(notnull & ref.isNull(), path, tname, k.text)])
+        return F.when(k.is_str, _date_from_text(k.text))
 
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         secs = F.when(k.is_bool, F.try_variant_get(v, "$", "boolean").cast("double")) \
             .otherwise(F.try_variant_get(v, "$", "double"))
         val = (F.when(k.is_str, _ts_from_text(k.text))
                .when(k.is_num | k.is_bool, F.timestamp_seconds(secs)))
-        val = val.cast(dtype)
-        return val, (lambda ref: [_err(notnull & ref.isNull(), path, tname, k.text)])
+        return val.cast(dtype)
 
     if isinstance(dtype, T.BinaryType):
         ints = F.try_variant_get(v, "$", "array<bigint>")
         bad_ints = F.exists(ints, lambda x: x.isNull() | (x < 0) | (x > 255))
         from_ints = F.unhex(F.array_join(F.transform(ints, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-        val = (F.when(k.null, F.lit(None).cast("binary"))
-               .when(k.is_str, _binary_from_text(k.text))
-               .when(k.is_arr & ints.isNotNull() & ~bad_ints, from_ints)
-               .when(k.is_arr & ints.isNotNull(), F.lit(None).cast("binary"))
-               .otherwise(F.encode(k.text, "UTF-8")))
-        return val, [_err(notnull & k.is_arr & (ints.isNull() | bad_ints), path, tname, k.text)]
+        return (F.when(k.null, F.lit(None).cast("binary"))
+                .when(k.is_str, _binary_from_text(k.text))
+                .when(k.is_arr, F.when(~bad_ints, from_ints))
+                .otherwise(F.encode(k.text, "UTF-8")))
 
     raise ValueError(f"{path}: unsupported type {tname}")
 
 
-def _inline_errors(v: Column, dtype: T.DataType, path: str) -> list[Column]:
-    built = _coerce(v, dtype, path)
-    return _errors(built, built[0])
-
-
 def coerce(v: Column, dtype: T.DataType, path: str = "$") -> tuple[Column, Column]:
     """Coerce a VARIANT column to ``dtype``. Returns ``(value, errors array<string>)``."""
-    built = _coerce(v, dtype, path)
-    return built[0], _pack(_errors(built, built[0]))
+    built = _coerced(v, dtype, path)
+    return built["v"], built["e"]
 
 
 def strict(value: Column, errors: Column) -> Column:
@@ -283,84 +348,82 @@ def strict(value: Column, errors: Column) -> Column:
 
 def _typed(df: DataFrame, source: str, schema: T.StructType, mode: str, keep: list[str],
            text: bool) -> DataFrame:
-    """Type a record column (JSON text or VARIANT) in staged projections.
-
-    Each stage computes the expensive pieces once (field values, kinds, typed values) and
-    the next stage refers to them as columns, so nothing is evaluated twice per row
-    (common-subexpression elimination cannot reach into conditional branches).
+    """Type a record column (JSON text or VARIANT) in staged projections: each stage refers
+    to the one before as columns, so nothing is evaluated twice per row.
 
-    JSON text goes through one ``from_json`` pass into a struct of VARIANT fields (absent
-    field → SQL null, JSON null → variant null). Only a row whose declared fields are all
-    absent is parsed again to tell ``{}``, a non-object and bad JSON apart.
+    JSON text goes through one ``from_json`` pass, inside a list so that text after the
+    record is an error and not overlooked. Scalar fields come out as text, and a plain cast
+    types them; only a row in which that does not settle every field is parsed once more, as
+    VARIANT, and only those fields are worked out by kind. Other fields come out as VARIANT.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
-    fields = schema.fields
-    n = len(fields)
+    fields = list(enumerate(schema.fields))
     src = F.col(source)
+    quick = {i: text and _fast(F.col(f"__t{i}"), f.dataType) is not None for i, f in fields}
+    t = lambda i: F.col(f"__t{i}")
     if text:
-        as_variants = T.StructType([T.StructField(f.name, T.VariantType()) for f in fields])
-        s0 = df.select(*keep, src.alias("__j"), F.from_json(src, as_variants).alias("__s"))
-        s1 = s0.select(*keep, "__j", *[F.col("__s").getField(f.name).alias(f"__f{i}")
-                                       for i, f in enumerate(fields)])
-        absent = F.lit(True)
-        for i in range(n):
-            absent = absent & F.col(f"__f{i}").isNull()
-        s1 = s1.select("*", absent.alias("__none"))
-        s1 = s1.select("*", F.when(F.col("__none") & F.col("__j").isNotNull(),
-                                   F.try_parse_json("__j")).alias("__diag"))
-        diag = F.col("__diag")
-        rnull = F.col("__j").isNull() | (F.col("__none") & F.coalesce(F.is_variant_null(diag), F.lit(False)))
-        obj = ~F.col("__none") | F.try_variant_get(diag, "$", "struct<__probe__:int>").isNotNull()
-        empty = F.col("__none") & F.coalesce(F.schema_of_variant(diag) == "OBJECT<>", F.lit(False))
-        bad = F.col("__j").isNotNull() & F.col("__none") & diag.isNull()
-        shown = F.col("__j")
-        head = ["__j"]
+        landed = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType() if quick[i] else T.VariantType()) for i, f in fields]))
+        s = df.select(*keep, src.alias("__j"), F.from_json(F.concat(F.lit("["), src, F.lit("]")), landed).alias("__a"))
+        s = s.select(*keep, "__j", F.coalesce(F.size("__a") == 1, F.lit(False)).alias("__one"),
+                     *[F.get("__a", F.lit(0))[f.name].alias(f"__t{i}") for i, f in fields])
+        raw = F.col("__j")
+        listed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+        whole = F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
     else:
-        s1 = df.select(*keep, src.alias("__v"),
-                       *[F.try_variant_get(src, _path(f.name), "variant").alias(f"__f{i}")
-                         for i, f in enumerate(fields)])
-        v = F.col("__v")
-        absent = F.lit(True)
-        for i in range(n):
-            absent = absent & F.col(f"__f{i}").isNull()
-        rnull = v.isNull() | F.is_variant_null(v)
-        obj = F.try_variant_get(v, "$", "struct<__probe__:int>").isNotNull()
-        empty = F.when(absent & obj, F.schema_of_variant(v) == "OBJECT<>").otherwise(F.lit(False))
-        bad = F.lit(False)
-        shown = F.try_variant_get(v, "$", "string")
-        head = ["__v"]
-    # stage 2: record flags, kind of every field, text of string fields
-    s2 = s1.select(*keep, *head, rnull.alias("__rnull"), obj.alias("__obj"), empty.alias("__empty"),
-                   bad.alias("__bad"),
-                   *[c for i in range(n) for c in (
-                       F.col(f"__f{i}"),
-                       F.schema_of_variant(F.col(f"__f{i}")).alias(f"__k{i}"))])
-    s2 = s2.select("*", *[F.when(F.col(f"__k{i}") == "STRING",
-                                 F.try_variant_get(F.col(f"__f{i}"), "$", "string")).alias(f"__t{i}")
-                          for i in range(n)])
-    ok = F.col("__obj") & ~F.col("__empty")
-    kinds = [_V(F.col(f"__f{i}"), F.col(f"__k{i}"),
-                F.coalesce(F.col(f"__t{i}"), F.try_variant_get(F.col(f"__f{i}"), "$", "string")))
-             for i in range(n)]
-    built = [_coerce(F.col(f"__f{i}"), f.dataType, f"$.{f.name}", kinds[i])
-             for i, f in enumerate(fields)]
-    # stage 3: values
-    s3 = s2.select("*", *[F.when(ok, built[i][0]).alias(f"__x{i}") for i in range(n)])
-    # stage 4: errors, referring to the values as columns
-    head_shown = shown if text else F.try_variant_get("__v", "$", "string")
-    errs = [_err(F.col("__bad"), "$", "bad JSON"),
-            _err(~F.col("__rnull") & ~F.col("__bad") & ~F.col("__obj"), "$", "a struct", head_shown),
-            _err(F.col("__empty"), "$", "empty object for a struct")]
-    for i, f in enumerate(fields):
-        errs += [F.when(ok, e) for e in _errors(built[i], F.col(f"__x{i}"))]
+        s = df.select(*keep, src.alias("__j"), F.lit(True).alias("__one"),
+                      *[F.try_variant_get(src, _path(f.name), "variant").alias(f"__t{i}") for i, f in fields])
+        raw = whole = F.col("__j")
+    s = s.select("*", *[_fast(t(i), f.dataType).alias(f"__q{i}") for i, f in fields if quick[i]])
+    none, open_ = F.lit(True), F.lit(False)
+    for i, f in fields:
+        none = none & t(i).isNull()
+        if quick[i]:
+            open_ = open_ | (t(i).isNotNull() & F.col(f"__q{i}").isNull())
+        if not f.nullable:
+            open_ = open_ | t(i).isNull()
+    s = s.select("*", (~F.col("__one") | none).alias("__odd"), F.when(~F.col("__one") | none | open_, whole).alias("__w"))
+    w, odd = F.col("__w"), F.col("__odd")
+    kind = F.schema_of_variant(w)
+    bad = odd & raw.isNotNull() & w.isNull()
+    null = raw.isNull() | (odd & F.coalesce(F.is_variant_null(w), F.lit(False)))
+    record = ~odd | (kind.startswith("OBJECT") & (kind != "OBJECT<>"))
+    s = s.select("*", F.coalesce(~null & ~bad & record, F.lit(False)).alias("__ok"))
+    ok = F.col("__ok")
+
+    def value(i: int, f: T.StructField) -> Column:
+        if _is_nested(f.dataType):
+            return F.when(ok, _coerced(t(i), f.dataType, f"$.{f.name}"))
+        if not quick[i]:
+            return F.when(ok & ~_absent(t(i)), _scalar(t(i), f.dataType, f"$.{f.name}"))
+        slow = F.when(ok & t(i).isNotNull(), _scalar(F.try_variant_get(w, _path(f.name), "variant"), f.dataType, f"$.{f.name}"))
+        return F.when(F.col(f"__q{i}").isNotNull(), F.col(f"__q{i}")).otherwise(slow)
+
+    s = s.select(*[c for c in s.columns if not c.startswith("__q")], *[value(i, f).alias(f"__x{i}") for i, f in fields])
+    shown = raw if text else F.try_variant_get(raw, "$", "string")
+    errs = [_err(bad, "$", "bad JSON"),
+            _err(odd & ~null & ~bad & ~kind.startswith("OBJECT"), "$", "a struct", shown),
+            _err(odd & ~null & (kind == "OBJECT<>"), "$", "empty object for a struct")]
+    out = []
+    for i, f in fields:
+        x, path = F.col(f"__x{i}"), f"$.{f.name}"
+        nested = _is_nested(f.dataType)
+        out.append((x["v"] if nested else x).alias(f.name))
+        if nested:
+            own = [x["e"]]
+        elif quick[i]:
+            own = [] if isinstance(f.dataType, (T.StringType, T.BooleanType)) else [
+                _err(t(i).isNotNull() & x.isNull(), path, f.dataType.simpleString(), t(i))]
+        else:
+            own = _scalar_errors(t(i), x, f.dataType, path)
+        errs += [F.when(ok, e) for e in own]
         if not f.nullable:
-            errs.append(_err(ok & F.col(f"__f{i}").isNull(), f"$.{f.name}", "missing non-nullable field"))
-    packed = _pack(errs)
-    value = F.when(ok, F.struct(*[F.col(f"__x{i}").alias(f.name) for i, f in enumerate(fields)]))
+            there = F.try_variant_get(w, _path(f.name), "variant")
+            errs.append(_err(ok & t(i).isNull() & there.isNull(), path, "missing non-nullable field"))
+    typed = F.when(ok, F.struct(*out))
     if mode == "strict":
-        return s3.select(*keep, strict(value, packed).alias("__r")).select(*keep, "__r.*")
-    return s3.select(*keep, value.alias("__r"), packed.alias(ERRORS)).select(*keep, "__r.*", ERRORS)
+        return s.select(*keep, strict(typed, _pack(errs)).alias("__r")).select(*keep, "__r.*")
+    return s.select(*keep, typed.alias("__r"), _pack(errs).alias(ERRORS)).select(*keep, "__r.*", ERRORS)
 
 
 def coerce_variant_column(df: DataFrame, col: str, schema: T.StructType, mode: str = "strict",

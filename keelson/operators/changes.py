@@ -8,17 +8,18 @@ task first and moves one row per task. SCD type 2 keeps every version with
 the same key, computed by the skew-safe ``next_in_key``.
 
 Delete feeds are rows marked ``_op = 'delete'`` (tombstones). A delete wins over an
-upsert with the same sequence (decision D5) and stays in SCD 1 state so an older upsert
-arriving later cannot resurrect the key (decision D8); ``live`` hides tombstones.
+upsert with the same sequence (decision D5) and stays in the state, of SCD 1 and of SCD 2,
+so an older change arriving later is placed before it (decision D8); ``live`` and
+``live_history`` hide tombstones. Without a declared tie, equal sequences are ordered by a
+hash of the whole row (D5). Null keys are keys like any other.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keelson.operators.ordering import next_in_key
 
@@ -81,6 +82,14 @@ def expire_tombstones(state: DataFrame, seq: str, older_than) -> DataFrame:
     return state.where((F.col(OP) != DELETE) | (F.col(seq) >= bound))
 
 
+def _split_touched(target: DataFrame, feed: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Target rows whose key is absent from / present in ``feed`` (null-safe on the keys)."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    fkeys = feed.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    hit = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return target.join(fkeys, hit, "left_anti"), target.join(fkeys, hit, "left_semi")
+
+
 def _merge_touched(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
                    tie: str | None, only_touched: bool) -> DataFrame:
     """Union and aggregate (one shuffle of target + feed), or, with ``only_touched``, let the
@@ -93,9 +102,7 @@ def _merge_touched(target: DataFrame | None, feed: DataFrame, keys: list[str], s
     if not only_touched:
         return latest_per_key(union_changes(target, feed), keys, seq, tie)
     cols = list(feed.columns) + [c for c in target.columns if c not in feed.columns]
-    fkeys = feed.select(*keys).distinct()
-    untouched = target.join(fkeys, keys, "left_anti")
-    touched = target.join(fkeys, keys, "left_semi")
+    untouched, touched = _split_touched(target, feed, keys)
     merged = latest_per_key(union_changes(touched, feed), keys, seq, tie)
     return untouched.unionByName(merged, allowMissingColumns=True).select(*cols)
 
@@ -120,28 +127,24 @@ def scd1_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: Dat
     return _merge_touched(target, feed, keys, seq, tie, only_touched)
 
 
-def _history(versions: DataFrame, keys: list[str], seq: str, tie: str | None) -> DataFrame:
-    order = [seq]
-    if OP in versions.columns:
-        versions = versions.withColumn("__o", F.when(F.col(OP) == DELETE, 1).otherwise(0))
-        order.append("__o")
-    if tie:
-        order.append(tie)
-    out = next_in_key(versions, keys, order, out="__nx")
-    out = (out.withColumn(START_AT, F.col(seq))
-              .withColumn(END_AT, F.col("__nx").getField(seq))
-              .drop("__nx"))
-    return out.drop("__o") if "__o" in out.columns else out
+def history_of(versions: DataFrame, keys: list[str], seq: str, tie: str | None = None) -> DataFrame:
+    """Intervals of all versions; a row that occurs twice (a replay) is one version."""
+    cols = versions.columns
+    hashed = F.xxhash64(*[F.col(c) for c in cols])
+    rank = F.when(F.col(OP) == DELETE, 1).otherwise(0) if OP in cols else F.lit(0)
+    staged = versions.distinct().withColumns({"__s": F.col(seq), "__o": rank, "__h": hashed})
+    out = next_in_key(staged, keys, ["__s", "__o", *([tie] if tie else []), "__h"], out="__nx")
+    return out.select(*cols, F.col(seq).alias(START_AT), F.col("__nx.__s").alias(END_AT))
 
 
-def _affected(target: DataFrame | None, feed: DataFrame, keys: list[str]):
-    """Split an SCD 2 target into untouched rows and rows of keys present in ``feed``."""
+def _rederive(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str, tie: str | None) -> DataFrame:
+    """SCD 2 state after ``feed``: the keys of the feed are derived anew from all their rows."""
+    cols = [c for c in feed.columns if c not in (START_AT, END_AT)]
     if target is None:
-        return None, None
-    fkeys = feed.select(*keys).distinct()
-    keep = target.join(fkeys, keys, "left_anti")
-    redo = target.join(fkeys, keys, "left_semi").drop(START_AT, END_AT)
-    return keep, redo
+        return history_of(feed.select(*cols), keys, seq, tie)
+    keep, redo = _split_touched(target, feed, keys)
+    versions = union_changes(feed.select(*cols), redo.drop(START_AT, END_AT))
+    return union_changes(history_of(versions, keys, seq, tie), keep)
 
 
 def scd2_history(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
@@ -149,32 +152,41 @@ def scd2_history(target: DataFrame | None, feed: DataFrame, keys: list[str], seq
     """Every version kept with ``__START_AT``/``__END_AT``; the current one ends in null.
 
     Only keys present in the feed are re-derived; a late row splits the interval it falls
-    into. A replayed row (same key, sequence and tie) is kept once.
+    into. A replayed row (equal in every column) is kept once, two different rows of one
+    sequence are two versions.
     """
-    feed = _require_seq(feed, seq)
-    cols = [c for c in feed.columns if c not in (START_AT, END_AT)] + [START_AT, END_AT]
-    keep, redo = _affected(target, feed, keys)
-    versions = union_changes(redo, feed)
-    if redo is not None:
-        versions = versions.dropDuplicates([*keys, seq] + ([tie] if tie else []))
-    return union_changes(keep, _history(versions, keys, seq, tie)).select(*cols)
+    return _rederive(target, _require_seq(feed, seq), keys, seq, tie)
+
+
+def live_history(state: DataFrame) -> DataFrame:
+    """Versions of an SCD 2 state without its tombstones and the ``_op`` column."""
+    return live(state)
 
 
 def scd2_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: DataFrame,
                       keys: list[str], seq: str, tie: str | None = None) -> DataFrame:
-    """A delete closes the open version at its sequence and opens none."""
+    """SCD 2 state (tombstones included) after upserts and deletes: a delete closes the
+    open version at its sequence and opens none. Read it with ``live_history``; pass the
+    state, not that view, as the next ``target``."""
+    if target is not None and OP not in target.columns:
+        target = mark(target, UPSERT)
     feed = _require_seq(union_changes(mark(upserts, UPSERT), mark(deletes, DELETE)), seq)
-    keep, redo = _affected(target, feed, keys)
-    if redo is not None:
-        redo = redo if OP in redo.columns else mark(redo, UPSERT)
-        versions = union_changes(redo, feed).dropDuplicates(
-            [*keys, seq, OP] + ([tie] if tie else []))
-    else:
-        versions = feed
-    hist = _history(versions, keys, seq, tie)
-    hist = hist.where(F.col(OP) != DELETE).drop(OP)
-    cols = [c for c in upserts.columns if c not in (START_AT, END_AT, OP)] + [START_AT, END_AT]
-    return union_changes(keep, hist).select(*cols)
+    return _rederive(target, feed, keys, seq, tie)
+
+
+def quarantine(feed: DataFrame, seq: str) -> tuple[DataFrame, DataFrame]:
+    """Decision D6, permissive: rows that can be applied, and rows without a sequence."""
+    return feed.where(F.col(seq).isNotNull()), feed.where(F.col(seq).isNull())
+
+
+def merge_into(spark: SparkSession, table: str, feed: DataFrame, keys: list[str], seq: str,
+               tie: str | None = None) -> None:
+    """E1 on a table that supports row-level operations: its newest row per key is merged in
+    place, older changes are ignored. Other tables raise Spark's own error."""
+    latest = latest_per_key(feed, keys, seq, tie).alias("__feed")
+    same = reduce(Column.__and__, [F.col(f"__feed.{k}").eqNullSafe(F.col(f"{table}.{k}")) for k in keys])
+    (latest.mergeInto(table, same).whenMatched(F.col(f"__feed.{seq}") >= F.col(f"{table}.{seq}")).updateAll()
+     .whenNotMatched().insertAll().merge())
 
 
 def append_only(target: DataFrame | None, feed: DataFrame) -> DataFrame:
@@ -208,19 +220,20 @@ def tombstones_since(tombstones: DataFrame, keys: list[str], seq: str, since=Non
 
 
 def touch_upsert(target: DataFrame, rows: DataFrame, keys: list[str], stamp_col: str | None,
-                 stamp) -> DataFrame:
+                 stamp, tie: str | None = None) -> DataFrame:
     """Insert or replace rows by key, advancing the change stamp.
 
     A replaced key gets ``stamp``; a new key keeps the stamp it carries (``stamp`` when it
-    has none); without a stamp column rows go in unstamped.
+    has none); without a stamp column rows go in unstamped. Of several rows of one key the
+    one with the greatest ``tie`` goes in (without ``tie``: the greatest stamp, then hash).
     """
-    existing = target.select(*keys).withColumn("__hit", F.lit(True))
-    staged = rows.join(existing, keys, "left")
+    order = [F.col(c) for c in (tie, stamp_col) if c] + [F.xxhash64(*rows.columns)]
+    one = (rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("__r"))
+           .select("__r.*"))
+    fresh, replaced = _split_touched(one, target, keys)
     if stamp_col is not None:
-        dt = rows.schema[stamp_col].dataType
-        s = F.lit(str(stamp)).cast(dt)  # text literal: no dependence on the Python time zone
-        staged = staged.withColumn(stamp_col, F.when(F.col("__hit"), s)
-                                   .otherwise(F.coalesce(F.col(stamp_col), s)))
-    staged = staged.drop("__hit").select(*target.columns)
-    untouched = target.join(rows.select(*keys), keys, "left_anti")
-    return untouched.unionByName(staged)
+        s = F.lit(str(stamp)).cast(rows.schema[stamp_col].dataType)  # text literal: no dependence on the Python time zone
+        replaced = replaced.withColumn(stamp_col, s)
+        fresh = fresh.withColumn(stamp_col, F.coalesce(F.col(stamp_col), s))
+    untouched, _ = _split_touched(target, one, keys)
+    return untouched.unionByName(replaced.select(*target.columns)).unionByName(fresh.select(*target.columns))

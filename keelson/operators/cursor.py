@@ -7,6 +7,8 @@ the parquet scan (``PushedFilters``). Row-exact cuts use top-k plans
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,14 +69,31 @@ def cutoff_at_start(df: DataFrame, col: str, since=None, run_start=None) -> Data
 def lookback(df: DataFrame, col: str, cursor, interval: str) -> DataFrame:
     """re-read ``interval`` before the cursor to catch late updates.
 
-    Safe because change application is idempotent (re-applied rows change nothing).
+    Safe because change application is idempotent (re-applied rows change nothing). On a
+    text cursor the bound is written in the cursor's own form (separator, fraction, zone
+    suffix), so that it sorts where its time belongs.
     """
     if cursor is None:
         return df
-    bound = _lit_for(df, col, cursor) - F.expr(f"INTERVAL {interval}")
+    if _is_text(df, col):
+        bound = _earlier_text(str(cursor), interval)
+    else:
+        bound = _lit_for(df, col, cursor) - F.expr(f"INTERVAL {interval}")
     return df.where(F.col(col).isNull() | (F.col(col) > bound.cast(df.schema[col].dataType)))
 
 
+def _earlier_text(cursor: str, interval: str) -> Column:
+    m = re.fullmatch(r"(\d{4}-\d{2}-\d{2})(?:([T ])(\d{2}:\d{2}(?::\d{2}(?:\.(\d{1,9}))?)?))?(.*)", cursor)
+    if m is None:
+        raise ValueError(f"no ISO date in text cursor {cursor!r}")
+    day, sep, time, fraction, suffix = m.groups()
+    form = "yyyy-MM-dd"
+    if sep:
+        form += f"'{sep}'HH:mm" + (":ss" if time.count(":") == 2 else "") + (f".{'S' * len(fraction)}" if fraction else "")
+    wall = F.lit(f"{day} {time}" if sep else day).cast("timestamp_ntz")
+    return F.concat(F.date_format(wall - F.expr(f"INTERVAL {interval}"), form), F.lit(suffix))
+
+
 def end_offset(df: DataFrame, col: str, start=None) -> DataFrame:
     """A1: one row ``end_offset`` = max cursor of the batch, never below ``start``.
 

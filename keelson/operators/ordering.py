@@ -1,105 +1,40 @@
-"""Order-within-key helpers that stay balanced when one key holds a large share of rows.
-
-A window ``partitionBy(key).orderBy(seq)`` sends every row of a key to one task.
-If a single key holds a third of the data, that task does a third of the work.
-``with_subgroups`` cuts each hot key into contiguous ranges of its sequence, so
-windows can be partitioned by ``(key, __sub)``; ``next_in_key`` then repairs the
-one row per range whose successor lives in the following range.
-
-Size bounds: the hot-key list is collected by one aggregation and holds at most
-``max_hot_keys`` keys (top-k by row count; every other key has fewer rows than the
-k-th, so it is small anyway); each hot key gets at most ``max_splits`` cut points, so
-what is broadcast is bounded by ``max_hot_keys * max_splits`` values regardless of the
-input size. Without hot keys the plan is the plain window.
+"""Order within a key, balanced whatever the key sizes.
+
+A window ``partitionBy(key).orderBy(seq)`` sends every row of a key to one task; a key
+with a third of the data makes that task do a third of the work. ``next_in_key`` orders all
+rows by range over (key, sequence, tie) instead, so a key of any size, with a sequence of
+any orderable type, spreads over as many ranges as its rows fill, and computes the
+successor inside each (range, key). Only the last row of a range can have its successor
+elsewhere: it is the head of the next range, if that has the same key. There is one head a
+range, so the table of heads is as small as the number of shuffle partitions.
+
+The ranges are checkpointed before they are used twice: their bounds come from a sample and
+must not be drawn anew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-SUB = "__sub"
-
-
-def _numeric_order(df: DataFrame, col: str) -> Column | None:
-    """A numeric image of ``col`` preserving order, or None when there is none."""
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dt, T.NumericType):
-        return c.cast("double")
-    return None
 
+from keelson.session import checkpointed
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_group: int = 1_000_000,
-             max_hot_keys: int = 1024) -> list:
-    """Keys with more than ``rows_per_group`` rows, at most ``max_hot_keys`` of them (the
-    largest). One aggregation, partial before the shuffle; at most ``max_hot_keys`` rows
-    reach the driver."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-            .where(F.col("__rows") > rows_per_group)
-            .orderBy(F.desc("__rows")).limit(max_hot_keys).collect())
-
-
-def with_subgroups(df: DataFrame, keys: list[str], order_col: str, *,
-                   rows_per_group: int = 1_000_000, max_hot_keys: int = 1024,
-                   max_splits: int = 512, accuracy: int = 10_000) -> tuple[DataFrame, bool]:
-    """Add ``__sub`` so that each (keys, __sub) is a contiguous range of ``order_col``.
-
-    Keys with at most ``rows_per_group`` rows get ``__sub = -1`` (one range). Hotter keys get
-    ``ceil(rows / rows_per_group)`` ranges (at most ``max_splits``) cut at approximate
-    quantiles; rows with equal order values always share a range. The cut is only a
-    partitioning choice: any cut gives the same results downstream. Returns the frame and
-    whether any key was split.
-    """
-    num = _numeric_order(df, order_col)
-    hot = hot_keys(df, keys, rows_per_group, max_hot_keys) if num is not None else []
-    if not hot:
-        return df.withColumn(SUB, F.lit(-1)), False
-    spark = df.sparkSession
-    key_schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("__rows", T.LongType())])
-    hot_df = spark.createDataFrame([tuple(r) for r in hot], key_schema)
-    hot_df = hot_df.withColumn("__k", F.least(F.ceil(F.col("__rows") / rows_per_group),
-                                              F.lit(max_splits)).cast("int"))
-    grid = [i / max_splits for i in range(1, max_splits)]
-    cuts = (df.join(F.broadcast(hot_df.select(*keys)), keys, "left_semi")
-            .withColumn("__ord", num)
-            .groupBy(*keys).agg(F.percentile_approx("__ord", grid, accuracy).alias("__grid")))
-    cuts = (cuts.join(F.broadcast(hot_df.select(*keys, "__k")), keys)
-            .select(*keys, F.transform(
-                F.sequence(F.lit(1), F.col("__k") - 1),
-                lambda j: F.element_at("__grid", ((j * max_splits) / F.col("__k")).cast("int"))
-            ).alias("__cuts")))
-    # bounded: one row per hot key, at most max_splits cut points each
-    out = df.join(F.broadcast(cuts), keys, "left")
-    return (out.withColumn(SUB, F.coalesce(
-                F.size(F.filter("__cuts", lambda s: s < num)), F.lit(-1)))
-            .drop("__cuts")), True
+RANGE = "__range"
 
 
-def next_in_key(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "__next",
-                **split_opts) -> DataFrame:
+def next_in_key(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "__next") -> DataFrame:
     """Add ``out`` = struct of ``order_cols`` of the next row of the same key (null for the last).
 
-    Equivalent to ``lead(struct(order_cols)) over (partition by keys order by order_cols)``
-    but balanced under key skew (see module doc). Without hot keys it is exactly that window.
+    Equivalent to ``lead(struct(order_cols)) over (partition by keys order by order_cols)``;
+    null keys are keys like any other.
     """
+    ranged = checkpointed(df.repartitionByRange(*keys, *order_cols).withColumn(RANGE, F.spark_partition_id()))
     ordered = F.struct(*[F.col(c) for c in order_cols])
-    d, split = with_subgroups(df, keys, order_cols[0], **split_opts)
-    if not split:
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
-        return d.drop(SUB).withColumn(out, F.lead(ordered).over(w))
-    w = Window.partitionBy(*keys, SUB).orderBy(*order_cols)
-    d = d.withColumn("__lead", F.lead(ordered).over(w))
-    # For every range of a hot key: the first element of the following non-empty range.
-    # Only hot keys have ranges (__sub >= 0), so this table is bounded by the cut table.
-    firsts = (d.where(F.col(SUB) >= 0).groupBy(*keys, SUB)
-              .agg(F.min(ordered).alias("__head"))
-              .withColumn("__first", F.lead("__head").over(Window.partitionBy(*keys).orderBy(SUB)))
-              .drop("__head"))
-    d = d.join(F.broadcast(firsts), [*keys, SUB], "left")
-    return d.withColumn(out, F.coalesce("__lead", "__first")).drop("__lead", "__first", SUB)
+    key = F.struct(*[F.col(c) for c in keys])
+    heads = ranged.groupBy(RANGE).agg(F.min(F.struct(key.alias("k"), ordered.alias("o"))).alias("__head"))
+    heads = heads.select(RANGE, F.lead("__head").over(Window.orderBy(RANGE)).alias("__head"))  # one row a range
+    inside = Window.partitionBy(RANGE, *keys).orderBy(*order_cols)
+    later = F.when(F.col("__head.k").eqNullSafe(key), F.col("__head.o"))
+    return (ranged.withColumn("__lead", F.lead(ordered).over(inside))
+            .join(F.broadcast(heads), RANGE, "left")
+            .withColumn(out, F.coalesce("__lead", later)).drop("__lead", "__head", RANGE))

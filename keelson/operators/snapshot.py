@@ -38,11 +38,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str],
 
 
 def snapshot_scd1(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """E5: the target after a snapshot: inserts and updates applied, absent keys deleted."""
-    d = snapshot_diff(old, new, keys)
-    vals = _values(new, keys)
-    return (d.where(F.col(CHANGE) != "delete")
-             .select(*keys, *[F.col("__new").getField(c).alias(c) for c in vals]))
+    """E5: the target after a snapshot is the snapshot, in the target's column order; what a
+    sink has to rewrite is ``snapshot_changes``."""
+    return new.select(*[c for c in old.columns if c in new.columns],
+                      *[c for c in new.columns if c not in old.columns])
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,20 +60,25 @@ def snapshot_scd2(history: DataFrame | None, new: DataFrame, keys: list[str], ve
     if history is None:
         t = _type_of(version)
         return new.select(*keys, *vals, v.cast(t).alias(START_AT), F.lit(None).cast(t).alias(END_AT))
-    closed = history.where(F.col(END_AT).isNotNull())
-    current = history.where(F.col(END_AT).isNull())
-    d = snapshot_diff(current.select(*keys, *vals), new, keys)
-    d = d.join(current.select(*keys, START_AT), keys, "left")
-    old_rows = (d.where(F.col(CHANGE) != "insert")
-                .select(*keys, *[F.col("__old").getField(c).alias(c) for c in vals],
-                        F.col(START_AT),
-                        F.when(F.col(CHANGE) == "same", F.lit(None))
-                        .otherwise(v).cast(history.schema[END_AT].dataType).alias(END_AT)))
-    new_rows = (d.where(F.col(CHANGE).isin("insert", "update"))
-                .select(*keys, *[F.col("__new").getField(c).alias(c) for c in vals],
-                        v.cast(history.schema[START_AT].dataType).alias(START_AT),
-                        F.lit(None).cast(history.schema[END_AT].dataType).alias(END_AT)))
-    return closed.unionByName(old_rows).unionByName(new_rows)
+    t = history.schema[END_AT].dataType
+    closed = history.where(F.col(END_AT).isNotNull()).select(*keys, *vals, START_AT, END_AT)
+    open_ = history.where(F.col(END_AT).isNull()).select(
+        *keys, F.struct(*vals).alias("__old"), F.col(START_AT).alias("__at"), F.lit(True).alias("__in_old"))
+    snap = new.select(*keys, F.struct(*vals).alias("__new"), F.lit(True).alias("__in_new"))
+    j = open_.join(snap, keys, "full_outer")
+    v = v.cast(t)
+    same = F.col("__in_old") & F.col("__in_new") & F.col("__old").eqNullSafe(F.col("__new"))
+    none = F.lit(None).cast(t)
+    row = lambda values, start, end: F.struct(values.alias("v"), start.alias("s"), end.alias("e"))
+    old_row, new_row = row(F.col("__old"), F.col("__at"), v), row(F.col("__new"), v, none)
+    rows = (F.when(same, F.array(row(F.col("__old"), F.col("__at"), none)))
+            .when(F.col("__in_old").isNull(), F.array(new_row))
+            .when(F.col("__in_new").isNull(), F.array(old_row))
+            .otherwise(F.array(old_row, new_row)))
+    moved = (j.select(*keys, F.explode(rows).alias("__r"))
+             .select(*keys, *[F.col("__r.v").getField(c).alias(c) for c in vals],
+                     F.col("__r.s").alias(START_AT), F.col("__r.e").alias(END_AT)))
+    return closed.unionByName(moved)
 
 
 def _type_of(value) -> str:

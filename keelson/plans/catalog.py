@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.plans import inputs as I
+from keelson.session import checkpointed, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,13 +47,6 @@ HISTORY = ('select *, ts as "__START_AT", lead(ts) over (partition by user_id '
 EK, ES, ET = I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage between folded batches (reliable checkpoint in the shared folder)."""
-    from keelson.session import work_dir
-    work_dir(df.sparkSession)  # makes sure a checkpoint folder is registered
-    return df.checkpoint(eager=True)
-
-
 # ---------------------------------------------------------------- aggregations, SCD 1
 from keelson.operators import changes as C  # noqa: E402
 from keelson.operators import cursor as R  # noqa: E402
@@ -84,7 +78,7 @@ def q_late_arrivals(spark, d):
     target = None
     for b in range(n):
         feed = ev.where(F.col("__batch") == b).drop("__batch")
-        target = _checkpointed(C.scd1_upsert(target, feed, EK, ES, ET))
+        target = checkpointed(C.scd1_upsert(target, feed, EK, ES, ET))
     return target
 
 
@@ -106,7 +100,14 @@ def q_scd2_history(spark, d):
 
 @register("scd2_with_deletes", f"select * from ({HISTORY}) where event_type <> 'error'")
 def q_scd2_with_deletes(spark, d):
-    return C.scd2_with_deletes(None, I.event_upserts(spark, d), I.event_deletes(spark, d), EK, ES, ET)
+    """Four sequence ranges of the feed applied newest first; deletes stay in the state."""
+    n = 4
+    ev = I.arrival_batch(I.events(spark, d), ES, n)
+    state = None
+    for b in range(n):
+        feed = ev.where(F.col("__batch") == b).drop("__batch")
+        state = checkpointed(C.scd2_with_deletes(state, I.upserts_of(feed), I.deletes_of(feed), EK, ES, ET))
+    return C.live_history(state)
 
 
 @register("append_only", "select * from events")
@@ -351,10 +352,9 @@ def _jstr(c):
 
 @register("coerce_record", "select * from lineitem")
 def q_coerce_record(spark, d):
-    """lineitem landed as JSON text (spread like a landing zone of many files), typed back."""
+    """lineitem as JSON text, typed back."""
     li = I.table(spark, d, "lineitem")
-    landed = li.repartition(spark.sparkContext.defaultParallelism)
-    text = landed.select(F.to_json(F.struct(*li.columns)).alias("j"))
+    text = li.select(F.to_json(F.struct(*li.columns)).alias("j"))
     return coerce_json(text, "j", li.schema)
 
 
@@ -654,17 +654,18 @@ SCD1_DELETES = f"select * from ({LATEST}) where event_type <> 'error'"
 @register("snapshot_scan", "select * from orders")
 def q_snapshot_scan(spark, d):
     schema = I.table(spark, d, "orders").schema
-    return spark.read.schema(schema).parquet(f"{d.rstrip('/')}/orders.parquet")
+    return FL.snapshot_scan(spark, f"{d.rstrip('/')}/orders.parquet", schema)
 
 
 @register("incremental_stream", "select * from events")
 def q_incremental_stream(spark, d):
-    return FL.append_run(spark, d, files_per_batch=3)
+    """The events stream, each micro-batch applied in pieces of about 1000 rows by cursor."""
+    return FL.capped_run(spark, d).drop("piece")
 
 
-@register("append_sink", "select * from events")
+@register("append_sink", "select * from orders")
 def q_append_sink(spark, d):
-    return FL.append_run(spark, d)
+    return FL.append_run(spark, d, "orders")
 
 
 @register("stream_resume", "select * from events")
@@ -702,27 +703,15 @@ def q_snapshot_sink(spark, d):
     return FL.snapshot_sink_run(spark, d)
 
 
-def _landed_events(spark, d, n_files: int = 8) -> str:
-    from keelson.session import work_dir
-    base = work_dir(spark, "landed")
-    return FL.stage_files(I.events(spark, d), f"{base}/events", n_files, by=I.EVENT_TIE)
-
-
-@register("partitioned_scan", "select * from events")
+@register("partitioned_scan", f"select * from events where ts > '{SINCE_TS}' and ts <= '{UNTIL_TS}'")
 def q_partitioned_scan(spark, d):
-    from keelson.sources.landed import register as reg
-    fmt = reg(spark)
-    return spark.read.format(fmt).option("path", _landed_events(spark, d)).load()
+    return FL.partitioned_scan(spark, f"{d.rstrip('/')}/events.parquet", ES, SINCE_TS, UNTIL_TS)
 
 
-@register("partitioned_stream", "select * from events")
+@register("partitioned_stream", f"select * from events where ts > '{SINCE_TS}' and ts <= '{UNTIL_TS}'")
 def q_partitioned_stream(spark, d):
-    from keelson.session import work_dir
-    from keelson.sources.landed import register as reg
-    fmt = reg(spark)
-    src = _landed_events(spark, d)
     base = work_dir(spark, "pstream")
-    stream = spark.readStream.format(fmt).option("path", src).option("cursor", I.EVENT_SEQ).load()
+    stream = FL.partitioned_stream(spark, d, "events", ES, SINCE_TS, UNTIL_TS, files_per_batch=2)
     FL.run_available(stream, f"{base}/chk", sink=f"{base}/out")
     return spark.read.parquet(f"{base}/out")
 
@@ -741,20 +730,32 @@ def _connector(spark, d):
     })
 
 
-INGEST_SUMMARY = f"""
-select 'events' as destination, count(*) as row_count, cast(sum(user_id) as bigint) as key_sum
-from ({SCD1_DELETES})
-union all select '`main`.`sales`.`orders_snap`', count(*), cast(sum(o_orderkey) as bigint) from orders
-union all select 'customer', count(*), cast(sum(c_custkey) as bigint) from customer
-union all select 'lineitem', count(*), cast(sum(l_orderkey) as bigint) from lineitem"""
+class _TwoSnapshots:
+    """The given tables, with ``orders`` as snapshot v1 and, from the second run on, v2."""
+
+    def __init__(self, spark, d):
+        self.inner, self.runs, self.snapshots = _connector(spark, d), 0, [I.orders_v1(spark, d), I.orders_v2(spark, d)]
+        self.metadata, self.read_stream = self.inner.metadata, self.inner.read_stream
+
+    def read(self, table, options):
+        return self.snapshots[self.runs]
+
+
+INGESTED = f"""
+with {V2},
+ev as ({SCD1_DELETES})
+select 'events' as destination, cast(user_id as bigint) as k, cast(event_id as bigint) as n, value as x from ev
+union all select '`main`.`sales`.`orders_snap`', o_orderkey, o_custkey, o_totalprice from v2
+union all select 'customer', c_custkey, c_nationkey, c_acctbal from customer
+union all select 'lineitem', l_orderkey, l_linenumber, l_extendedprice from lineitem"""
 
 
-@register("ingest_multi", INGEST_SUMMARY)
+@register("ingest_multi", INGESTED)
 def q_ingest_multi(spark, d):
-    """Four tables, one per ingestion type; one summary row per destination."""
+    """Four tables, one per ingestion type, ingested twice; the second run sees a new snapshot
+    of ``orders`` and nothing new elsewhere. All rows of all destinations."""
     from functools import reduce
     from keelson.plans.ingest import ingest, read_destination
-    from keelson.session import work_dir
     spec = {"connection_name": "parquet-tables", "objects": [
         {"table": {"source_table": "events", "table_configuration": {"tie": "event_id"}}},
         {"table": {"source_table": "orders", "destination_catalog": "main",
@@ -762,12 +763,15 @@ def q_ingest_multi(spark, d):
         {"table": {"source_table": "customer"}},
         {"table": {"source_table": "lineitem"}},
     ]}
-    keys = {"events": "user_id", "`main`.`sales`.`orders_snap`": "o_orderkey",
-            "customer": "c_custkey", "lineitem": "l_orderkey"}
-    plans = ingest(spark, spec, _connector(spark, d), work_dir(spark, "ingest"), buckets=8)
-    parts = [read_destination(spark, p).agg(F.count(F.lit(1)).alias("row_count"),
-                                            F.sum(keys[name]).cast("bigint").alias("key_sum"))
-             .select(F.lit(name).alias("destination"), "row_count", "key_sum")
+    cols = {"events": ("user_id", "event_id", "value"),
+            "`main`.`sales`.`orders_snap`": ("o_orderkey", "o_custkey", "o_totalprice"),
+            "customer": ("c_custkey", "c_nationkey", "c_acctbal"),
+            "lineitem": ("l_orderkey", "l_linenumber", "l_extendedprice")}
+    conn, root = _TwoSnapshots(spark, d), work_dir(spark, "ingest")
+    for conn.runs in (0, 1):
+        plans = ingest(spark, spec, conn, root)
+    parts = [read_destination(spark, p).select(F.lit(name).alias("destination"), F.col(cols[name][0]).cast("bigint").alias("k"),
+                                               F.col(cols[name][1]).cast("bigint").alias("n"), F.col(cols[name][2]).alias("x"))
              for name, p in plans.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -776,12 +780,11 @@ def q_ingest_multi(spark, d):
 def q_ingest_override(spark, d):
     """Spec values beat source metadata: key, sequence and SCD type come from the spec."""
     from keelson.plans.ingest import ParquetTables, ingest, read_destination
-    from keelson.session import work_dir
     conn = ParquetTables(spark, d, {"events": {"primary_keys": ["event_id"], "cursor_field": "event_id",
                                                "ingestion_type": "cdc"}})
     spec = {"objects": [{"table": {"source_table": "events", "destination_table": "latest_by_user",
                                    "table_configuration": {"scd_type": "scd_type_1",
                                                            "primary_keys": '["user_id"]',
                                                            "sequence_by": "ts", "tie": "event_id"}}}]}
-    plans = ingest(spark, spec, conn, work_dir(spark, "ingest-override"), buckets=8)
+    plans = ingest(spark, spec, conn, work_dir(spark, "ingest-override"))
     return read_destination(spark, plans["latest_by_user"])

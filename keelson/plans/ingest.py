@@ -21,6 +21,7 @@ starts (decisions D10–D12).
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import changes as C
 from keelson.streaming import flows as FL
-from keelson.streaming.target import VersionedTarget
+from keelson.streaming.target import ChangeTable, SnapshotTable
 
 # Fixed values of the spec format.
 SCD_TYPE, PRIMARY_KEYS, SEQUENCE_BY = "scd_type", "primary_keys", "sequence_by"
@@ -50,13 +51,11 @@ class TablePlan:
 
 
 def destination_name(obj: dict) -> str:
-    """`catalog`.`schema`.`table` when both catalog and schema are given, else the bare table."""
-    t = obj["table"]
-    table = t.get("destination_table") or t["source_table"]
-    cat, sch = t.get("destination_catalog"), t.get("destination_schema")
-    if cat is None or sch is None:
-        return table
-    return f"`{cat}`.`{sch}`.`{table}`"
+    """The quoted three-part name if the entry gives both outer parts, else the bare table."""
+    entry = obj["table"]
+    parts = [entry.get(f"destination_{part}") for part in ("catalog", "schema")]
+    parts.append(entry.get("destination_table") or entry["source_table"])
+    return parts[-1] if None in parts else ".".join(f"`{part}`" for part in parts)
 
 
 def _keys(value) -> list[str] | None:
@@ -109,35 +108,36 @@ def plan(spec: dict, connector, root: str) -> list[TablePlan]:
     return plans
 
 
-def _run_table(spark: SparkSession, p: TablePlan, connector, version: int, buckets: int) -> None:
+def _change_table(spark: SparkSession, p: TablePlan) -> ChangeTable:
+    mode = f"scd{p.scd_type}" + ("_deletes" if p.ingestion_type == "cdc_with_deletes" else "")
+    return ChangeTable(spark, f"{p.path}/target", p.primary_keys, p.sequence_by, p.options.get("tie"), mode)
+
+
+def _run_table(spark: SparkSession, p: TablePlan, connector, version: int | None) -> None:
     if p.ingestion_type == "append":
         stream = connector.read_stream(p.source_table, p.options)
         FL.run_available(stream, f"{p.path}/_checkpoint", sink=f"{p.path}/data")
-        return
-    target = VersionedTarget(spark, f"{p.path}/target", p.primary_keys, buckets)
-    if p.ingestion_type == "snapshot":
-        snap = connector.read(p.source_table, p.options)
-        if p.scd_type == "1":
-            FL.snapshot_sink(spark, target, snap, version)
-        else:
-            FL.snapshot_history_sink(spark, target, snap, version)
-        return
-    mode = ("scd1" if p.scd_type == "1" else "scd2")
-    stream = connector.read_stream(p.source_table, p.options)
-    if p.ingestion_type == "cdc_with_deletes":
-        mode += "_deletes"
-        dels = connector.read_stream(p.source_table, p.options, deletes=True)
-        stream = C.mark(stream, C.UPSERT).unionByName(C.mark(dels, C.DELETE))
-    sink = FL.ChangeSink(target, p.primary_keys, p.sequence_by, p.options.get("tie"), mode=mode)
-    FL.run_available(stream, f"{p.path}/_checkpoint", batch_fn=sink)
-
-
-def ingest(spark: SparkSession, spec: dict, connector, root: str, version: int = 1,
-           buckets: int = 16) -> dict[str, TablePlan]:
-    """Run every table of ``spec``; returns the plans by destination name."""
+    elif p.ingestion_type == "snapshot":
+        SnapshotTable(spark, f"{p.path}/target", p.primary_keys).write(connector.read(p.source_table, p.options), version)
+    else:
+        sink = FL.ChangeSink(_change_table(spark, p))
+        stream = connector.read_stream(p.source_table, p.options)
+        if p.ingestion_type == "cdc_with_deletes":
+            dels = connector.read_stream(p.source_table, p.options, deletes=True)
+            FL.run_available(C.mark(dels, C.DELETE), f"{p.path}/_checkpoint-deletes", batch_fn=sink)
+            stream = C.mark(stream, C.UPSERT)
+        FL.run_available(stream, f"{p.path}/_checkpoint", batch_fn=sink)
+
+
+def ingest(spark: SparkSession, spec: dict, connector, root: str, version: int | None = None,
+           concurrent: int = 4) -> dict[str, TablePlan]:
+    """Run every table of ``spec``, up to ``concurrent`` at a time; returns the plans by
+    destination name. A further run applies what has changed since: streams resume at their
+    checkpoints, snapshots become the next version (or ``version``)."""
     plans = plan(spec, connector, root)
-    for p in plans:
-        _run_table(spark, p, connector, version, buckets)
+    with ThreadPoolExecutor(max_workers=concurrent) as pool:
+        for done in [pool.submit(_run_table, spark, p, connector, version) for p in plans]:
+            done.result()
     return {p.destination: p for p in plans}
 
 
@@ -145,10 +145,10 @@ def read_destination(spark: SparkSession, p: TablePlan) -> DataFrame | None:
     """The current content of an ingested destination table."""
     if p.ingestion_type == "append":
         return spark.read.parquet(f"{p.path}/data")
-    out = VersionedTarget(spark, f"{p.path}/target", p.primary_keys).read()
-    if out is not None and C.OP in out.columns:
-        out = C.live(out)
-    return out
+    if p.ingestion_type == "snapshot":
+        table = SnapshotTable(spark, f"{p.path}/target", p.primary_keys)
+        return table.read() if p.scd_type == "1" else table.history()
+    return _change_table(spark, p).read()
 
 
 class ParquetTables:
@@ -178,13 +178,8 @@ class ParquetTables:
         return df.select(*cols.split(",")) if cols else df
 
     def read_stream(self, table: str, options: dict, deletes: bool = False) -> DataFrame:
-        schema = self.spark.read.parquet(self._path(table)).schema
-        # a file stream reads a folder; the glob filter keeps this table's file
-        s = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-        for cap in ("maxFilesPerTrigger", "maxBytesPerTrigger"):
-            if options.get(cap):
-                s = s.option(cap, options[cap])
-        df = s.parquet(self.folder)
+        caps = {"files_per_batch": options.get("maxFilesPerTrigger"), "bytes_per_batch": options.get("maxBytesPerTrigger")}
+        df = FL.table_stream(self.spark, self.folder, table, **caps)
         pred = self.meta.get(table, {}).get("delete_when")
         if pred is None:
             return self._select(df, options)

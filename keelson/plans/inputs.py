@@ -36,15 +36,21 @@ def events(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def upserts_of(feed: DataFrame) -> DataFrame:
+    return feed.where(F.col("event_type") != "error")
+
+
+def deletes_of(feed: DataFrame) -> DataFrame:
+    from keelson.operators.changes import make_tombstones
+    return make_tombstones(feed.where(F.col("event_type") == "error"), EVENT_KEYS, EVENT_SEQ, keep=[EVENT_TIE])
+
+
 def event_upserts(spark, sf_dir) -> DataFrame:
-    e = events(spark, sf_dir)
-    return e.where(F.col("event_type") != "error")
+    return upserts_of(events(spark, sf_dir))
 
 
 def event_deletes(spark, sf_dir) -> DataFrame:
-    from keelson.operators.changes import make_tombstones
-    e = events(spark, sf_dir).where(F.col("event_type") == "error")
-    return make_tombstones(e, EVENT_KEYS, EVENT_SEQ, keep=[EVENT_TIE])
+    return deletes_of(events(spark, sf_dir))
 
 
 def orders_v1(spark, sf_dir) -> DataFrame:
@@ -68,7 +74,8 @@ def arrival_batch(df: DataFrame, seq: str, n: int) -> DataFrame:
     cuts = df.agg(F.percentile_approx(num, [i / n for i in range(1, n)], 10_000)).scalar()
     older_cuts = F.lit(0)
     for i in range(1, n):
-        older_cuts = older_cuts + (F.element_at(cuts, i) < num).cast("int")
+        # a row without a sequence value counts as oldest
+        older_cuts = older_cuts + F.coalesce(F.element_at(cuts, i) < num, F.lit(False)).cast("int")
     return df.withColumn("__batch", (F.lit(n - 1) - older_cuts).cast("int"))
 
 
@@ -110,13 +117,14 @@ def customer_pages(spark, sf_dir, shape: str = "results", page_size: int = PAGE_
 
 
 def customer_offset_pages(spark, sf_dir, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Offset-paged bare lists from ``customer``, as a reader would land them.
+    """Offset pages from ``customer``, as a reader would land them: bare lists and objects
+    with ``results`` in turn.
 
     Besides one page per key range there is a trailing empty page (where a reader stops)
     and, after it, a stray page repeating page 0 that must not be read.
     Columns: ``table_name, run_id, page_offset, body``.
     """
-    pages = customer_pages(spark, sf_dir, shape="list", page_size=page_size)
+    pages = customer_pages(spark, sf_dir, shape="mixed", page_size=page_size)
     last = pages.agg(F.max("page")).scalar()
     main = pages.select("table_name", "run_id", (F.col("page") * page_size).alias("page_offset"), "body")
     empty = (pages.where(F.col("page") == 0)

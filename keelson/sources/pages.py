@@ -1,46 +1,77 @@
 """Rows out of landed API page bodies.
 
 Pages are landed as rows ``(table_name, run_id, page | page_offset, request_link,
-next_link, body)``; a body is JSON text. Unnesting is ``parse_json`` → ``variant_get`` →
+next_link, body)``; a body is JSON text. Unnesting is ``try_parse_json`` → ``variant_get`` →
 ``explode``: every page is handled by whichever task holds it, and the rows of one page
 never meet the rows of another. Chain checks (S9, S10) are per (table, run).
+
+A body that is there but can't be parsed (cut off, too large for VARIANT) fails the job in
+strict mode; in permissive mode it gives one row of nulls whose ``_errors`` says so.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.coerce import coerce_variant_column
+from keelson.functions.coerce import ERRORS, coerce_variant_column
 from keelson.functions.stamps import absolute_link
+from keelson.operators.joins import spread_join
 from keelson.operators.ordering import next_in_key
 
 RUN_KEYS = ["table_name", "run_id"]
+_VARIANTS = "array<variant>"
+
+
+def _results(v: Column) -> Column:
+    return F.try_variant_get(v, "$.results", _VARIANTS)
+
 
+def _list(v: Column) -> Column:
+    return F.coalesce(_results(v), F.try_variant_get(v, "$", _VARIANTS))
 
-def _rows(df: DataFrame, elems, schema: T.StructType | None, keep: list[str], mode: str) -> DataFrame:
-    out = df.select(*keep, F.explode(elems).alias("__e"))
+
+def _problem(body: Column, v: Column) -> Column:
+    """A message for a body that is not JSON, else null."""
+    return F.when(body.isNotNull() & v.isNull(), F.concat(F.lit("page body is not JSON: "), F.substring(body, 1, 80)))
+
+
+def _elements(pages: DataFrame, elems, body: str, keep: list[str], mode: str) -> DataFrame:
+    """``keep``, one row per element (``__e``), and ``__page`` with a bad page's problem."""
+    staged = pages.select(*keep, F.col(body).alias("__b"), F.try_parse_json(F.col(body)).alias("__v"))
+    staged = staged.select(*keep, _problem(F.col("__b"), F.col("__v")).alias("__page"), elems(F.col("__v")).alias("__a"))
+    bad = F.col("__page").isNotNull()
+    if mode == "strict":
+        checked = F.when(bad, F.raise_error(F.col("__page")).cast(_VARIANTS)).otherwise(F.col("__a"))
+    else:
+        checked = F.when(bad, F.array(F.lit(None).cast("variant"))).otherwise(F.col("__a"))
+    return staged.select(*keep, "__page", F.explode(checked).alias("__e"))
+
+
+def _rows(rows: DataFrame, schema: T.StructType | None, keep: list[str], mode: str) -> DataFrame:
+    problem = F.when(F.col("__page").isNotNull(), F.array("__page")).otherwise(F.array().cast("array<string>"))
     if schema is None:
-        return out
-    return coerce_variant_column(out, "__e", schema, mode=mode, keep=keep)
+        out = rows if mode == "strict" else rows.withColumn(ERRORS, problem)
+        return out.drop("__page")
+    out = coerce_variant_column(rows, "__e", schema, mode=mode, keep=[*keep, "__page"])
+    if mode == "permissive":
+        out = out.withColumn(ERRORS, F.concat(problem, ERRORS))
+    return out.drop("__page")
 
 
 def unnest_results(pages: DataFrame, schema: T.StructType | None = None, body: str = "body",
                    keep: list[str] | None = None, mode: str = "strict") -> DataFrame:
     """One row per element of ``body.results``; a page without the array gives no rows."""
-    v = F.try_parse_json(F.col(body))
-    elems = F.try_variant_get(v, "$.results", "array<variant>")
-    return _rows(pages, elems, schema, list(keep or []), mode)
+    keep = list(keep or [])
+    return _rows(_elements(pages, _results, body, keep, mode), schema, keep, mode)
 
 
 def unnest_list(pages: DataFrame, schema: T.StructType | None = None, body: str = "body",
                 keep: list[str] | None = None, mode: str = "strict") -> DataFrame:
     """Rows of a bare-list body, or of ``.results`` when the body is an object."""
-    v = F.try_parse_json(F.col(body))
-    elems = F.coalesce(F.try_variant_get(v, "$.results", "array<variant>"),
-                       F.try_variant_get(v, "$", "array<variant>"))
-    return _rows(pages, elems, schema, list(keep or []), mode)
+    keep = list(keep or [])
+    return _rows(_elements(pages, _list, body, keep, mode), schema, keep, mode)
 
 
 def page_chain(pages: DataFrame, base: str, order: str = "page") -> DataFrame:
@@ -72,18 +103,23 @@ def page_chain(pages: DataFrame, base: str, order: str = "page") -> DataFrame:
 
 
 def stop_at_short_page(pages: DataFrame, page_size: int = 100, body: str = "body",
-                       offset: str = "page_offset") -> DataFrame:
+                       offset: str = "page_offset", mode: str = "strict") -> DataFrame:
     """An offset chain stops at the first empty or short page; later pages are dropped.
 
-    The stop offset is a per-(table, run) minimum (partial aggregate), joined back on the
-    run keys; pages after it are never unnested.
+    A page is a bare list or an object with ``results``. A page that can't be parsed fails
+    the job in strict mode; in permissive mode its rows are unknown, so it does not end the
+    chain, and unnesting it reports it. The stop offset is a per-(table, run) minimum
+    (partial aggregate), joined back so that a run of any length can be split over tasks.
     """
-    n = F.size(F.try_variant_get(F.try_parse_json(F.col(body)), "$", "array<variant>"))
-    d = pages.withColumn("__n", F.coalesce(n, F.lit(0)))
-    stops = (d.where(F.col("__n") < page_size).groupBy(*RUN_KEYS)
-             .agg(F.min(offset).alias("__stop")))
-    d = d.join(stops, RUN_KEYS, "left")
-    return d.where(F.col("__stop").isNull() | (F.col(offset) <= F.col("__stop"))).drop("__n", "__stop")
+    v = F.try_parse_json(F.col(body))
+    d = pages.select("*", v.alias("__v"))
+    problem = _problem(F.col(body), F.col("__v"))
+    n = F.coalesce(F.size(_list(F.col("__v"))), F.lit(0))
+    n = F.when(problem.isNotNull(), F.raise_error(problem).cast("int") if mode == "strict" else F.lit(page_size)).otherwise(n)
+    sizes = d.select(*RUN_KEYS, offset, n.alias("__n"))
+    stops = sizes.where(F.col("__n") < page_size).groupBy(*RUN_KEYS).agg(F.min(offset).alias("__stop"))
+    d = spread_join(pages, stops, RUN_KEYS, "left")
+    return d.where(F.col("__stop").isNull() | (F.col(offset) <= F.col("__stop"))).select(*pages.columns)
 
 
 def derived_table(parents: DataFrame, array_path: str, parent_id: str, fill: str,
@@ -93,26 +129,22 @@ def derived_table(parents: DataFrame, array_path: str, parent_id: str, fill: str
 
     One row per element; elements that are not objects are skipped, and so are parents
     whose value is not a list. ``fill`` takes the parent's ``parent_id`` when the child
-    lacks the key (exact: key absent; lenient: absent or null).
+    lacks the key (exact: key absent; lenient: absent or null). The child is filled first
+    and then typed as a whole, so an empty child is a row and a bad parent id is an error.
+    Permissive mode adds ``_errors``.
     """
-    v = F.try_parse_json(F.col(body))
-    pid = F.try_variant_get(v, f"$.{parent_id}", "variant")
-    elems = F.try_variant_get(v, f"$.{array_path}", "array<variant>")
-    d = parents.select(pid.alias("__pid"), F.explode(elems).alias("__e"))
-    d = d.where(F.schema_of_variant("__e").startswith("OBJECT"))
+    staged = parents.select(F.col(body).alias("__b"), F.try_parse_json(F.col(body)).alias("__v"))
+    v = F.col("__v")
+    staged = staged.select(F.try_variant_get(v, f"$.{parent_id}", "variant").alias("__pid"), F.col("__b").alias(body))
+    d = _elements(staged, lambda x: F.try_variant_get(x, f"$.{array_path}", _VARIANTS), body, ["__pid"], mode)
+    d = d.where(F.col("__page").isNotNull() | F.schema_of_variant("__e").startswith("OBJECT"))
     own = F.try_variant_get(F.col("__e"), f"$['{fill}']", "variant")
-    if exact:
-        present = own.isNotNull()  # absent → SQL null; explicit JSON null → variant null
-        filled = F.when(present, own).otherwise(F.col("__pid"))
-    else:
-        filled = F.when(own.isNull() | F.is_variant_null(own), F.col("__pid")).otherwise(own)
-    # put the filled key back into the element, then type the whole element
-    d = d.select(F.col("__e"), filled.alias("__fill"))
-    typed = coerce_variant_column(d, "__e", schema, mode=mode, keep=["__fill"])
-    fill_type = schema[fill].dataType
-    from keelson.functions.coerce import coerce as _coerce_one
-    fill_val, _ = _coerce_one(F.col("__fill"), fill_type)
-    return typed.withColumn(fill, fill_val).drop("__fill").select(*schema.fieldNames())
+    lacks = own.isNull() if exact else own.isNull() | F.is_variant_null(own)
+    members = F.try_variant_get(F.col("__e"), "$", "map<string,variant>")
+    others = F.map_filter(members, lambda k, _: k != fill)
+    filled = F.to_variant_object(F.map_concat(others, F.create_map(F.lit(fill), F.col("__pid"))))
+    d = d.select("__page", F.when(F.col("__page").isNull() & lacks, filled).otherwise(F.col("__e")).alias("__e"))
+    return _rows(d, schema, [], mode)
 
 
 def nested_array_rows(df: DataFrame, col: str, keep: list[str] | None = None,

@@ -1,5 +1,5 @@
 """Targets and Structured Streaming flows: append, SCD 1/2, deletes, snapshots."""
 
-from keelson.streaming.target import VersionedTarget
+from keelson.streaming.target import ChangeTable, SnapshotTable
 
-__all__ = ["VersionedTarget"]
+__all__ = ["ChangeTable", "SnapshotTable"]

@@ -3,35 +3,42 @@
 Every flow reads files with ``spark.readStream`` (offsets and the exact file list of each
 micro-batch live in the checkpoint) and runs with ``trigger(availableNow=True)``: it
 processes what is there and stops, and the next run resumes at the checkpoint. Change
-flows apply each micro-batch with ``foreachBatch`` to a ``VersionedTarget``, keyed by
-batch id, so a replayed batch is skipped and a failed one is rewritten.
+flows write each micro-batch with ``foreachBatch`` to a ``ChangeTable`` under the id of the
+streaming query and of the batch, so a batch that is offered again replaces itself.
+
+The given tables are streamed as they are, by a filter on their file names; nothing is
+copied first.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.operators import changes as C
-from keelson.operators.snapshot import snapshot_changes
 from keelson.plans import inputs as I
 from keelson.session import work_dir
-from keelson.streaming.target import VersionedTarget
+from keelson.streaming.target import ChangeTable, SnapshotTable
+
 
-SCD_MODES = ("scd1", "scd2", "scd1_deletes", "scd2_deletes")
+def snapshot_scan(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Batch read of a whole table."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def stage_files(df: DataFrame, path: str, n_files: int, by: str | None = None,
-                mode: str = "errorifexists") -> str:
-    """Land ``df`` as about ``n_files`` parquet files (hash of ``by``: arrival ≠ sequence order)."""
-    out = df.repartition(n_files, F.xxhash64(F.col(by))) if by else df.repartition(n_files)
-    out.write.mode(mode).parquet(path)
-    return path
+def table_stream(spark: SparkSession, folder: str, table: str, **caps) -> DataFrame:
+    """S3: the table ``<folder>/<table>.parquet`` (a file or a folder of files) as a stream."""
+    path = f"{folder.rstrip('/')}/{table}.parquet"
+    schema = spark.read.parquet(path).schema
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(fs_path).isDirectory():
+        return file_stream(spark, path, schema, **caps)
+    return file_stream(spark, folder, schema, glob=f"{table}.parquet", **caps)
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None,
-                bytes_per_batch: int | None = None) -> DataFrame:
+                bytes_per_batch: int | None = None, glob: str | None = None) -> DataFrame:
     """Incremental read of a folder of files; resumes from the checkpoint of its query.
 
     A micro-batch is capped by file count or by bytes (one of the two); a row-exact cap is
@@ -40,6 +47,8 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     if files_per_batch and bytes_per_batch:
         raise ValueError("cap a micro-batch by files or by bytes, not both")
     r = spark.readStream.schema(schema)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:
@@ -64,108 +73,131 @@ def run_available(stream: DataFrame, checkpoint: str, *, sink: str | None = None
     return q
 
 
+def query_id(spark: SparkSession) -> str:
+    """Id of the streaming query on whose thread this runs: new with every new checkpoint."""
+    found = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not inside a streaming query")
+    return found
+
+
 class ChangeSink:
-    """K2: ``foreachBatch`` function applying each micro-batch to a versioned target."""
-
-    def __init__(self, target: VersionedTarget, keys: list[str], seq: str, tie: str | None,
-                 mode: str = "scd1", fail_once_after_write: bool = False):
-        if mode not in SCD_MODES:
-            raise ValueError(f"mode must be one of {SCD_MODES}")
-        self.target, self.keys, self.seq, self.tie, self.mode = target, keys, seq, tie, mode
-        self._fail = fail_once_after_write
-
-    def merge(self, current: DataFrame | None, batch: DataFrame) -> DataFrame:
-        k, s, t = self.keys, self.seq, self.tie
-        if self.mode == "scd1":
-            return C.scd1_upsert(current, batch, k, s, t, only_touched=True)
-        if self.mode == "scd2":
-            return C.scd2_history(current, batch, k, s, t)
-        ups = batch.where(F.col(C.OP) == C.UPSERT).drop(C.OP)
-        dels = batch.where(F.col(C.OP) == C.DELETE).drop(C.OP)
-        if self.mode == "scd1_deletes":
-            return C.scd1_with_deletes(current, ups, dels, k, s, t, only_touched=True)
-        return C.scd2_with_deletes(current, ups, dels, k, s, t)
+    """K2: ``foreachBatch`` function adding each micro-batch to a change table.
+
+    ``after_write`` runs after a batch is written and before it counts as done (tests use
+    it to fail there).
+    """
+
+    def __init__(self, table: ChangeTable, after_write=None):
+        self.table, self.after_write = table, after_write
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.table.write(batch, query_id(batch.sparkSession), batch_id)
+        if self.after_write:
+            self.after_write(batch_id)
+
+
+class RowCap:
+    """T8, row-exact: applies each micro-batch as pieces of at most ``n`` rows by cursor.
+
+    Pieces follow ``batch_cap``: rows of one cursor value stay together, so a piece may
+    exceed ``n`` by its last group of ties. ``apply(piece, k)`` is called for k = 0, 1, ...
+    """
+
+    def __init__(self, cursor: str, n: int, apply):
+        self.cursor, self.n, self.apply = cursor, n, apply
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if self.target.committed(batch_id):
-            return
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read twice: buckets, merge
-        try:
-            buckets = self.target.touched(batch)
-            if not buckets:
-                return
-            current = self.target.read(buckets)
-            self.target.write_data(batch_id, self.merge(current, batch))
-            if self._fail:  # fault injection for the replay test: data written, log not
-                self._fail = False
-                raise RuntimeError("injected failure after data write")
-            self.target.write_log(batch_id, buckets)
-        finally:
-            batch.unpersist()
-
-    def read(self) -> DataFrame | None:
-        out = self.target.read()
-        if out is not None and self.mode == "scd1_deletes":
-            return C.live(out)
-        return out
+        from keelson.operators.cursor import after_cursor, batch_cap, end_offset
+        c, k, start = F.col(self.cursor), 0, None
+        known = batch.where(c.isNotNull())
+        while True:
+            rest = known if start is None else after_cursor(known, self.cursor, start)
+            piece = batch_cap(rest, self.cursor, self.n)
+            end = end_offset(piece, self.cursor).first()[0]
+            if end is None or end == start:
+                break
+            self.apply(piece, k)
+            start, k = end, k + 1
+        unknown = batch.where(c.isNull())
+        if unknown.limit(1).count():
+            self.apply(unknown, k)
 
 
 # ---------------------------------------------------------------- runs on the given tables
-def _events_source(spark, sf_dir, base: str, n_files: int = 20) -> str:
-    return stage_files(I.events(spark, sf_dir), f"{base}/src/events", n_files, by=I.EVENT_TIE)
+def _table(spark: SparkSession, base: str, mode: str) -> ChangeTable:
+    return ChangeTable(spark, f"{base}/target", I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE, mode)
 
 
-def stream_scd(spark: SparkSession, sf_dir: str, mode: str = "scd1", files_per_batch: int = 5,
-               buckets: int = 8) -> DataFrame:
-    """T4/T5: events files → SCD 1 or SCD 2 target, several micro-batches."""
+def stream_scd(spark: SparkSession, sf_dir: str, mode: str = "scd1", files_per_batch: int = 5) -> DataFrame:
+    """T4/T5: events → SCD 1 or SCD 2 table."""
     base = work_dir(spark, f"stream-{mode}")
-    src = _events_source(spark, sf_dir, base)
-    schema = I.events(spark, sf_dir).schema
-    sink = ChangeSink(VersionedTarget(spark, f"{base}/target", I.EVENT_KEYS, buckets),
-                      I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE, mode=mode)
-    run_available(file_stream(spark, src, schema, files_per_batch), f"{base}/chk", batch_fn=sink)
-    return sink.read()
+    table = _table(spark, base, mode)
+    run_available(table_stream(spark, sf_dir, "events", files_per_batch=files_per_batch), f"{base}/chk",
+                  batch_fn=ChangeSink(table))
+    return table.read()
 
 
-def stream_deletes(spark: SparkSession, sf_dir: str, mode: str = "scd1_deletes",
-                   files_per_batch: int = 4, buckets: int = 8) -> DataFrame:
-    """An upsert stream and a delete stream into one target (one query over their union)."""
+def _event_flows(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Upserts and tombstones of the feed, each a stream of its own."""
+    ups = I.upserts_of(table_stream(spark, sf_dir, "events", files_per_batch=files_per_batch))
+    dels = I.deletes_of(table_stream(spark, sf_dir, "events", files_per_batch=files_per_batch))
+    return ups, dels
+
+
+def stream_deletes(spark: SparkSession, sf_dir: str, mode: str = "scd1_deletes", files_per_batch: int = 4) -> DataFrame:
+    """An upsert stream and a delete stream, two queries with their own checkpoints, into
+    one table; the deletes run first, so every upsert they outdate arrives late."""
     base = work_dir(spark, "stream-deletes")
-    ups_src = stage_files(I.event_upserts(spark, sf_dir), f"{base}/src/upserts", 12, by=I.EVENT_TIE)
-    del_src = stage_files(I.event_deletes(spark, sf_dir), f"{base}/src/deletes", 4, by=I.EVENT_TIE)
-    schema = I.events(spark, sf_dir).schema
-    ups = C.mark(file_stream(spark, ups_src, schema, files_per_batch), C.UPSERT)
-    dels = C.mark(file_stream(spark, del_src, schema, files_per_batch), C.DELETE)
-    sink = ChangeSink(VersionedTarget(spark, f"{base}/target", I.EVENT_KEYS, buckets),
-                      I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE, mode=mode)
-    run_available(ups.unionByName(dels), f"{base}/chk", batch_fn=sink)
-    return sink.read()
+    ups, dels = _event_flows(spark, sf_dir, files_per_batch)
+    table = _table(spark, base, mode)
+    run_available(C.mark(dels, C.DELETE), f"{base}/chk-deletes", batch_fn=ChangeSink(table))
+    run_available(C.mark(ups, C.UPSERT), f"{base}/chk-upserts", batch_fn=ChangeSink(table))
+    return table.read()
 
 
-def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A micro-batch fails after writing its data; the restarted query replays it.
+class InjectedFailure(RuntimeError):
+    pass
 
-    The replay rewrites the unlogged version and the result is as if nothing failed.
-    """
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A micro-batch fails after writing its data; the restarted query replays it."""
     base = work_dir(spark, "stream-replay")
-    src = _events_source(spark, sf_dir, base, n_files=8)
-    schema = I.events(spark, sf_dir).schema
-    target = VersionedTarget(spark, f"{base}/target", I.EVENT_KEYS, 8)
-    sink = ChangeSink(target, I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE, fail_once_after_write=True)
+    table, calls = _table(spark, base, "scd1"), []
+
+    def fail_once(batch_id: int) -> None:
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise InjectedFailure("injected failure after data write")
+
+    run = lambda: run_available(table_stream(spark, sf_dir, "events", files_per_batch=2), f"{base}/chk",
+                                batch_fn=ChangeSink(table, after_write=fail_once))
     try:
-        run_available(file_stream(spark, src, schema, 2), f"{base}/chk", batch_fn=sink)
-    except Exception:  # noqa: BLE001 - the injected failure
-        pass
-    run_available(file_stream(spark, src, schema, 2), f"{base}/chk", batch_fn=sink)
-    return sink.read()
+        run()
+    except Exception as e:
+        if "injected failure after data write" not in str(e):
+            raise
+    else:
+        raise RuntimeError("the injected failure did not reach the query")
+    run()
+    if calls[:2] != [0, 0]:
+        raise RuntimeError(f"batch 0 was not replayed: {calls}")
+    return table.read()
 
 
-def append_run(spark: SparkSession, sf_dir: str, files_per_batch: int = 5) -> DataFrame:
+def append_run(spark: SparkSession, sf_dir: str, table: str = "events", files_per_batch: int = 5) -> DataFrame:
     """Append flow into a parquet file sink (exactly once by the sink's log)."""
     base = work_dir(spark, "append")
-    src = _events_source(spark, sf_dir, base)
-    schema = I.events(spark, sf_dir).schema
-    run_available(file_stream(spark, src, schema, files_per_batch), f"{base}/chk", sink=f"{base}/out")
+    run_available(table_stream(spark, sf_dir, table, files_per_batch=files_per_batch), f"{base}/chk", sink=f"{base}/out")
+    return spark.read.parquet(f"{base}/out")
+
+
+def capped_run(spark: SparkSession, sf_dir: str, n: int = 1000) -> DataFrame:
+    """S3 with a row cap: the events stream appended in pieces of about ``n`` rows by cursor;
+    ``piece`` numbers them."""
+    base = work_dir(spark, "capped")
+    cap = RowCap(I.EVENT_SEQ, n, lambda piece, k: piece.write.mode("overwrite").parquet(f"{base}/out/piece={k}"))
+    run_available(table_stream(spark, sf_dir, "events"), f"{base}/chk", batch_fn=cap)
     return spark.read.parquet(f"{base}/out")
 
 
@@ -175,76 +207,54 @@ def resume_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = I.arrival_batch(I.events(spark, sf_dir), I.EVENT_SEQ, 2)
     schema = I.events(spark, sf_dir).schema
     src = f"{base}/src/events"
-    stage_files(ev.where(F.col("__batch") == 0).drop("__batch"), src, 6, by=I.EVENT_TIE)
-    run_available(file_stream(spark, src, schema, 2), f"{base}/chk", sink=f"{base}/out")
-    stage_files(ev.where(F.col("__batch") == 1).drop("__batch"), src, 6, by=I.EVENT_TIE, mode="append")
-    run_available(file_stream(spark, src, schema, 2), f"{base}/chk", sink=f"{base}/out")
+    for k in range(2):
+        ev.where(F.col("__batch") == k).drop("__batch").write.mode("append").parquet(src)
+        run_available(file_stream(spark, src, schema, 2), f"{base}/chk", sink=f"{base}/out")
     return spark.read.parquet(f"{base}/out")
 
 
 def delete_feed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delete feed read as its own stream with its own checkpoint."""
+    """The source opened in delete mode gives its deleted rows, with a checkpoint of its own."""
     base = work_dir(spark, "delete-feed")
-    src = stage_files(I.event_deletes(spark, sf_dir), f"{base}/src/deletes", 4, by=I.EVENT_TIE)
-    schema = I.events(spark, sf_dir).schema
-    run_available(file_stream(spark, src, schema, 2), f"{base}/chk", sink=f"{base}/out")
+    _, dels = _event_flows(spark, sf_dir, 2)
+    run_available(dels, f"{base}/chk", sink=f"{base}/out")
     return spark.read.parquet(f"{base}/out")
 
 
-def snapshot_sink(spark: SparkSession, target: VersionedTarget, snapshot: DataFrame, version: int) -> bool:
-    """K3: bring the target to ``snapshot``; only buckets with a changed key are rewritten."""
-    if target.committed(version):
-        return False
-    current = target.read()
-    if current is None:
-        target.replace(version, snapshot)
-        return True
-    changed = snapshot_changes(current, snapshot, target.keys)
-    buckets = target.touched(changed)
-    if buckets:
-        snap = snapshot.withColumn("__b", target.bucket_of(snapshot))
-        rows = snap.where(F.col("__b").isin(buckets)).drop("__b")
-        target.commit(version, rows, buckets)
-    return True
-
-
-def snapshot_history_sink(spark: SparkSession, target: VersionedTarget, snapshot: DataFrame,
-                          version) -> bool:
-    """K3 for SCD 2: close/open versions at ``version``; only buckets with a change are rewritten."""
-    from keelson.operators.changes import END_AT
-    from keelson.operators.snapshot import snapshot_scd2
-    if target.committed(version):
-        return False
-    history = target.read()
-    if history is None:
-        target.replace(version, snapshot_scd2(None, snapshot, target.keys, version))
-        return True
-    current = history.where(F.col(END_AT).isNull()).drop("__START_AT", END_AT)
-    buckets = target.touched(snapshot_changes(current, snapshot, target.keys))
-    if buckets:
-        in_b = lambda df: df.where(target.bucket_of(df).isin(buckets))
-        target.commit(version, snapshot_scd2(in_b(history), in_b(snapshot), target.keys, version), buckets)
-    return True
-
-
-def snapshot_sink_run(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
-    base = work_dir(spark, "snapshot-sink")
-    target = VersionedTarget(spark, f"{base}/target", I.ORDER_KEYS, buckets)
-    snapshot_sink(spark, target, I.orders_v1(spark, sf_dir), 1)
-    snapshot_sink(spark, target, I.orders_v2(spark, sf_dir), 2)
-    return target.read()
-
-
-def upsert_sink_run(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
-    """K2: initial batch load of half the feed, then the other half streamed into the sink."""
+def snapshot_sink_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = SnapshotTable(spark, f"{work_dir(spark, 'snapshot-sink')}/target", I.ORDER_KEYS)
+    table.write(I.orders_v1(spark, sf_dir), 1)
+    table.write(I.orders_v2(spark, sf_dir), 2)
+    return table.read()
+
+
+def upsert_sink_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: half of the feed loaded as a batch, then the whole feed streamed into the sink by a
+    query whose batch numbers start at 0 again."""
     base = work_dir(spark, "upsert-sink")
+    table = _table(spark, base, "scd1")
     ev = I.arrival_batch(I.events(spark, sf_dir), I.EVENT_SEQ, 2)
-    target = VersionedTarget(spark, f"{base}/target", I.EVENT_KEYS, buckets)
-    first = ev.where(F.col("__batch") == 0).drop("__batch")
-    target.replace(0, C.scd1_upsert(None, first, I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE))
-    src = stage_files(ev.where(F.col("__batch") == 1).drop("__batch"), f"{base}/src", 6, by=I.EVENT_TIE)
-    sink = ChangeSink(target, I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE)
-    # micro-batch ids start at 0 again in a new query; offset them past the initial load
-    run_available(file_stream(spark, src, I.events(spark, sf_dir).schema, 2), f"{base}/chk",
-                  batch_fn=lambda df, bid: sink(df, bid + 1))
-    return sink.read()
+    table.write(ev.where(F.col("__batch") == 0).drop("__batch"), "initial-load", 0)
+    run_available(table_stream(spark, sf_dir, "events", files_per_batch=2), f"{base}/chk", batch_fn=ChangeSink(table))
+    return table.read()
+
+
+def partitioned_scan(spark: SparkSession, path: str, cursor: str | None = None, start=None, end=None) -> DataFrame:
+    """Spark's own split file scan; rows with ``start`` < cursor <= ``end`` (typed, pushed to
+    the scan), rows without a cursor value always kept."""
+    df = spark.read.parquet(path)
+    return df if cursor is None else cursor_slice(df, cursor, start, end)
+
+
+def cursor_slice(df: DataFrame, cursor: str, start=None, end=None) -> DataFrame:
+    c, kind = F.col(cursor), df.schema[cursor].dataType
+    typed = lambda v: F.lit(v).cast(kind)
+    if start is not None:
+        df = df.where(c.isNull() | (c > typed(start)))
+    return df if end is None else df.where(c.isNull() | (c <= typed(end)))
+
+
+def partitioned_stream(spark: SparkSession, folder: str, table: str, cursor: str | None = None, start=None, end=None, **caps) -> DataFrame:
+    """The same as a stream: each micro-batch is split by Spark over the executors."""
+    df = table_stream(spark, folder, table, **caps)
+    return df if cursor is None else cursor_slice(df, cursor, start, end)

@@ -1,146 +1,134 @@
-"""A keyed, versioned parquet target for change application (K2, K3).
+"""A table kept as its changes.
 
-No table format with MERGE is available, so the target is plain parquet laid out as::
+Each batch of changes is one folder of Parquet, named by where it came from::
 
-    <path>/data/v=<version>/bucket=<b>/part-*.parquet
-    <path>/_log/v=<version>/part-*.json      one row per bucket rewritten by that version
+    <path>/source=<query or load id>/batch=<batch id>/part-*.parquet
 
-Rows go to ``bucket = pmod(xxhash64(keys), buckets)``. A version rewrites only the buckets
-its changes touch; the live table is, per bucket, the latest logged version. The log row
-is written by Spark after the data, so a version without its log entry is invisible and
-is simply overwritten when the same batch id is replayed; a logged version is skipped.
-Reads list only the folders of live versions (at most one per bucket, however long the
-history) and prune to the live (version, bucket) pairs at planning time.
+A batch is reduced by key (SCD 1) and written as it is; what a batch costs follows the
+batch, never the table. Writing a batch again overwrites its folder, so a replay after a
+failure changes nothing, and batches of another query (a new checkpoint) are other folders.
+The table is resolved when it is read, by the same change operators that batch jobs use;
+their result does not depend on order or batching, so no commit order is needed.
+``compacted`` writes the resolved state as one batch of a new table. Where the table format
+has row-level operations, ``keelson.operators.changes.merge_into`` merges in place instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-BUCKET = "bucket"
-VERSION = "v"
+from keelson.operators import changes as C
+
+MODES = ("scd1", "scd2", "scd1_deletes", "scd2_deletes")
+_PLACE = ("source", "batch")
 
 
-class VersionedTarget:
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
-        self._live: dict[int, int] | None = None  # {bucket: version}, loaded once from the log
-        self._last = -1  # highest logged version; versions are applied in increasing order
-        self._schema: str | None = None  # JSON of the row schema, kept in every log entry
+class ChangeTable:
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], seq: str, tie: str | None = None,
+                 mode: str = "scd1"):
+        if mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
+        self.spark, self.path, self.keys, self.seq, self.tie, self.mode = spark, path.rstrip("/"), list(keys), seq, tie, mode
 
-    # ---------------------------------------------------------------- log
-    def _log(self) -> DataFrame | None:
+    def write(self, changes: DataFrame, source: str, batch: int) -> None:
+        """Add one batch; the same (source, batch) again replaces it."""
+        if self.mode.startswith("scd1"):
+            changes = C.latest_per_key(changes, self.keys, self.seq, self.tie)
+        changes.write.mode("overwrite").parquet(f"{self.path}/source={source}/batch={batch}")
+
+    def changes(self) -> DataFrame | None:
+        """All rows written so far; None before the first batch."""
         try:
-            return self.spark.read.schema("bucket int, schema string").json(f"{self.path}/_log")
+            rows = self.spark.read.parquet(self.path)
         except AnalysisException:
             return None
+        return rows.drop(*_PLACE)
 
-    def _load(self) -> None:
-        """Read the log once (one small Spark job); later commits update the cache."""
-        if self._live is not None:
-            return
-        self._live, self._last = {}, -1
-        log = self._log()
-        if log is None:
-            return
-        rows = log.groupBy(BUCKET).agg(F.max(VERSION).alias("v")).collect()  # <= buckets rows
-        self._live = {r[BUCKET]: r["v"] for r in rows}
-        self._last = max(self._live.values(), default=-1)
-        self._schema = log.agg(F.max_by("schema", VERSION)).first()[0]
-
-    def refresh(self) -> None:
-        """Forget the cached log (another writer may have committed)."""
-        self._live = None
-
-    def live_versions(self) -> dict[int, int]:
-        """{bucket: version} of the live table (at most ``buckets`` entries)."""
-        self._load()
-        return dict(self._live)
-
-    def committed(self, version: int) -> bool:
-        """True for a version at or below the last logged one (stream batch ids only grow;
-        a replay after a failure re-offers the last, unlogged batch)."""
-        self._load()
-        return version <= self._last
-
-    def _logged(self, version: int, buckets: list[int]) -> None:
-        self._load()
-        self._last = max(self._last, version)
-        for b in buckets:
-            self._live[b] = max(version, self._live.get(b, version))
-
-    # ---------------------------------------------------------------- read
-    def bucket_of(self, df: DataFrame):
-        return F.pmod(F.xxhash64(*[df[k] for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
-        """The live rows (optionally of some buckets only); None before the first commit."""
-        live = self.live_versions()
-        if buckets is not None:
-            live = {b: v for b, v in live.items() if b in set(buckets)}
-        if not live:
+    def state(self) -> DataFrame | None:
+        """The resolved table with its tombstones: pass it on, or ``read`` it."""
+        rows = self.changes()
+        if rows is None:
             return None
-        # list only the folders of live versions (at most one per bucket), never the history
-        versions = sorted(set(live.values()))
-        reader = self.spark.read.option("basePath", f"{self.path}/data")
-        if self._schema:  # a version whose buckets all ended empty has no file to infer from
-            fields = StructType.fromJson(json.loads(self._schema)).fields
-            reader = reader.schema(StructType(fields + [StructField(VERSION, IntegerType()),
-                                                        StructField(BUCKET, IntegerType())]))
-        data = reader.parquet(*[f"{self.path}/data/{VERSION}={v}" for v in versions])
-        cond = F.lit(False)
-        for b, v in sorted(live.items()):
-            cond = cond | ((F.col(BUCKET) == b) & (F.col(VERSION) == v))
-        return data.where(cond).drop(BUCKET, VERSION)
-
-    # ---------------------------------------------------------------- write
-    def touched(self, changes: DataFrame) -> list[int]:
-        """Buckets hit by ``changes`` (at most ``buckets`` small ints reach the driver)."""
-        return [r[0] for r in changes.select(self.bucket_of(changes).alias("b")).distinct().collect()]
-
-    def commit(self, version: int, rows: DataFrame, buckets: list[int]) -> None:
-        """Write ``rows`` as the new content of ``buckets`` at ``version``, then log it."""
-        # AQE rebalance: few files per bucket, hot buckets split, small ones merged
-        self.write_data(version, rows)
-        self.write_log(version, buckets)
-
-    def write_data(self, version: int, rows: DataFrame) -> None:
-        self._schema = rows.schema.json()
-        out = rows.withColumn(BUCKET, self.bucket_of(rows))
-        (out.hint("rebalance", BUCKET)
-            .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/{VERSION}={version}"))
-
-    def write_log(self, version: int, buckets: list[int]) -> None:
-        # at most ``buckets`` literals, built on the JVM side (no Python data transfer)
-        log = self.spark.range(1).select(
-            F.explode(F.array(*[F.lit(int(b)).cast("int") for b in buckets])).alias(BUCKET),
-            F.lit(self._schema).cast("string").alias("schema"))
-        log.write.mode("overwrite").json(f"{self.path}/_log/{VERSION}={version}")
-        self._logged(version, buckets)
-
-    def apply(self, version: int, changes: DataFrame,
-              merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> bool:
-        """Apply one batch of changes idempotently: read touched buckets, merge, commit.
-
-        ``merge(current_rows_or_None, changes)`` returns the new rows of those buckets.
-        Returns False when ``version`` was already committed (a replayed batch).
-        """
-        if self.committed(version):
-            return False
-        buckets = self.touched(changes)
-        if not buckets:
-            return False
-        current = self.read(buckets)
-        self.commit(version, merge(current, changes), buckets)
-        return True
-
-    def replace(self, version: int, rows: DataFrame) -> None:
-        """Write every bucket from ``rows`` (initial load or full snapshot)."""
-        self.commit(version, rows, list(range(self.buckets)))
+        if self.mode.startswith("scd1"):
+            return C.latest_per_key(rows, self.keys, self.seq, self.tie)
+        return C.history_of(rows, self.keys, self.seq, self.tie)
+
+    def read(self) -> DataFrame | None:
+        """The table as its readers see it."""
+        state = self.state()
+        return None if state is None else C.live(state)
+
+    def compacted(self, path: str) -> ChangeTable:
+        """The same table below ``path`` as a single batch: its resolved rows are changes
+        that resolve to themselves. Later batches may go to either table until readers move."""
+        new = ChangeTable(self.spark, path, self.keys, self.seq, self.tie, self.mode)
+        state = self.state()
+        if state is not None:
+            state.drop(C.START_AT, C.END_AT).write.mode("overwrite").parquet(f"{new.path}/source=compacted/batch=0")
+        return new
+
+
+class SnapshotTable:
+    """Snapshots of a source by version, each one folder ``version=<n>`` of what changed.
+
+    The first version holds the snapshot, every later one the keys that differ from the
+    state before it (rows of the new snapshot, or tombstones); what is written follows the
+    difference. SCD 1 and SCD 2 are both read from the same rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+
+    def changes(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException:
+            return None
+
+    def last_version(self) -> int | None:
+        rows = self.changes()
+        return None if rows is None else rows.agg(F.max("version")).first()[0]
+
+    def write(self, snapshot: DataFrame, version: int | None = None) -> int:
+        """Apply a snapshot as ``version`` (default: the next one); the last version again
+        replaces it, an older one is an error."""
+        last = self.last_version()
+        if version is None:
+            version = 0 if last is None else last + 1
+        if last is not None and version < last:
+            raise ValueError(f"snapshot version {version} is older than {last}")
+        before = self.as_of(version - 1)
+        if before is None:
+            rows = C.mark(snapshot, C.UPSERT)
+        else:
+            from keelson.operators.snapshot import CHANGE, snapshot_changes
+            diff = snapshot_changes(before, snapshot, self.keys)
+            values = [c for c in snapshot.columns if c not in self.keys]
+            rows = diff.select(*self.keys, *[F.col("__new").getField(c).alias(c) for c in values],
+                               F.when(F.col(CHANGE) == "delete", C.DELETE).otherwise(C.UPSERT).alias(C.OP))
+            rows = rows.select(*snapshot.columns, C.OP)
+        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        return version
+
+    def as_of(self, version: int) -> DataFrame | None:
+        """The snapshot that ``version`` stood for; None if there was none yet."""
+        rows = self.changes()
+        if rows is None:
+            return None
+        rows = rows.where(F.col("version") <= version)
+        if rows.limit(1).count() == 0:
+            return None
+        return C.live(C.latest_per_key(rows, self.keys, "version")).drop("version")
+
+    def read(self) -> DataFrame | None:
+        last = self.last_version()
+        return None if last is None else self.as_of(last)
+
+    def history(self) -> DataFrame | None:
+        """SCD 2: every version of a key with the snapshot versions it was valid for."""
+        rows = self.changes()
+        return None if rows is None else C.live(C.history_of(rows, self.keys, "version")).drop("version")
+
+

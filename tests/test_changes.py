@@ -1,9 +1,11 @@
 """Change application: arrival order and batching do not change the target (E1–E4, E9),
-skew splitting gives the plain window's answer, snapshot and cursor edge cases."""
+range order gives the plain window's answer, snapshot and cursor edge cases."""
 
 import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -83,22 +85,100 @@ def test_null_sequence_fails(spark):
         C.latest_per_key(df, ["k"], "s").collect()
 
 
-def test_skew_split_equals_window(spark, events):
-    """Force every key to be hot: the split plan must give the plain window's answer."""
-    w = Window.partitionBy(*K).orderBy(S, T_)
-    want = _rows(events.withColumn("n", F.lead(F.struct(S, T_)).over(w)))
-    got = next_in_key(events, K, [S, T_], out="n", rows_per_group=3, max_splits=8)
-    assert _rows(got.select(*events.columns, "n")) == want
-
-
-def test_skew_split_with_one_hot_key(spark):
+@pytest.mark.parametrize("kind", ["timestamp", "string", "bigint"])
+def test_next_in_key_spreads_a_hot_key(spark, kind):
+    """Sequences of any type: the plain window's answer, with the hot key in many ranges."""
     ts = datetime.datetime(2024, 1, 1)
-    rows = [(0 if i % 3 else i, ts + datetime.timedelta(seconds=i), i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "k long, s timestamp, t long")
+    rows = [(0 if i % 3 else i if i % 2 else None, ts + datetime.timedelta(seconds=i), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, s timestamp, t long").withColumn(
+        "s", F.col("s").cast(kind) if kind != "string" else F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     w = Window.partitionBy("k").orderBy("s", "t")
-    want = _rows(df.withColumn("n", F.lead(F.struct("s", "t")).over(w)))
-    got = next_in_key(df, ["k"], ["s", "t"], out="n", rows_per_group=100, max_splits=64)
-    assert _rows(got.select("k", "s", "t", "n")) == want
+    want = sorted((tuple(r) for r in df.withColumn("n", F.lead(F.struct("s", "t")).over(w)).collect()), key=str)
+    got = next_in_key(df, ["k"], ["s", "t"], out="n")
+    assert sorted((tuple(r) for r in got.select("k", "s", "t", "n").collect()), key=str) == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = df.repartitionByRange("k", "s", "t").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        again = next_in_key(df, ["k"], ["s", "t"], out="n")
+        assert sorted((tuple(r) for r in again.select("k", "s", "t", "n").collect()), key=str) == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(ranged) > 1 and max(r["count"] for r in ranged) < 1500     # 2000 rows of one key, split
+
+
+FEED = [(1, 1, "upsert", "a"), (1, 5, "delete", None), (1, 10, "upsert", "c"), (1, 10, "upsert", "d"), (2, 3, "delete", None),
+        (2, 3, "upsert", "x"), (None, 2, "upsert", "n"), (None, 4, "upsert", "m"), (3, 7, "upsert", "q"), (3, 7, "upsert", "q")]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.permutations(FEED), st.lists(st.integers(0, len(FEED)), max_size=3))
+def test_any_split_and_order_with_deletes(spark, feed, cuts):
+    """E3 and E4 over any batches in any order: equal sequences without a tie, null keys,
+    replayed rows and deletes that arrive before what they delete."""
+    schema = "k int, s int, _op string, v string"
+
+    def run(batches, step, view):
+        state = None
+        for rows in batches:
+            df = spark.createDataFrame(rows, schema)
+            ups, dels = (df.where(F.col("_op") == op).drop("_op") for op in ("upsert", "delete"))
+            state = step(state, ups, dels)
+            state = spark.createDataFrame(state.collect(), state.schema)
+        return sorted((tuple(r) for r in view(state).collect()), key=str)
+
+    edges = [0, *sorted(cuts), len(feed)]
+    batches = [feed[a:b] for a, b in zip(edges, edges[1:]) if b > a]
+    for touched in (False, True):
+        one = lambda s, u, d: C.scd1_with_deletes(s, u, d, ["k"], "s", only_touched=touched)  # noqa: E731, B023
+        assert run(batches, one, C.live) == run([FEED], one, C.live)
+    two = lambda s, u, d: C.scd2_with_deletes(s, u, d, ["k"], "s")
+    got = run(batches, two, C.live_history)
+    assert got == run([FEED], two, C.live_history)
+    assert (1, 1, "a", 1, 5) in got and len(got) == 6 + 1
+
+
+def test_two_versions_of_one_sequence_are_kept(spark):
+    one = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 2, "c")], "k int, s int, v string")
+    whole = _rows(C.scd2_history(None, one, ["k"], "s"))
+    parts = C.scd2_history(C.scd2_history(None, one.where("v <> 'b'"), ["k"], "s"), one.where("v = 'b'"), ["k"], "s")
+    assert len(whole) == 3 and _rows(parts) == whole
+
+
+def test_null_keys_are_one_key(spark):
+    df = spark.createDataFrame([(None, 1, "a")], "k int, s int, v string")
+    new = spark.createDataFrame([(None, 2, "b")], "k int, s int, v string")
+    for touched in (False, True):
+        assert _rows(C.scd1_upsert(df, new, ["k"], "s", only_touched=touched)) == [(None, 2, "b")]
+
+
+def test_touch_upsert_of_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "2024-01-01", "old"), (9, "2024-01-01", "stay")], "k int, at string, v string")
+    rows = spark.createDataFrame([(1, None, "x"), (1, "2024-03-01", "y"), (2, "2024-02-01", "n"), (3, None, "m")], target.schema)
+    got = _rows(C.touch_upsert(target, rows, ["k"], "at", "2024-06-01"))
+    assert got == [(1, "2024-06-01", "y"), (2, "2024-02-01", "n"), (3, "2024-06-01", "m"), (9, "2024-01-01", "stay")]
+
+
+def test_quarantine_splits_off_rows_without_sequence(spark):
+    df = spark.createDataFrame([(1, 5), (2, None)], "k int, s int")
+    good, bad = C.quarantine(df, "s")
+    assert _rows(good) == [(1, 5)] and _rows(bad) == [(2, None)]
+
+
+def test_merge_into_needs_a_table_with_row_operations(spark):
+    df = spark.createDataFrame([(1, 5, "a")], "k int, s int, v string")
+    with pytest.raises(Exception):
+        C.merge_into(spark, "no_such_table", df, ["k"], "s")
+
+
+def test_snapshot_history_has_one_join(spark):
+    from keelson.operators.snapshot import snapshot_scd1, snapshot_scd2
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    b = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d")], "k int, v string")
+    hist = snapshot_scd2(snapshot_scd2(None, a, ["k"], 1), b, ["k"], 2)
+    assert _rows(hist.fillna(-1)) == [(1, "a", 1, -1), (2, "b", 1, 2), (2, "x", 2, -1), (3, "c", 1, 2), (4, "d", 2, -1)]
+    plan = hist._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join ") == 1
+    assert "Join" not in snapshot_scd1(a, b, ["k"])._jdf.queryExecution().sparkPlan().toString()
 
 
 def test_snapshot_diff_classes(spark):

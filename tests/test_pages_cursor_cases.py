@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +36,12 @@ def test_results_missing_gives_no_rows(spark):
 
 
 def test_two_pages_relative_link(spark):
-    p = _pages(spark, [{"results": [{"id": "1"}], "next_link": "/next-page?cursor=abc"},
+    p = _pages(spark, [{"results": [{"id": "1"}], "next_link": "/items/more?after=k17"},
                        {"results": [{"id": "2"}], "next_link": None}],
-               links=[f"{BASE}items", "/next-page?cursor=abc"],
-               nexts=["/next-page?cursor=abc", None])
+               links=[f"{BASE}items", "/items/more?after=k17"],
+               nexts=["/items/more?after=k17", None])
     chain = {r.page: (r.status, r.next_abs) for r in P.page_chain(p, BASE).collect()}
-    assert chain[0] == ("ok", "https://api.example.test/v1/next-page?cursor=abc")
+    assert chain[0] == ("ok", "https://api.example.test/v1/items/more?after=k17")
     assert chain[1][0] == "end"
     assert P.unnest_results(p, ROW).count() == 2
 
@@ -74,6 +75,32 @@ def test_list_or_results_object(spark):
     assert sorted(r.id for r in P.unnest_list(p, ROW).collect()) == ["1", "2"]
 
 
+def _broken(spark):
+    """Three pages, the middle one cut off."""
+    rows = [("items", "r1", i * 2, body) for i, body in enumerate(
+        ['{"results": [{"id": "1"}, {"id": "2"}]}', '{"results": [{"id": "3"}, {"id"', '[{"id": "5"}, {"id": "6"}]', '[{"id": "7"}]'])]
+    return spark.createDataFrame(rows, "table_name string, run_id string, page_offset int, body string")
+
+
+@pytest.mark.parametrize("read", [P.unnest_results, P.unnest_list])
+def test_a_page_that_is_cut_off_is_an_error(spark, read):
+    p = _broken(spark)
+    with pytest.raises(Exception, match="page body is not JSON"):
+        read(p, ROW).collect()
+    with pytest.raises(Exception, match="page body is not JSON"):
+        P.stop_at_short_page(p, 2).collect()
+    rows = read(P.stop_at_short_page(p, 2, mode="permissive"), ROW, keep=["page_offset"], mode="permissive").collect()
+    assert [(r.id, len(r._errors)) for r in rows if r.page_offset == 2] == [(None, 1)]
+    if read is P.unnest_list:                            # the bad page did not end the chain
+        assert sorted(r.id for r in rows if r.id) == ["1", "2", "5", "6", "7"]
+
+
+def test_object_pages_count_as_pages(spark):
+    full = [{"id": str(i)} for i in range(100)]
+    p = _pages(spark, [{"results": full}, full, {"results": full[:3]}, full])
+    assert P.unnest_list(P.stop_at_short_page(p), ROW).count() == 203
+
+
 CHILD = T.StructType([T.StructField("id", T.StringType()), T.StructField("company_id", T.StringType())])
 
 
@@ -96,6 +123,18 @@ def test_derived_table_cases(spark):
     assert lenient["e3"] == "c4"
 
 
+def test_derived_children_are_filled_before_they_are_typed(spark):
+    need = T.StructType([T.StructField("id", T.LongType()), T.StructField("company_id", T.LongType(), False)])
+    parents = _parents(spark, [{"id": 7, "kids": [{}, {"id": 1}, {"id": 2, "company_id": 9}]}])
+    got = P.derived_table(parents, "kids", "id", "company_id", need).collect()
+    assert sorted(map(tuple, got), key=str) == [(1, 7), (2, 9), (None, 7)]
+    bad = _parents(spark, [{"id": "zz", "kids": [{"id": 4}]}])
+    with pytest.raises(Exception, match="cannot convert zz"):
+        P.derived_table(bad, "kids", "id", "company_id", need).collect()
+    row = P.derived_table(bad, "kids", "id", "company_id", need, mode="permissive").first()
+    assert (row.id, row.company_id) == (4, None) and "zz" in row._errors[0]
+
+
 def test_nested_array_rows_keeps_empty_parents(spark):
     df = spark.createDataFrame([(1, [("a", "x")]), (2, [])],
                                "id int, emails array<struct<value:string, type:string>>")
@@ -109,18 +148,18 @@ def _ts_rows(spark, values):
 
 
 def test_first_read_and_offset(spark):
-    df = _ts_rows(spark, ["2024-06-15T00:00:00Z"])
+    df = _ts_rows(spark, ["2023-03-19T00:00:00Z"])
     assert R.after_cursor(df, "updated_at", None).count() == 1
-    assert R.end_offset(df, "updated_at").first().end_offset == "2024-06-15T00:00:00Z"
+    assert R.end_offset(df, "updated_at").first().end_offset == "2023-03-19T00:00:00Z"
 
 
 def test_filter_equal_and_repeat(spark):
-    df = _ts_rows(spark, ["2024-05-01T00:00:00Z", "2024-07-01T00:00:00Z"])
-    start = "2024-06-01T00:00:00Z"
+    df = _ts_rows(spark, ["2023-02-11T00:00:00Z", "2023-04-23T00:00:00Z"])
+    start = "2023-03-05T00:00:00Z"
     got = R.after_cursor(df, "updated_at", start)
-    assert [r.updated_at for r in got.collect()] == ["2024-07-01T00:00:00Z"]
+    assert [r.updated_at for r in got.collect()] == ["2023-04-23T00:00:00Z"]
     end = R.end_offset(got, "updated_at", start).first().end_offset
-    assert end == "2024-07-01T00:00:00Z"
+    assert end == "2023-04-23T00:00:00Z"
     again = R.after_cursor(df, "updated_at", end)          # equal to the cursor: nothing
     assert again.count() == 0
     assert R.end_offset(again, "updated_at", end).first().end_offset == end
@@ -140,3 +179,13 @@ def test_lookback_rereads(spark):
                                "id int, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     assert R.lookback(df, "ts", "2024-01-03 00:00:00", "3 days").count() == 2
     assert R.lookback(df, "ts", "2024-01-03 00:00:00", "1 day").count() == 1
+
+
+@pytest.mark.parametrize("cursor,interval,bound", [
+    ("2024-01-21T12:00:00Z", "3 days", "2024-01-18T12:00:00Z"), ("2024-01-21 12:00:00.250", "12 hours", "2024-01-21 00:00:00.250"),
+    ("2024-01-21T12:00:00+02:00", "1 day", "2024-01-20T12:00:00+02:00"), ("2024-01-21", "7 days", "2024-01-14")])
+def test_lookback_on_text_cursors(spark, cursor, interval, bound):
+    """The bound is written in the cursor's form: a row at it is dropped, one after it kept."""
+    after = bound[:-1] + chr(ord(bound[-1]) + 1)
+    df = spark.createDataFrame([(bound,), (after,), (bound[:10] if len(bound) > 10 else "2024-01-13",), (None,)], "c string")
+    assert {r.c for r in R.lookback(df, "c", cursor, interval).collect()} == {after, None}

@@ -1,10 +1,7 @@
-"""Scale helpers: shared scratch folder, partition sizing, bounded hot-key detection."""
+"""Scale helpers: shared scratch folder, partition sizing, joins with hot keys."""
 
-import datetime
+import pytest
 
-from pyspark.sql import functions as F
-
-from keelson.operators.ordering import hot_keys, with_subgroups
 from keelson.session import shuffle_partitions_for, work_dir
 
 
@@ -24,13 +21,30 @@ def test_shuffle_partitions_for():
     assert shuffle_partitions_for(10 * 2**30, per_partition=256 << 20) == 200
 
 
-def test_hot_key_list_is_bounded(spark):
-    ts = datetime.datetime(2024, 1, 1)
-    rows = [(i % 7, ts + datetime.timedelta(seconds=i)) for i in range(700)]
-    df = spark.createDataFrame(rows, "k long, s timestamp")
-    assert len(hot_keys(df, ["k"], rows_per_group=50, max_hot_keys=3)) == 3
-    assert hot_keys(df, ["k"], rows_per_group=1000) == []
-    split, was_split = with_subgroups(df, ["k"], "s", rows_per_group=50, max_hot_keys=3, max_splits=4)
-    assert was_split
-    subs = {r.k: r.n for r in split.groupBy("k").agg(F.count_distinct("__sub").alias("n")).collect()}
-    assert sorted(subs.values()) == [1, 1, 1, 1, 2, 2, 2]   # three hot keys cut, the rest whole
+def test_session_sizes_shuffles_for_its_input():
+    from keelson.session import build_session
+    import inspect
+    assert "input_bytes" in inspect.signature(build_session).parameters
+
+
+def test_work_dir_demands_a_shared_folder_off_local_mode(monkeypatch):
+    from types import SimpleNamespace
+    conf = SimpleNamespace(get=lambda *a: None)
+    fake = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(fake)
+
+
+def test_spread_join_exchanges_both_sides(spark):
+    """An aggregated side is exchanged anew, so adaptive execution can split the other."""
+    from keelson.operators.joins import spread_join
+    left = spark.range(100).selectExpr("id % 3 as k", "id as v")
+    right = left.groupBy("k").count()
+    joined = spread_join(left, right, ["k"]).hint("merge")
+    assert joined.count() == 100
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spread_join(left, right, ["k"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(k") >= 3

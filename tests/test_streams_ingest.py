@@ -1,51 +1,95 @@
-"""Streaming restart, replay and idempotence; the landed-parquet source; ingest validation."""
+"""Streaming restart, replay and idempotence; change and snapshot tables; ingest."""
 
 import pytest
 from pyspark.sql import functions as F
 
+from keelson.operators import changes as C
 from keelson.plans import inputs as I
-from keelson.plans.ingest import ParquetTables, destination_name, plan
+from keelson.plans.ingest import ParquetTables, destination_name, ingest, plan, read_destination
 from keelson.session import work_dir
 from keelson.streaming import flows as FL
-from keelson.streaming.target import VersionedTarget
+from keelson.streaming.target import ChangeTable, SnapshotTable
+
+K, S, T_ = I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def _land(df, path, n=1, mode="errorifexists"):
+    df.repartition(n).write.mode(mode).parquet(path)
+    return path
 
 
 def test_restart_without_new_files_adds_nothing(spark, sf_small):
     base = work_dir(spark, "t-restart")
-    src = FL.stage_files(I.events(spark, sf_small), f"{base}/src", 4, by="event_id")
+    src = _land(I.events(spark, sf_small), f"{base}/src", 4)
     schema = I.events(spark, sf_small).schema
     for _ in range(2):
         FL.run_available(FL.file_stream(spark, src, schema, 1), f"{base}/chk", sink=f"{base}/out")
     assert spark.read.parquet(f"{base}/out").count() == I.events(spark, sf_small).count()
 
 
-def test_replayed_batch_is_skipped(spark, sf_small):
-    base = work_dir(spark, "t-idem")
-    target = VersionedTarget(spark, f"{base}/t", I.EVENT_KEYS, 4)
-    sink = FL.ChangeSink(target, I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE)
+def test_a_batch_written_again_replaces_itself(spark, sf_small):
+    table = ChangeTable(spark, f"{work_dir(spark, 't-idem')}/t", K, S, T_)
     ev = I.events(spark, sf_small)
-    sink(ev, 0)
-    before = sorted(tuple(r) for r in target.read().collect())
-    sink(ev.limit(5).withColumn("value", F.lit(-1.0)), 0)   # same batch id again: skipped
-    assert sorted(tuple(r) for r in target.read().collect()) == before
-    fresh = VersionedTarget(spark, f"{base}/t", I.EVENT_KEYS, 4)  # log read from storage
-    assert fresh.committed(0) and not fresh.committed(1)
-
-
-def test_landed_stream_honours_end(spark, sf_small):
-    from keelson.sources.landed import _StreamReader
-    base = work_dir(spark, "t-landed")
-    src = FL.stage_files(I.events(spark, sf_small), f"{base}/ev", 3, by="event_id")
-    schema = I.events(spark, sf_small).schema
-    r = _StreamReader({"path": src, "cursor": "ts"}, schema)
-    end = r.latestOffset()
-    mid = {"cursor": "2024-01-03T00:00:00"}
-    first = sum(b.num_rows for p in r.partitions(r.initialOffset(), mid) for b in r.read(p))
-    rest = sum(b.num_rows for p in r.partitions(mid, end) for b in r.read(p))
-    total = I.events(spark, sf_small).count()
-    assert first + rest == total
-    assert first == I.events(spark, sf_small).where(F.col("ts") <= "2024-01-03 00:00:00").count()
-    assert r.partitions(end, end) == []
+    table.write(ev, "q1", 0)
+    once = _rows(table.read())
+    table.write(ev, "q1", 0)
+    assert _rows(table.read()) == once == _rows(C.latest_per_key(ev, K, S, T_))
+    assert table.changes().count() == len(once)          # reduced by key before it was written
+
+
+def test_a_new_checkpoint_on_an_old_table_loses_nothing(spark, sf_small):
+    base = work_dir(spark, "t-newchk")
+    ev = I.events(spark, sf_small)
+    table = ChangeTable(spark, f"{base}/t", K, S, T_)
+    src = _land(ev, f"{base}/a", 3)
+    FL.run_available(FL.file_stream(spark, src, ev.schema, 1), f"{base}/chk1", batch_fn=FL.ChangeSink(table))
+    later = ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 90 DAY")).withColumn("value", F.lit(-1.0)).limit(5)
+    later = spark.createDataFrame(later.collect(), ev.schema)
+    src2 = _land(later, f"{base}/b")
+    FL.run_available(FL.file_stream(spark, src2, ev.schema, 1), f"{base}/chk2", batch_fn=FL.ChangeSink(table))
+    assert _rows(table.read()) == _rows(C.latest_per_key(ev.unionByName(later), K, S, T_))
+
+
+@pytest.mark.parametrize("mode", ["scd1", "scd2", "scd1_deletes", "scd2_deletes"])
+def test_compaction_changes_nothing(spark, sf_small, mode):
+    base = work_dir(spark, "t-compact")
+    ups, dels = I.event_upserts(spark, sf_small), I.event_deletes(spark, sf_small)
+    feed = (C.union_changes(C.mark(ups, C.UPSERT), C.mark(dels, C.DELETE)) if mode.endswith("deletes")
+            else I.events(spark, sf_small))
+    table = ChangeTable(spark, f"{base}/t", K, S, T_, mode)
+    table.write(feed.where("event_id % 2 = 0"), "load", 0)
+    whole = ChangeTable(spark, f"{base}/w", K, S, T_, mode)
+    whole.write(feed, "load", 0)
+    small = table.compacted(f"{base}/c")
+    small.write(feed.where("event_id % 2 = 1"), "load", 1)
+    assert _rows(small.read()) == _rows(whole.read())
+
+
+def test_cursor_slices_keep_rows_without_cursor(spark):
+    """Integer and text cursors compare by type; rows without a value are always delivered."""
+    path = f"{work_dir(spark, 't-slice')}/x"
+    df = spark.createDataFrame([(i, str(i)) for i in (9, 10, 11, 100)] + [(None, None)], "c int, t string")
+    df.write.parquet(path)
+    assert _rows(FL.partitioned_scan(spark, path, "c", 9, 100).select("c")) == [(10,), (100,), (11,), (None,)]
+    assert _rows(FL.partitioned_scan(spark, path, "c", "10", None).select("c")) == [(100,), (11,), (None,)]
+    assert _rows(FL.partitioned_scan(spark, path, "t", "10", "11").select("t")) == [("100",), ("11",), (None,)]
+    plan_ = FL.partitioned_scan(spark, path, "c", 9, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(c,9)" in plan_ and "LessThanOrEqual(c,100)" in plan_
+
+
+def test_row_cap_cuts_a_stream_by_cursor(spark):
+    base = work_dir(spark, "t-cap")
+    df = spark.createDataFrame([(i, i // 3) for i in range(30)] + [(99, None)], "id int, c int")
+    src = _land(df, f"{base}/src")
+    pieces = []
+    cap = FL.RowCap("c", 4, lambda piece, k: pieces.append(sorted(r.id for r in piece.collect())))
+    FL.run_available(FL.file_stream(spark, src, df.schema), f"{base}/chk", batch_fn=cap)
+    assert [len(p) for p in pieces] == [6, 6, 6, 6, 6, 1]
+    assert sorted(sum(pieces, [])) == [*range(30), 99]
 
 
 def _conn(spark, sf):
@@ -85,63 +129,66 @@ def test_destination_names():
                                        "destination_schema": "s", "destination_table": "t"}}) == "`c`.`s`.`t`"
 
 
+class _Snapshots:
+    def __init__(self, frames):
+        self.frames = list(frames)
+
+    def metadata(self, table):
+        return {"primary_keys": ["k"], "ingestion_type": "snapshot"}
+
+    def read(self, table, options):
+        return self.frames.pop(0)
+
+
+@pytest.mark.parametrize("scd", ["SCD_TYPE_1", "SCD_TYPE_2"])
+def test_a_second_ingest_applies_the_new_snapshot(spark, scd):
+    from keelson.operators.snapshot import snapshot_scd2
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d"), (5, "e"), (6, "f"), (7, "g")], "k int, v string")
+    spec = {"objects": [{"table": {"source_table": "t", "table_configuration": {"scd_type": scd}}}]}
+    root, conn = work_dir(spark, "t-snap-ingest"), _Snapshots([old, new, new])
+    for _ in range(3):                                  # the third run sees nothing new
+        plans = ingest(spark, spec, conn, root)
+    got = read_destination(spark, plans["t"])
+    want = new if scd == "SCD_TYPE_1" else snapshot_scd2(snapshot_scd2(None, old, ["k"], 0), new, ["k"], 1)
+    assert _rows(got.select(*want.columns)) == _rows(want)
+
+
 def test_ingest_twice_is_idempotent(spark, sf_small):
-    from keelson.plans.ingest import ingest, read_destination
     conn = ParquetTables(spark, sf_small, {
         "events": {"primary_keys": ["user_id"], "cursor_field": "ts", "ingestion_type": "cdc"},
         "orders": {"primary_keys": ["o_orderkey"], "ingestion_type": "snapshot"},
         "region": {"ingestion_type": "append"}})
     spec = {"objects": [{"table": {"source_table": t}} for t in ("events", "orders", "region")]}
     root = work_dir(spark, "t-ingest-twice")
-    first = {n: sorted(tuple(r) for r in read_destination(spark, p).collect())
-             for n, p in ingest(spark, spec, conn, root, buckets=4).items()}
-    second = {n: sorted(tuple(r) for r in read_destination(spark, p).collect())
-              for n, p in ingest(spark, spec, conn, root, buckets=4).items()}
+    first = {n: _rows(read_destination(spark, p)) for n, p in ingest(spark, spec, conn, root).items()}
+    second = {n: _rows(read_destination(spark, p)) for n, p in ingest(spark, spec, conn, root).items()}
     assert first == second
     assert len(first["region"]) == 5 and len(first["orders"]) == I.table(spark, sf_small, "orders").count()
 
 
-def test_snapshot_history_sink_rewrites_changed_buckets(spark, sf_small):
+def test_snapshot_table_writes_only_what_changed(spark, sf_small):
     from keelson.operators.snapshot import snapshot_scd2
-    base = work_dir(spark, "t-snap2")
-    target = VersionedTarget(spark, f"{base}/t", I.ORDER_KEYS, 8)
+    table = SnapshotTable(spark, f"{work_dir(spark, 't-snap')}/t", I.ORDER_KEYS)
     v1, v2 = I.orders_v1(spark, sf_small), I.orders_v2(spark, sf_small)
-    FL.snapshot_history_sink(spark, target, v1, 1)
-    FL.snapshot_history_sink(spark, target, v2, 2)
-    want = snapshot_scd2(snapshot_scd2(None, v1, I.ORDER_KEYS, 1), v2, I.ORDER_KEYS, 2)
-    got = target.read().select(*want.columns)
-    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
-    assert not FL.snapshot_history_sink(spark, target, v2, 2)   # same version again: skipped
-
-
-def test_target_survives_emptied_buckets(spark, sf_small):
-    base = work_dir(spark, "t-empty")
-    target = VersionedTarget(spark, f"{base}/t", ["o_orderkey"], 4)
-    orders = I.table(spark, sf_small, "orders")
-    target.replace(0, orders)
-    target.replace(1, orders.limit(0))          # every bucket rewritten empty
-    fresh = VersionedTarget(spark, f"{base}/t", ["o_orderkey"], 4)
-    out = fresh.read()
-    assert out.count() == 0 and out.columns == orders.columns
-
-
-def test_landed_source_pushes_filters(spark, sf_small):
-    import datetime
-    from keelson.sources.landed import register
-    fmt = register(spark)
-    base = work_dir(spark, "t-push")
-    src = FL.stage_files(I.events(spark, sf_small), f"{base}/ev", 3, by="event_id")
-    ev = I.events(spark, sf_small)
-    df = spark.read.format(fmt).option("path", src).load()
-    cond = (F.col("ts") > datetime.datetime(2024, 1, 3)) & F.col("event_type").isin("click", "view") \
-        & (F.col("user_id") <= 50)
-    assert sorted(tuple(r) for r in df.where(cond).collect()) == sorted(tuple(r) for r in ev.where(cond).collect())
-    assert df.where(F.col("props").isNull()).count() == ev.where(F.col("props").isNull()).count()
+    assert (table.write(v1), table.write(v2)) == (0, 1)
+    table.write(v2, 1)                                  # the same version again
+    want = snapshot_scd2(snapshot_scd2(None, v1, I.ORDER_KEYS, 0), v2, I.ORDER_KEYS, 1)
+    assert _rows(table.history().select(*want.columns)) == _rows(want)
+    assert _rows(table.read()) == _rows(v2) and _rows(table.as_of(0)) == _rows(v1)
+    same = v1.join(v2, v1.columns, "left_semi").count()
+    assert table.changes().where("version = 1").count() == v1.join(v2, "o_orderkey", "full").count() - same
+    with pytest.raises(ValueError, match="older"):
+        table.write(v1, 0)
+    empty = SnapshotTable(spark, f"{work_dir(spark, 't-snap-empty')}/t", I.ORDER_KEYS)
+    empty.write(v1)
+    empty.write(v1.limit(0))
+    assert empty.read().count() == 0 and empty.read().columns == v1.columns
 
 
 def test_bytes_per_batch_cap(spark, sf_small):
     base = work_dir(spark, "t-bytes")
-    src = FL.stage_files(I.events(spark, sf_small), f"{base}/src", 6, by="event_id")
+    src = _land(I.events(spark, sf_small), f"{base}/src", 6)
     schema = I.events(spark, sf_small).schema
     batches = []
     FL.run_available(FL.file_stream(spark, src, schema, bytes_per_batch=1), f"{base}/chk",
