@@ -241,10 +241,12 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[object, int, int]:
     segments = shares.select("part", "bits") if subs == 1 else (
         shares.select("part", "bits").groupBy("part").applyInArrow(_either, "part int, bits binary"))
     size = FILTER_BITS // PARTS // 8
-    bits = bytearray(FILTER_BITS // 8)
+    held = bytearray(FILTER_BITS // 8)
     for row in segments.toLocalIterator():                    # FILTER_BITS in all, whatever the input
-        bits[row.part * size:(row.part + 1) * size] = row.bits
-    flat = spark.sparkContext.broadcast((bytes(bits), n, v))
+        held[row.part * size:(row.part + 1) * size] = row.bits
+    bits = bytes(held)
+    del held
+    flat = spark.sparkContext.broadcast((bits, n, v))
     grid = np.array(WEIGHTS)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +265,8 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[object, int, int]:
         likelihood[row.level, row.k] = row.s
     weights = grid[likelihood.argmax(axis=1)]
     weights[0] = 0.0
-    return spark.sparkContext.broadcast((bytes(bits), n, v, weights)), n, v
+    flat.destroy()
+    return spark.sparkContext.broadcast((bits, n, v, weights)), n, v
 
 
 def block_words(docs: DataFrame) -> DataFrame:
