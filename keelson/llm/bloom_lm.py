@@ -34,7 +34,7 @@ BLOCK_ROWS = 2048
 #: Training rows per hash partition and task; more rows make more tasks per partition.
 ROWS_PER_SUB = 1 << 22
 #: Tokens that a task holds before it hands on counts.
-HELD_TOKENS = 1 << 21
+HELD_TOKENS = 1 << 19
 LEVELS = 48
 WEIGHTS = (0.0, 0.001, 0.01, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97)
 END = b"\n"
@@ -332,7 +332,7 @@ def score(docs: DataFrame) -> DataFrame:
         for text in left.column("text"):
             held.append(tokens(text.as_py()))
             size += len(held[-1])
-            if size >= HELD_TOKENS // 4:
+            if size >= HELD_TOKENS:
                 flush()
                 size = 0
         if held:
