@@ -30,15 +30,16 @@ FILTER_BITS = 1 << 29
 PARTS = 1 << 10
 HASHES = 4
 #: Rows of a file that share one table of exact counts.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 4096
 #: Training rows per hash partition and task; more rows make more tasks per partition.
 ROWS_PER_SUB = 1 << 22
 #: Tokens that a task holds before it hands on counts.
 HELD_TOKENS = 1 << 19
 LEVELS = 48
-WEIGHTS = (0.0, 0.001, 0.01, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97)
+WEIGHTS = (0.0, 0.001, 0.01, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.97)
 END = b"\n"
-_BITS = np.uint64(FILTER_BITS // PARTS)
+_BITS = FILTER_BITS // PARTS
+_IN_SEGMENT = np.uint64(_BITS - 1)
 #: Expected count of each level.
 _COUNT = np.array([0.0] + [(2.0 ** (q - 1) + 2.0 ** q - 1) / 2 for q in range(1, LEVELS + 1)])
 
@@ -129,10 +130,17 @@ def _counter(subs: int):
     return run
 
 
-def _positions(key: np.ndarray, level: int, which: int) -> np.ndarray:
-    """Bit of (n-gram, level) for one of the hash functions, within the n-gram's segment."""
-    ident = key >> np.uint64(22)
-    return _mix(ident * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level * HASHES + which + 1)) % _BITS
+class _Probes:
+    """Bits of n-grams in their segments, by double hashing: probe number ``k`` of a level
+    is the first hash plus a multiple of the second."""
+
+    def __init__(self, key: np.ndarray):
+        self.first = _mix((key >> np.uint64(22)) * np.uint64(0x9E3779B97F4A7C15))
+        self.step = (self.first >> np.uint64(32)) | np.uint64(1)
+
+    def at(self, level: int, which: int, chosen: np.ndarray | slice = slice(None)) -> np.ndarray:
+        k = np.uint64(level * HASHES + which)
+        return (self.first[chosen] + k * self.step[chosen]) & _IN_SEGMENT
 
 
 def _levels(n: np.ndarray) -> np.ndarray:
@@ -151,15 +159,16 @@ def _segment(table: pa.Table) -> pa.Table:
     w, wn = _merge(get("words", np.uint64), get("word_n", np.uint32))
     once = get("once", np.uint32)
     g, gn = _merge(once + get("grams", np.uint32), [np.ones(len(x), np.uint32) for x in once] + get("gram_n", np.uint32))
-    bits = np.zeros(int(_BITS), np.uint8)
+    bits = np.zeros(_BITS, np.uint8)
     key = (np.uint64(part) << np.uint64(54)) | (g.astype(np.uint64) << np.uint64(22))
     for keys, q in ((w, _levels(wn)), (key, _levels(gn))):
+        probes, live = _Probes(keys), np.arange(len(keys))
         level = 1
-        while len(keys):
+        while len(live):
             for i in range(HASHES):
-                bits[_positions(keys, level, i).astype(np.int64)] = 1
+                bits[probes.at(level, i, live).astype(np.int64)] = 1
             level += 1
-            keys, q = keys[q >= level], q[q >= level]
+            live = live[q[live] >= level]
     return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
                      "n": pa.array([int(wn.sum())], pa.int64()), "v": pa.array([len(w)], pa.int64())})
 
@@ -178,18 +187,22 @@ class Filter:
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Expected count of each key, 0 if it is not there."""
-        found, back = np.unique(keys, return_inverse=True)
-        level = np.zeros(len(found), np.int64)
-        base = (found >> np.uint64(54)) * _BITS
-        live = np.arange(len(found))
+        level = np.zeros(len(keys), np.int8)
+        base, probes = (keys >> np.uint64(54)) * np.uint64(_BITS), _Probes(keys)
+        live = np.arange(len(keys))
         for j in range(1, LEVELS + 1):
             for i in range(HASHES):
-                p = (base[live] + _positions(found[live], j, i)).astype(np.int64)
-                live = live[(self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1]
+                p = base[live] + probes.at(j, i, live)
+                live = live[(self.bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
             if not len(live):
                 break
             level[live] = j
-        return _COUNT[level][back]
+        return _COUNT[level]
+
+    def counts_of_repeated(self, keys: np.ndarray) -> np.ndarray:
+        """The same for keys that occur again and again: each is looked up once."""
+        found, back = np.unique(keys, return_inverse=True)
+        return self.counts(found)[back]
 
 
 class Model:
@@ -202,7 +215,7 @@ class Model:
         """Per token: add-one unigram probability, bigram share and history level. ``h``:
         token hashes of whole texts one after another."""
         end = hashes([END])
-        uni = self.filter.counts(_unigram_key(np.concatenate([end, h])))
+        uni = self.filter.counts_of_repeated(_unigram_key(np.concatenate([end, h])))
         before, uni = uni[:-1], uni[1:]
         both = self.filter.counts(bigram_hashes(h))
         out = 1.0 if left_out else 0.0
@@ -254,8 +267,12 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[object, int, int]:
         total = np.zeros((LEVELS + 1, len(grid)))
         for h in _batched(t.as_py() for b in batches for t in b.column(0)):
             p1, share, level = model.parts(h, left_out=True)
+            # likelihood relative to the unigram's: only where the bigram was seen is it more than 1 - w
+            seen = share > 0
+            unseen = np.bincount(level[~seen], minlength=LEVELS + 1)
+            gain, level = share[seen] / p1[seen], level[seen]
             for k, w in enumerate(grid):
-                total[:, k] += np.bincount(level, np.log10(w * share + (1 - w) * np.minimum(p1, 1.0)), LEVELS + 1)
+                total[:, k] += unseen * np.log10(1 - w) + np.bincount(level, np.log10(w * gain + (1 - w)), LEVELS + 1)
         at = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()), pa.array(total[at])],
                                          names=["level", "k", "s"])
