@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.session import checkpointed
+
 
 def _is_text(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, T.StringType)
@@ -127,12 +129,33 @@ def limit_rows(df: DataFrame, col: str | None, keys: list[str], n: int | None,
 def page_slice(df: DataFrame, col: str | None, keys: list[str], page: int, size: int) -> DataFrame:
     """Replayable page ``page`` (1-based) of ``size`` rows in cursor order.
 
-    Planned as a top-(page*size) with an offset. For deep pages prefer the keyset form
-    ``after_cursor(c, last_seen)``, which costs a filter instead of a top-k.
+    Only the order columns are sorted, by range over all tasks; the row counts of the ranges
+    (one number each) tell in which range the page begins and ends, and its first and last
+    order values become a filter on the table. However deep the page, no task holds more
+    than its range. A reader that goes on from page to page is better served by the keyset
+    form ``after_cursor(c, last_seen)``.
     """
     if page < 1:
         raise ValueError("page must be >= 1")
-    return order_by_cursor(df, col, keys).offset((page - 1) * size).limit(size)
+    names = [*([col] if col else []), *keys]
+    order = [F.col(n).asc_nulls_first() for n in names]
+    at = F.monotonically_increasing_id()
+    ranged = checkpointed(df.select(*names).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", at))
+    part = F.shiftright("__at", 33).alias("p")
+    rows = {r.p: r["count"] for r in ranged.groupBy(part).count().collect()}  # one number per range
+    first, last = (page - 1) * size, min(page * size, sum(rows.values())) - 1
+    if last < first:
+        return df.limit(0)
+    ends, below = [], 0
+    for p in sorted(rows):
+        ends += [(p << 33) + n - below for n in (first, last) if below <= n < below + rows[p]]
+        below += rows[p]
+    bounds = {r["__at"]: r for r in ranged.where(F.col("__at").isin(ends)).collect()}  # two rows
+    key = F.struct(*[F.col(n) for n in names])
+    lo, hi = (F.struct(*[F.lit(bounds[e][n]).cast(df.schema[n].dataType).alias(n) for n in names]) for e in ends)
+    picked = df.where((key >= lo) & (key <= hi))
+    skip = ranged.where((F.col("__at") < ends[0]) & (F.struct(*names) >= lo)).count()  # equal rows of the page before
+    return picked.orderBy(*order).offset(skip).limit(last - first + 1)
 
 
 def next_page(df: DataFrame, page: int, size: int) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PROFILE_COLUMNS = ["table_name", "primary_keys", "cursor_field", "ingestion_type", "row_count",
@@ -18,6 +18,19 @@ PROFILE_COLUMNS = ["table_name", "primary_keys", "cursor_field", "ingestion_type
 INGESTION_TYPES = ("snapshot", "cdc", "cdc_with_deletes", "append")
 
 
+METADATA_SCHEMA = "tableName string not null, primary_keys array<string>, cursor_field string, ingestion_type string"
+
+
+def metadata_relation(spark: SparkSession, connector, tables: list[str], options: dict[str, dict] | None = None) -> DataFrame:
+    """The declared metadata of the requested tables, one row each. ``options`` holds options
+    per table; ``primary_keys``, ``cursor_field`` and ``ingestion_type`` in them win."""
+    rows = []
+    for name in tables:
+        meta = {**connector.metadata(name), **(options or {}).get(name, {})}
+        rows.append((name, list(meta.get("primary_keys") or []), meta.get("cursor_field"), meta.get("ingestion_type", "cdc")))
+    return spark.createDataFrame(rows, METADATA_SCHEMA)
+
+
 def _one(name: str, df: DataFrame, meta: dict) -> DataFrame:
     keys = list(meta.get("primary_keys") or [])
     cursor = meta.get("cursor_field")
@@ -40,7 +53,7 @@ def _one(name: str, df: DataFrame, meta: dict) -> DataFrame:
     ]
     return df.agg(*aggs).select(
         F.lit(name).alias("table_name"),
-        F.lit(",".join(keys)).alias("primary_keys"),
+        F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("primary_keys"),
         F.lit(cursor).cast("string").alias("cursor_field"),
         F.lit(itype).alias("ingestion_type"),
         "row_count", "distinct_keys", "null_keys", "min_cursor", "max_cursor")

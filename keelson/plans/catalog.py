@@ -156,7 +156,8 @@ from r left join v1 on r.o_orderkey = v1.o_orderkey""")
 def q_touch_upsert(spark, d):
     rows = I.orders_v2(spark, d).where(
         (F.col("o_orderstatus") == "O") | (F.col("o_orderpriority") == "1-URGENT"))
-    return C.touch_upsert(I.orders_v1(spark, d), rows, I.ORDER_KEYS, "o_orderdate", STAMP)
+    older = rows.withColumn("o_totalprice", F.col("o_totalprice") - 1)  # every key twice, one row of it wins
+    return C.touch_upsert(I.orders_v1(spark, d), older.unionByName(rows), I.ORDER_KEYS, "o_orderdate", STAMP, tie="o_totalprice")
 
 
 # ---------------------------------------------------------------- cursors, pages, caps
@@ -198,7 +199,7 @@ def q_end_offset(spark, d):
     return R.end_offset(I.table(spark, d, "orders"), "o_orderdate", ORDER_START)
 
 
-@register("order_by_cursor", "select * from orders")
+@register("order_by_cursor", "select * from orders order by o_orderdate nulls first, o_orderkey")
 def q_order_by_cursor(spark, d):
     return R.order_by_cursor(I.table(spark, d, "orders"), "o_orderdate", I.ORDER_KEYS)
 
@@ -310,13 +311,14 @@ select 'customer', 'c_custkey', null, 'snapshot', count(*), count(distinct c_cus
   cast(sum(case when c_custkey is null then 1 else 0 end) as bigint), null, null from customer""")
 def q_table_profile(spark, d):
     t = lambda n: I.table(spark, d, n)
-    return table_profile({
+    profile = table_profile({
         "events": (t("events"), {"primary_keys": ["user_id"], "cursor_field": "ts",
                                  "ingestion_type": "cdc_with_deletes"}),
         "orders": (t("orders"), {"primary_keys": ["o_orderkey"], "cursor_field": "o_orderdate",
                                  "ingestion_type": "snapshot"}),
         "customer": (t("customer"), {"primary_keys": ["c_custkey"], "ingestion_type": "snapshot"}),
     })
+    return profile.withColumn("primary_keys", F.array_join("primary_keys", ","))
 
 
 # ---------------------------------------------------------------- stamps

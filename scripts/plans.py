@@ -14,12 +14,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEYS = {
     "scd1_upsert": "partial max_by aggregate before the shuffle (hot keys reduced map-side)",
-    "scd2_with_deletes": "one window per key (plain window: no key above the hot threshold)",
+    "scd2_with_deletes": "the last batch's state read back from its checkpoint; tombstones hidden",
     "snapshot_diff": "one full outer join on the key; null-safe struct compare",
     "cursor_range": "both bounds pushed to the parquet scan",
     "batch_cap": "top-k cut value comes back as a literal and is pushed to the scan",
     "expand_nested": "left joins; only referenced columns scanned; AQE picks broadcast by size",
-    "coerce_record": "row-local projections only (no shuffle besides the landing step)",
+    "coerce_record": "row-local projections only, no shuffle",
     "unnest_results": "explode of the VARIANT array, then the typed projection",
     "table_profile": "one partial/final aggregate per table, unioned",
 }

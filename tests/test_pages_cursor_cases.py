@@ -189,3 +189,13 @@ def test_lookback_on_text_cursors(spark, cursor, interval, bound):
     after = bound[:-1] + chr(ord(bound[-1]) + 1)
     df = spark.createDataFrame([(bound,), (after,), (bound[:10] if len(bound) > 10 else "2024-01-13",), (None,)], "c string")
     assert {r.c for r in R.lookback(df, "c", cursor, interval).collect()} == {after, None}
+
+
+def test_page_slice_of_any_depth(spark):
+    """Pages of all depths, with ties, nulls and repeated rows, against a sorted list."""
+    values = [(i * 7 % 40, i % 5 if i % 4 else None) for i in range(83)] + [(3, None)] * 3
+    df = spark.createDataFrame(values, "id int, c int").repartition(5)
+    want = sorted(values, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    for page, size in ((1, 10), (2, 3), (5, 10), (9, 10), (20, 10), (1, 1000)):
+        got = [tuple(r) for r in R.page_slice(df, "c", ["id"], page, size).collect()]
+        assert got == want[(page - 1) * size:page * size], (page, size)

@@ -42,3 +42,11 @@ def test_described_schema():
                             {"name": "m", "type": "struct", "fields": [{"name": "count", "type": "integer"}, {"name": "measure", "type": "double"}]}])
     assert got == T.StructType([T.StructField("id", T.StringType(), False), T.StructField("at", T.TimestampType()),
                                 T.StructField("m", T.StructType([T.StructField("count", T.IntegerType()), T.StructField("measure", T.DoubleType())]))])
+
+
+def test_metadata_relation_honours_table_options(spark):
+    from types import SimpleNamespace
+    from keelson.operators.profile import metadata_relation
+    meta = {"a": {"primary_keys": ["x", "y"], "cursor_field": "at", "ingestion_type": "cdc"}, "b": {}}
+    got = metadata_relation(spark, SimpleNamespace(metadata=meta.get), ["b", "a"], {"a": {"cursor_field": "seq"}}).collect()
+    assert [tuple(r) for r in got] == [("b", [], None, "cdc"), ("a", ["x", "y"], "seq", "cdc")]
