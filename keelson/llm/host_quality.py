@@ -68,8 +68,8 @@ def with_features(docs: DataFrame, keep: list[Column]) -> DataFrame:
 def host_verdicts(flags: DataFrame, host: str = "host", failed: str = "base_failed",
                   limit: float = HOST_LIMIT) -> DataFrame:
     """One row per host: ``host, n_docs, n_failed, rate`` (shrunk) and ``host_ok``."""
-    hosts = flags.groupBy(host).agg(F.count(F.lit(1)).alias("n_docs"),
-                                    F.sum(F.col(failed).cast("long")).alias("n_failed"))
+    hosts = stored(flags.groupBy(host).agg(F.count(F.lit(1)).alias("n_docs"),
+                                           F.sum(F.col(failed).cast("long")).alias("n_failed")), "hosts")
     share = F.col("n_failed") / F.col("n_docs")
     m, v = hosts.agg(F.avg(share), F.var_pop(share)).first()
     m, v = m or 0.0, v or 0.0
@@ -83,10 +83,9 @@ def _host() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
 
 
-def judge(flags: DataFrame) -> DataFrame:
+def judge(flags: DataFrame, verdicts: DataFrame) -> DataFrame:
     """``flags`` (with ``host`` and ``base_failed``) plus ``kept``."""
-    verdicts = host_verdicts(flags).select("host", "host_ok")
-    return (flags.join(verdicts, "host")
+    return (flags.join(verdicts.select("host", "host_ok"), "host")
             .withColumn("kept", ~F.col("base_failed") & F.col("host_ok")).drop("host", "host_ok"))
 
 
@@ -97,10 +96,13 @@ def quality(docs: DataFrame) -> DataFrame:
     as empty; a null ``source`` is a host of its own; repeated rows are judged one by one;
     an empty table gives an empty result; extra columns are not read.
     """
-    return judge(stored(with_features(docs, [F.col("doc_id"), _host().alias("host")]), "quality"))
+    rows = stored(with_features(docs, [F.col("doc_id"), _host().alias("host")]), "quality")
+    return judge(rows, host_verdicts(rows))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass the rules and whose host passes, columns unchanged."""
+    # the rules are computed twice, once for the hosts: cheaper on disk than a copy of the table
+    verdicts = host_verdicts(with_features(docs, [_host().alias("host")]))
     rows = with_features(docs, [F.struct(*docs.columns).alias("row"), _host().alias("host")])
-    return judge(stored(rows.select("row", "host", "base_failed"), "good")).where("kept").select("row.*")
+    return judge(rows, verdicts).where("kept").select("row.*")
