@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import spread_join, stored
+from keelson.llm.common import row_keys, spread_join, stored
 from keelson.llm.components import components
 
 SHINGLE = 4
@@ -261,10 +261,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every component: the first by ``doc_id`` (null last).
     Columns and rows that stay are unchanged."""
-    cols = docs.columns
-    packed = docs.select(F.struct(*cols).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
-    packed = stored(with_fingerprint(packed).select("row", "id", "fp")
-                    .withColumn("at", F.monotonically_increasing_id()), "near")
-    first = (grouped(packed.select("id", "fp", "at")).groupBy("root")
-             .agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "at")).alias("first")))
-    return packed.join(first.select(F.col("first.at").alias("at")), "at", "left_semi").select("row.*")
+    rows = row_keys(docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text")))
+    prints = stored(with_fingerprint(rows.select("f", "r", "id", "text")).select("f", "r", "id", "fp"), "fingerprints")
+    first = (grouped(prints).groupBy("root")
+             .agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "f", "r")).alias("first")))
+    return rows.join(first.select("first.f", "first.r"), ["f", "r"], "left_semi").select("row.*")
