@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.llm.common import WORD, spread_join, stored, text_or_empty
+from keelson.llm.common import WORD, row_keys, stored, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
@@ -161,9 +161,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def repeat_to_targets(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, columns unchanged."""
-    cols = docs.columns
-    packed = docs.select(F.struct(*cols).alias("row"), "source", "text", F.col("doc_id").alias("id"))
-    packed = stored(sizes(packed, [F.col("row"), F.col("id")]).withColumn("at", F.monotonically_increasing_id()), "mix")
-    taken = with_copies(packed.select("id", "src", "size", "at")).where("copies > 0").select("at", "copies")
-    return (packed.select("at", "row").join(taken, "at")
+    rows = row_keys(docs.select(F.struct(*docs.columns).alias("row"), "source", "text", F.col("doc_id").alias("id")))
+    words = stored(sizes(rows, [F.col("f"), F.col("r"), F.col("id")]), "words")
+    taken = with_copies(words).where("copies > 0").select("f", "r", "copies")
+    return (rows.select("f", "r", "row").join(taken, ["f", "r"])
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))
