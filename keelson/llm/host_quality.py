@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import BLANKS, stored, text_or_empty, words
+from keelson.llm.common import BLANKS, row_keys, stored, text_or_empty, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -102,7 +102,8 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass the rules and whose host passes, columns unchanged."""
-    # the rules are computed twice, once for the hosts: cheaper on disk than a copy of the table
-    verdicts = host_verdicts(with_features(docs, [_host().alias("host")]))
-    rows = with_features(docs, [F.struct(*docs.columns).alias("row"), _host().alias("host")])
-    return judge(rows, verdicts).where("kept").select("row.*")
+    rows = row_keys(docs.select(F.struct(*docs.columns).alias("row"), "text", "source"))
+    flags = stored(with_features(rows, [F.col("f"), F.col("r"), _host().alias("host")])
+                   .select("f", "r", "host", "base_failed"), "flags")
+    good = judge(flags, host_verdicts(flags)).where("kept").select("f", "r")
+    return rows.join(good, ["f", "r"], "left_semi").select("row.*")
