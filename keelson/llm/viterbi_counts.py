@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words kept per process; others are solved again.
-CACHED = 1_000_000
+CACHED = 300_000
 
 
 def default_path() -> str:
