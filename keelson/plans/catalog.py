@@ -354,9 +354,10 @@ def _jstr(c):
 
 @register("coerce_record", "select * from lineitem")
 def q_coerce_record(spark, d):
-    """lineitem as JSON text, typed back."""
+    """lineitem as JSON text, typed back. The one given file is a single task; its rows are
+    spread first, as a landing zone of many files would be."""
     li = I.table(spark, d, "lineitem")
-    text = li.select(F.to_json(F.struct(*li.columns)).alias("j"))
+    text = li.repartition(spark.sparkContext.defaultParallelism).select(F.to_json(F.struct(*li.columns)).alias("j"))
     return coerce_json(text, "j", li.schema)
 
 
