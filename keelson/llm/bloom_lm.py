@@ -2,9 +2,11 @@
 
 Unigrams and bigrams of the training documents are counted in hash partitions. A count is
 kept as its level ``1 + floor(log2 count)``, and the pair (n-gram, j) enters the filter for
-every j up to that level; a lookup probes levels upwards until one is missing. The filter
-has a fixed number of bits, cut into one segment per hash partition, so a partition's task
-makes its own segment, and what is broadcast has a size known beforehand (``FILTER_BITS``).
+every j up to that level; a lookup probes levels upwards until one is missing. The filter's
+size follows the number of different n-grams and their levels, for the same rate of false
+hits at every input size. It is cut into one segment per hash partition, so a partition's
+task makes its own segment. Up to ``BROADCAST_BITS`` the filter is broadcast; above, the
+segments stay a table, and each block's n-grams are sent to their segments and looked up there.
 
 The model interpolates the bigram's share of its history with the add-one unigram
 probability. The weight depends on the level of the history's count and is chosen, for each
@@ -21,12 +23,18 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.common import row_keys, stored
 
-FILTER_BITS = 1 << 29
+#: The largest filter that is broadcast.
+BROADCAST_BITS = 1 << 30
+#: The smallest segment.
+LEAST_BITS = 1 << 12
+#: Bits per setting (an n-gram sets ``HASHES`` a level): 31.6% full, so 1% false hits a level.
+BITS_PER_SETTING = 2.63
 PARTS = 1 << 10
 HASHES = 4
 #: Rows of a file that share one table of exact counts.
@@ -38,8 +46,6 @@ HELD_TOKENS = 1 << 19
 LEVELS = 48
 WEIGHTS = (0.0, 0.001, 0.01, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.97)
 END = b"\n"
-_BITS = FILTER_BITS // PARTS
-_IN_SEGMENT = np.uint64(_BITS - 1)
 #: Expected count of each level.
 _COUNT = np.array([0.0] + [(2.0 ** (q - 1) + 2.0 ** q - 1) / 2 for q in range(1, LEVELS + 1)])
 
@@ -90,6 +96,21 @@ def _rest(key: np.ndarray) -> np.ndarray:
     return ((key >> np.uint64(22)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def _key(part: int, rest: np.ndarray) -> np.ndarray:
+    """The bits of a key that lookups compare."""
+    return (np.uint64(part) << np.uint64(54)) | (rest.astype(np.uint64) << np.uint64(22))
+
+
+def _sub(rest: np.ndarray, subs: int) -> np.ndarray:
+    """Share of the hash partition that a key is in."""
+    return (rest & np.uint32(0xFFFF)).astype(np.int64) % subs
+
+
+def segment_bits(settings: int, segments: int) -> int:
+    """Bits of each of ``segments`` segments, whole bytes."""
+    return max(LEAST_BITS, 8 * math.ceil(settings * BITS_PER_SETTING / segments / 8))
+
+
 def _counter(subs: int):
     """mapInArrow function: packed counts of a task's tokens per hash partition."""
     def flush(uni: list[np.ndarray], bi: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -97,9 +118,8 @@ def _counter(subs: int):
         g = np.concatenate(bi)
         g, gn = np.unique(_part(g) << 32 | _rest(g), return_counts=True)
         wn, gn = wn.astype(np.uint32), gn.astype(np.uint32)
-        w_slot = _part(w) * subs + (w & np.uint64(0xFFFF)).astype(np.int64) % subs
-        g_slot = (g >> 32) * subs + (g & 0xFFFF) % subs
         rest = (g & 0xFFFFFFFF).astype(np.uint32)
+        w_slot, g_slot = _part(w) * subs + _sub(_rest(w), subs), (g >> 32) * subs + _sub(rest, subs)
         w_at, g_at = np.argsort(w_slot, kind="stable"), np.argsort(g_slot, kind="stable")
         slots = np.arange(PARTS * subs + 1)
         w_cut, g_cut = np.searchsorted(w_slot[w_at], slots), np.searchsorted(g_slot[g_at], slots)
@@ -134,13 +154,14 @@ class _Probes:
     """Bits of n-grams in their segments, by double hashing: probe number ``k`` of a level
     is the first hash plus a multiple of the second."""
 
-    def __init__(self, key: np.ndarray):
+    def __init__(self, key: np.ndarray, bits: int):
+        self.bits = np.uint64(bits)
         self.first = _mix((key >> np.uint64(22)) * np.uint64(0x9E3779B97F4A7C15))
         self.step = (self.first >> np.uint64(32)) | np.uint64(1)
 
     def at(self, level: int, which: int, chosen: np.ndarray | slice = slice(None)) -> np.ndarray:
         k = np.uint64(level * HASHES + which)
-        return (self.first[chosen] + k * self.step[chosen]) & _IN_SEGMENT
+        return ((self.first[chosen] + k * self.step[chosen] & np.uint64(0xFFFFFFFF)) * self.bits) >> np.uint64(32)
 
 
 def _levels(n: np.ndarray) -> np.ndarray:
@@ -152,25 +173,46 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k, np.bincount(at, weights=np.concatenate(counts).astype(np.float64), minlength=len(k)).astype(np.int64)
 
 
-def _segment(table: pa.Table) -> pa.Table:
-    """Counts of one hash partition (or a share of it) → its bits, and sums for the model."""
-    part = table.column("part")[0].as_py()
+_MERGED_SQL = "part int, sub int, words binary, word_q binary, grams binary, gram_q binary, n bigint, v bigint, settings bigint"
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """Counts of one hash partition (or a share of it) → its n-grams with their levels, and
+    sums for the model."""
+    part, sub = table.column("part")[0].as_py(), table.column("sub")[0].as_py()
     get = lambda c, t: [np.frombuffer(x.as_py(), t) for x in table.column(c)]
     w, wn = _merge(get("words", np.uint64), get("word_n", np.uint32))
     once = get("once", np.uint32)
     g, gn = _merge(once + get("grams", np.uint32), [np.ones(len(x), np.uint32) for x in once] + get("gram_n", np.uint32))
-    bits = np.zeros(_BITS, np.uint8)
-    key = (np.uint64(part) << np.uint64(54)) | (g.astype(np.uint64) << np.uint64(22))
-    for keys, q in ((w, _levels(wn)), (key, _levels(gn))):
-        probes, live = _Probes(keys), np.arange(len(keys))
-        level = 1
-        while len(live):
-            for i in range(HASHES):
-                bits[probes.at(level, i, live).astype(np.int64)] = 1
-            level += 1
-            live = live[q[live] >= level]
-    return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-                     "n": pa.array([int(wn.sum())], pa.int64()), "v": pa.array([len(w)], pa.int64())})
+    wq, gq = _levels(wn), _levels(gn)
+    row = {"part": part, "sub": sub, "words": w.tobytes(), "word_q": wq.astype(np.uint8).tobytes(), "grams": g.astype(np.uint32).tobytes(),
+           "gram_q": gq.astype(np.uint8).tobytes(), "n": int(wn.sum()), "v": len(w), "settings": HASHES * int(wq.sum() + gq.sum())}
+    kind = dict.fromkeys(("part", "sub"), pa.int32()) | dict.fromkeys(("n", "v", "settings"), pa.int64())
+    return pa.table({k: pa.array([x], kind.get(k, pa.binary())) for k, x in row.items()})
+
+
+_SEGMENTS_SQL = "part int, sub int, bits binary"
+
+
+def _segments(size: int):
+    """mapInArrow function: the bits of each row of merged counts, ``size`` of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part, sub, words, word_q, grams, gram_q = (batch.column(i)[row].as_py() for i in range(6))
+                g = _key(part, np.frombuffer(grams, np.uint32))
+                bits = np.zeros(size, np.uint8)
+                for keys, q in ((np.frombuffer(words, np.uint64), word_q), (g, gram_q)):
+                    q, probes, live = np.frombuffer(q, np.uint8), _Probes(keys, size), np.arange(len(keys))
+                    level = 1
+                    while len(live):
+                        for i in range(HASHES):
+                            bits[probes.at(level, i, live).astype(np.int64)] = 1
+                        level += 1
+                        live = live[q[live] >= level]
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([sub], pa.int32()),
+                                                  pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["part", "sub", "bits"])
+    return run
 
 
 def _either(table: pa.Table) -> pa.Table:
@@ -180,15 +222,16 @@ def _either(table: pa.Table) -> pa.Table:
 
 
 class Filter:
-    """Lookups in the filter."""
+    """Lookups in the filter, or in one segment of it."""
 
-    def __init__(self, bits: bytes):
-        self.bits = np.frombuffer(bits, np.uint8)
+    def __init__(self, bits: bytes, segments: int = PARTS):
+        self.bits, self.segments = np.frombuffer(bits, np.uint8), segments
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Expected count of each key, 0 if it is not there."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Level of each key, 0 if it is not there."""
         level = np.zeros(len(keys), np.int8)
-        base, probes = (keys >> np.uint64(54)) * np.uint64(_BITS), _Probes(keys)
+        size = 8 * len(self.bits) // self.segments
+        base, probes = (keys >> np.uint64(54)) * np.uint64(size if self.segments > 1 else 0), _Probes(keys, size)
         live = np.arange(len(keys))
         for j in range(1, LEVELS + 1):
             for i in range(HASHES):
@@ -197,7 +240,11 @@ class Filter:
             if not len(live):
                 break
             level[live] = j
-        return _COUNT[level]
+        return level
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """Expected count of each key, 0 if it is not there."""
+        return _COUNT[self.levels(keys)]
 
     def counts_of_repeated(self, keys: np.ndarray) -> np.ndarray:
         """The same for keys that occur again and again: each is looked up once."""
@@ -205,11 +252,29 @@ class Filter:
         return self.counts(found)[back]
 
 
+class Found(Filter):
+    """Lookups that were made before, for one block: ``part, rests, levels`` of those that are there."""
+
+    def __init__(self, table: pa.Table):
+        rows = [x for x in zip(*(table.column(c).to_pylist() for c in ("part", "rests", "levels"))) if x[1] is not None]
+        keys = [_key(part, np.frombuffer(rests, np.uint32)) for part, rests, _ in rows]
+        self.keys, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_index=True)
+        self.level = np.frombuffer(b"".join(x[2] for x in rows), np.int8)[at]
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int8)
+        keys = keys >> np.uint64(22) << np.uint64(22)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.level[at], np.int8(0))
+
+
 class Model:
-    """Filter, sums and weights; small but for the filter, whose size is fixed."""
+    """Filter (its bits, or what was found there), sums and weights."""
 
-    def __init__(self, bits: bytes, n: int, v: int, weights: np.ndarray):
-        self.filter, self.n, self.v, self.weights = Filter(bits), n, v, weights
+    def __init__(self, bits: bytes | Filter, n: int, v: int, weights: np.ndarray):
+        self.filter = bits if isinstance(bits, Filter) else Filter(bits)
+        self.n, self.v, self.weights = n, v, weights
 
     def parts(self, h: np.ndarray, left_out: bool = False):
         """Per token: add-one unigram probability, bigram share and history level. ``h``:
@@ -242,48 +307,136 @@ def _batched(texts: Iterator[str | None], most: int = HELD_TOKENS) -> Iterator[n
         yield np.concatenate(held)
 
 
+def merged_counts(texts: DataFrame) -> tuple[DataFrame, int, int, int, int]:
+    """Levels of all n-grams by hash partition, the number of shares of a partition, the
+    number of settings, of tokens and of different tokens."""
+    subs = max(1, -(-texts.count() // ROWS_PER_SUB))
+    counts = texts.mapInArrow(_counter(subs), _COUNTS_SQL)
+    merged = stored(counts.groupBy("part", "sub").applyInArrow(_merged, _MERGED_SQL), "levels")
+    sums = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("settings", "n", "v")]).first()
+    return merged, subs, *sums
+
+
+def _likelihood(model: Model, texts: Iterator[str | None]) -> np.ndarray:
+    """Likelihood of the texts by history level and weight."""
+    grid = np.array(WEIGHTS)
+    total = np.zeros((LEVELS + 1, len(grid)))
+    for h in _batched(texts):
+        p1, share, level = model.parts(h, left_out=True)
+        # likelihood relative to the unigram's: only where the bigram was seen is it more than 1 - w
+        seen = share > 0
+        unseen = np.bincount(level[~seen], minlength=LEVELS + 1)
+        gain, level = share[seen] / p1[seen], level[seen]
+        for k, w in enumerate(grid):
+            total[:, k] += unseen * np.log10(1 - w) + np.bincount(level, np.log10(w * gain + (1 - w)), LEVELS + 1)
+    return total
+
+
+_LIKELIHOOD_SQL = "level int, k int, s double"
+
+
+def _cells(total: np.ndarray) -> list[pa.Array]:
+    at = np.nonzero(total)
+    return [pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()), pa.array(total[at], pa.float64())]
+
+
+def _best_weights(cells: DataFrame) -> np.ndarray:
+    """The weight of each level with the highest likelihood."""
+    likelihood = np.zeros((LEVELS + 1, len(WEIGHTS)))
+    for row in cells.groupBy("level", "k").agg(F.sum("s").alias("s")).collect():
+        likelihood[row.level, row.k] = row.s
+    weights = np.array(WEIGHTS)[likelihood.argmax(axis=1)]
+    weights[0] = 0.0
+    return weights
+
+
 def train(docs: DataFrame, text_col: str = "text") -> tuple[object, int, int]:
     """The model of ``docs`` as a broadcast, with the number of tokens and of different ones."""
-    spark = docs.sparkSession
     texts = docs.select(text_col)
-    subs = max(1, -(-docs.count() // ROWS_PER_SUB))
-    counts = texts.mapInArrow(_counter(subs), _COUNTS_SQL)
-    shares = counts.groupBy("part", "sub").applyInArrow(_segment, "part int, bits binary, n bigint, v bigint")
-    shares = stored(shares, "filter")
-    n, v = shares.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    segments = shares.select("part", "bits") if subs == 1 else (
-        shares.select("part", "bits").groupBy("part").applyInArrow(_either, "part int, bits binary"))
-    size = FILTER_BITS // PARTS // 8
-    held = bytearray(FILTER_BITS // 8)
-    for row in segments.toLocalIterator():                    # FILTER_BITS in all, whatever the input
-        held[row.part * size:(row.part + 1) * size] = row.bits
+    merged, subs, settings, n, v = merged_counts(texts)
+    return broadcast_model(texts, merged, subs, settings, n, v), n, v
+
+
+def broadcast_model(texts: DataFrame, merged: DataFrame, subs: int, settings: int, n: int, v: int):
+    """The whole filter with sums and weights as a broadcast."""
+    context = texts.sparkSession.sparkContext
+    size = segment_bits(settings, PARTS)
+    segments = merged.mapInArrow(_segments(size), _SEGMENTS_SQL)
+    if subs > 1:
+        segments = segments.select("part", "bits").groupBy("part").applyInArrow(_either, "part int, bits binary")
+    held = bytearray(PARTS * size // 8)
+    for row in stored(segments.select("part", "bits"), "filter").toLocalIterator():
+        held[row.part * size // 8:(row.part + 1) * size // 8] = row.bits
     bits = bytes(held)
     del held
-    flat = spark.sparkContext.broadcast((bits, n, v))
-    grid = np.array(WEIGHTS)
+    flat = context.broadcast((bits, n, v))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*flat.value, np.zeros(LEVELS + 1))
-        total = np.zeros((LEVELS + 1, len(grid)))
-        for h in _batched(t.as_py() for b in batches for t in b.column(0)):
-            p1, share, level = model.parts(h, left_out=True)
-            # likelihood relative to the unigram's: only where the bigram was seen is it more than 1 - w
-            seen = share > 0
-            unseen = np.bincount(level[~seen], minlength=LEVELS + 1)
-            gain, level = share[seen] / p1[seen], level[seen]
-            for k, w in enumerate(grid):
-                total[:, k] += unseen * np.log10(1 - w) + np.bincount(level, np.log10(w * gain + (1 - w)), LEVELS + 1)
-        at = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()), pa.array(total[at])],
-                                         names=["level", "k", "s"])
-
-    likelihood = np.zeros((LEVELS + 1, len(grid)))
-    for row in texts.mapInArrow(weigh, "level int, k int, s double").groupBy("level", "k").agg(F.sum("s").alias("s")).collect():
-        likelihood[row.level, row.k] = row.s
-    weights = grid[likelihood.argmax(axis=1)]
-    weights[0] = 0.0
+        total = _likelihood(model, (t.as_py() for b in batches for t in b.column(0)))
+        yield pa.RecordBatch.from_arrays(_cells(total), names=["level", "k", "s"])
+
+    weights = _best_weights(texts.mapInArrow(weigh, _LIKELIHOOD_SQL))
     flat.destroy()
-    return spark.sparkContext.broadcast((bits, n, v, weights)), n, v
+    return context.broadcast((bits, n, v, weights))
+
+
+def looked_up(rows: DataFrame, merged: DataFrame, subs: int, settings: int) -> DataFrame:
+    """``f, b, part, rests, levels``: the n-grams of each block that the filter holds, looked up
+    segment by segment, one segment for each share of a hash partition."""
+    segments = merged.mapInArrow(_segments(segment_bits(settings, PARTS * subs)), _SEGMENTS_SQL)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, n = None, [], 0
+
+        def flush():
+            h = np.concatenate(held)
+            keys = np.unique(np.concatenate([_unigram_key(np.concatenate([hashes([END]), h])), bigram_hashes(h)]))
+            rest = _rest(keys)
+            slot = _part(keys) * subs + _sub(rest, subs)
+            at = np.argsort(slot, kind="stable")
+            found, begin = np.unique(slot[at], return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), x), t) for x, t in zip(block, (pa.int64(), pa.int64()))] + [
+                pa.array(found // subs, pa.int32()), pa.array(found % subs, pa.int32()),
+                pa.array([rest[x].tobytes() for x in np.split(at, begin[1:])], pa.binary())], names=["f", "b", "part", "sub", "rests"])
+        for batch in batches:
+            f, b = (batch.column(i).to_pylist() for i in range(2))
+            for i, text in enumerate(batch.column(2)):
+                if held and (block != (f[i], b[i]) or n >= HELD_TOKENS):
+                    yield from flush()
+                    held, n = [], 0
+                block = f[i], b[i]
+                held.append(hashes(tokens(text.as_py())))
+                n += len(held[-1])
+        if held:
+            yield from flush()
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if right.num_rows:
+            segment = Filter(right.column("bits")[0].as_py(), 1)
+            for f, b, part, rests in zip(*(left.column(c).to_pylist() for c in ("f", "b", "part", "rests"))):
+                rests = np.frombuffer(rests, np.uint32)
+                level = segment.levels(_key(part, rests))
+                out.append((f, b, part, rests[level > 0].tobytes(), level[level > 0].tobytes()))
+        cols = list(zip(*out)) if out else [[]] * 5
+        kinds = {"f": pa.int64(), "b": pa.int64(), "part": pa.int32(), "rests": pa.binary(), "levels": pa.binary()}
+        return pa.table({c: pa.array(x, t) for x, (c, t) in zip(cols, kinds.items())})
+
+    asked = rows.select("f", "b", "text").mapInArrow(ask, "f bigint, b bigint, part int, sub int, rests binary")
+    found = (asked.groupBy("part", "sub").cogroup(segments.groupBy("part", "sub"))
+             .applyInArrow(answer, "f bigint, b bigint, part int, rests binary, levels binary"))
+    return stored(found, "found")
+
+
+def weights_of_blocks(learnt: DataFrame, found: DataFrame, n: int, v: int) -> np.ndarray:
+    """Weights by what was looked up for the blocks of the training rows."""
+    def weigh(left: pa.Table, right: pa.Table) -> pa.Table:
+        model = Model(Found(right), n, v, np.zeros(LEVELS + 1))
+        return pa.table(_cells(_likelihood(model, (t.as_py() for t in left.column("text")))), names=["level", "k", "s"])
+
+    return _best_weights(learnt.select("f", "b", "text").groupBy("f", "b").cogroup(found.groupBy("f", "b"))
+                         .applyInArrow(weigh, _LIKELIHOOD_SQL))
 
 
 def block_words(docs: DataFrame) -> DataFrame:
@@ -325,13 +478,21 @@ def score(docs: DataFrame) -> DataFrame:
     """
     rows = (row_keys(docs.select(F.col("doc_id").cast("bigint"), "text"))
             .select("doc_id", "text", "f", F.expr(f"r div {BLOCK_ROWS}").alias("b"), held_out(F.col("doc_id")).alias("held_out")))
-    flat, n, v = train(rows.where(~F.col("held_out")))
+    learnt = rows.where(~F.col("held_out"))
+    merged, subs, settings, n, v = merged_counts(learnt.select("text"))
     known = (block_words(rows).withColumn("c", F.sum("n").over(Window.partitionBy("word")))
              .select("f", "b", "word", "c"))
+    if PARTS * segment_bits(settings, PARTS) <= BROADCAST_BITS:
+        flat, weights = broadcast_model(learnt.select("text"), merged, subs, settings, n, v), None
+    else:
+        found = looked_up(rows, merged, subs, settings)
+        flat, weights = None, weights_of_blocks(learnt, found, n, v)
+        known = known.unionByName(found, allowMissingColumns=True)
     floor = math.log10(n + 1 * (v + 1))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        model = Model(*flat.value)
+        model = Model(*flat.value) if flat else Model(Found(right), n, v, weights)
+        right = right.filter(pc.is_valid(right.column("word")))
         c = right.column("c").to_numpy()
         logs = dict(zip(right.column("word").to_pylist(), np.log10(c + 1.0).tolist()))
         out = []

@@ -69,6 +69,45 @@ def test_shares_of_a_partition_make_the_same_filter(make_docs, monkeypatch):
     assert L.train(docs)[0].value[0] == one
 
 
+def filled(bits):
+    return np.unpackbits(np.frombuffer(bits, np.uint8)).mean()
+
+
+def test_the_filter_grows_with_the_input(make_docs, monkeypatch):
+    """The same recall and rate of false hits for any number of different n-grams."""
+    monkeypatch.setattr(L, "LEAST_BITS", 64)
+    sizes = []
+    for n_words in (3000, 48000):
+        words = [f"x{i}" for i in range(n_words)]
+        docs = make_docs([(i, " ".join(words[i:i + 1000])) for i in range(0, n_words, 1000)])
+        bits = L.train(docs)[0].value[0]
+        model = L.Filter(bits)
+        h = L.hashes([w.encode() for w in words])
+        assert (model.counts(L._unigram_key(h)) >= 1).all()
+        assert (model.counts(L.bigram_hashes(h[:1000])) >= 1).all()
+        none = L.hashes([f"nope{i}".encode() for i in range(20000)])
+        assert (model.counts(L._unigram_key(none)) > 0).mean() < 0.02
+        assert filled(bits) < 0.35                              # 0.316 by design
+        sizes.append(len(bits))
+    assert sizes[1] >= 8 * sizes[0] and sizes[0] < 1 << 19
+
+
+@pytest.mark.parametrize("rows_per_sub", [1 << 22, 40])
+def test_a_filter_too_large_to_broadcast_gives_the_same_scores(make_docs, monkeypatch, rows_per_sub):
+    docs = make_docs(rows(random.Random(24), 120))
+    monkeypatch.setattr(L, "BLOCK_ROWS", 16)
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens)
+    flat = sorted(L.score(docs).collect(), key=key)
+    monkeypatch.setattr(L, "BROADCAST_BITS", 0)
+    monkeypatch.setattr(L, "HELD_TOKENS", 500)
+    monkeypatch.setattr(L, "ROWS_PER_SUB", rows_per_sub)
+    apart = sorted(L.score(docs).collect(), key=key)
+    assert [r[:5] for r in apart] == [r[:5] for r in flat]
+    assert [r.base_score for r in apart] == pytest.approx([r.base_score for r in flat])
+    off = [abs(a.score - b.score) / b.n_tokens for a, b in zip(apart, flat)]
+    assert max(off) < (1e-9 if rows_per_sub > 1 << 20 else 0.02)
+
+
 def test_empty_tables(make_docs):
     assert L.score(make_docs([])).count() == 0
     only = [r for r in L.score(make_docs([(i, "a b") for i in range(40) if is_held(i)])).collect()]
