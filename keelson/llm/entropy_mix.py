@@ -6,8 +6,9 @@ in its size: ``rate = min(CAP, exp(lambda * size / scale))``, one multiplier a s
 multipliers solve the convex dual by Newton's method: each iteration is one distributed sum
 of the constraint and its derivative by source, taken over the histogram of (source, size),
 which is far smaller than the table (a source with W words has at most sqrt(2W) different
-sizes). Rates become whole copies by cumulative rounding over the sizes, largest first, and
-what is left of a source's gap is closed by single copies of the best-fitting size.
+sizes). Rates become whole copies by cumulative rounding over the sizes, largest first. What
+is left of a source's gap in words is spread over the sizes that fit into it, in proportion
+to the copies they may still give or take, and closed until no copy brings it nearer.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
 MAX_STEPS = 60
 TOLERANCE = 1e-9
-CLOSING_ROUNDS = 4
 SALTS = 256
 
 
@@ -107,19 +107,47 @@ def cell_copies(hist: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFram
         Window.unboundedPreceding, 0))).cast("long"))
     copies = F.col("run") - F.coalesce(F.lag("run").over(upto), F.lit(0))
     cells = stored(cells.select("src", "size", "n", F.greatest(F.lit(0), F.least(copies, F.col("n") * cap)).alias("copies")), "cells")
-    for _ in range(CLOSING_ROUNDS):
+    return closed(cells, targets, cap)
+
+
+def closed(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFrame:
+    """``cells`` with copies added or removed until no copy brings a source nearer to its target.
+
+    Round one deals the gap out evenly over the sizes that fit into it; rounding down, so
+    less than the largest of them is left. Later rounds fill the rest with the largest sizes
+    that fit, which halves it at least; where none fits, with one copy of the smallest size
+    that overshoots by less than the gap.
+    """
+    upto = Window.partitionBy("src").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    source = Window.partitionBy("src")
+    even = True
+    while True:
         gap = (cells.groupBy("src").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
                .join(targets.select("src", "target"), "src")
-               .select("src", (F.col("target") - F.col("taken")).alias("gap")))
-        free = F.when(F.col("gap") > 0, F.col("copies") < F.col("n") * cap).otherwise(F.col("copies") > 0)
-        better = F.abs(F.abs(F.col("gap")) - F.col("size")) < F.abs(F.col("gap"))
-        pick = (cells.join(gap, "src").where(free & better).groupBy("src")
-                .agg(F.min(F.struct(F.abs(F.abs(F.col("gap")) - F.col("size")).alias("d"), "size",
-                                    F.signum("gap").cast("long").alias("by"))).alias("p"))
-                .select("src", "p.size", "p.by"))
-        cells = stored(cells.join(pick, ["src", "size"], "left")
-                       .select("src", "size", "n", (F.col("copies") + F.coalesce("by", F.lit(0))).alias("copies")), "cells")
-    return cells
+               .select("src", F.abs(F.col("target") - F.col("taken")).alias("gap"),
+                       F.signum(F.col("target") - F.col("taken")).cast("long").alias("by")))
+        usable = (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap"))
+        free = F.when(F.col("by") > 0, F.col("n") * cap - F.col("copies")).otherwise(F.col("copies"))
+        open_ = (cells.join(gap, "src").withColumn("free", free).where(usable & (F.col("free") > 0))
+                 .withColumn("fits", F.when(F.col("size") <= F.col("gap"), F.col("free")).otherwise(0)))
+        words = F.col("fits") * F.col("size")
+        if even:
+            rate = F.least(F.lit(1.0), F.col("gap") / F.greatest(F.sum(words).over(source), F.lit(1)))
+            open_ = open_.withColumn("run", F.floor(rate * F.sum("fits").over(upto)))
+            more = F.col("run") - F.coalesce(F.lag("run").over(Window.partitionBy("src").orderBy(F.col("size").desc())), F.lit(0))
+        else:
+            left = F.col("gap") - (F.sum(words).over(upto) - words)
+            over = (F.max("fits").over(source) == 0) & (F.col("size") == F.min("size").over(source))
+            more = F.when(over, 1).otherwise(F.greatest(F.lit(0), F.floor(left / F.col("size"))))
+            more = F.when(over | (F.col("fits") > 0), more).otherwise(0)
+        more = F.least(more, F.when(F.col("fits") > 0, F.col("fits")).otherwise(1)).cast("long")
+        steps = stored(open_.select("src", "size", (F.col("by") * more).alias("by")).where("by <> 0"), "closing")
+        if steps.limit(1).count():
+            cells = stored(cells.join(steps, ["src", "size"], "left")
+                           .select("src", "size", "n", (F.col("copies") + F.coalesce("by", F.lit(0))).alias("copies")), "cells")
+        elif not even:
+            return cells
+        even = False
 
 
 def with_copies(rows: DataFrame, cap: int = CAP) -> DataFrame:

@@ -58,6 +58,23 @@ def test_mix_hits_the_targets(make_docs):
     assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in got)
 
 
+@pytest.mark.parametrize("rate, total", [(0.4, 12950), (0.6, 13985)])
+def test_mix_of_a_source_with_one_very_long_document(make_docs, rate, total):
+    """The long document is rounded to no copy or to one; the others make up for its words."""
+    words = lambda n: " ".join(["w"] * n)
+    rows = [(0, words(600), "x3")] + [(i, words(1 + i % 19), "x3") for i in range(1, 141)]
+    rows += [(1000 + i, words(50), "x1") for i in range(100)]
+    size_of = {"x3": sum(len(t.split()) for _, t, s in rows if s == "x3"), "x1": 5000}
+    rows += [(2000 + i, words(50), "x2") for i in range((total - sum(size_of.values())) // 50)]
+    size_of["x2"] = 50 * sum(s == "x2" for _, _, s in rows)
+    got = entropy_mix.mix(make_docs(rows)).collect()
+    assert all(r.taken in {0, r["size"], 2 * r["size"], 3 * r["size"]} for r in got)
+    target = brute_targets(size_of)
+    for s, least in (("x1", 50), ("x2", 50), ("x3", 1)):
+        taken = sum(r.taken for r in got if r.source_size == size_of[s])
+        assert abs(taken - target[s]) <= least / 2, (s, taken, target[s])
+
+
 def test_rates_are_an_exponential_tilt(spark, make_docs):
     """The solved rates satisfy the constraint and log rate is linear in size."""
     docs = make_docs(documents(random.Random(2)))
