@@ -1,7 +1,8 @@
 """Main text of web pages by two passes over their blocks.
 
 A page is cut into blocks at its block-level tags. Pass one decides what it can: blocks in
-page furniture (by tag, role or name of an enclosing element) and blocks that are mostly
+page furniture (by tag, role or name of an enclosing element, unless that is a form or a
+named wrapper around the article or most of the page's text) and blocks that are mostly
 links are boilerplate; long blocks with enough stop words, or long blocks of the article
 element, are text. Pass two settles the rest: a block left open (short, or with few stop
 words) takes the label of its nearest decided neighbour in the same container, text on a
@@ -58,11 +59,20 @@ _FURNITURE_NAME = re.compile(
 _FURNITURE_ROLE = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 
+#: Classes of wrappers that hold, or lack, what they name.
+_WRAPPER_NAME = re.compile(r"(?:no|not|has|have|with|without|content)[_-]\S+|\S+[_-]content[_-]\S+", re.I)
+
+
+def _named_furniture(names: str) -> bool:
+    return any(_FURNITURE_NAME.search(x) and not _WRAPPER_NAME.fullmatch(x) for x in names.split())
+
+
 class _Block:
-    __slots__ = ("text", "linked", "furniture", "place", "main")
+    __slots__ = ("text", "linked", "furniture", "place", "main", "wrappers")
 
-    def __init__(self, text: str, linked: int, furniture: bool, place: int, main: bool):
+    def __init__(self, text: str, linked: int, furniture: bool, place: int, main: bool, wrappers: tuple[int, ...]):
         self.text, self.linked, self.furniture, self.place, self.main = text, linked, furniture, place, main
+        self.wrappers = wrappers
 
 
 class _Blocks(HTMLParser):
@@ -71,15 +81,17 @@ class _Blocks(HTMLParser):
         self.blocks: list[_Block] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
-        self.stack: list[tuple[str, bool, int, bool]] = []   # tag, furniture, place, main
+        # tag, furniture, place, main, places of enclosing forms and elements named as furniture
+        self.stack: list[tuple[str, bool, int, bool, tuple[int, ...]]] = []
+        self.has_main = False
         self.links = self.unseen = self.places = 0
         self.unseen_tag = ""
 
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, furniture, place, main = self.stack[-1] if self.stack else ("", False, 0, False)
-            self.blocks.append(_Block(text, len(" ".join("".join(self.linked).split())), furniture, place, main))
+            _, furniture, place, main, wrappers = self.stack[-1] if self.stack else ("", False, 0, False, ())
+            self.blocks.append(_Block(text, len(" ".join("".join(self.linked).split())), furniture, place, main, wrappers))
         self.parts, self.linked = [], []
 
     def handle_starttag(self, tag, attrs):
@@ -98,16 +110,22 @@ class _Blocks(HTMLParser):
         elif tag == "a":
             self.links = 1                                     # links don't nest
         if tag in CONTAINERS:
-            _, furniture, _, main = self.stack[-1] if self.stack else ("", False, 0, False)
+            _, furniture, _, inside, wrappers = self.stack[-1] if self.stack else ("", False, 0, False, ())
             named = {k: v or "" for k, v in attrs}
-            main = main or tag in MAIN_TAGS or named.get("role") == "main"
-            furniture = (furniture or (tag in FURNITURE_TAGS and not (tag == "header" and main))
-                         or named.get("role", "").lower() in _FURNITURE_ROLE
-                         or "hidden" in named or named.get("aria-hidden") == "true"
-                         or (tag not in ("body", "article", "main") and bool(
-                             _FURNITURE_NAME.search(f"{named.get('class', '')} {named.get('id', '')}"))))
+            role = named.get("role", "").lower()
+            begins = tag in MAIN_TAGS or named.get("role") == "main"
+            main = inside or begins
+            furniture = (furniture or (tag in FURNITURE_TAGS and tag != "form" and not (tag == "header" and main))
+                         or (role in _FURNITURE_ROLE and role != "form")
+                         or "hidden" in named or named.get("aria-hidden") == "true")
+            by_name = _named_furniture(f"{named.get('class', '')} {named.get('id', '')}")
             self.places += 1
-            self.stack.append((tag, furniture, self.places, main))
+            self.has_main = self.has_main or main and not furniture
+            if begins and not inside and not by_name:
+                wrappers = ()
+            elif tag == "form" or role == "form" or (by_name and tag not in ("body", "article", "main")):
+                wrappers = (*wrappers, self.places)
+            self.stack.append((tag, furniture, self.places, main, wrappers))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID_TAGS or tag not in UNSEEN_TAGS:
@@ -136,6 +154,17 @@ class _Blocks(HTMLParser):
     def close(self):
         super().close()
         self._end_block()
+        # without article or main, what holds most of the page's text is not furniture
+        held: dict[int, int] = {}
+        total = 0
+        for b in self.blocks:
+            if not b.furniture:
+                size = len(b.text) - b.linked
+                total += size
+                for w in b.wrappers:
+                    held[w] = held.get(w, 0) + size
+        for b in self.blocks:
+            b.furniture = b.furniture or any(self.has_main or 2 * held[w] <= total for w in b.wrappers)
 
 
 def _stop_density(text: str) -> float:

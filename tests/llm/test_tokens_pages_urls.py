@@ -81,6 +81,16 @@ def test_pages_without_an_article_element():
     assert X.main_blocks(html) == ["Short head", text.strip(), "By us.", text.strip()]
 
 
+@pytest.mark.parametrize("open_, close", [
+    ("<form id=aspnetForm>", "</form>"), ("<div class='content-sidebar-wrap'>", "</div>"), ("<div class='no-sidebar'>", "</div>"),
+    ("<div class='page has-sidebar'>", "</div>"), ("<div class='widget'>", "</div>")])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrappers_around_the_text(open_, close, tag):
+    text = "This is the text of the page and it has all the words that are in such a text as this. " * 4
+    page = f"{open_}<nav><p>{text}</p></nav><{tag}><p>{text}</p></{tag}><div class=sidebar><p>By the side of it.</p></div>{close}"
+    assert X.main_blocks(page) == [text.strip()]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text without any tag"), (4, "u", "<p>" * 3000 + "x"), (5, "u", "<a <b> &#x41; &bogus; <![CDATA["),
             (6, "u", "<article>" + "<p>word and the " * 20000), (6, "u", "<article><p>Kept.</p></article>"), (6, "u", "<article><p>Kept.</p></article>")]
