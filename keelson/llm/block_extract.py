@@ -173,9 +173,23 @@ def _stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in letters) / max(1, len(words))
 
 
-def _first_pass(b: _Block) -> bool | None:
-    """Text, boilerplate, or None where it stays open."""
-    if b.furniture or b.linked > MAX_LINK_DENSITY * len(b.text):
+def _candidate(b: _Block) -> bool:
+    return not b.furniture and b.linked <= MAX_LINK_DENSITY * len(b.text)
+
+
+def _knows_language(blocks: list[_Block]) -> bool:
+    """Whether at least half of the page's longer text has stop words of the lists."""
+    known = total = 0
+    for b in blocks:
+        if len(b.text) >= SHORT_CHARS and _candidate(b):
+            total += len(b.text)
+            known += len(b.text) * (_stop_density(b.text) >= STOP_LOW)
+    return 2 * known >= total
+
+
+def _first_pass(b: _Block, known: bool) -> bool | None:
+    """Text, boilerplate, or None where it stays open. ``known``: stop words tell."""
+    if not _candidate(b):
         return False
     if len(b.text) < SHORT_CHARS:
         return False if "©" in b.text and not b.main else None
@@ -184,7 +198,9 @@ def _first_pass(b: _Block) -> bool | None:
     density = _stop_density(b.text)
     if density >= STOP_HIGH:
         return True if len(b.text) >= LONG_CHARS or b.main else None
-    return None if density >= STOP_LOW or b.main else False
+    if density >= STOP_LOW or b.main:
+        return None
+    return not known
 
 
 def main_blocks(html: str | None) -> list[str]:
@@ -193,7 +209,8 @@ def main_blocks(html: str | None) -> list[str]:
     parser.feed(html or "")
     parser.close()
     blocks = parser.blocks
-    first = [_first_pass(b) for b in blocks]
+    known = all(b.main for b in blocks) or _knows_language(blocks)
+    first = [_first_pass(b, known) for b in blocks]
     # distance to, and label of, the nearest decided block of the same container on each side
     label = list(first)
     near: list[list[tuple[int, bool]]] = [[] for _ in blocks]

@@ -91,6 +91,14 @@ def test_wrappers_around_the_text(open_, close, tag):
     assert X.main_blocks(page) == [text.strip()]
 
 
+def test_pages_of_divs_in_other_languages():
+    finnish = "Talvella järvi jäätyy nopeasti, jolloin kalastajat kairaavat reikiä paksuun jäähän saadakseen ahvenia. " * 3
+    chinese = "湖面在冬天很快结冰渔民们在厚厚的冰上钻孔捕鱼傍晚他们带着收获回到村庄" * 4
+    for text in (finnish.strip(), chinese):
+        page = f"<div class=sidebar><p>{text}</p></div><div><a href=1>x</a></div><div><h2>Otsikko</h2><p>{text}</p><p>{text}</p></div>"
+        assert X.main_blocks(page) == ["Otsikko", text, text]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text without any tag"), (4, "u", "<p>" * 3000 + "x"), (5, "u", "<a <b> &#x41; &bogus; <![CDATA["),
             (6, "u", "<article>" + "<p>word and the " * 20000), (6, "u", "<article><p>Kept.</p></article>"), (6, "u", "<article><p>Kept.</p></article>")]
