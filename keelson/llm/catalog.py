@@ -160,3 +160,74 @@ def op7_url_asof(spark, sf_dir):
 def op9_bloom_lm(spark, sf_dir):
     from keelson.llm.bloom_lm import score
     return score(table(spark, sf_dir, "documents"))
+
+
+@register("op11_bpe_codec")
+def op11_bpe_codec(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from keelson.llm.bpe_codec import decode, encode
+    ids = encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
+    return decode(ids).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+OP13_SQL = rf"""
+with l as (select doc_id, max(cast(quality = 1 as int)) as good, max(cast(toxic = 1 as int)) as toxic from labels group by doc_id),
+d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, {SQL_WORDS} as w from documents),
+m as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+        [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+         regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) over (partition by t), false)] as f
+      from d left join l using (doc_id)),
+c as (select part, f, count(*) as n, sum(good) as good, sum(toxic) as toxic from m group by all),
+x as (select unnest([1, 2, 3, 4, 5]) as i),
+o as (select [a.i, b.i, g.i, h.i, k.i] as p from x a, x b, x g, x h, x k
+      where len(list_distinct([a.i, b.i, g.i, h.i, k.i])) = 5),
+r as (select part, p, i as step, p[i] as f_at, n, good, toxic, f,
+        f[p[i]] as fails, len(list_filter(p[1:i - 1], lambda y: f[y])) > 0 as gone from c, o, x),
+s as (select part, p, step, f_at,
+        sum(case when not gone and not fails then n else 0 end) as kept,
+        sum(case when fails and not gone then n else 0 end) as removed,
+        sum(case when fails and gone then n else 0 end) as redundant,
+        sum(case when fails and len(list_filter(f, lambda y: y)) = 1 then n else 0 end) as unique_fails,
+        sum(case when fails and not gone then good else 0 end) as good_lost,
+        sum(case when fails and not gone then toxic else 0 end) as toxic_lost
+      from r group by all)
+select part, array_to_string(list_transform(p, lambda y: substr('ABCDE', y, 1)), '') as filter_order, cast(step as int) as step,
+  cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+  cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, f_at) as bigint) as shapley
+from s
+"""
+
+
+@register("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark, sf_dir):
+    from keelson.llm.filter_audit import filter_audit
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = """
+with e as (select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+             list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+           from embeddings where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.r as ar, a.vec_id as anchor_id, a.label = b.label as same, b.r as br, b.vec_id as bid,
+        cast(list_inner_product(a.v, b.v) as bigint) as score
+      from e a join e b on a.r <> b.r where a.vec_id % 50 = 0),
+p as (select * from s where same qualify row_number() over (partition by ar order by score desc, bid, br) <= 5)
+select p.anchor_id, p.bid as positive_id,
+  cast(row_number() over (partition by p.ar, p.br order by s.score desc, s.bid, s.br) as int) as rank,
+  s.bid as negative_id, p.score as positive_score, s.score as negative_score
+from p join s on p.ar = s.ar
+where not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+qualify rank <= 3
+"""
+
+
+@register("op12_bond_negatives", OP12_SQL)
+def op12_bond_negatives(spark, sf_dir):
+    from keelson.llm.bond_negatives import mine
+    return mine(table(spark, sf_dir, "embeddings"))
