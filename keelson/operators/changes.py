@@ -11,7 +11,10 @@ Delete feeds are rows marked ``_op = 'delete'`` (tombstones). A delete wins over
 upsert with the same sequence (decision D5) and stays in the state, of SCD 1 and of SCD 2,
 so an older change arriving later is placed before it (decision D8); ``live`` and
 ``live_history`` hide tombstones. Without a declared tie, equal sequences are ordered by a
-hash of the whole row (D5). Null keys are keys like any other.
+hash of the whole row (D5). Null keys are keys like any other; columns may have any type.
+
+A late batch is spliced into an SCD 2 state: a new version ends where its neighbours in the
+state say, and of the state only the versions next to a row of the batch are touched.
 """
 
 from __future__ import annotations
@@ -20,8 +23,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keelson.operators.ordering import next_in_key
+from keelson.functions.canonical import row_hash
+from keelson.operators.ordering import around_in_key, next_in_key
+from keelson.session import checkpointed
 
 OP = "_op"
 UPSERT, DELETE = "upsert", "delete"
@@ -39,7 +45,7 @@ def _order_key(df: DataFrame, seq: str, tie: str | None) -> Column:
     """(sequence, op rank, tie): delete sorts after upsert on equal sequence."""
     op_rank = (F.when(F.col(OP) == DELETE, F.lit(1)).otherwise(F.lit(0))
                if OP in df.columns else F.lit(0))
-    tie_c = F.col(tie) if tie else F.xxhash64(*[F.col(c) for c in df.columns])
+    tie_c = F.col(tie) if tie else row_hash(df)
     return F.struct(F.col(seq).alias("s"), op_rank.alias("o"), tie_c.alias("t"))
 
 
@@ -79,14 +85,22 @@ def expire_tombstones(state: DataFrame, seq: str, older_than) -> DataFrame:
     if OP not in state.columns:
         return state
     bound = F.lit(str(older_than)).cast(state.schema[seq].dataType)
-    return state.where((F.col(OP) != DELETE) | (F.col(seq) >= bound))
+    return state.where((F.coalesce(OP, F.lit(UPSERT)) != DELETE) | (F.col(seq) >= bound))
+
+
+def same_keys(left: list[str], right: list[str]) -> Column:
+    """Null-safe equality of two lists of key columns."""
+    return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
+
+
+def _names(keys: list[str]) -> list[str]:
+    return [f"__k{i}" for i in range(len(keys))]
 
 
 def _split_touched(target: DataFrame, feed: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Target rows whose key is absent from / present in ``feed`` (null-safe on the keys)."""
-    names = [f"__k{i}" for i in range(len(keys))]
-    fkeys = feed.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
-    hit = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    fkeys = feed.select(*[F.col(k).alias(n) for k, n in zip(keys, _names(keys))]).distinct()
+    hit = same_keys(keys, _names(keys))
     return target.join(fkeys, hit, "left_anti"), target.join(fkeys, hit, "left_semi")
 
 
@@ -127,35 +141,98 @@ def scd1_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: Dat
     return _merge_touched(target, feed, keys, seq, tie, only_touched)
 
 
+def _order(versions: DataFrame, seq: str, tie: str | None) -> tuple[DataFrame, list[str]]:
+    """``versions`` with the columns that order them within a key; equal rows are equal there,
+    and only they (two 64-bit hashes)."""
+    cols = [c for c in versions.columns if c not in (OP, START_AT, END_AT, "__old")]
+    rank = F.when(F.col(OP) == DELETE, 1).otherwise(0) if OP in versions.columns else F.lit(0)
+    staged = versions.withColumns({"__s": F.col(seq), "__o": rank, "__h": row_hash(versions, cols),
+                                   "__g": row_hash(versions, cols, seed=1)})
+    return staged, ["__s", "__o", *([tie] if tie else []), "__h", "__g"]
+
+
 def history_of(versions: DataFrame, keys: list[str], seq: str, tie: str | None = None) -> DataFrame:
     """Intervals of all versions; a row that occurs twice (a replay) is one version."""
     cols = versions.columns
-    hashed = F.xxhash64(*[F.col(c) for c in cols])
-    rank = F.when(F.col(OP) == DELETE, 1).otherwise(0) if OP in cols else F.lit(0)
-    staged = versions.distinct().withColumns({"__s": F.col(seq), "__o": rank, "__h": hashed})
-    out = next_in_key(staged, keys, ["__s", "__o", *([tie] if tie else []), "__h"], out="__nx")
-    return out.select(*cols, F.col(seq).alias(START_AT), F.col("__nx.__s").alias(END_AT))
+    staged, order = _order(versions, seq, tie)
+    out = next_in_key(staged, keys, order, out="__nx")
+    # equal rows are neighbours of one range: the last of them stays
+    again = F.struct(*order).eqNullSafe(F.col("__nx"))
+    return out.where(~again).select(*cols, F.col(seq).alias(START_AT), F.col("__nx.__s").alias(END_AT))
 
 
-def _rederive(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str, tie: str | None) -> DataFrame:
-    """SCD 2 state after ``feed``: the keys of the feed are derived anew from all their rows."""
-    cols = [c for c in feed.columns if c not in (START_AT, END_AT)]
-    if target is None:
-        return history_of(feed.select(*cols), keys, seq, tie)
-    keep, redo = _split_touched(target, feed, keys)
-    versions = union_changes(feed.select(*cols), redo.drop(START_AT, END_AT))
-    return union_changes(history_of(versions, keys, seq, tie), keep)
+def neighbours(state: DataFrame, feed: DataFrame, keys: list[str], seq: str) -> tuple[DataFrame, DataFrame]:
+    """Versions of an SCD 2 state that no row of ``feed`` falls into or touches, and those
+    next to one: an as-of search by key, decided while the state is read.
+
+    The sequences of the feed are gathered per key and slice (a quantile of the feed, so a hot
+    key has many short lists); a version is a neighbour if its closed interval holds one of
+    them. Adaptive execution broadcasts the lists where they are small: the state is not shuffled.
+    """
+    kind, slices = feed.schema[seq].dataType, 256
+    place = None
+    if isinstance(kind, T.NumericType):
+        place = F.col(seq).cast("double")
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        place = F.unix_micros(F.col(seq).cast("timestamp")).cast("double")
+    if place is None:
+        slice_of = F.pmod(F.xxhash64(seq), F.lit(slices))
+    else:
+        cuts = feed.agg(F.percentile_approx(place, [i / slices for i in range(1, slices)], 10_000)).first()[0] or []
+        bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
+        slice_of = F.size(F.filter(bounds, lambda c: c < place)).cast("bigint")
+    probe = (feed.select(*[F.col(k).alias(n) for k, n in zip(keys, _names(keys))], F.col(seq).alias("__s"), slice_of.alias("__slice"))
+             .groupBy(*_names(keys), "__slice")
+             .agg(F.min("__s").alias("__lo"), F.max("__s").alias("__hi"), F.collect_set("__s").alias("__at")))
+    start, end = F.col(START_AT), F.col(END_AT)
+    reach = lambda at: (start <= at) & (end.isNull() | (at <= end))
+    hit = (same_keys(keys, _names(keys)) & (start <= F.col("__hi")) & (end.isNull() | (F.col("__lo") <= end))
+           & F.exists("__at", reach))
+    return state.join(probe, hit, "left_anti"), state.join(probe, hit, "left_semi")
+
+
+def splice(state: DataFrame | None, feed: DataFrame, keys: list[str], seq: str, tie: str | None = None) -> DataFrame:
+    """SCD 2 state after ``feed``, however late its rows are.
+
+    A new version ends at the next row of the feed or where its predecessor in the state
+    ended, whichever comes first; without a predecessor the key's first version is next. The
+    predecessor ends at the new version. All other versions pass through as they are.
+    """
+    feed = feed.select(*[c for c in feed.columns if c not in (START_AT, END_AT)])
+    if state is None:
+        return history_of(feed, keys, seq, tie)
+    feed = checkpointed(feed)  # read four times: its lists, its rows, its keys and their bounds
+    apart, near = neighbours(state, feed, keys, seq)
+    # both sides with the same columns and types
+    old = union_changes(feed.limit(0), near).withColumn("__old", F.lit(True))
+    new = union_changes(feed, near.limit(0)).drop(START_AT).withColumn("__old", F.lit(False))
+    cols = [c for c in new.columns if c not in (END_AT, "__old")]
+    old, order = _order(old, seq, tie)
+    new, _ = _order(new, seq, tie)
+    ids = [*keys, *order]
+    # a row of the feed that the state has already, or that comes twice, is one version
+    fresh = (new.dropDuplicates(ids)
+             .join(old.select(*[F.col(c).alias(f"__i{i}") for i, c in enumerate(ids)]),
+                   same_keys(ids, [f"__i{i}" for i in range(len(ids))]), "left_anti"))
+    first = (_split_touched(state, feed, keys)[1].groupBy(*keys).agg(F.min(START_AT).alias("__first"))
+             .select(*[F.col(k).alias(n) for k, n in zip(keys, _names(keys))], "__first"))
+    fresh = fresh.join(first, same_keys(keys, _names(keys)), "left").drop(*_names(keys))
+    work = fresh.unionByName(old.drop(START_AT), allowMissingColumns=True)
+    ends = F.when(F.col("__old"), F.struct(F.col(END_AT).alias("e")))
+    around = around_in_key(work, keys, order, out="__nx", mark=ends, mark_out="__before")
+    end = F.when(F.col("__before").isNotNull(), F.col("__before.e")).otherwise(F.col("__first"))
+    spliced = around.select(*cols, F.col(seq).alias(START_AT), F.least(end, F.col("__nx.__s")).alias(END_AT))
+    return union_changes(spliced, apart)
 
 
 def scd2_history(target: DataFrame | None, feed: DataFrame, keys: list[str], seq: str,
                  tie: str | None = None) -> DataFrame:
     """Every version kept with ``__START_AT``/``__END_AT``; the current one ends in null.
 
-    Only keys present in the feed are re-derived; a late row splits the interval it falls
-    into. A replayed row (equal in every column) is kept once, two different rows of one
-    sequence are two versions.
+    A late row splits the interval it falls into; see :func:`splice`. A replayed row (equal in
+    every column) is kept once, two different rows of one sequence are two versions.
     """
-    return _rederive(target, _require_seq(feed, seq), keys, seq, tie)
+    return splice(target, _require_seq(feed, seq), keys, seq, tie)
 
 
 def live_history(state: DataFrame) -> DataFrame:
@@ -171,7 +248,7 @@ def scd2_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: Dat
     if target is not None and OP not in target.columns:
         target = mark(target, UPSERT)
     feed = _require_seq(union_changes(mark(upserts, UPSERT), mark(deletes, DELETE)), seq)
-    return _rederive(target, feed, keys, seq, tie)
+    return splice(target, feed, keys, seq, tie)
 
 
 def quarantine(feed: DataFrame, seq: str) -> tuple[DataFrame, DataFrame]:
@@ -227,7 +304,7 @@ def touch_upsert(target: DataFrame, rows: DataFrame, keys: list[str], stamp_col:
     has none); without a stamp column rows go in unstamped. Of several rows of one key the
     one with the greatest ``tie`` goes in (without ``tie``: the greatest stamp, then hash).
     """
-    order = [F.col(c) for c in (tie, stamp_col) if c] + [F.xxhash64(*rows.columns)]
+    order = [F.col(c) for c in (tie, stamp_col) if c] + [row_hash(rows)]
     one = (rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("__r"))
            .select("__r.*"))
     fresh, replaced = _split_touched(one, target, keys)

@@ -2,16 +2,17 @@
 
 One full outer join on the primary key classifies every key as insert, update, delete
 or same; the value comparison is the null-safe ``<=>`` on a struct of the non-key
-columns. Keys are unique within a snapshot (``duplicate_keys`` checks it), so the join
+columns, maps and variants in their canonical form. A null key matches a null key. Keys are unique within a snapshot (``duplicate_keys`` checks it), so the join
 has no fan-out and no hot key; AQE picks broadcast or sort-merge by the measured size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.operators.changes import END_AT, START_AT
+from keelson.functions.canonical import canonical
+from keelson.operators.changes import END_AT, START_AT, same_keys
 
 CHANGE = "change"
 
@@ -20,6 +21,19 @@ def _values(df: DataFrame, keys: list[str], exclude=()) -> list[str]:
     return [c for c in df.columns if c not in keys and c not in exclude]
 
 
+def match(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join of two frames that share only ``keys``, null keys included; each key once."""
+    a, b = [f"__a{i}" for i in range(len(keys))], [f"__b{i}" for i in range(len(keys))]
+    j = (old.withColumnsRenamed(dict(zip(keys, a)))
+         .join(new.withColumnsRenamed(dict(zip(keys, b))), same_keys(a, b), "full_outer"))
+    rest = [c for c in j.columns if c not in (*a, *b)]
+    return j.select(*[F.coalesce(x, y).alias(k) for x, y, k in zip(a, b, keys)], *rest)
+
+
+def _same(frame: DataFrame, old: str = "__old", new: str = "__new") -> Column:
+    return canonical(F.col(old), frame.schema[old].dataType).eqNullSafe(canonical(F.col(new), frame.schema[new].dataType))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str],
                   compare: list[str] | None = None) -> DataFrame:
     """Keys plus ``change`` in {insert, update, delete, same}, with old and new rows.
@@ -29,10 +43,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str],
     vals = compare or _values(new, keys)
     o = old.select(*keys, F.struct(*vals).alias("__old"), F.lit(True).alias("__in_old"))
     n = new.select(*keys, F.struct(*vals).alias("__new"), F.lit(True).alias("__in_new"))
-    j = o.join(n, keys, "full_outer")
+    j = match(o, n, keys)
     change = (F.when(F.col("__in_old").isNull(), F.lit("insert"))
               .when(F.col("__in_new").isNull(), F.lit("delete"))
-              .when(F.col("__old").eqNullSafe(F.col("__new")), F.lit("same"))
+              .when(_same(j), F.lit("same"))
               .otherwise(F.lit("update")))
     return j.select(*keys, change.alias(CHANGE), "__old", "__new")
 
@@ -65,9 +79,9 @@ def snapshot_scd2(history: DataFrame | None, new: DataFrame, keys: list[str], ve
     open_ = history.where(F.col(END_AT).isNull()).select(
         *keys, F.struct(*vals).alias("__old"), F.col(START_AT).alias("__at"), F.lit(True).alias("__in_old"))
     snap = new.select(*keys, F.struct(*vals).alias("__new"), F.lit(True).alias("__in_new"))
-    j = open_.join(snap, keys, "full_outer")
+    j = match(open_, snap, keys)
     v = v.cast(t)
-    same = F.col("__in_old") & F.col("__in_new") & F.col("__old").eqNullSafe(F.col("__new"))
+    same = F.col("__in_old") & F.col("__in_new") & _same(j)
     none = F.lit(None).cast(t)
     row = lambda values, start, end: F.struct(values.alias("v"), start.alias("s"), end.alias("e"))
     old_row, new_row = row(F.col("__old"), F.col("__at"), v), row(F.col("__new"), v, none)

@@ -94,7 +94,7 @@ def q_scd2_history(spark, d):
     ev = I.arrival_batch(I.events(spark, d), ES, 2)
     first = ev.where(F.col("__batch") == 0).drop("__batch")
     second = ev.where(F.col("__batch") == 1).drop("__batch")
-    hist = C.scd2_history(None, first, EK, ES, ET)
+    hist = checkpointed(C.scd2_history(None, first, EK, ES, ET))
     return C.scd2_history(hist, second, EK, ES, ET)
 
 

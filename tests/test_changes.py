@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import changes as C
 from keelson.operators import cursor as R
+from keelson.operators import ordering
 from keelson.operators.ordering import next_in_key
 from keelson.operators.snapshot import snapshot_diff
 from keelson.plans import inputs as I
@@ -86,7 +87,7 @@ def test_null_sequence_fails(spark):
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "string", "bigint"])
-def test_next_in_key_spreads_a_hot_key(spark, kind):
+def test_next_in_key_spreads_a_hot_key(spark, kind, monkeypatch):
     """Sequences of any type: the plain window's answer, with the hot key in many ranges."""
     ts = datetime.datetime(2024, 1, 1)
     rows = [(0 if i % 3 else i if i % 2 else None, ts + datetime.timedelta(seconds=i), i) for i in range(3000)]
@@ -96,6 +97,7 @@ def test_next_in_key_spreads_a_hot_key(spark, kind):
     want = sorted((tuple(r) for r in df.withColumn("n", F.lead(F.struct("s", "t")).over(w)).collect()), key=str)
     got = next_in_key(df, ["k"], ["s", "t"], out="n")
     assert sorted((tuple(r) for r in got.select("k", "s", "t", "n").collect()), key=str) == want
+    monkeypatch.setattr(ordering, "HOT_ROWS", 100)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         ranged = df.repartitionByRange("k", "s", "t").groupBy(F.spark_partition_id().alias("p")).count().collect()
@@ -211,3 +213,72 @@ def test_batch_cap_includes_ties(spark):
 def test_match_filters_allow_list(spark, events):
     with pytest.raises(ValueError):
         R.match_filters(events, {"props": "x"}, allowed=["event_type"])
+
+
+@pytest.mark.parametrize("hot_rows", [10, 10 ** 9])
+def test_marks_and_successors_across_ranges(spark, monkeypatch, hot_rows):
+    """The last mark at or before a row, and the next row, in one key; with and without ranges."""
+    rows = [(i % 7 and 1 or i % 3 or None, i, i * 10 if i % 50 == 0 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, s int, m int")
+    w = Window.partitionBy("k").orderBy("s")
+    want = df.select("k", "s", F.lead("s").over(w).alias("n"),
+                     F.last("m", True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"))
+    monkeypatch.setattr(ordering, "HOT_ROWS", hot_rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ordering.around_in_key(df, ["k"], ["s"], "n", mark=F.col("m"), mark_out="b")
+        got = got.select("k", "s", F.col("n.s").alias("n"), F.col("b").alias("m"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_late_batch_touches_only_its_neighbours(spark):
+    """Versions that no row of the batch falls into pass through; ends are the neighbours'."""
+    state = C.scd2_history(None, spark.createDataFrame([(k, s * 10, f"{k}-{s}") for k in range(20) for s in range(50)],
+                                                       "k int, s int, v string"), ["k"], "s").cache()
+    feed = spark.createDataFrame([(3, 105, "late"), (3, 495, "new"), (4, -5, "first"), (99, 1, "other"), (5, 200, "same time")],
+                                 "k int, s int, v string")
+    apart, near = C.neighbours(state, feed, ["k"], "s")
+    assert sorted((r.k, r.s) for r in near.collect()) == [(3, 100), (3, 490), (5, 190), (5, 200)]
+    assert apart.count() == 20 * 50 - 4
+    out = {(r.k, r.s, r.v): r["__END_AT"] for r in C.scd2_history(state, feed, ["k"], "s").collect()}
+    assert (out[3, 100, "3-10"], out[3, 105, "late"], out[3, 490, "3-49"], out[3, 495, "new"]) == (105, 110, 495, None)
+    assert (out[4, -5, "first"], out[99, 1, "other"]) == (0, None)
+    assert {out[5, 200, "5-20"], out[5, 200, "same time"]} == {200, 210} and len(out) == 1005
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from([1, 2, None]), st.integers(0, 12), st.sampled_from("ab")), min_size=1, max_size=25),
+       st.integers(1, 4), st.sampled_from(["int", "string", "timestamp"]))
+def test_splices_equal_one_pass(spark, rows, n, kind):
+    df = spark.createDataFrame([(k, s, v, i % n) for i, (k, s, v) in enumerate(rows)], "k int, s int, v string, b int")
+    df = df.withColumn("s", F.lpad(F.col("s").cast("string"), 3, "0") if kind == "string" else F.col("s").cast(kind))
+    one = C.scd2_history(None, df.drop("b"), ["k"], "s")
+    state = None
+    for b in range(n):
+        state = C.scd2_history(state, df.where(F.col("b") == b).drop("b"), ["k"], "s").cache()
+    assert sorted(map(str, state.collect())) == sorted(map(str, one.collect()))
+
+
+def test_maps_variants_nested_and_null_keys(spark):
+    """E1, E2, E7, E12 on columns that Spark can't hash or compare, with null keys and no tie."""
+    def feed(rows):
+        df = spark.createDataFrame(rows, "k int, s int, m map<string,int>, j string")
+        return df.select("k", "s", "m", F.parse_json("j").alias("j"), F.array(F.struct(F.col("m").alias("m"))).alias("n"))
+
+    a = feed([(1, 1, {"x": 1, "y": 2}, '{"a":1,"b":[1]}'), (1, 1, {"y": 2, "x": 1}, '{"b":[1],"a":1}'), (None, 2, None, None)])
+    b = feed([(1, 3, {"x": 5}, "7"), (None, 2, None, None), (None, 1, {}, "[]")])
+    latest = {r.k: (r.s, r.m) for r in C.scd1_upsert(a, b, ["k"], "s").collect()}
+    assert latest == {1: (3, {"x": 5}), None: (2, None)}
+    hist = C.scd2_history(C.scd2_history(None, a, ["k"], "s").cache(), b, ["k"], "s").collect()
+    assert sorted((r.k or 0, r.s, r["__END_AT"] or 0) for r in hist) == [(0, 1, 2), (0, 2, 0), (1, 1, 3), (1, 3, 0)]
+    touched = C.touch_upsert(a.dropDuplicates(["k", "s"]), b, ["k"], "s", 9)
+    assert sorted((r.k or 0, r.s) for r in touched.collect()) == [(0, 9), (1, 9)]
+    old, new = a.where("k is null or s = 1").dropDuplicates(["k"]), feed([(1, 1, {"y": 2, "x": 1}, '{"b":[1],"a":1}'), (None, 2, None, "1")])
+    assert {r.k: r.change for r in snapshot_diff(old, new, ["k"]).collect()} == {1: "same", None: "update"}
+
+
+def test_expiry_keeps_live_rows_without_an_op(spark):
+    state = spark.createDataFrame([(1, 5, None), (2, 5, "upsert"), (3, 5, "delete"), (4, 50, "delete")], "k int, s int, _op string")
+    assert sorted(r.k for r in C.expire_tombstones(state, "s", 10).collect()) == [1, 2, 4]
