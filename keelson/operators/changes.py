@@ -34,7 +34,7 @@ UPSERT, DELETE = "upsert", "delete"
 START_AT, END_AT = "__START_AT", "__END_AT"
 
 
-def _require_seq(df: DataFrame, seq: str) -> DataFrame:
+def require_seq(df: DataFrame, seq: str) -> DataFrame:
     """Decision D6: a change without a sequence value fails the job (strict mode)."""
     return df.withColumn(seq, F.when(F.col(seq).isNull(), F.raise_error(
         F.lit(f"change row without a value in sequence column {seq}"))
@@ -57,7 +57,7 @@ def union_changes(*frames: DataFrame | None) -> DataFrame:
 
 def latest_per_key(df: DataFrame, keys: list[str], seq: str, tie: str | None = None) -> DataFrame:
     """A2: one row per key, the one with the greatest (sequence, op, tie)."""
-    df = _require_seq(df, seq)
+    df = require_seq(df, seq)
     cols = df.columns
     win = F.max_by(F.struct(*[F.col(c) for c in cols]), _order_key(df, seq, tie))
     return df.groupBy(*keys).agg(win.alias("__r")).select("__r.*").select(*cols)
@@ -232,7 +232,7 @@ def scd2_history(target: DataFrame | None, feed: DataFrame, keys: list[str], seq
     A late row splits the interval it falls into; see :func:`splice`. A replayed row (equal in
     every column) is kept once, two different rows of one sequence are two versions.
     """
-    return splice(target, _require_seq(feed, seq), keys, seq, tie)
+    return splice(target, require_seq(feed, seq), keys, seq, tie)
 
 
 def live_history(state: DataFrame) -> DataFrame:
@@ -247,7 +247,7 @@ def scd2_with_deletes(target: DataFrame | None, upserts: DataFrame, deletes: Dat
     state, not that view, as the next ``target``."""
     if target is not None and OP not in target.columns:
         target = mark(target, UPSERT)
-    feed = _require_seq(union_changes(mark(upserts, UPSERT), mark(deletes, DELETE)), seq)
+    feed = require_seq(union_changes(mark(upserts, UPSERT), mark(deletes, DELETE)), seq)
     return splice(target, feed, keys, seq, tie)
 
 

@@ -12,7 +12,8 @@
 
 and a connector that supplies DataFrames per table: ``metadata(table)`` →
 ``{primary_keys, cursor_field, ingestion_type}``, ``read(table, options)`` (batch),
-``read_stream(table, options, deletes=False)`` (streaming). For every table it picks the
+``read_stream(table, options, deletes=False)`` (streaming), ``has_deletes(table)`` (whether it
+has a delete feed). For every table it picks the
 flow — append, cdc, cdc_with_deletes or snapshot — and runs it as its own Spark job or
 streaming query (availableNow) into ``root``. The whole spec is validated before any job
 starts (decisions D10–D12).
@@ -95,6 +96,8 @@ def plan(spec: dict, connector, root: str) -> list[TablePlan]:
             itype = "append"
         if itype not in INGESTION_TYPES:
             raise ValueError(f"table {src}: unknown ingestion_type {itype!r}")
+        if itype == "cdc_with_deletes" and not connector.has_deletes(src):
+            raise ValueError(f"table {src}: cdc_with_deletes needs a source with a delete feed")
         keys = _keys(conf.get(PRIMARY_KEYS)) or _keys(meta.get("primary_keys")) or []
         seq = conf.get(SEQUENCE_BY) or meta.get("cursor_field")
         if itype in ("cdc", "cdc_with_deletes", "snapshot") and not keys:
@@ -110,7 +113,8 @@ def plan(spec: dict, connector, root: str) -> list[TablePlan]:
 
 def _change_table(spark: SparkSession, p: TablePlan) -> ChangeTable:
     mode = f"scd{p.scd_type}" + ("_deletes" if p.ingestion_type == "cdc_with_deletes" else "")
-    return ChangeTable(spark, f"{p.path}/target", p.primary_keys, p.sequence_by, p.options.get("tie"), mode)
+    return ChangeTable(spark, f"{p.path}/target", p.primary_keys, p.sequence_by, p.options.get("tie"), mode,
+                       p.options.get("tombstone_retention"))
 
 
 def _run_table(spark: SparkSession, p: TablePlan, connector, version: int | None) -> None:
@@ -166,6 +170,9 @@ class ParquetTables:
             raise ValueError(f"unknown source table {table!r}")
         return self.meta[table]
 
+    def has_deletes(self, table: str) -> bool:
+        return self.metadata(table).get("delete_when") is not None
+
     def _path(self, table: str) -> str:
         return f"{self.folder}/{table}.parquet"
 
@@ -182,6 +189,8 @@ class ParquetTables:
         df = FL.table_stream(self.spark, self.folder, table, **caps)
         pred = self.meta.get(table, {}).get("delete_when")
         if pred is None:
+            if deletes:
+                raise ValueError(f"table {table} has no delete feed")
             return self._select(df, options)
         meta = self.metadata(table)
         if deletes:

@@ -12,12 +12,16 @@ copied first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from keelson.operators import changes as C
 from keelson.plans import inputs as I
-from keelson.session import work_dir
+from keelson.session import checkpointed, work_dir
 from keelson.streaming.target import ChangeTable, SnapshotTable
 
 
@@ -98,30 +102,40 @@ class ChangeSink:
 
 
 class RowCap:
-    """T8, row-exact: applies each micro-batch as pieces of at most ``n`` rows by cursor.
+    """T8, row-exact: ``foreachBatch`` function that appends each micro-batch to ``path`` in
+    pieces of at most ``n`` rows by cursor, as folders ``batch=<query>-<batch id>/piece=<k>``.
 
-    Pieces follow ``batch_cap``: rows of one cursor value stay together, so a piece may
-    exceed ``n`` by its last group of ties. ``apply(piece, k)`` is called for k = 0, 1, ...
+    Rows of one cursor value stay together, so a piece may exceed ``n`` by its last group of
+    ties; rows without a cursor value are the last piece. One job counts the rows by cursor
+    value, range by range; a value's piece follows from the number of rows before it, and one
+    more job writes all pieces. A batch that is offered again replaces its own folder only.
     """
 
-    def __init__(self, cursor: str, n: int, apply):
-        self.cursor, self.n, self.apply = cursor, n, apply
+    def __init__(self, cursor: str, n: int, path: str):
+        if n < 1:
+            raise ValueError("n must be at least 1")
+        self.cursor, self.n, self.path = cursor, n, path.rstrip("/")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from keelson.operators.cursor import after_cursor, batch_cap, end_offset
-        c, k, start = F.col(self.cursor), 0, None
-        known = batch.where(c.isNotNull())
-        while True:
-            rest = known if start is None else after_cursor(known, self.cursor, start)
-            piece = batch_cap(rest, self.cursor, self.n)
-            end = end_offset(piece, self.cursor).first()[0]
-            if end is None or end == start:
-                break
-            self.apply(piece, k)
-            start, k = end, k + 1
-        unknown = batch.where(c.isNull())
-        if unknown.limit(1).count():
-            self.apply(unknown, k)
+        place = f"{self.path}/batch={query_id(batch.sparkSession)}-{batch_id}"
+        self.pieces(batch).write.mode("overwrite").partitionBy("piece").parquet(place)
+
+    def pieces(self, batch: DataFrame) -> DataFrame:
+        """``batch`` with the number of each row's piece."""
+        if "piece" in batch.columns:
+            raise ValueError("the column name piece is the sink's own")
+        c = F.col(self.cursor)
+        counts = batch.where(c.isNotNull()).groupBy(self.cursor).agg(F.count(F.lit(1)).alias("__n"))
+        ranged = checkpointed(counts.repartitionByRange(self.cursor).withColumn("__r", F.spark_partition_id()))
+        ranges = Window.orderBy("__r")  # one row a range
+        before = (ranged.groupBy("__r").agg(F.sum("__n").alias("__rn"))
+                  .select("__r", F.coalesce(F.sum("__rn").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b")))
+        inside = Window.partitionBy("__r").orderBy(self.cursor).rowsBetween(Window.unboundedPreceding, -1)
+        at = F.col("__b") + F.coalesce(F.sum("__n").over(inside), F.lit(0))  # rows before this value
+        numbered = (ranged.join(before, "__r").select(self.cursor, F.floor(at / self.n).cast("bigint").alias("piece")))
+        last = numbered.agg(F.max("piece")).first()[0]
+        rest = F.lit(0 if last is None else last + 1).cast("bigint")
+        return batch.join(numbered, self.cursor, "left").withColumn("piece", F.coalesce("piece", rest))
 
 
 # ---------------------------------------------------------------- runs on the given tables
@@ -192,12 +206,17 @@ def append_run(spark: SparkSession, sf_dir: str, table: str = "events", files_pe
     return spark.read.parquet(f"{base}/out")
 
 
-def capped_run(spark: SparkSession, sf_dir: str, n: int = 1000) -> DataFrame:
-    """S3 with a row cap: the events stream appended in pieces of about ``n`` rows by cursor;
-    ``piece`` numbers them."""
+def capped_run(spark: SparkSession, sf_dir: str, n: int = 1000, batches: int = 3) -> DataFrame:
+    """S3 with a row cap: the events land as ``batches`` folders of files, are streamed a file at a time
+    and appended in pieces of about ``n`` rows by cursor; a second run on the checkpoint takes
+    the folders that came since. ``batch`` and ``piece`` number the pieces."""
     base = work_dir(spark, "capped")
-    cap = RowCap(I.EVENT_SEQ, n, lambda piece, k: piece.write.mode("overwrite").parquet(f"{base}/out/piece={k}"))
-    run_available(table_stream(spark, sf_dir, "events"), f"{base}/chk", batch_fn=cap)
+    events = I.events(spark, sf_dir)
+    landed, src = I.arrival_batch(events, I.EVENT_SEQ, batches), f"{base}/src"
+    cap = RowCap(I.EVENT_SEQ, n, f"{base}/out")
+    for part in (F.col("__batch") < batches - 1, F.col("__batch") == batches - 1):
+        landed.where(part).repartition(batches, "__batch").drop("__batch").write.mode("append").parquet(src)
+        run_available(file_stream(spark, src, events.schema, files_per_batch=1), f"{base}/chk", batch_fn=cap)
     return spark.read.parquet(f"{base}/out")
 
 
@@ -246,12 +265,95 @@ def partitioned_scan(spark: SparkSession, path: str, cursor: str | None = None,
     return df if cursor is None else cursor_slice(df, cursor, start, end)
 
 
-def cursor_slice(df: DataFrame, cursor: str, start=None, end=None) -> DataFrame:
+def cursor_slice(df: DataFrame, cursor: str, start=None, end=None, unknown: bool = True) -> DataFrame:
+    """Rows with ``start`` < cursor <= ``end``; with ``unknown``, those without a value, too."""
     c, kind = F.col(cursor), df.schema[cursor].dataType
     typed = lambda v: F.lit(v).cast(kind)
+    other = c.isNull() if unknown else F.lit(False)
     if start is not None:
-        df = df.where(c.isNull() | (c > typed(start)))
-    return df if end is None else df.where(c.isNull() | (c <= typed(end)))
+        df = df.where(other | (c > typed(start)))
+    if end is not None:
+        df = df.where(other | (c <= typed(end)))
+    return df if unknown or start is not None or end is not None else df.where(c.isNotNull())
+
+
+def slice_bounds(df: DataFrame, cursor: str, n: int) -> list[str]:
+    """At most ``n - 1`` cursor values, as text, that cut ``df`` into slices of like size."""
+    kind = df.schema[cursor].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return []
+    at = F.percentile_approx(cursor, [i / n for i in range(1, n)], 1_000)
+    cuts = df.agg(F.transform(at, lambda c: c.cast("string"))).first()[0]
+    return list(dict.fromkeys(cuts or []))
+
+
+def sliced_scan(spark: SparkSession, path: str, cursor: str, n: int) -> DataFrame:
+    """The whole table as consecutive slices of its cursor, each a scan with its bounds pushed down;
+    rows without a cursor value are in the first one. A cursor that can't be cut is one slice."""
+    df = spark.read.parquet(path)
+    cuts = slice_bounds(df, cursor, n)
+    slices = [cursor_slice(df, cursor, a, b, unknown=a is None) for a, b in zip([None, *cuts], [*cuts, None])]
+    return reduce(DataFrame.unionAll, slices)
+
+
+class SliceRun:
+    """Incremental slices (start, end] of a table's cursor, planned run by run.
+
+    A run plans the slice from the last end to the newest cursor value, and writes it down in
+    ``<base>/plan`` before it reads: Spark splits the read over the executors, with both bounds
+    pushed to the scan. The rows go to ``<base>/out/slice=<k>``, then the slice counts as done. A
+    run that finds a planned slice that was not finished reads exactly that slice again, whatever
+    the source got meanwhile; a run without new values reads nothing. Rows without a cursor value
+    are never in a slice; ``cap`` bounds a slice's rows (and its last ties).
+    """
+
+    def __init__(self, spark: SparkSession, source: str, cursor: str, base: str, cap: int | None = None):
+        self.spark, self.source, self.cursor, self.base, self.cap = spark, source, cursor, base.rstrip("/"), cap
+
+    def _log(self, name: str) -> list:
+        try:  # a row a slice
+            return sorted(self.spark.read.parquet(f"{self.base}/{name}").collect(), key=lambda r: r["k"])
+        except AnalysisException:
+            return []
+
+    def plan(self) -> tuple[int, str | None, str] | None:
+        """Number, start and end of the slice to read; None when caught up."""
+        planned, done = self._log("plan"), {r["k"] for r in self._log("done")}
+        if planned and planned[-1]["k"] not in done:
+            return tuple(planned[-1][c] for c in ("k", "start", "end"))
+        start = planned[-1]["end"] if planned else None
+        rest = cursor_slice(self.spark.read.parquet(self.source), self.cursor, start, unknown=False)
+        if self.cap:
+            from keelson.operators.cursor import batch_cap
+            rest = batch_cap(rest, self.cursor, self.cap)
+        end = rest.agg(F.max(self.cursor).cast("string")).first()[0]
+        if end is None:
+            return None
+        k = len(planned)
+        row = self.spark.createDataFrame([(k, start, end)], "k int, start string, end string")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.base}/plan/slice={k}")
+        return k, start, end
+
+    def step(self, sink=None) -> bool:
+        """Read one slice; False when there is none. ``sink(rows, k)`` replaces the Parquet output."""
+        found = self.plan()
+        if found is None:
+            return False
+        k, start, end = found
+        rows = cursor_slice(self.spark.read.parquet(self.source), self.cursor, start, end, unknown=False)
+        if sink:
+            sink(rows, k)
+        else:
+            rows.write.mode("overwrite").parquet(f"{self.base}/out/slice={k}")
+        self.spark.range(1).select(F.lit(k).alias("k")).coalesce(1).write.mode("overwrite").parquet(f"{self.base}/done/slice={k}")
+        return True
+
+    def run(self, sink=None) -> int:
+        """Steps until caught up; the number of slices read."""
+        n = 0
+        while self.step(sink):
+            n += 1
+        return n
 
 
 def partitioned_stream(spark: SparkSession, folder: str, table: str, cursor: str | None = None, start=None, end=None, **caps) -> DataFrame:

@@ -81,15 +81,139 @@ def test_cursor_slices_keep_rows_without_cursor(spark):
     assert "GreaterThan(c,9)" in plan_ and "LessThanOrEqual(c,100)" in plan_
 
 
-def test_row_cap_cuts_a_stream_by_cursor(spark):
+def test_sliced_scan_is_the_whole_table(spark, sf_small):
+    path = f"{work_dir(spark, 't-sliced')}/x"
+    df = spark.createDataFrame([(i % 50 if i % 9 else None, str(i), i) for i in range(500)], "c int, t string, v int")
+    df.write.parquet(path)
+    for cursor, n in (("c", 8), ("c", 1), ("t", 4), ("c", 500)):
+        assert _rows(FL.sliced_scan(spark, path, cursor, n)) == _rows(df)
+    plan_ = FL.sliced_scan(spark, path, "c", 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan_.count("PushedFilters: [IsNotNull(c), GreaterThan(c,") == 3
+
+
+def test_slices_are_planned_once_and_resume(spark):
+    base = work_dir(spark, "t-slices")
+    feed = lambda lo, hi: spark.createDataFrame([(i, i // 2) for i in range(lo, hi)], "id int, c int")
+    _land(feed(0, 20), f"{base}/src")
+    run = FL.SliceRun(spark, f"{base}/src", "c", base)
+    assert run.run() == 1 and run.run() == 0           # caught up
+    _land(feed(20, 40), f"{base}/src", mode="append")
+
+    def fail(rows, k):
+        raise RuntimeError("stop")
+
+    with pytest.raises(RuntimeError, match="stop"):
+        run.step(fail)
+    _land(feed(40, 60), f"{base}/src", mode="append")  # comes after the slice was planned
+    again = FL.SliceRun(spark, f"{base}/src", "c", base)
+    assert again.plan() == (1, "9", "19")
+    assert again.run() == 2
+    out = spark.read.parquet(f"{base}/out")
+    assert _rows(out.select("id", "c")) == _rows(feed(0, 60))
+    assert {r.slice: (r.lo, r.hi) for r in out.groupBy("slice").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).collect()} == {
+        0: (0, 9), 1: (10, 19), 2: (20, 29)}
+    capped = FL.SliceRun(spark, f"{base}/src", "c", f"{base}/capped", cap=10)
+    assert capped.run() == 6 and spark.read.parquet(f"{base}/capped/out").count() == 60
+
+
+def test_row_cap_over_several_batches_and_runs(spark):
+    """Pieces follow the cursor, hold at most n rows and the ties of their last value, and lose no
+    row over several micro-batches and a second run on the checkpoint."""
     base = work_dir(spark, "t-cap")
-    df = spark.createDataFrame([(i, i // 3) for i in range(30)] + [(99, None)], "id int, c int")
-    src = _land(df, f"{base}/src")
-    pieces = []
-    cap = FL.RowCap("c", 4, lambda piece, k: pieces.append(sorted(r.id for r in piece.collect())))
-    FL.run_available(FL.file_stream(spark, src, df.schema), f"{base}/chk", batch_fn=cap)
-    assert [len(p) for p in pieces] == [6, 6, 6, 6, 6, 1]
-    assert sorted(sum(pieces, [])) == [*range(30), 99]
+    df = spark.createDataFrame([(i, i // 3) for i in range(90)] + [(999, None), (998, None)], "id int, c int")
+    cap = FL.RowCap("c", 4, f"{base}/out")
+    for run in range(2):
+        for part in range(3):
+            _land(df.where(F.col("id") % 6 == run * 3 + part), f"{base}/src", mode="append")
+        FL.run_available(FL.file_stream(spark, f"{base}/src", df.schema, 1), f"{base}/chk", batch_fn=cap)
+    out = spark.read.parquet(f"{base}/out")
+    assert _rows(out.select("id", "c")) == _rows(df)
+    assert out.select("batch").distinct().count() == 6
+    pieces = out.groupBy("batch", "piece").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                               F.count_if(F.col("c").isNull()).alias("nulls")).collect()
+    assert all(p.nulls in (0, p.n) for p in pieces)
+    for batch in {p.batch for p in pieces}:
+        own = sorted((p for p in pieces if p.batch == batch and not p.nulls), key=lambda p: p.piece)
+        assert all(a.hi < b.lo for a, b in zip(own, own[1:])) and all(p.n <= 6 for p in own) and len(own) >= 3
+    again = cap.pieces(df.withColumn("x", F.lit(1)))                 # a batch offered again gets the same pieces
+    assert _rows(again.groupBy("piece").count()) == _rows(cap.pieces(df).groupBy("piece").count())
+    with pytest.raises(ValueError, match="piece"):
+        cap.pieces(df.withColumn("piece", F.lit(1)))
+
+
+def test_tables_keep_their_own_columns_and_added_ones(spark):
+    """Columns named like a folder level, columns that a later batch adds, and widened numbers."""
+    base = work_dir(spark, "t-columns")
+    a = spark.createDataFrame([(1, 1, "s1", 7, 1), (2, 1, "s2", 8, 1)], "k int, s int, source string, batch int, version int")
+    b = spark.createDataFrame([(2, 2, "s3", 9, 1, "new", 5_000_000_000), (3, 2, "s4", 1, 2, "new", 6)],
+                              "k int, s int, source string, batch int, version int, extra string, big long")
+    c = spark.createDataFrame([(4, 2 ** 40, 5)], "k int, s long, big int")
+    for mode in ("scd1", "scd2"):
+        table = ChangeTable(spark, f"{base}/{mode}", ["k"], "s", None, mode)
+        for i, batch in enumerate((a, b, c)):
+            table.write(batch, "q", i)
+        got = table.read()
+        assert set(a.columns) | {"extra", "big"} <= set(got.columns) and got.schema["s"].dataType.simpleString() == "bigint"
+        assert {(r.k, r.source, r.extra, r.big) for r in got.collect()} >= {
+            (1, "s1", None, None), (2, "s3", "new", 5_000_000_000), (3, "s4", "new", 6), (4, None, None, 5)}
+        with pytest.raises(ValueError, match="does not fit"):
+            table.write(a.withColumn("source", F.lit(1.5)), "q", 9)
+        with pytest.raises(ValueError, match="the table's own"):
+            table.write(a.withColumn("__batch", F.lit(1)), "q", 9)
+    snaps = SnapshotTable(spark, f"{base}/snap", ["k"])
+    snaps.write(a.drop("s"), 1)
+    snaps.write(b.drop("s"), 2)
+    assert _rows(snaps.read().select(*b.drop("s").columns)) == _rows(b.drop("s"))
+    assert _rows(snaps.as_of(1).select("k", "version", "extra")) == [(1, 1, None), (2, 1, None)]
+    assert snaps.history().count() == 4
+
+
+@pytest.mark.parametrize("mode", ["scd1_deletes", "scd2_deletes"])
+def test_a_batch_written_to_the_old_table_during_a_compaction_survives(spark, mode):
+    base = work_dir(spark, "t-compact-late")
+    row = lambda k, s, op="upsert": spark.createDataFrame([(k, s, op)], "k int, s int, _op string")
+    table = ChangeTable(spark, f"{base}/t", ["k"], "s", None, mode)
+    table.write(row(1, 1), "q", 0)
+    table.write(row(2, 5, "delete"), "q", 1)
+    small = table.compacted(f"{base}/c")
+    table.write(row(3, 1), "q", 2)                     # the old table, after the compaction
+    small.write(row(4, 1), "q", 0)                     # the new one, under a number the old one has too
+    table.write(row(1, 1), "q", 0)                     # a replay of a covered batch
+    current = lambda t: sorted(r.k for r in t.read().collect() if r.asDict().get("__END_AT") is None)
+    assert current(small) == [1, 3, 4]
+    small.write(row(2, 4), "late", 0)                  # older than the tombstone, which was kept
+    smaller = small.compacted(f"{base}/d")
+    table.write(row(5, 1), "q", 3)
+    table.write(row(6, 1), "late", 0)                  # a number that a covered batch of the other table has
+    assert current(smaller) == [1, 3, 4, 5, 6]
+
+
+def test_tombstones_expire_by_retention(spark):
+    rows = [(1, 10, "delete"), (1, 5, "upsert"), (2, 95, "delete"), (3, 100, "upsert"), (4, 1, None)]
+    df = spark.createDataFrame(rows, "k int, s int, _op string")
+    for mode in ("scd1_deletes", "scd2_deletes"):
+        table = ChangeTable(spark, f"{work_dir(spark, 't-ret')}/t", ["k"], "s", None, mode, retention=50)
+        table.write(df, "q", 0)
+        state = table.state()
+        assert sorted(r.k for r in state.where("_op = 'delete'").collect()) == [2]
+        assert {3, 4} <= {r.k for r in table.read().collect()}
+
+
+@pytest.mark.parametrize("mode", ["scd1", "scd2", "scd2_deletes"])
+def test_a_change_without_a_sequence_fails_its_batch(spark, mode):
+    table = ChangeTable(spark, f"{work_dir(spark, 't-null')}/t", ["k"], "s", None, mode)
+    with pytest.raises(Exception, match="sequence"):
+        table.write(spark.createDataFrame([(1, None)], "k int, s int"), "q", 0)
+
+
+def test_delete_mode_needs_a_delete_feed(spark, sf_small):
+    meta = {"primary_keys": ["user_id"], "cursor_field": "ts", "ingestion_type": "cdc_with_deletes"}
+    spec = {"objects": [{"table": {"source_table": "events"}}]}
+    with pytest.raises(ValueError, match="delete feed"):
+        ingest(spark, spec, ParquetTables(spark, sf_small, {"events": meta}), work_dir(spark, "t-nodel"))
+    with pytest.raises(ValueError, match="no delete feed"):
+        ParquetTables(spark, sf_small, {"events": meta}).read_stream("events", {}, deletes=True)
+    plan(spec, ParquetTables(spark, sf_small, {"events": {**meta, "delete_when": "event_type = 'error'"}}), "/x")
 
 
 def _conn(spark, sf):
