@@ -249,6 +249,13 @@ def q_snapshot_diff(spark, d):
         .select("o_orderkey", "change")
 
 
+@register("snapshot_checksum_diff", f"select * from ({DIFF}) where change <> 'same'")
+def q_snapshot_checksum_diff(spark, d):
+    """The keys that differ, found by bucket checksums before any row is joined."""
+    from keelson.operators.checksums import checksum_changes
+    return checksum_changes(I.orders_v1(spark, d), I.orders_v2(spark, d), I.ORDER_KEYS).select("o_orderkey", "change")
+
+
 @register("snapshot_scd1", f"with {V2} select * from v2")
 def q_snapshot_scd1(spark, d):
     return S.snapshot_scd1(I.orders_v1(spark, d), I.orders_v2(spark, d), I.ORDER_KEYS)
@@ -625,6 +632,32 @@ def q_page_chain(spark, d):
     return P.page_chain(pages, I.API_BASE)
 
 
+LINK_CHAINS = f"""
+with recursive p as (select distinct c_custkey // 100 as page from customer),
+l as (select page, max(page) over () as last, '{I.API_BASE}/customers' || case when page = 0 then '' else '?cursor=' || page end as req,
+        case when page < max(page) over () then '{I.API_BASE}/customers?cursor=' || (page + 1) end as nxt from p),
+g as (select 'run-1' as run_id, req, nxt from l
+      union all select 'run-2', req, coalesce(nxt, '{I.API_BASE}/customers?cursor=3') from l
+      union all select 'run-3', req, case when page % 5 <> 4 then nxt end from l
+      union all select 'run-4', req, nxt from l where page % 3 <> 2),
+w(run_id, req, spot, n) as (select run_id, req, req, 0 from g
+      union all select w.run_id, w.req, b.req, w.n + 1 from w join g a on a.run_id = w.run_id and a.req = w.spot
+                join g b on b.run_id = a.run_id and b.req = a.nxt where w.n <= (select count(*) from p)),
+f as (select run_id, req, max(n) as n, max_by(spot, n) as spot, max(n) > (select count(*) from p) as endless,
+        bool_or(n > 0 and spot = req) as ring from w group by run_id, req)
+select 'customers' as table_name, g.run_id, g.req as request_abs, g.nxt as next_abs, cast(1 as bigint) as landed,
+  (select count(*) from g b where b.run_id = g.run_id and b.nxt = g.req) as n_before,
+  case when not endless then spot end as tail, cast(case when not endless then n end as bigint) as ahead,
+  cast(case when not endless then max(n) over (partition by g.run_id, endless, spot) - n end as bigint) as position,
+  case when ring then 'cycle' when endless then 'to_cycle' when g.nxt is null then 'end' when n = 0 then 'unread' else 'ok' end as status
+from g join f on g.run_id = f.run_id and g.req = f.req"""
+
+
+@register("link_chains", LINK_CHAINS)
+def q_link_chains(spark, d):
+    return P.link_chains(I.customer_links(spark, d), I.API_BASE)
+
+
 @register("stop_at_short_page", "select * from customer")
 def q_stop_at_short_page(spark, d):
     pages = I.customer_offset_pages(spark, d)

@@ -116,6 +116,23 @@ def customer_pages(spark, sf_dir, shape: str = "results", page_size: int = PAGE_
     return out.withColumn("body", body).drop("rows")
 
 
+def customer_links(spark, sf_dir) -> DataFrame:
+    """The links of :func:`customer_pages` without page numbers, as four runs of one reader:
+    whole; with the last page leading back to page 3; with every fifth page leading nowhere;
+    and with every third page missing."""
+    pages = customer_pages(spark, sf_dir)
+    p = F.col("page")
+    back = API_BASE + "/customers?cursor=3"
+    run = lambda k, rows, link: rows.select("table_name", F.lit(f"run-{k}").alias("run_id"), "request_link", link.alias("next_link"))
+    link = F.col("next_link")
+    runs = [run(1, pages, link), run(2, pages, F.coalesce(link, F.lit(back))), run(3, pages, F.when(p % 5 != 4, link)),
+            run(4, pages.where(p % 3 != 2), link)]
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 def customer_offset_pages(spark, sf_dir, page_size: int = PAGE_SIZE) -> DataFrame:
     """Offset pages from ``customer``, as a reader would land them: bare lists and objects
     with ``results`` in turn.

@@ -19,6 +19,7 @@ from keelson.functions.coerce import ERRORS, coerce_variant_column
 from keelson.functions.stamps import absolute_link
 from keelson.operators.joins import spread_join
 from keelson.operators.ordering import next_in_key
+from keelson.session import checkpointed
 
 RUN_KEYS = ["table_name", "run_id"]
 _VARIANTS = "array<variant>"
@@ -102,6 +103,57 @@ def page_chain(pages: DataFrame, base: str, order: str = "page") -> DataFrame:
     return d.select(*RUN_KEYS, order, "request_abs", "next_abs", status.alias("status"))
 
 
+def link_chains(pages: DataFrame, base: str) -> DataFrame:
+    """S9 from the links alone: the order of landed pages, per (table, run), without a page number.
+
+    A page leads to the landed page that was requested with its next link. Every page follows
+    its links by pointer doubling: each round, it takes over the pointer of the page it points
+    at, so a chain of n pages is ranked in log2(n) rounds, each one join whatever the chain.
+
+    Returns one row per request link: ``request_abs, next_abs``, ``landed`` (times the request
+    occurs; the smallest next link counts), ``n_before`` (pages that lead here; 0 for a
+    head, more than 1 where chains meet), ``tail`` (the last page of the chain), ``ahead`` (pages between
+    this one and the tail, the tail included), ``position`` (from the farthest head of that tail, from 0)
+    and ``status``: ``ok`` (the next page landed), ``end`` (no next link), ``unread`` (a next link,
+    but no such page), ``cycle`` (on a cycle) or ``to_cycle`` (leads into one); the last two have no
+    tail, ahead or position.
+    """
+    run = [*RUN_KEYS]
+    link, nxt = F.col("request_link"), F.col("next_link")
+    named = pages.select(*run, absolute_link(base, link).alias("request_abs"),
+                         F.when(nxt.isNotNull() & (nxt != ""), absolute_link(base, nxt)).alias("next_abs"))
+    nodes = checkpointed(named.groupBy(*run, "request_abs").agg(F.min("next_abs").alias("next_abs"), F.count(F.lit(1)).alias("landed")))
+    before = (nodes.where("next_abs is not null").groupBy(*run, F.col("next_abs").alias("request_abs"))
+              .agg(F.count(F.lit(1)).alias("n_before")))
+    known = nodes.select(*run, F.col("request_abs").alias("next_abs"), F.lit(True).alias("there"))
+    state = (nodes.join(known, [*run, "next_abs"], "left")
+             .select(*run, "request_abs", F.when(F.col("there"), F.col("next_abs")).alias("to"))
+             .withColumn("ahead", F.when(F.col("to").isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint"))
+             .withColumn("tail", F.when(F.col("to").isNull(), F.col("request_abs"))))
+    state = checkpointed(state)
+    n = nodes.count()
+    steps = 1
+    while steps < 2 * n and state.where("to is not null").limit(1).count():
+        there = state.select(*run, F.col("request_abs").alias("to"), F.col("to").alias("__to"), F.col("ahead").alias("__ahead"),
+                             F.col("tail").alias("__tail"))
+        moving = state.where("to is not null").join(there, [*run, "to"])
+        moved = moving.select(*run, "request_abs", F.col("__to").alias("to"), (F.col("ahead") + F.col("__ahead")).alias("ahead"),
+                              F.col("__tail").alias("tail"))
+        state = checkpointed(state.where("to is null").unionByName(moved))
+        steps *= 2
+    # who still moves after at least as many steps as there are pages goes round: a cycle is the
+    # image of its own pages
+    on_cycle = state.where("to is not null").select(*run, F.col("to").alias("request_abs")).distinct().withColumn("__on", F.lit(True))
+    longest = (state.where("tail is not null").groupBy(*run, "tail").agg(F.max("ahead").alias("__most")))
+    out = (nodes.join(state, [*run, "request_abs"]).join(before, [*run, "request_abs"], "left")
+           .join(on_cycle, [*run, "request_abs"], "left").join(longest, [*run, "tail"], "left"))
+    status = (F.when(F.col("__on"), "cycle").when(F.col("to").isNotNull(), "to_cycle").when(F.col("next_abs").isNull(), "end")
+              .when(F.col("ahead") == 0, "unread").otherwise("ok"))
+    return out.select(*run, "request_abs", "next_abs", F.col("landed"), F.coalesce("n_before", F.lit(0)).alias("n_before"), "tail",
+                      F.when(F.col("to").isNull(), F.col("ahead")).alias("ahead"), (F.col("__most") - F.col("ahead")).alias("position"),
+                      status.alias("status"))
+
+
 def stop_at_short_page(pages: DataFrame, page_size: int = 100, body: str = "body",
                        offset: str = "page_offset", mode: str = "strict") -> DataFrame:
     """An offset chain stops at the first empty or short page; later pages are dropped.

@@ -30,9 +30,11 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from keelson.operators import changes as C
+from keelson.operators.checksums import bucket_of, bucket_sums, differing
+from keelson.session import checkpointed
 
 MODES = ("scd1", "scd2", "scd1_deletes", "scd2_deletes")
-SOURCE, BATCH, VERSION, ORIGIN = "__source", "__batch", "__version", "__origin"
+SOURCE, BATCH, ORIGIN, VERSION, PART = "__source", "__batch", "__origin", "__version", "__part"
 _PLACE = [ORIGIN, SOURCE, BATCH]
 #: Each type can be read as any later one of its list.
 _WIDER = [[T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()], [T.FloatType(), T.DoubleType()],
@@ -82,7 +84,7 @@ class Folders:
         return out
 
     def declare(self, schema: T.StructType) -> None:
-        taken = [c for c in schema.names if c in (SOURCE, BATCH, VERSION, ORIGIN)]
+        taken = [c for c in schema.names if c in (SOURCE, BATCH, ORIGIN, VERSION, PART)]
         if taken:
             raise ValueError(f"column names {taken} are the table's own")
         plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
@@ -193,24 +195,41 @@ class ChangeTable:
 
 
 class SnapshotTable:
-    """Snapshots of a source by version, each one folder ``__version=<n>`` of what changed.
+    """Snapshots of a source by version, each one folder of what changed::
+
+        <path>/__version=<n>/__part=<bucket>/part-*.parquet
+        <path>/_sums/__version=<n>/             checksums of the snapshot's buckets
 
     The first version holds the snapshot, every later one the keys that differ from the
     state before it (rows of the new snapshot, or tombstones); what is written follows the
-    difference. SCD 1 and SCD 2 are both read from the same rows.
+    difference. Only the buckets whose checksums differ from the last version's are read back
+    and joined. SCD 1 and SCD 2 are both read from the same rows. ``parts`` is fixed by the first
+    version.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.folders = Folders(spark, self.path, (VERSION,))
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], parts: int = 64):
+        self.spark, self.path, self.keys, self.parts = spark, path.rstrip("/"), list(keys), parts
+        self.folders = Folders(spark, self.path, (VERSION, PART))
 
     def changes(self) -> DataFrame | None:
         rows = self.folders.read()
-        return None if rows is None else rows.withColumn(VERSION, F.col(VERSION).cast("bigint"))
+        return None if rows is None else rows.withColumns({VERSION: F.col(VERSION).cast("bigint"), PART: F.col(PART).cast("int")})
+
+    def sums(self, version: int) -> DataFrame | None:
+        """Checksums of the last version up to ``version``, one row a bucket."""
+        try:
+            sums = self.spark.read.parquet(f"{self.path}/_sums").where(F.col(VERSION) <= version)
+        except AnalysisException:
+            return None
+        last = sums.agg(F.max(VERSION)).first()[0]
+        return None if last is None else sums.where(F.col(VERSION) == last).drop(VERSION)
 
     def last_version(self) -> int | None:
-        rows = self.changes()
-        return None if rows is None else rows.agg(F.max(VERSION)).first()[0]
+        """The last version, whether or not anything changed in it."""
+        try:
+            return self.spark.read.parquet(f"{self.path}/_sums").agg(F.max(VERSION).cast("bigint")).first()[0]
+        except AnalysisException:
+            return None
 
     def write(self, snapshot: DataFrame, version: int | None = None) -> int:
         """Apply a snapshot as ``version`` (default: the next one); the last version again
@@ -220,19 +239,33 @@ class SnapshotTable:
             version = 0 if last is None else last + 1
         if last is not None and version < last:
             raise ValueError(f"snapshot version {version} is older than {last}")
-        before = self.as_of(version - 1)
+        kept = self.sums(version - 1)
+        columns = [f.name for f in (self.folders.schema() or []) if f.name != C.OP]
+        before = None if kept is None else self.changes().where(F.col(VERSION) < version)
+        if before is not None:
+            self.parts = kept.first()["parts"]
+            gone = self.folders.schema()
+            snapshot = C.union_changes(snapshot, self.spark.createDataFrame([], T.StructType([gone[c] for c in columns])))
+        placed = snapshot.withColumn(PART, bucket_of(snapshot, self.keys, self.parts))
+        every = self.spark.range(self.parts).select(F.col("id").cast("int").alias(PART), F.lit(self.parts).alias("parts"))
+        sums = every.join(bucket_sums(placed, [PART], snapshot.columns), PART, "left")
+        sums = checkpointed(sums.fillna(0))  # an empty bucket has a row, too: a version always has its sums
         if before is None:
-            rows = C.mark(snapshot, C.UPSERT)
+            rows = C.mark(placed, C.UPSERT)
         else:
             from keelson.operators.snapshot import CHANGE, snapshot_changes
-            whole = C.union_changes(snapshot, before.limit(0))
-            before = C.union_changes(snapshot.limit(0), before).select(*whole.columns)
-            diff = snapshot_changes(before, whole, self.keys)
-            values = [c for c in whole.columns if c not in self.keys]
+            parts = [r[PART] for r in differing(kept, sums, [PART]).collect()]  # at most self.parts numbers
+            here = F.col(PART).isin(parts) if parts else F.lit(False)
+            before = C.live(C.latest_per_key(before.where(here), self.keys, VERSION)).drop(VERSION, PART)
+            before = C.union_changes(snapshot.limit(0), before).select(*snapshot.columns)
+            diff = snapshot_changes(before, placed.where(here).drop(PART), self.keys)
+            values = [c for c in snapshot.columns if c not in self.keys]
             rows = diff.select(*self.keys, *[F.col("__new").getField(c).alias(c) for c in values],
                                F.when(F.col(CHANGE) == "delete", C.DELETE).otherwise(C.UPSERT).alias(C.OP))
-            rows = rows.select(*whole.columns, C.OP)
-        self.folders.write(rows, version)
+            rows = rows.select(*snapshot.columns, C.OP, bucket_of(rows, self.keys, self.parts).alias(PART))
+        self.folders.declare(rows.drop(PART).schema)
+        rows.write.mode("overwrite").partitionBy(PART).parquet(f"{self.path}/{VERSION}={version}")
+        sums.write.mode("overwrite").parquet(f"{self.path}/_sums/{VERSION}={version}")
         return version
 
     def as_of(self, version: int) -> DataFrame | None:
@@ -243,7 +276,7 @@ class SnapshotTable:
         rows = rows.where(F.col(VERSION) <= version)
         if rows.limit(1).count() == 0:
             return None
-        return C.live(C.latest_per_key(rows, self.keys, VERSION)).drop(VERSION)
+        return C.live(C.latest_per_key(rows, self.keys, VERSION)).drop(VERSION, PART)
 
     def read(self) -> DataFrame | None:
         last = self.last_version()
@@ -252,4 +285,4 @@ class SnapshotTable:
     def history(self) -> DataFrame | None:
         """SCD 2: every version of a key with the snapshot versions it was valid for."""
         rows = self.changes()
-        return None if rows is None else C.live(C.history_of(rows, self.keys, VERSION)).drop(VERSION)
+        return None if rows is None else C.live(C.history_of(rows, self.keys, VERSION)).drop(VERSION, PART)

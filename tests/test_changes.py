@@ -282,3 +282,25 @@ def test_maps_variants_nested_and_null_keys(spark):
 def test_expiry_keeps_live_rows_without_an_op(spark):
     state = spark.createDataFrame([(1, 5, None), (2, 5, "upsert"), (3, 5, "delete"), (4, 50, "delete")], "k int, s int, _op string")
     assert sorted(r.k for r in C.expire_tombstones(state, "s", 10).collect()) == [1, 2, 4]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.one_of(st.none(), st.integers(0, 40)), st.tuples(st.sampled_from("ab"), st.integers(0, 2)), max_size=30),
+       st.dictionaries(st.one_of(st.none(), st.integers(0, 40)), st.tuples(st.sampled_from("ab"), st.integers(0, 2)), max_size=30),
+       st.sampled_from([1, 3, 4096]))
+def test_checksum_changes_equal_the_full_comparison(spark, old, new, buckets):
+    from keelson.operators.checksums import checksum_changes
+    from keelson.operators.snapshot import snapshot_changes
+    a, b = (spark.createDataFrame([(k, v, {"m": m} if m else None) for k, (v, m) in rows.items()], "k int, v string, m map<string,int>")
+            for rows in (old, new))
+    assert sorted(map(str, checksum_changes(a, b, ["k"], buckets).collect())) == sorted(map(str, snapshot_changes(a, b, ["k"]).collect()))
+
+
+def test_checksums_join_only_the_changed_buckets(spark):
+    from keelson.operators.checksums import changed_rows
+    old = spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
+    new = old.where("k <> 5").withColumn("v", F.when(F.col("k") % 2000 == 9, -1).otherwise(F.col("v")))
+    a, b = changed_rows(old, new, ["k"])
+    n, m = a.count(), b.count()
+    assert 101 <= n <= 101 * 100 and n - 1 == m             # 101 changed keys, each with its few neighbours
+    assert changed_rows(old, old, ["k"])[0].count() == 0

@@ -199,3 +199,28 @@ def test_page_slice_of_any_depth(spark):
     for page, size in ((1, 10), (2, 3), (5, 10), (9, 10), (20, 10), (1, 1000)):
         got = [tuple(r) for r in R.page_slice(df, "c", ["id"], page, size).collect()]
         assert got == want[(page - 1) * size:page * size], (page, size)
+
+
+def test_link_chains_branches_cycles_and_repeats(spark):
+    """Two heads that meet, a page that leads to itself, a cycle with a way in, a page landed twice, two runs
+    with the same links, empty and relative links."""
+    from keelson.sources.pages import link_chains
+    rows = [("t", "a", "/1", "/2"), ("t", "a", "/2", "http://x/3"), ("t", "a", "/3", ""), ("t", "a", "/9", "/2"), ("t", "a", "/8", "/9"),
+            ("t", "a", "/5", "/5"), ("t", "a", "/6", "/7"), ("t", "a", "/7", "/6"), ("t", "a", "/4", "/6"), ("t", "a", "/0", "/gone"),
+            ("t", "a", "/3", None), ("t", "b", "/1", "/2")]
+    df = spark.createDataFrame(rows, "table_name string, run_id string, request_link string, next_link string")
+    got = {(r.run_id, r.request_abs[-2:]): (r.landed, r.n_before, r.tail and r.tail[-2:], r.ahead, r.position, r.status)
+           for r in link_chains(df, "http://x/").collect()}
+    assert got == {("a", "/1"): (1, 0, "/3", 2, 1, "ok"), ("a", "/2"): (1, 2, "/3", 1, 2, "ok"), ("a", "/3"): (2, 1, "/3", 0, 3, "end"),
+                   ("a", "/9"): (1, 1, "/3", 2, 1, "ok"), ("a", "/8"): (1, 0, "/3", 3, 0, "ok"), ("a", "/5"): (1, 1, None, None, None, "cycle"),
+                   ("a", "/6"): (1, 2, None, None, None, "cycle"), ("a", "/7"): (1, 1, None, None, None, "cycle"),
+                   ("a", "/4"): (1, 0, None, None, None, "to_cycle"), ("a", "/0"): (1, 0, "/0", 0, 0, "unread"),
+                   ("b", "/1"): (1, 0, "/1", 0, 0, "unread")}
+    assert link_chains(df.limit(0), "http://x").collect() == []
+
+
+def test_link_chains_rank_a_long_chain(spark):
+    from keelson.sources.pages import link_chains
+    df = spark.range(1500).select(F.lit("t").alias("table_name"), F.lit("r").alias("run_id"), F.concat(F.lit("/"), "id").alias("request_link"),
+                                  F.when(F.col("id") < 1499, F.concat(F.lit("/"), F.col("id") + 1)).alias("next_link")).orderBy(F.rand(1))
+    assert all(r.position == int(r.request_abs.rsplit("/")[-1]) for r in link_chains(df, "http://x").collect())
