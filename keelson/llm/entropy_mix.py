@@ -13,6 +13,7 @@ to the copies they may still give or take, and closed until no copy brings it ne
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,55 +99,57 @@ def multipliers(hist: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFram
 
 
 def cell_copies(hist: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFrame:
-    """``src, size, n, copies``: whole copies of every (source, size) cell."""
-    rate = (F.when(F.col("full"), F.lit(float(cap)))
-            .otherwise(F.least(F.lit(float(cap)), F.exp(F.col("lam") * F.col("size") / F.col("scale")))))
-    cells = hist.join(multipliers(hist, targets, cap), "src").select("src", "size", "n", rate.alias("rate"))
-    upto = Window.partitionBy("src").orderBy(F.col("size").desc())
-    cells = cells.withColumn("run", F.round(F.sum(F.col("n") * F.col("rate")).over(upto.rowsBetween(
-        Window.unboundedPreceding, 0))).cast("long"))
-    copies = F.col("run") - F.coalesce(F.lag("run").over(upto), F.lit(0))
-    cells = stored(cells.select("src", "size", "n", F.greatest(F.lit(0), F.least(copies, F.col("n") * cap)).alias("copies")), "cells")
-    return closed(cells, targets, cap)
+    """``src, size, n, copies``: whole copies of every (source, size) cell.
+
+    The cells of a source are rounded and closed in one pass, in one task: they are as many as
+    the source has different sizes (see the top), however many documents it holds.
+    """
+    def run(pdf):
+        pdf = pdf.sort_values("size", ascending=False, kind="stable")
+        size, n = pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
+        if pdf["full"].iloc[0]:
+            rate = np.full(len(size), float(cap))
+        else:
+            rate = np.minimum(cap, np.exp(np.minimum(pdf["lam"].iloc[0] * size / pdf["scale"].iloc[0], 50.0)))
+        upto = np.floor(np.cumsum(n * rate) + 0.5).astype(np.int64)
+        copies = np.clip(np.diff(upto, prepend=0), 0, n * cap)
+        return pdf[["src", "size", "n"]].assign(copies=closed(size, n, copies, pdf["target"].iloc[0], cap))
+
+    solved = multipliers(hist, targets, cap).join(targets.select("src", "target"), "src")
+    return hist.join(solved, "src").groupBy("src").applyInPandas(run, "src string, size bigint, n bigint, copies bigint")
 
 
-def closed(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFrame:
-    """``cells`` with copies added or removed until no copy brings a source nearer to its target.
+def closed(size: np.ndarray, n: np.ndarray, copies: np.ndarray, target: float, cap: int = CAP) -> np.ndarray:
+    """``copies`` of a source's cells, largest size first, with copies added or removed until no
+    single copy brings the source nearer to its target.
 
     Round one deals the gap out evenly over the sizes that fit into it; rounding down, so
     less than the largest of them is left. Later rounds fill the rest with the largest sizes
     that fit, which halves it at least; where none fits, with one copy of the smallest size
     that overshoots by less than the gap.
     """
-    upto = Window.partitionBy("src").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    source = Window.partitionBy("src")
     even = True
     while True:
-        gap = (cells.groupBy("src").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
-               .join(targets.select("src", "target"), "src")
-               .select("src", F.abs(F.col("target") - F.col("taken")).alias("gap"),
-                       F.signum(F.col("target") - F.col("taken")).cast("long").alias("by")))
-        usable = (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap"))
-        free = F.when(F.col("by") > 0, F.col("n") * cap - F.col("copies")).otherwise(F.col("copies"))
-        open_ = (cells.join(gap, "src").withColumn("free", free).where(usable & (F.col("free") > 0))
-                 .withColumn("fits", F.when(F.col("size") <= F.col("gap"), F.col("free")).otherwise(0)))
-        words = F.col("fits") * F.col("size")
+        gap = target - float(copies @ size)
+        by, gap = (1, gap) if gap > 0 else (-1, -gap)
+        free = n * cap - copies if by > 0 else copies
+        usable = (size > 0) & (size < 2 * gap) & (free > 0)
+        fits = np.where(usable & (size <= gap), free, 0)
+        words = (fits * size).astype(np.float64)
         if even:
-            rate = F.least(F.lit(1.0), F.col("gap") / F.greatest(F.sum(words).over(source), F.lit(1)))
-            open_ = open_.withColumn("run", F.floor(rate * F.sum("fits").over(upto)))
-            more = F.col("run") - F.coalesce(F.lag("run").over(Window.partitionBy("src").orderBy(F.col("size").desc())), F.lit(0))
+            rate = min(1.0, gap / max(words.sum(), 1.0))
+            more = np.diff(np.floor(rate * np.cumsum(fits)).astype(np.int64), prepend=0)
+        elif fits.any():
+            left = gap - (np.cumsum(words) - words)
+            more = np.where(fits > 0, np.maximum(0, np.floor(left / np.maximum(size, 1))), 0).astype(np.int64)
         else:
-            left = F.col("gap") - (F.sum(words).over(upto) - words)
-            over = (F.max("fits").over(source) == 0) & (F.col("size") == F.min("size").over(source))
-            more = F.when(over, 1).otherwise(F.greatest(F.lit(0), F.floor(left / F.col("size"))))
-            more = F.when(over | (F.col("fits") > 0), more).otherwise(0)
-        more = F.least(more, F.when(F.col("fits") > 0, F.col("fits")).otherwise(1)).cast("long")
-        steps = stored(open_.select("src", "size", (F.col("by") * more).alias("by")).where("by <> 0"), "closing")
-        if steps.limit(1).count():
-            cells = stored(cells.join(steps, ["src", "size"], "left")
-                           .select("src", "size", "n", (F.col("copies") + F.coalesce("by", F.lit(0))).alias("copies")), "cells")
+            more = np.zeros(len(size), np.int64)
+            more[np.flatnonzero(usable)[-1:]] = 1
+        more = np.minimum(more, np.where(fits > 0, fits, 1))
+        if more.any():
+            copies = copies + by * more
         elif not even:
-            return cells
+            return copies
         even = False
 
 
@@ -159,7 +162,7 @@ def with_copies(rows: DataFrame, cap: int = CAP) -> DataFrame:
     """
     hist = stored(rows.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
     targets = stored(source_targets(hist, cap=cap), "targets")
-    cells = cell_copies(hist, targets, cap)
+    cells = stored(cell_copies(hist, targets, cap), "cells")
     salt = F.pmod(F.xxhash64("id", "size"), F.lit(SALTS))
     rows = rows.withColumn("salt", salt)
     groups = rows.groupBy("src", "size", "salt").agg(F.count(F.lit(1)).alias("k"))
