@@ -61,6 +61,7 @@ class Counter:
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max(len(p) for p, _ in pieces)
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
         # pieces with a mark after the first character tie words together
         self.tied = {p for p, _ in pieces if MARK in p[1:]}
@@ -68,26 +69,31 @@ class Counter:
         self.words = _Counts(lambda word: self.solve(MARK + word))
 
     def solve(self, text: str) -> int:
-        """Count for a text that is already in marks."""
-        n = len(text)
-        best, count = [-math.inf] * (n + 1), [0] * (n + 1)
-        best[0] = 0.0
-        at: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, (length, score) in self.automaton.iter(text):
-            at[end].append((length, score))
-        for end, found in enumerate(at, 1):
+        """Count for a text that is already in marks. Matches come in the order of their ends, and a
+        piece reaches back no further than the longest one: only that many ends are kept."""
+        kept = self.longest + 1
+        best, count = [0.0] * kept, [0] * kept
+        matches = self.automaton.iter(text)
+        last, piece = next(matches, (-1, None))
+        for i in range(len(text)):
+            end = i + 1
+            found = []
+            while last == i:
+                found.append(piece)
+                last, piece = next(matches, (-1, None))
             single = False
             top, pieces = -math.inf, 0
-            for length, score in sorted(found, reverse=True):   # by start
-                start = end - length
-                if best[start] + score > top:
-                    top, pieces = best[start] + score, count[start] + 1
+            for length, score in sorted(found, reverse=True) if len(found) > 1 else found:   # by start
+                at = (end - length) % kept
+                if best[at] + score > top:
+                    top, pieces = best[at] + score, count[at] + 1
                 single |= length == 1
-            if not single and best[end - 1] + self.unknown > top:
-                top = best[end - 1] + self.unknown
-                pieces = count[end - 1] + len(text[end - 1].encode())
-            best[end], count[end] = top, pieces
-        return count[n]
+            at = i % kept
+            if not single and best[at] + self.unknown > top:
+                top = best[at] + self.unknown
+                pieces = count[at] + len(text[i].encode())
+            best[end % kept], count[end % kept] = top, pieces
+        return count[len(text) % kept]
 
     def tokens(self, text: str) -> int:
         """Count for a plain text: marks for spaces, and one in front unless one is there."""
