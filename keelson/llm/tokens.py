@@ -58,9 +58,21 @@ class Encoder:
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         self.encoding = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.words = _Words(self.whole)
+        self.path = path
+
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
 
     def whole(self, text: str) -> bytes:
-        ids = self.encoding.encode(text, allowed_special="all")
+        try:
+            ids = self.encoding.encode(text, allowed_special="all")
+        except ValueError:  # its pattern matcher gives up on very long runs of white space
+            ids = self.library.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
