@@ -1,0 +1,94 @@
+"""op5 on hand-made pages of different templates, and corpus queries on very long texts."""
+
+import time
+
+import pytest
+
+from keelson.llm import best_fit, block_extract, viterbi_counts
+from keelson.llm.tokens import default_path, encoder
+
+P1 = ("The old harbour was closed in the spring of that year, and the boats that had been there for a long time "
+      "were brought to the new one, which is on the other side of the bay and has more room for all of them.")
+P2 = ("It was not easy for the people of the town, as many of them had lived by the water for all of their lives, "
+      "but in the end most of them said that they were happy with what had been done for them.")
+LINKS = "<ul><li><a href='/a'>Home</a></li><li><a href='/b'>News of the day</a></li></ul>"
+REPLIES = "".join(f"<div><p>{P1} {P2} I do not agree with any of that, number {i}.</p></div>" for i in range(8))
+BODY, WANT = f"<p>{P1}</p><p>{P2}</p>", f"{P1} {P2}"
+
+PAGES = {
+    "article": (f"<nav>{LINKS}</nav><article><h1>Harbour</h1>{BODY}</article><footer>© all of it</footer>", f"Harbour {WANT}"),
+    "div article": (f"<div class=nav>{LINKS}</div><div class=story>{BODY}</div><div id=footer>© 2020 by us</div>", WANT),
+    "comments larger": (f"<div class=story>{BODY}</div><div class=comments>{REPLIES}</div>", WANT),
+    "comments in article": (f"<article>{BODY}<section id='comments'>{REPLIES}</section></article>", WANT),
+    "replies list": (f"<main>{BODY}<ol class='replies'><li>{P1}</li></ol></main>", WANT),
+    "sidebar wrap": (f"<div class='content-sidebar-wrap'><div>{BODY}</div><div class=sidebar><p>{P1}</p></div></div>", WANT),
+    "no sidebar": (f"<body class='no-sidebar'><div class='has-header'>{BODY}</div>", WANT),
+    "content-ad": (f"<article>{BODY}<div class='content-ad'>{P1}</div></article>", WANT),
+    "no-share": (f"<article>{BODY}<div class='no-share'>{P1}</div></article>", WANT),
+    "ad paragraph": (f"<article><p>{P1}</p><p class='advert'>Buy a boat now!</p><p>{P2}</p></article>", WANT),
+    "ad span": (f"<article><p>{P1}<span class='ad'> Buy a boat! </span></p><p>{P2}</p></article>", WANT),
+    "cookie paragraph": (f"<article><p class='cookie-notice'>{P2}</p>{BODY}</article>", WANT),
+    "hidden paragraph": (f"<article><p hidden>{P2}</p>{BODY}<p aria-hidden='true'>x</p></article>", WANT),
+    "hidden by style": (f"<article><p style='color:red; display : none'>{P2}</p>{BODY}<div style='visibility:hidden'>{P1}</div></article>", WANT),
+    "unclosed ad paragraph": (f"<article><p>{P1}<p class=ad>Buy a boat<p>{P2}</article>", WANT),
+    "linked paragraph": (f"<article><p>{P1}</p><p><a href='/x'>{P2}</a></p></article>", WANT),
+    "sources": (f"<article>{BODY}<ul><li><a href='/s'>First source of it</a></li></ul></article>", f"{WANT} First source of it"),
+    "short page": ("<html><body><p>One short line.</p></body></html>", "One short line."),
+    "plain text": ("Just some words &amp; no markup", "Just some words & no markup"),
+    "short with menu": (f"<nav>{LINKS}</nav><p>Back soon.</p><footer>Imprint</footer>", "Back soon."),
+    "unclosed select": (f"<article><p>{P1}</p><select><option>a<option>b<p>{P2}</p></article>", WANT),
+    "unclosed button": (f"<article><p>{P1}</p><div><button>Press</div><p>{P2}</p></article>", WANT),
+    "button with div": (f"<article><p>{P1}</p><button><div>Press</div> it</button><p>{P2}</p></article>", WANT),
+    "form page": (f"<form id=aspnet><div class=header>{LINKS}</div><div>{BODY}</div></form>", WANT),
+    "login form": (f"<div>{BODY}</div><form><p>{P1[:90]}</p><input name=q></form>", WANT),
+    "script and style": (f"<article><script>if (a < b) {{ '<p>x</p>' }}</script><style>p > a {{}}</style>{BODY}</article>", WANT),
+    "unclosed script": (f"<article>{BODY}</article><script>var x = '<p>no</p>'", WANT),
+    "declarations": (f"<!DOCTYPE html><![if IE]><p>{P1}</p><![endif]><!-- <p>no</p> --><?php x ?><p>{P2}</p></!>", WANT),
+    "cut off in a tag": (f"<article>{BODY}<p class='x", WANT),
+    "broken quote": (f"<article><p title='x>{P1}</p><p>{P2}</p></article>", WANT),
+    "references": ("<article><p>caf&eacute; &#8211; &lt;b&gt; &nosuch; AT&amp;T 5 < 6</p></article>", "café – <b> &nosuch; AT&T 5 < 6"),
+    "upper case tags": (f"<ARTICLE><P>{P1}</P><SCRIPT>x</SCRIPT><P>{P2}</P></ARTICLE>", WANT),
+    "section header": (f"<article><header><h1 class='page-header'>Harbour</h1></header>{BODY}</article>", f"Harbour {WANT}"),
+    "table": (f"<article>{BODY}<table><tr><td>1</td><td>2</td></tr></table></article>", f"{WANT} 1 2"),
+    "svg": (f"<article><p>{P1}<svg><text>no</text></svg><svg/></p><p>{P2}</p></article>", WANT),
+    "nothing": ("<nav>" + LINKS + "</nav>", ""),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_template(name):
+    html, want = PAGES[name]
+    assert " ".join(block_extract.main_blocks(html)) == want
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<![", "<div class=ad>", "<a b=\"", "<p title='", "<", "</", "&", "<select>", "<a b ", "<x y=", "<b>"])
+def test_time_grows_with_the_page(part):
+    began = time.time()
+    block_extract.main_blocks(part * (2_000_000 // len(part)))
+    assert time.time() - began < 20
+
+
+def test_extract_survives_odd_pages(spark):
+    rows = [(1, "u", "<![foo bar]>text"), (2, "u", "<!["), (3, None, None), (4, "u", ""), (None, "u", "<p>x</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in block_extract.extract(df).collect()} == {1: "text", 2: "", 3: "", 4: "", None: "x"}
+
+
+@pytest.mark.parametrize("text", ["\n" * 2_000_000, "a" + " " * 2_000_000 + "b"])
+def test_packing_of_very_long_white_space(spark, make_docs, text):
+    ids = encoder(default_path()).library.encode(text, add_special_tokens=False).ids
+    assert encoder(default_path()).ids(text) == b"".join(i.to_bytes(4, "little") for i in ids)
+    pieces = best_fit.pack_documents(make_docs([(1, text), (2, "a")])).collect()
+    assert sum(p.length for p in pieces if p.doc_id == 1) == len(ids) + 1
+
+
+def test_counts_of_very_long_white_space():
+    """Memory does not grow with the text."""
+    import tracemalloc
+    counter = viterbi_counts.counter(viterbi_counts.default_path())
+    text = " " * 300_000 + "a"
+    tracemalloc.start()
+    n = counter.tokens(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 1000 and peak < 20e6
