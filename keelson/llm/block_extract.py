@@ -302,10 +302,12 @@ def _knows_language(blocks: list[_Block]) -> bool:
     return 2 * known >= total
 
 
-def _first_pass(b: _Block, known: bool) -> bool | None:
-    """Text, boilerplate, or None where it stays open. ``known``: stop words tell."""
+def _first_pass(b: _Block, known: bool, plain: set[int]) -> bool | None:
+    """Text, boilerplate, or None where it stays open. ``known``: stop words tell. ``plain``:
+    containers with a block that is not links; a short link among such blocks leads elsewhere,
+    while a linked paragraph, or a list of links only, belongs to its article."""
     if not _candidate(b):
-        return None if b.main and not b.furniture else False
+        return None if b.main and not b.furniture and (len(b.text) >= SHORT_CHARS or b.place not in plain) else False
     if len(b.text) < SHORT_CHARS:
         return False if "©" in b.text and not b.main else None
     if b.main and len(b.text) >= LONG_CHARS:
@@ -325,7 +327,8 @@ def main_blocks(html: str | None) -> list[str]:
     parser.close()
     blocks = parser.blocks
     known = all(b.main for b in blocks) or _knows_language(blocks)
-    first = [_first_pass(b, known) for b in blocks]
+    plain = {b.place for b in blocks if _candidate(b)}
+    first = [_first_pass(b, known, plain) for b in blocks]
     # distance to, and label of, the nearest decided block of the same container on each side
     label = list(first)
     near: list[list[tuple[int, bool]]] = [[] for _ in blocks]
