@@ -729,6 +729,12 @@ def q_stream_deletes(spark, d):
     return FL.stream_deletes(spark, d)
 
 
+@register("stream_state", SCD1_DELETES)
+def q_stream_state(spark, d):
+    from keelson.streaming.state import stream_state_run
+    return stream_state_run(spark, d)
+
+
 @register("upsert_sink", LATEST)
 def q_upsert_sink(spark, d):
     return FL.upsert_sink_run(spark, d)

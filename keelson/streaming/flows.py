@@ -61,15 +61,15 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
 
 
 def run_available(stream: DataFrame, checkpoint: str, *, sink: str | None = None,
-                  batch_fn=None, name: str | None = None):
+                  batch_fn=None, name: str | None = None, mode: str = "append"):
     """Run until caught up (availableNow), then stop. Raises the query's failure."""
-    w = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    w = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode(mode)
     if name:
         w = w.queryName(name)
     if batch_fn is not None:
         w = w.foreachBatch(batch_fn)
     else:
-        w = w.format("parquet").option("path", sink).outputMode("append")
+        w = w.format("parquet").option("path", sink)
     q = w.start()
     q.awaitTermination()
     if q.exception() is not None:
