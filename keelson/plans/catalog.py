@@ -778,7 +778,7 @@ class _TwoSnapshots:
 
     def __init__(self, spark, d):
         self.inner, self.runs, self.snapshots = _connector(spark, d), 0, [I.orders_v1(spark, d), I.orders_v2(spark, d)]
-        self.metadata, self.read_stream = self.inner.metadata, self.inner.read_stream
+        self.metadata, self.read_stream, self.has_deletes = self.inner.metadata, self.inner.read_stream, self.inner.has_deletes
 
     def read(self, table, options):
         return self.snapshots[self.runs]

@@ -96,7 +96,7 @@ def plan(spec: dict, connector, root: str) -> list[TablePlan]:
             itype = "append"
         if itype not in INGESTION_TYPES:
             raise ValueError(f"table {src}: unknown ingestion_type {itype!r}")
-        if itype == "cdc_with_deletes" and not connector.has_deletes(src):
+        if itype == "cdc_with_deletes" and not getattr(connector, "has_deletes", lambda _: False)(src):
             raise ValueError(f"table {src}: cdc_with_deletes needs a source with a delete feed")
         keys = _keys(conf.get(PRIMARY_KEYS)) or _keys(meta.get("primary_keys")) or []
         seq = conf.get(SEQUENCE_BY) or meta.get("cursor_field")
