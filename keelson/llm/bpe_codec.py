@@ -34,7 +34,7 @@ from keelson.llm.tokens import _byte_of_char, default_path
 #: Pieces of text kept per process with their ids; others are encoded again.
 CACHED = 500_000
 #: Characters of text that a task encodes at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Words longer than this are merged over a heap, shorter ones all together.
 LONG_WORD = 200
 # Letters, numbers and blanks among the characters below U+0250, and the byte-level
@@ -48,6 +48,27 @@ BETWEEN = "\0"
 NEVER = np.int64(1) << 60
 
 
+@functools.lru_cache(maxsize=2)
+def pieces(path: str) -> list[bytes]:
+    """Bytes of every id of a file, special tokens included; all that decoding needs."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    ids, byte = spec["model"]["vocab"], _byte_of_char()
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    table = [b""] * (max([*ids.values(), *special.values()]) + 1)
+    for piece, i in ids.items():
+        table[i] = bytes(byte[c] for c in piece) if piece not in special else piece.encode()
+    for piece, i in special.items():
+        table[i] = piece.encode()
+    return table
+
+
+def text_of(table: list[bytes], ids: np.ndarray) -> str:
+    """Text of ``ids``, special tokens included; ids the file does not have are left out."""
+    ids = ids[(ids >= 0) & (ids < len(table))]
+    return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
 class Vocabulary:
     """Pieces and merges of a byte-level BPE file, as arrays by id.
 
@@ -67,11 +88,6 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         byte = _byte_of_char()
         size = max([*ids.values(), *self.special.values()]) + 1
-        self.bytes_of: list[bytes] = [b""] * size
-        for piece, i in ids.items():
-            self.bytes_of[i] = bytes(byte[c] for c in piece) if piece not in self.special else piece.encode()
-        for piece, i in self.special.items():
-            self.bytes_of[i] = piece.encode()
         self.single = {c: ids[c] for c in byte}
         self.char_of = {b: c for c, b in byte.items()}  # of a byte; a table for str.translate
         self.left, self.right = (np.full(size, -1, np.int64) for _ in range(2))
@@ -259,7 +275,7 @@ class Codec:
     """
 
     def __init__(self, path: str, cached: int = CACHED):
-        self.vocabulary = Vocabulary(path)
+        self.path, self.vocabulary = path, Vocabulary(path)
         self.known, self.cached = _Known(), cached
         special = sorted(self.vocabulary.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
@@ -322,10 +338,7 @@ class Codec:
         return set().union(*(ks for parts in split for ks in parts if not isinstance(ks, int))).difference(self.known)
 
     def decode(self, ids: np.ndarray) -> str:
-        """Text of ``ids``, special tokens included; ids the file does not have are left out."""
-        ids = ids[(ids >= 0) & (ids < self.vocabulary.size)]
-        table = self.vocabulary.bytes_of
-        return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return text_of(pieces(self.path), ids)
 
 
 @functools.lru_cache(maxsize=2)
@@ -384,7 +397,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "text", pat
             lists = batch.column(len(others))
             ends = np.cumsum([0, *sizes(batch).tolist()])
             flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
-            texts = [codec(path).decode(flat[i:j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            texts = [text_of(pieces(path), flat[i:j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(others)], pa.array(texts, pa.string())], [*others, text_col])
 
     rows = encoded.select(*others, ids_col)

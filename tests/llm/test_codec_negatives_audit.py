@@ -94,7 +94,7 @@ def test_pair_test_and_exact_merging(library):
     ok = v.compatible(pairs[:, 0], pairs[:, 1])
     chars = {b: c for b, c in v.char_of.items()}
     for (a, b), o in zip(pairs.tolist(), ok.tolist()):
-        both = "".join(chars[x] for x in v.bytes_of[a] + v.bytes_of[b])
+        both = "".join(chars[x] for x in P.pieces(P.default_path())[a] + P.pieces(P.default_path())[b])
         assert o == (v.exact(both) == [a, b])
 
 
