@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import repeat
+from functools import cache, cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +40,10 @@ PARTS = 1 << 10
 HASHES = 4
 #: Rows of a file that share one table of exact counts.
 BLOCK_ROWS = 4096
+#: A text of more bytes than this is a block of its own, so a block holds at most 256 MB of other texts.
+LONG_TEXT = 1 << 16
+#: Keys that are looked up together: their intermediate arrays are small.
+AT_ONCE = 1 << 17
 #: Training rows per hash partition and task; more rows make more tasks per partition.
 ROWS_PER_SUB = 1 << 22
 #: Tokens that a task holds before it hands on counts.
@@ -46,6 +51,9 @@ HELD_TOKENS = 1 << 19
 LEVELS = 48
 WEIGHTS = (0.0, 0.001, 0.01, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.97)
 END = b"\n"
+_STEPS = LEVELS + 1
+#: Combinations of the levels of a token, of its bigram and of its history.
+CELLS = _STEPS ** 3
 #: Expected count of each level.
 _COUNT = np.array([0.0] + [(2.0 ** (q - 1) + 2.0 ** q - 1) / 2 for q in range(1, LEVELS + 1)])
 
@@ -56,7 +64,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def tokens(text: str | None) -> list[bytes]:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = as_bytes(text).lower().split()
     words.append(END)
     return words
 
@@ -67,9 +75,84 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    from xxhash import xxh64_intdigest
-    return np.fromiter(map(xxh64_intdigest, words, repeat(7)), np.uint64, len(words))
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_RADIX = 0x9E3779B97F4A7C15                                # odd, so it has an inverse modulo 2^64
+_END_HASH = np.uint64(0x5851F42D4C957F2D)
+SEED = 7
+#: Bytes whose powers of the radix are kept.
+PIECE = 1 << 18
+
+
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the radix, and their inverses."""
+    power = lambda r: np.cumprod(np.r_[np.uint64(1), np.full(PIECE, r, np.uint64)])
+    return power(_RADIX), power(pow(_RADIX, -1, 1 << 64))
+
+
+@cache
+def _byte_values(seed: int) -> np.ndarray:
+    values = _mix((np.arange(256, dtype=np.uint64) + np.uint64(seed)) * np.uint64(0xD6E8FEB86659FD93))
+    values[65:91] = values[97:123]                         # A-Z count as a-z
+    return values
+
+
+def word_hashes(data: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word of the bytes: a polynomial of its bytes modulo 2^64, from
+    running sums over pieces of the text. A word longer than a piece is summed piece by piece."""
+    edges = np.flatnonzero(np.diff(_SPACE[data], prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    (power, inverse), values = _powers(), _byte_values(seed)
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        a = starts[i]
+        j = int(np.searchsorted(ends, a + PIECE, "right"))
+        if j > i:
+            sums = np.zeros(ends[j - 1] - a + 1, np.uint64)
+            np.cumsum(values[data[a:ends[j - 1]]] * power[:len(sums) - 1], out=sums[1:])
+            at = starts[i:j] - a
+            out[i:j] = (sums[ends[i:j] - a] - sums[at]) * inverse[at]
+        else:
+            j, total = i + 1, 0
+            for o in range(a, ends[i], PIECE):
+                part = values[data[o:min(o + PIECE, ends[i])]]
+                total += int((part * power[:len(part)]).sum(dtype=np.uint64)) * pow(_RADIX, int(o - a), 1 << 64)
+            out[i] = total % (1 << 64)
+        i = j
+    return starts, _mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def hashes(words: list[bytes], seed: int = SEED) -> np.ndarray:
+    """Hashes of tokens as ``tokens`` gives them."""
+    out = np.full(len(words), _END_HASH)
+    real = np.fromiter((w != END for w in words), bool, len(words))
+    out[real] = word_hashes(np.frombuffer(b" ".join(w for w in words if w != END), np.uint8), seed)[1]
+    return out
+
+
+def text_hashes(texts: list[bytes], seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens of the texts, one text after another, and the number of tokens of each."""
+    starts, h = word_hashes(np.frombuffer(END.join(texts) + END, np.uint8), seed)
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    before = np.searchsorted(starts, ends)
+    return np.insert(h, before, _END_HASH), np.diff(before, prepend=0) + 1
+
+
+def as_bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def hashed(texts: Iterator[str | None], seed: int = SEED) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``text_hashes`` of whole texts, about ``HELD_TOKENS`` tokens at a time."""
+    held, n = [], 0
+    for t in texts:
+        held.append(as_bytes(t))
+        n += len(held[-1])
+        if n >= 8 * HELD_TOKENS:
+            yield text_hashes(held, seed)
+            held, n = [], 0
+    if held:
+        yield text_hashes(held, seed)
 
 
 def bigram_hashes(h: np.ndarray) -> np.ndarray:
@@ -113,9 +196,9 @@ def segment_bits(settings: int, segments: int) -> int:
 
 def _counter(subs: int):
     """mapInArrow function: packed counts of a task's tokens per hash partition."""
-    def flush(uni: list[np.ndarray], bi: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        w, wn = np.unique(_unigram_key(np.concatenate(uni)), return_counts=True)
-        g = np.concatenate(bi)
+    def counted(h: np.ndarray) -> pa.RecordBatch:
+        w, wn = np.unique(_unigram_key(h), return_counts=True)
+        g = bigram_hashes(h)
         g, gn = np.unique(_part(g) << 32 | _rest(g), return_counts=True)
         wn, gn = wn.astype(np.uint32), gn.astype(np.uint32)
         rest = (g & 0xFFFFFFFF).astype(np.uint32)
@@ -130,23 +213,11 @@ def _counter(subs: int):
                 many = gn[b] > 1
                 rows.append((s // subs, s % subs, w[a].tobytes(), wn[a].tobytes(), rest[b[~many]].tobytes(),
                              rest[b[many]].tobytes(), gn[b[many]].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uni: list[np.ndarray] = []
-        bi: list[np.ndarray] = []
-        n = 0
-        for batch in batches:
-            for text in batch.column(0):
-                h = hashes(tokens(text.as_py()))
-                uni.append(h)
-                bi.append(bigram_hashes(h))
-                n += len(h)
-                if n >= HELD_TOKENS:
-                    yield from flush(uni, bi)
-                    uni, bi, n = [], [], 0
-        if n:
-            yield from flush(uni, bi)
+        for h, _ in hashed(t.as_py() for batch in batches for t in batch.column(0)):
+            yield counted(h)
     return run
 
 
@@ -230,26 +301,38 @@ class Filter:
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key, 0 if it is not there."""
         level = np.zeros(len(keys), np.int8)
+        for i in range(0, len(keys), AT_ONCE):
+            self._climb(keys[i:i + AT_ONCE], level[i:i + AT_ONCE])
+        return level
+
+    def _climb(self, keys: np.ndarray, level: np.ndarray) -> None:
+        """Write the level of each key: its probes step by step, until one is missing."""
         size = 8 * len(self.bits) // self.segments
-        base, probes = (keys >> np.uint64(54)) * np.uint64(size if self.segments > 1 else 0), _Probes(keys, size)
-        live = np.arange(len(keys))
+        probes = _Probes(keys, size)
+        base = (keys >> np.uint64(54)) * np.uint64(size if self.segments > 1 else 0)
+        step = probes.step.astype(np.uint32)
+        at = (probes.first + np.uint64(HASHES) * probes.step).astype(np.uint32)     # level 1, probe 0
+        live, hit = np.arange(len(keys)), np.ones(len(keys), bool)
         for j in range(1, LEVELS + 1):
             for i in range(HASHES):
-                p = base[live] + probes.at(j, i, live)
-                live = live[(self.bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                p = base + (at.astype(np.uint64) * probes.bits >> np.uint64(32))
+                hit &= (self.bits.take((p >> np.uint64(3)).view(np.int64)) >> (p & np.uint64(7)).astype(np.uint8) & np.uint8(1)).view(bool)
+                at = at + step
+                if i == HASHES - 1 or 4 * np.count_nonzero(hit) < 3 * len(hit):
+                    live, at, step, base = live[hit], at[hit], step[hit], base[hit]
+                    hit = np.ones(len(live), bool)
             if not len(live):
                 break
             level[live] = j
-        return level
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Expected count of each key, 0 if it is not there."""
         return _COUNT[self.levels(keys)]
 
-    def counts_of_repeated(self, keys: np.ndarray) -> np.ndarray:
-        """The same for keys that occur again and again: each is looked up once."""
-        found, back = np.unique(keys, return_inverse=True)
-        return self.counts(found)[back]
+    def levels_of_repeated(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of keys that occur again and again: each is looked up once."""
+        back, found = pd.factorize(keys)
+        return self.levels(found)[back]
 
 
 class Found(Filter):
@@ -276,35 +359,30 @@ class Model:
         self.filter = bits if isinstance(bits, Filter) else Filter(bits)
         self.n, self.v, self.weights = n, v, weights
 
-    def parts(self, h: np.ndarray, left_out: bool = False):
-        """Per token: add-one unigram probability, bigram share and history level. ``h``:
-        token hashes of whole texts one after another."""
-        end = hashes([END])
-        uni = self.filter.counts_of_repeated(_unigram_key(np.concatenate([end, h])))
-        before, uni = uni[:-1], uni[1:]
-        both = self.filter.counts(bigram_hashes(h))
+    def cells(self, h: np.ndarray, uni: np.ndarray | None = None) -> np.ndarray:
+        """Number of each token's combination of levels. ``h``: token hashes of whole texts
+        one after another; ``uni``: an end's level and theirs, where they are known."""
+        if uni is None:
+            uni = self.filter.levels_of_repeated(_unigram_key(np.concatenate([hashes([END]), h])))
+        uni = uni.astype(np.int64)
+        return (uni[1:] * _STEPS + self.filter.levels_of_repeated(bigram_hashes(h))) * _STEPS + uni[:-1]
+
+    def parts(self, cells: np.ndarray, left_out: bool = False):
+        """Per combination of levels: add-one unigram probability, bigram share and history level."""
+        uni, both, before = (_COUNT[q] for q in (cells // _STEPS ** 2, cells // _STEPS % _STEPS, cells % _STEPS))
         out = 1.0 if left_out else 0.0
         share = np.clip((both - out) / np.maximum(before - out, 1.0), 0.0, 1.0)
         p1 = (uni + 1.0) / (self.n + self.v + 1.0)
         return p1, share, np.where(before > out, _levels(before), 0)
 
-    def logs(self, h: np.ndarray) -> np.ndarray:
-        p1, share, level = self.parts(h)
+    @cached_property
+    def _logs(self) -> np.ndarray:
+        p1, share, level = self.parts(np.arange(CELLS))
         w = self.weights[level]
         return np.log10(w * share + (1 - w) * np.minimum(p1, 1.0))
 
-
-def _batched(texts: Iterator[str | None], most: int = HELD_TOKENS) -> Iterator[np.ndarray]:
-    """Token hashes of whole texts, up to about ``most`` at a time."""
-    held, n = [], 0
-    for t in texts:
-        held.append(hashes(tokens(t)))
-        n += len(held[-1])
-        if n >= most:
-            yield np.concatenate(held)
-            held, n = [], 0
-    if held:
-        yield np.concatenate(held)
+    def logs(self, h: np.ndarray, uni: np.ndarray | None = None) -> np.ndarray:
+        return self._logs[self.cells(h, uni)]
 
 
 def merged_counts(texts: DataFrame) -> tuple[DataFrame, int, int, int, int]:
@@ -319,17 +397,15 @@ def merged_counts(texts: DataFrame) -> tuple[DataFrame, int, int, int, int]:
 
 def _likelihood(model: Model, texts: Iterator[str | None]) -> np.ndarray:
     """Likelihood of the texts by history level and weight."""
-    grid = np.array(WEIGHTS)
-    total = np.zeros((LEVELS + 1, len(grid)))
-    for h in _batched(texts):
-        p1, share, level = model.parts(h, left_out=True)
-        # likelihood relative to the unigram's: only where the bigram was seen is it more than 1 - w
-        seen = share > 0
-        unseen = np.bincount(level[~seen], minlength=LEVELS + 1)
-        gain, level = share[seen] / p1[seen], level[seen]
-        for k, w in enumerate(grid):
-            total[:, k] += unseen * np.log10(1 - w) + np.bincount(level, np.log10(w * gain + (1 - w)), LEVELS + 1)
-    return total
+    times = np.zeros(CELLS, np.int64)
+    for h, _ in hashed(texts):
+        times += np.bincount(model.cells(h), minlength=CELLS)
+    cells = np.nonzero(times)[0]
+    times = times[cells]
+    p1, share, level = model.parts(cells, left_out=True)
+    # relative to the unigram's likelihood: only where the bigram was seen is it more than 1 - w
+    gain = share / p1
+    return np.stack([np.bincount(level, times * np.log10(w * gain + (1 - w)), LEVELS + 1) for w in WEIGHTS], axis=1)
 
 
 _LIKELIHOOD_SQL = "level int, k int, s double"
@@ -390,7 +466,7 @@ def looked_up(rows: DataFrame, merged: DataFrame, subs: int, settings: int) -> D
         block, held, n = None, [], 0
 
         def flush():
-            h = np.concatenate(held)
+            h, _ = text_hashes(held)
             keys = np.unique(np.concatenate([_unigram_key(np.concatenate([hashes([END]), h])), bigram_hashes(h)]))
             rest = _rest(keys)
             slot = _part(keys) * subs + _sub(rest, subs)
@@ -402,11 +478,11 @@ def looked_up(rows: DataFrame, merged: DataFrame, subs: int, settings: int) -> D
         for batch in batches:
             f, b = (batch.column(i).to_pylist() for i in range(2))
             for i, text in enumerate(batch.column(2)):
-                if held and (block != (f[i], b[i]) or n >= HELD_TOKENS):
+                if held and (block != (f[i], b[i]) or n >= 8 * HELD_TOKENS):
                     yield from flush()
                     held, n = [], 0
                 block = f[i], b[i]
-                held.append(hashes(tokens(text.as_py())))
+                held.append(as_bytes(text.as_py()))
                 n += len(held[-1])
         if held:
             yield from flush()
@@ -472,12 +548,13 @@ def score(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score``.
 
-    Null text is empty and has one token, the end. A null id counts as empty text where the
+    Null text is empty and has one token, the end; a very long one is a block of its own. A null id counts as empty text where the
     training documents are chosen. Repeated rows are learnt and scored one by one. An empty
     table gives an empty result; extra columns are not read.
     """
+    block = F.when(F.octet_length("text") > LONG_TEXT, -1 - F.col("r")).otherwise(F.expr(f"r div {BLOCK_ROWS}"))
     rows = (row_keys(docs.select(F.col("doc_id").cast("bigint"), "text"))
-            .select("doc_id", "text", "f", F.expr(f"r div {BLOCK_ROWS}").alias("b"), held_out(F.col("doc_id")).alias("held_out")))
+            .select("doc_id", "text", "f", block.alias("b"), held_out(F.col("doc_id")).alias("held_out")))
     learnt = rows.where(~F.col("held_out"))
     merged, subs, settings, n, v = merged_counts(learnt.select("text"))
     known = (block_words(rows).withColumn("c", F.sum("n").over(Window.partitionBy("word")))
@@ -493,28 +570,22 @@ def score(docs: DataFrame) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         model = Model(*flat.value) if flat else Model(Found(right), n, v, weights)
         right = right.filter(pc.is_valid(right.column("word")))
-        c = right.column("c").to_numpy()
-        logs = dict(zip(right.column("word").to_pylist(), np.log10(c + 1.0).tolist()))
-        out = []
-        held: list[list[bytes]] = []
-
-        def flush():
-            h = [hashes(w) for w in held]
-            begins = np.cumsum([0] + [len(x) for x in h[:-1]])
-            total = np.add.reduceat(model.logs(np.concatenate(h)), begins)
-            for w, s in zip(held, total):
-                x = np.fromiter(map(logs.__getitem__, w), np.float64, len(w))
-                out.append((len(w), int(np.count_nonzero(x)), float(x.sum() - floor * len(w)), float(s)))
-            held.clear()
-        size = 0
-        for text in left.column("text"):
-            held.append(tokens(text.as_py()))
-            size += len(held[-1])
-            if size >= HELD_TOKENS:
-                flush()
-                size = 0
-        if held:
-            flush()
+        # the block's different words are hashed and looked up once; its texts are numbers of them
+        right = right.group_by(["word"]).aggregate([("c", "max")])  # a long text cuts a block's rows in two
+        names, seed = right.column("word").to_pylist(), SEED
+        while len(np.unique(of := hashes(names, seed))) < len(names):
+            seed += 1                                       # two of them share a hash
+        number, h = pd.Index(of), hashes(names)
+        logs, uni = np.log10(right.column("c_max").to_numpy() + 1.0), model.filter.levels(_unigram_key(h))
+        end, out = names.index(END), []
+        for x, sizes in hashed((t.as_py() for t in left.column("text")), seed):
+            at = number.get_indexer(x)
+            begin = np.cumsum([0, *sizes[:-1]])
+            total = np.add.reduceat(model.logs(h[at], uni[np.r_[end, at]]), begin)
+            base = logs[at]
+            for a, n_tokens, s in zip(begin.tolist(), sizes.tolist(), total.tolist()):
+                some = base[a:a + n_tokens]
+                out.append((n_tokens, int(np.count_nonzero(some)), float(some.sum() - floor * n_tokens), s))
         cols = list(zip(*out)) if out else [[], [], [], []]
         return pa.table([left.column("doc_id").combine_chunks(), left.column("held_out").combine_chunks(), pa.array(cols[0], pa.int64()),
                          pa.array(cols[1], pa.int64()), pa.array([n] * len(out), pa.int64()), pa.array(cols[2], pa.float64()),

@@ -112,3 +112,52 @@ def test_empty_tables(make_docs):
     assert L.score(make_docs([])).count() == 0
     only = [r for r in L.score(make_docs([(i, "a b") for i in range(40) if is_held(i)])).collect()]
     assert only and all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == pytest.approx(0) for r in only)
+
+
+def test_hashes_of_texts_are_those_of_their_tokens(monkeypatch):
+    """Any white space, very long words and texts, pieces of a few bytes."""
+    texts = ["The  THE\tthe\x0bÉa\x0c", None, "", " ", "x" * 100, "a b " * 30 + "y" * 45 + " z", "\x1c\x85  w", "日本 語"]
+    want = [L.hashes(L.tokens(t)) for t in texts]
+    h, sizes = L.text_hashes([L.as_bytes(t) for t in texts])
+    assert sizes.tolist() == [len(w) for w in want] and (h == np.concatenate(want)).all()
+    L._powers.cache_clear()
+    monkeypatch.setattr(L, "PIECE", 16)
+    assert (L.text_hashes([L.as_bytes(t) for t in texts])[0] == h).all()
+    L._powers.cache_clear()
+    words = [f"{i}".encode() for i in range(200_000)]
+    assert len(np.unique(L.hashes(words))) == len(words)
+
+
+def test_scores_are_the_sums_of_their_tokens(make_docs):
+    """The score column recomputed token by token from the model's own lookups."""
+    data = rows(random.Random(25), 80)
+    docs = make_docs(data)
+    learnt = make_docs([r for r in data if not is_held(r[0])])
+    model = L.Model(*L.train(learnt)[0].value)
+    count = lambda key: float(model.filter.counts(key)[0])
+    word = lambda w: count(L._unigram_key(L.hashes([w])))
+    seen = {}
+
+    def token(a, b):
+        if (a, b) not in seen:
+            both, before = count(L.bigram_hashes(L.hashes([a, b]))[1:]), word(a)
+            w = model.weights[0 if not before else 1 + math.floor(math.log2(before))]
+            share = min(1.0, both / max(before, 1.0))
+            seen[a, b] = math.log10(w * share + (1 - w) * min(1.0, (word(b) + 1) / (model.n + model.v + 1)))
+        return seen[a, b]
+    want = Counter()
+    for i, t in data:
+        ws = [L.END, *L.tokens(t)]
+        want[i, round(sum(token(*p) for p in zip(ws, ws[1:])), 4)] += 1
+    assert Counter((r.doc_id, round(r.score, 4)) for r in L.score(docs).collect()) == want
+
+
+def test_long_texts_are_blocks_of_their_own(make_docs, monkeypatch):
+    data = rows(random.Random(26), 60)
+    docs = make_docs(data)
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens)
+    want = sorted(L.score(docs).collect(), key=key)
+    monkeypatch.setattr(L, "LONG_TEXT", 200)
+    got = sorted(L.score(docs).collect(), key=key)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert [r[5:] for r in got] == [pytest.approx(r[5:]) for r in want]
