@@ -216,6 +216,34 @@ def q_page_slice(spark, d):
     return R.page_slice(I.table(spark, d, "orders"), "o_orderdate", I.ORDER_KEYS, 3, 100)
 
 
+PAGED = ("(select *, row_number() over (order by o_orderdate nulls first, o_orderkey) as n, "
+         "count(*) over () as total from orders)")
+
+
+def _order_directory(spark, d):
+    """Built over the orders up to a date, extended by the later ones."""
+    from keelson.operators.directory import PageDirectory
+    orders = I.table(spark, d, "orders")
+    pages = PageDirectory(spark, work_dir(spark, "pages"), "o_orderdate", I.ORDER_KEYS, 100)
+    pages.build(orders.where(F.col("o_orderdate").isNull() | (F.col("o_orderdate") <= F.lit(ORDER_START).cast("timestamp_ntz"))))
+    pages.extend(orders)
+    return pages
+
+
+@register("page_directory", f"""
+select cast((n - 1) // 100 + 1 as bigint) as page, o_orderdate, o_orderkey, least(100, total - n + 1) as n_rows
+from {PAGED} where (n - 1) % 100 = 0""")
+def q_page_directory(spark, d):
+    return _order_directory(spark, d).entries().drop("skip")
+
+
+@register("directory_page", f"select * exclude (n, total) from {PAGED} where (n - 1) // 100 = total // 200")
+def q_directory_page(spark, d):
+    """The page in the middle of the table."""
+    orders = I.table(spark, d, "orders")
+    return _order_directory(spark, d).page(orders, orders.count() // 200 + 1)
+
+
 @register("next_page", "select case when count(*) > 300 then 4 end as next_page from orders")
 def q_next_page(spark, d):
     return R.next_page(I.table(spark, d, "orders"), 3, 100)
@@ -573,6 +601,17 @@ def q_infer_schema(spark, d):
     return infer_schema(I.events(spark, d), "props")
 
 
+@register("schema_log", _ddl_sql("events", "props"))
+def q_schema_log(spark, d):
+    """Four batches, each read once; the merged summaries give the schema of the whole."""
+    from keelson.operators.schema_log import SchemaLog
+    log = SchemaLog(spark, work_dir(spark, "schema-log"), "props")
+    ev = I.arrival_batch(I.events(spark, d), ES, 4)
+    for b in range(4):
+        log.add(ev.where(F.col("__batch") == b), b)
+    return log.as_frame()
+
+
 @register("schema_fallback", f"""
 select coalesce(ddl, '{{FALLBACK}}') as ddl, ddl is null as fallback, 'events.props' as source
 from ({_ddl_sql("events", "props")}) a
@@ -831,3 +870,41 @@ def q_ingest_override(spark, d):
                                                            "sequence_by": "ts", "tie": "event_id"}}}]}
     plans = ingest(spark, spec, conn, work_dir(spark, "ingest-override"))
     return read_destination(spark, plans["latest_by_user"])
+
+
+class _FailingOnce:
+    """The given tables; the first read of ``orders`` fails."""
+
+    def __init__(self, spark, d):
+        self.inner, self.reads = _connector(spark, d), 0
+        self.metadata, self.read_stream, self.has_deletes = self.inner.metadata, self.inner.read_stream, self.inner.has_deletes
+
+    def read(self, table, options):
+        self.reads += 1
+        if self.reads == 1:
+            raise OSError(f"{table} can't be reached")
+        return self.inner.read(table, options)
+
+
+@register("ingest_restart", f"""
+select 'events' as destination, 1 as attempt, 'done' as status, (select count(*) from ({SCD1_DELETES})) as n_rows
+union all select 'orders', 1, 'failed', (select count(*) from orders)
+union all select 'orders', 2, 'done', (select count(*) from orders)
+union all select 'customer', 1, 'done', (select count(*) from customer)
+union all select 'lineitem', 1, 'done', (select count(*) from lineitem)""")
+def q_ingest_restart(spark, d):
+    """One of four tables fails; the same run again does that one only. The ledger of the run,
+    with the rows of each destination after it."""
+    from functools import reduce
+    from keelson.plans.ingest import IngestFailed, RunLedger, ingest, read_destination
+    spec = {"objects": [{"table": {"source_table": "events", "table_configuration": {"tie": "event_id"}}},
+                        *[{"table": {"source_table": t}} for t in ("orders", "customer", "lineitem")]]}
+    conn, root = _FailingOnce(spark, d), work_dir(spark, "ingest-restart")
+    try:
+        ingest(spark, spec, conn, root, run="r1")
+    except IngestFailed:
+        pass
+    plans = ingest(spark, spec, conn, root, run="r1")
+    sizes = reduce(DataFrame.unionByName, [read_destination(spark, p).agg(F.count(F.lit(1)).alias("n_rows"))
+                                           .withColumn("destination", F.lit(name)) for name, p in plans.items()])
+    return RunLedger(spark, f"{root}/_runs").rows().join(sizes, "destination").select("destination", "attempt", "status", "n_rows")

@@ -21,12 +21,15 @@ starts (decisions D10–D12).
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from keelson.operators import changes as C
 from keelson.streaming import flows as FL
@@ -133,16 +136,78 @@ def _run_table(spark: SparkSession, p: TablePlan, connector, version: int | None
         FL.run_available(stream, f"{p.path}/_checkpoint", batch_fn=sink)
 
 
+class IngestFailed(RuntimeError):
+    """Some tables of a run failed; the others are done, and the ledger says which."""
+
+
+class RunLedger:
+    """Outcomes by run and table, one row per attempt, below ``path``.
+
+    An attempt is written after its table's last job, so a table counts as done only if all
+    it had to do is done. Every table has a folder of its own: tables of a run end at any time.
+    """
+
+    SCHEMA = "destination string, attempt int, status string, error string, seconds double, run string"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def rows(self) -> DataFrame:
+        """``run, destination, attempt, status`` (done or failed), ``error, seconds``."""
+        try:
+            return self.spark.read.schema(self.SCHEMA).option("recursiveFileLookup", "true").parquet(self.path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], self.SCHEMA)
+
+    def attempts(self, run: str) -> dict[str, tuple[int, bool]]:
+        """Attempts of each table in a run, and whether one of them did it. One row a table."""
+        done = F.max((F.col("status") == "done").cast("int")).alias("done")
+        rows = self.rows().where(F.col("run") == run).groupBy("destination").agg(F.max("attempt").alias("n"), done)
+        return {r.destination: (r.n, bool(r.done)) for r in rows.collect()}
+
+    def add(self, run: str, destination: str, attempt: int, error: Exception | None, seconds: float) -> None:
+        text = f"{type(error).__name__}: {error}"[:2000] if error else None
+        row = (destination, attempt, "failed" if error else "done", text, seconds, run)
+        place = hashlib.sha256(f"{run}\n{destination}\n{attempt}".encode()).hexdigest()[:24]
+        self.spark.createDataFrame([row], self.SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{place}")
+
+
+def _run_logged(spark: SparkSession, p: TablePlan, connector, version: int | None, ledger: RunLedger, run: str,
+                attempt: int) -> Exception | None:
+    began, error = time.monotonic(), None
+    try:
+        _run_table(spark, p, connector, version)
+    except Exception as e:  # goes to the ledger, and to the caller with the others
+        error = e
+    ledger.add(run, p.destination, attempt, error, time.monotonic() - began)
+    return error
+
+
 def ingest(spark: SparkSession, spec: dict, connector, root: str, version: int | None = None,
-           concurrent: int = 4) -> dict[str, TablePlan]:
+           concurrent: int = 4, run: str | None = None) -> dict[str, TablePlan]:
     """Run every table of ``spec``, up to ``concurrent`` at a time; returns the plans by
     destination name. A further run applies what has changed since: streams resume at their
-    checkpoints, snapshots become the next version (or ``version``)."""
+    checkpoints, snapshots become the next version (or ``version``).
+
+    With a ``run`` name, each table's outcome goes to the ledger ``<root>/_runs``. A table that
+    fails stops no other; ``IngestFailed`` names all that failed. The same run name
+    again does only the tables that are not done."""
     plans = plan(spec, connector, root)
+    by_name = {p.destination: p for p in plans}
     with ThreadPoolExecutor(max_workers=concurrent) as pool:
-        for done in [pool.submit(_run_table, spark, p, connector, version) for p in plans]:
-            done.result()
-    return {p.destination: p for p in plans}
+        if run is None:
+            for done in [pool.submit(_run_table, spark, p, connector, version) for p in plans]:
+                done.result()
+            return by_name
+        ledger = RunLedger(spark, f"{root.rstrip('/')}/_runs")
+        past = ledger.attempts(run)
+        todo = [(p, past.get(p.destination, (0, False))) for p in plans]
+        jobs = {p.destination: pool.submit(_run_logged, spark, p, connector, version, ledger, run, n + 1)
+                for p, (n, done) in todo if not done}
+        failed = {name: job.result() for name, job in jobs.items() if job.result()}
+    if failed:
+        raise IngestFailed(f"run {run}: " + "; ".join(f"{name}: {e}" for name, e in failed.items()))
+    return by_name
 
 
 def read_destination(spark: SparkSession, p: TablePlan) -> DataFrame | None:
