@@ -2,10 +2,10 @@
 
 Documents become ids and a closing id 0; a document longer than a sequence is cut into
 full pieces, the first one possibly shorter. Pieces are dealt evenly over tasks, and each
-task packs its own, longest first: a piece goes into the open bin with the least room that
-holds it. A fixed number of bins is open; their free space is the key of a bitset, where
-the lowest set bit at or above a length is the best fit, and the lowest of all is the
-fullest bin, which closes when another bin is opened beyond that number.
+task packs its own online, in the order of the table: a piece goes into the open bin with the
+least room that holds it. A fixed number of bins is open; their free space is the key of a
+bitset, where the lowest set bit at or above a length is the best fit, and the lowest of all
+is the fullest bin, which closes when another bin is opened beyond that number.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from keelson.llm.tokens import default_path, encoder
 
 SEQUENCE = 2048
 END_ID = 0
-OPEN_BINS = 16_384
+OPEN_BINS = 64
 #: Pieces that one task packs: enough for full sequences, few enough for any executor.
 PIECES_PER_TASK = 32_768
 
@@ -101,7 +101,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS,
     """``pieces`` (stored, with ``length``) plus ``sequence_id, offset``."""
     tasks = max(1, -(-pieces.count() // per_task))
     spread = (pieces.withColumn("__at", F.monotonically_increasing_id())
-              .repartition(tasks, "__at").sortWithinPartitions(F.col("length").desc(), "__at").drop("__at"))
+              .repartition(tasks, "__at").sortWithinPartitions("__at").drop("__at"))
     at = spread.columns.index("length")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -184,3 +184,32 @@ def test_open_bins_are_best_fit(lengths, most):
         free[b] -= x
         free = {k: f for f, s in enumerate(bins.by_free) for k in s}
         assert len(free) <= most
+
+
+def test_packing_keeps_the_order_of_the_table_and_closes_the_fullest_bin(spark):
+    from keelson.llm.common import stored
+    rnd = random.Random(6)
+    rows = [(i, 0, 0, rnd.randint(1, 60), 0) for i in range(400)]
+    pieces = stored(spark.createDataFrame(rows, best_fit.PIECES).coalesce(1), "pieces")
+    got = {r.doc_id: (r.sequence_id, r.offset) for r in best_fit.pack(pieces, 64, open_bins=4).collect()}
+    free, made, closed, want = {}, 0, 0, {}
+    for i, _, _, n, _ in rows:
+        fits = [b for b in free if free[b] >= n]
+        if fits:
+            b = min(fits, key=lambda b: (free[b], -b))
+        else:
+            if len(free) == 4:
+                free.pop(min(free, key=lambda b: free[b]))
+                closed += 1
+            b, made = made, made + 1
+            free[b] = 64
+        want[i] = b, 64 - free[b]
+        free[b] -= n
+        if not free[b]:
+            free.pop(b)
+    assert closed > 20 and len({s for s, _ in got.values()}) == made
+    assert [o for _, o in got.values()].count(0) == [o for _, o in want.values()].count(0)
+    bins = defaultdict(list)
+    for i, (s, o) in sorted(got.items()):
+        bins[s].append(o)
+    assert all(o == sorted(o) for o in bins.values())       # a bin fills in the order of the table
