@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import spread_join, stored, text_or_empty
+from keelson.llm.common import row_keys, spread_join, stored, text_or_empty
 
 MIN_CHUNK = 256
 MAX_CHUNK = 4096
@@ -56,6 +56,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     base = stored(with_recipes(docs, id_col, text_col)
                   .withColumn("row", F.monotonically_increasing_id()), "recipes")
+    return grouped(base).drop("row")
+
+
+def grouped(base: DataFrame) -> DataFrame:
+    """Groups of equal texts from stored recipes (``doc_id, text_sha256, parts`` and ``row``, which
+    tells rows apart); the result has ``row``, too."""
     recipe = F.transform("parts", lambda p: p["h"])
     base = base.withColumn("recipe", recipe)
     bad = unverified_ids(base)
@@ -68,18 +74,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = rows.groupBy("recipe", "proof").agg(
         F.max(F.struct("doc_id", "row")).alias("last"), F.count(F.lit(1)).alias("group_size"))
     return (spread_join(rows, groups, ["recipe", "proof"])
-            .select("doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
+            .select("row", "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
                     (F.col("row") == F.col("last.row")).alias("kept"), "text_sha256"))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every group of equal texts, the one with the largest
-    ``doc_id``. Columns and rows that stay are unchanged."""
-    cols = docs.columns
-    packed = docs.select(F.struct(*cols).alias("row"), F.col("doc_id").alias("id"),
-                         F.sha2(text_or_empty(), 256).alias("sha"))
-    stay = (exact_groups(docs).where("kept")
-            .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
-                    F.col("text_sha256").alias("sha")))
-    packed = packed.withColumn("id", F.coalesce(F.col("id").cast("string"), F.lit("")))
-    return packed.join(stay, ["id", "sha"]).dropDuplicates(["id", "sha"]).select("row.*")
+    ``doc_id``. Columns and rows that stay are unchanged. Recipes tell which rows stay; those
+    are found again by file and row."""
+    rows = row_keys(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
+    base = stored(with_recipes(rows, keep=["f", "r"]).withColumn("row", F.struct("f", "r")).drop("f", "r"), "recipes")
+    stay = grouped(base).where("kept").select("row.f", "row.r")
+    return rows.join(stay, ["f", "r"], "left_semi").select("row.*")
