@@ -230,6 +230,54 @@ def _order_directory(spark, d):
     return pages
 
 
+# Waves of arrival: the kinds of events come one after another, in the order of their names.
+LATE = """
+w as (select *, dense_rank() over (order by event_type) as wave from events where event_type is not null and ts is not null),
+tops as (select wave, max(ts) as top from w group by wave),
+hw as (select wave, max(top) over (order by wave rows between unbounded preceding and 1 preceding) as before from tops),
+late as (select wave, epoch_us(before) - epoch_us(ts) as d from w join hw using (wave) where ts <= before),
+classes as (select ((d >> s) + 1) << s as below, count(*) as n
+            from (select d, greatest(length(bin(d)) - 7, 0) as s from late) group by below),
+shares as (select below, n, sum(n) over (order by below) / sum(n) over () as share from classes)"""
+
+
+def _waves(spark, d):
+    """Log of lateness of the waves, and the waves."""
+    from keelson.operators.lateness import LatenessLog, arrival_numbers
+    ev = I.events(spark, d).where("event_type is not null and ts is not null")
+    waves = checkpointed(arrival_numbers(ev, F.col("event_type")))
+    log = LatenessLog(spark, work_dir(spark, "lateness"), ES)
+    n = waves.agg(F.max("arrival")).first()[0] or 0
+    for k in range(1, n + 1):
+        log.add(waves.where(F.col("arrival") == k), k)
+    return log, waves, n
+
+
+@register("lateness_classes", f"with {LATE} select cast(below as bigint) as below, n from classes")
+def q_lateness_classes(spark, d):
+    return _waves(spark, d)[0].histogram().select("below", "n")
+
+
+@register("measured_lookback", f"""
+with {LATE}, reach as (select min(below) as reach from shares where share >= 0.9)
+select cast(wave as int) as wave, cast(reach as bigint) as reach, count(*) as late_rows,
+  count(*) filter (where d < reach) as reread_rows from late, reach group by wave, reach""")
+def q_measured_lookback(spark, d):
+    """The interval that reads 90% of late rows again, and the late rows that ``lookback`` finds with it."""
+    from functools import reduce
+    log, waves, n = _waves(spark, d)
+    interval, found = log.interval(0.9), []
+    for k in range(2, n + 1):
+        newest = waves.where(F.col("arrival") < k).agg(F.max(ES).cast("string")).first()[0]
+        late = waves.where((F.col("arrival") == k) & (F.col(ES) <= F.lit(newest).cast(waves.schema[ES].dataType)))
+        again = R.lookback(late, ES, newest, interval).agg(F.count(F.lit(1)).alias("reread_rows")) if interval else None
+        counts = late.agg(F.count(F.lit(1)).alias("late_rows"))
+        found.append(counts.withColumns({"wave": F.lit(k), "reach": F.lit(log.reach(0.9)).cast("bigint"),
+                                         "reread_rows": again.scalar() if again else F.lit(0).cast("bigint")}))
+    none = spark.createDataFrame([], "late_rows bigint, wave int, reach bigint, reread_rows bigint")
+    return reduce(DataFrame.unionByName, found, none).where("late_rows > 0")
+
+
 @register("page_directory", f"""
 select cast((n - 1) // 100 + 1 as bigint) as page, o_orderdate, o_orderkey, least(100, total - n + 1) as n_rows
 from {PAGED} where (n - 1) % 100 = 0""")
@@ -356,6 +404,32 @@ def q_table_profile(spark, d):
     return profile.withColumn("primary_keys", F.array_join("primary_keys", ","))
 
 
+@register("profile_log", """
+select count(*) as row_count, cast(sum(case when user_id is null then 1 else 0 end) as bigint) as null_keys,
+  min(ts) as min_cursor, max(ts) as max_cursor, count(value) as value_n, true as distinct_within, true as quantiles_within
+from events""")
+def q_profile_log(spark, d):
+    """Four batches, each summed up once; the merged profile, and whether its estimates are within
+    the stated errors of exact figures."""
+    from functools import reduce
+    from keelson.operators.sketches import QUANTILES, ProfileLog
+    ev = I.events(spark, d)
+    log = ProfileLog(spark, work_dir(spark, "profile-log"), EK, ES, ["value"])
+    parts = I.arrival_batch(ev, ES, 4)
+    for b in range(4):
+        log.add(parts.where(F.col("__batch") == b).drop("__batch"), b)
+    profile = checkpointed(log.profile())
+    found = profile.first()
+    v = F.col("value")
+    marks = list(zip(QUANTILES, found["value_quantiles"] or []))
+    ranks = [(F.avg((v < x).cast("double")) <= q + 0.03) & (F.avg((v <= x).cast("double")) >= q - 0.03) for q, x in marks]
+    exact = F.count_distinct(*EK)
+    within = ev.agg((F.abs(exact - F.lit(found["distinct_keys"])) <= 0.04 * exact).alias("distinct_within"),
+                    reduce(lambda a, b: a & b, ranks, F.lit(True)).alias("quantiles_within"))
+    return profile.drop("distinct_keys", "value_quantiles").withColumns(
+        {c: within.select(c).scalar() for c in within.columns})
+
+
 # ---------------------------------------------------------------- stamps
 @register("typed_stamp", f"""
 select o_orderkey, timestamp '{STAMP}' as o_orderdate, date '{STAMP.date()}' as stamp_date,
@@ -908,3 +982,36 @@ def q_ingest_restart(spark, d):
     sizes = reduce(DataFrame.unionByName, [read_destination(spark, p).agg(F.count(F.lit(1)).alias("n_rows"))
                                            .withColumn("destination", F.lit(name)) for name, p in plans.items()])
     return RunLedger(spark, f"{root}/_runs").rows().join(sizes, "destination").select("destination", "attempt", "status", "n_rows")
+
+
+@register("error_budget", """
+select cast(event_id as bigint) as event_id, case when bad then null else cast(user_id as bigint) end as code,
+  bad as rejected, cast(bad as int) as n_reasons
+from (select *, coalesce(event_type = 'error', false) as bad from events)""")
+def q_error_budget(spark, d):
+    """A typed stream in which some records have no number for ``code``: accepted and rejected rows
+    of the run, whose budget allows for them."""
+    from keelson.functions.coerce import coerce_json
+    from keelson.streaming.intake import REASONS, REJECTED, Intake
+    base = work_dir(spark, "error-budget")
+    code = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("user_id").cast("string"))
+    raw = FL.table_stream(spark, d, "events", files_per_batch=2).select(F.to_json(F.struct("event_id", code.alias("code"))).alias("j"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("code", T.LongType())])
+    intake = Intake(f"{base}/intake", budget=0.5)
+    FL.run_available(coerce_json(raw, "j", schema, mode="permissive"), f"{base}/chk", batch_fn=intake)
+    return intake.rows(spark).select("event_id", "code", F.col(REJECTED).alias("rejected"), F.size(REASONS).alias("n_reasons"))
+
+
+@register("ingest_quarantine", f"""
+with good as (select * from events where event_type is distinct from 'error')
+select 'kept' as place, event_id, user_id from ({LATEST.replace("from events", "from good")})
+union all select 'rejected', event_id, user_id from events where event_type = 'error'""")
+def q_ingest_quarantine(spark, d):
+    """Rows that a table's spec rejects go to its quarantine, the others to the table."""
+    from keelson.plans.ingest import ParquetTables, ingest, read_destination, read_quarantine
+    conn = ParquetTables(spark, d, {"events": {"primary_keys": EK, "cursor_field": ES, "ingestion_type": "cdc"}})
+    spec = {"objects": [{"table": {"source_table": "events", "table_configuration": {
+        "tie": ET, "error_budget": 0.5, "reject_when": {"error event": "event_type = 'error'"}}}}]}
+    found = ingest(spark, spec, conn, work_dir(spark, "ingest-quarantine"))["events"]
+    of = lambda place, rows: rows.select(F.lit(place).alias("place"), "event_id", "user_id")
+    return of("kept", read_destination(spark, found)).unionByName(of("rejected", read_quarantine(spark, found)))

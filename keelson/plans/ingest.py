@@ -16,7 +16,8 @@ and a connector that supplies DataFrames per table: ``metadata(table)`` →
 has a delete feed). For every table it picks the
 flow — append, cdc, cdc_with_deletes or snapshot — and runs it as its own Spark job or
 streaming query (availableNow) into ``root``. The whole spec is validated before any job
-starts (decisions D10–D12).
+starts (decisions D10–D12). With ``error_budget`` or ``reject_when`` in a table's configuration its
+rows pass an ``Intake``: bad rows go to a quarantine, too many of them fail the table.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql.utils import AnalysisException
 
 from keelson.operators import changes as C
 from keelson.streaming import flows as FL
+from keelson.streaming.intake import Intake
 from keelson.streaming.target import ChangeTable, SnapshotTable
 
 # Fixed values of the spec format.
@@ -40,6 +42,8 @@ SCD_TYPE, PRIMARY_KEYS, SEQUENCE_BY = "scd_type", "primary_keys", "sequence_by"
 VALID_SCD_TYPES = ("SCD_TYPE_1", "SCD_TYPE_2", "APPEND_ONLY")
 INGESTION_TYPES = ("cdc", "cdc_with_deletes", "snapshot", "append")
 RESERVED_OPTIONS = ("tablename", "isdeleteflow")
+#: Options of this library: the share of rows that may be rejected, and conditions of rejected rows by name.
+ERROR_BUDGET, REJECT_WHEN = "error_budget", "reject_when"
 
 
 @dataclass
@@ -108,6 +112,8 @@ def plan(spec: dict, connector, root: str) -> list[TablePlan]:
         if itype in ("cdc", "cdc_with_deletes") and not seq:
             raise ValueError(f"table {src}: {itype} needs a sequence column")
         options = {k: v for k, v in conf.items() if k not in (SCD_TYPE, PRIMARY_KEYS, SEQUENCE_BY)}
+        if itype == "snapshot" and (ERROR_BUDGET in options or REJECT_WHEN in options):
+            raise ValueError(f"table {src}: rows of a snapshot can't be rejected; they would count as deleted")
         folder = dest.replace("`", "").replace(".", "/")
         plans.append(TablePlan(src, dest, f"{root.rstrip('/')}/{folder}", itype, keys, seq,
                                "2" if scd_raw == "SCD_TYPE_2" else "1", options))
@@ -120,8 +126,20 @@ def _change_table(spark: SparkSession, p: TablePlan) -> ChangeTable:
                        p.options.get("tombstone_retention"))
 
 
+def _intake(p: TablePlan, sink=None) -> Intake | None:
+    """What stands in front of a table whose spec says which rows may be rejected."""
+    if ERROR_BUDGET not in p.options and REJECT_WHEN not in p.options:
+        return None
+    budget = p.options.get(ERROR_BUDGET)
+    rules = p.options.get(REJECT_WHEN) or {}
+    return Intake(f"{p.path}/intake", json.loads(rules) if isinstance(rules, str) else rules,
+                  None if p.ingestion_type == "append" else p.sequence_by, None if budget is None else float(budget), sink)
+
+
 def _run_table(spark: SparkSession, p: TablePlan, connector, version: int | None) -> None:
-    if p.ingestion_type == "append":
+    if p.ingestion_type == "append" and _intake(p):
+        FL.run_available(connector.read_stream(p.source_table, p.options), f"{p.path}/_checkpoint", batch_fn=_intake(p))
+    elif p.ingestion_type == "append":
         stream = connector.read_stream(p.source_table, p.options)
         FL.run_available(stream, f"{p.path}/_checkpoint", sink=f"{p.path}/data")
     elif p.ingestion_type == "snapshot":
@@ -133,7 +151,7 @@ def _run_table(spark: SparkSession, p: TablePlan, connector, version: int | None
             dels = connector.read_stream(p.source_table, p.options, deletes=True)
             FL.run_available(C.mark(dels, C.DELETE), f"{p.path}/_checkpoint-deletes", batch_fn=sink)
             stream = C.mark(stream, C.UPSERT)
-        FL.run_available(stream, f"{p.path}/_checkpoint", batch_fn=sink)
+        FL.run_available(stream, f"{p.path}/_checkpoint", batch_fn=_intake(p, sink) or sink)
 
 
 class IngestFailed(RuntimeError):
@@ -213,13 +231,20 @@ def ingest(spark: SparkSession, spec: dict, connector, root: str, version: int |
 def read_destination(spark: SparkSession, p: TablePlan) -> DataFrame | None:
     """The current content of an ingested destination table."""
     if p.ingestion_type == "append":
-        return spark.read.parquet(f"{p.path}/data")
+        return _intake(p).accepted(spark) if _intake(p) else spark.read.parquet(f"{p.path}/data")
     if p.ingestion_type == "snapshot":
         table = SnapshotTable(spark, f"{p.path}/target", p.primary_keys)
         return table.read() if p.scd_type == "1" else table.history()
     return _change_table(spark, p).read()
 
 
+def read_quarantine(spark: SparkSession, p: TablePlan) -> DataFrame | None:
+    """Rows that were rejected on their way to a destination, with ``_reasons``; None if there are none
+    or the table's spec rejects nothing."""
+    intake = _intake(p)
+    return intake and intake.quarantine(spark)
+
+
 class ParquetTables:
     """A connector over a folder of ``<table>.parquet`` files with declared metadata.
 
