@@ -12,6 +12,7 @@ copied first.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from keelson.functions.canonical import row_hash
 from keelson.operators import changes as C
 from keelson.plans import inputs as I
 from keelson.session import checkpointed, work_dir
@@ -108,7 +110,9 @@ class RowCap:
     Rows of one cursor value stay together, so a piece may exceed ``n`` by its last group of
     ties; rows without a cursor value are the last piece. One job counts the rows by cursor
     value, range by range; a value's piece follows from the number of rows before it, and one
-    more job writes all pieces. A batch that is offered again replaces its own folder only.
+    more job writes all pieces: each task has a range of them, so that a piece is one file, or
+    several where ranges meet and where it is larger than a range. A batch that is offered again
+    replaces its own folder only.
     """
 
     def __init__(self, cursor: str, n: int, path: str):
@@ -118,7 +122,8 @@ class RowCap:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         place = f"{self.path}/batch={query_id(batch.sparkSession)}-{batch_id}"
-        self.pieces(batch).write.mode("overwrite").partitionBy("piece").parquet(place)
+        pieces = self.pieces(batch).repartitionByRange("piece", row_hash(batch))
+        pieces.write.mode("overwrite").partitionBy("piece").parquet(place)
 
     def pieces(self, batch: DataFrame) -> DataFrame:
         """``batch`` with the number of each row's piece."""
@@ -206,17 +211,26 @@ def append_run(spark: SparkSession, sf_dir: str, table: str = "events", files_pe
     return spark.read.parquet(f"{base}/out")
 
 
+def landed_runs(feed: DataFrame, seq: str, batches: int, src: str) -> Iterator[DataFrame]:
+    """``feed`` lands in ``src`` as ``batches`` arrivals, newest first, each of as many files as
+    the cluster has cores. Gives the stream of an arrival a micro-batch twice: when all arrivals
+    but the last have landed, and when the last one has."""
+    spark, files = feed.sparkSession, feed.sparkSession.sparkContext.defaultParallelism
+    landed = I.arrival_batch(feed, seq, batches)
+    for k in range(batches):
+        landed.where(F.col("__batch") == k).drop("__batch").repartition(files).write.mode("append").parquet(src)
+        if k >= batches - 2:
+            yield file_stream(spark, src, feed.schema, files_per_batch=files)
+
+
 def capped_run(spark: SparkSession, sf_dir: str, n: int = 1000, batches: int = 3) -> DataFrame:
-    """S3 with a row cap: the events land as ``batches`` folders of files, are streamed a file at a time
-    and appended in pieces of about ``n`` rows by cursor; a second run on the checkpoint takes
-    the folders that came since. ``batch`` and ``piece`` number the pieces."""
+    """S3 with a row cap: the events land as ``batches`` arrivals of files, are streamed an arrival
+    at a time and appended in pieces of about ``n`` rows by cursor; a second run on the checkpoint
+    takes the files that came since. ``batch`` and ``piece`` number the pieces."""
     base = work_dir(spark, "capped")
-    events = I.events(spark, sf_dir)
-    landed, src = I.arrival_batch(events, I.EVENT_SEQ, batches), f"{base}/src"
     cap = RowCap(I.EVENT_SEQ, n, f"{base}/out")
-    for part in (F.col("__batch") < batches - 1, F.col("__batch") == batches - 1):
-        landed.where(part).repartition(batches, "__batch").drop("__batch").write.mode("append").parquet(src)
-        run_available(file_stream(spark, src, events.schema, files_per_batch=1), f"{base}/chk", batch_fn=cap)
+    for stream in landed_runs(I.events(spark, sf_dir), I.EVENT_SEQ, batches, f"{base}/src"):
+        run_available(stream, f"{base}/chk", batch_fn=cap)
     return spark.read.parquet(f"{base}/out")
 
 

@@ -141,6 +141,30 @@ def test_row_cap_over_several_batches_and_runs(spark):
         cap.pieces(df.withColumn("piece", F.lit(1)))
 
 
+def test_a_piece_is_one_file_however_many_tasks_read_the_batch(spark):
+    """Files grow with the pieces and the ranges, not with their product; ties and rows without a
+    cursor value are all there."""
+    base = work_dir(spark, "t-piece-files")
+    df = spark.range(400).select(F.col("id"), F.when(F.col("id") % 40 == 7, None).otherwise(F.least("id", F.lit(300))).alias("c"))
+    _land(df, f"{base}/src", 4)
+    FL.run_available(FL.file_stream(spark, f"{base}/src", df.schema), f"{base}/chk", batch_fn=FL.RowCap("c", 10, f"{base}/out"))
+    out = spark.read.parquet(f"{base}/out")
+    assert _rows(out.select("id", "c")) == _rows(df)
+    pieces = out.select("piece").distinct().count()
+    assert 25 <= pieces <= len(out.inputFiles()) <= pieces + int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_an_arrival_lands_in_many_files_and_is_a_micro_batch(spark, sf_small, monkeypatch):
+    base = work_dir(spark, "t-arrivals")
+    monkeypatch.setattr(FL, "work_dir", lambda *_: base)
+    out = FL.capped_run(spark, sf_small, 50)
+    cores, events = spark.sparkContext.defaultParallelism, I.events(spark, sf_small)
+    assert len(spark.read.parquet(f"{base}/src").inputFiles()) == 3 * cores
+    assert _rows(out.select(events.columns)) == _rows(events)
+    spans = [(r.lo, r.hi) for r in out.groupBy("batch").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy("lo").collect()]
+    assert len(spans) == 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_tables_keep_their_own_columns_and_added_ones(spark):
     """Columns named like a folder level, columns that a later batch adds, and widened numbers."""
     base = work_dir(spark, "t-columns")
