@@ -5,8 +5,14 @@ deletes last, tie) in Spark's state store, and emits a key's new row in the micr
 it wins: what flows on is what changed, and a replayed or late, older change is dropped at
 once. A tombstone stays in the state until the watermark, the newest sequence less the
 retention, has passed it; from then on, changes as old as it are too late to be read at all,
-so nothing can bring the deleted key back. The state holds three numbers per live key and
-per tombstone within the retention. A key is reduced chunk by chunk, whatever its size.
+so nothing can bring the deleted key back. The state holds the key as text and three numbers per
+live key and per tombstone within the retention. Rows are reduced chunk by chunk, whatever
+their number.
+
+Spark calls the reducing function once per group and micro-batch, which costs milliseconds, far
+more than the rows do. Keys therefore share a group by their hash: a micro-batch makes at most
+``BUCKETS`` calls, however many keys there are. A group's state is rewritten when one of its keys
+changes, which costs less than the call up to some hundred keys a group, millions in all.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -24,24 +30,38 @@ from keelson.operators import changes as C
 
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
          "ignoreNullFields": "false"}
-_ORDER = ["__s", "__o", "__i"]
+#: Groups that the keys share; fixed in a checkpoint.
+BUCKETS = 1 << 14
+_COLUMNS = ["__k", "__s", "__o", "__i", "__row"]
+_STATE = "ks array<string>, ss array<bigint>, os array<bigint>, ts array<bigint>"
 
 
 def _latest(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
+    best, rows = ({k: order for k, *order in zip(*state.get)} if state.exists else {}), {}
+    if not state.hasTimedOut:
+        for chunk in chunks:
+            for k, *order, row in zip(*(chunk[c].tolist() for c in _COLUMNS)):
+                if k not in best or order > best[k]:
+                    best[k], rows[k] = order, row
+    mark = state.getCurrentWatermarkMs()
+    gone = [k for k, (s, o, _) in best.items() if o and s // 1000 + 1 < mark]  # tombstones the watermark has passed
+    for k in gone:
+        del best[k]
+    if best and (rows or gone):
+        state.update((list(best), *(list(part) for part in zip(*best.values()))))
+    elif not best and state.exists:
         state.remove()
-        return
-    best, row = (state.get if state.exists else None), None
-    for chunk in chunks:
-        top = chunk.sort_values(_ORDER, kind="stable").iloc[-1]
-        order = tuple(int(top[c]) for c in _ORDER)
-        if best is None or order > best:
-            best, row = order, top["__row"]
-    if row is not None:
-        state.update(best)
-        yield pd.DataFrame({"__row": [row]})
-    if best and best[1]:  # a tombstone: gone when the watermark has passed it
-        state.setTimeoutTimestamp(max(best[0] // 1000, state.getCurrentWatermarkMs()) + 1)
+    ends = [s // 1000 for s, o, _ in best.values() if o]
+    if ends:
+        state.setTimeoutTimestamp(max(min(ends), mark) + 1)
+    if rows:
+        yield pd.DataFrame({"__row": list(rows.values())})
+
+
+def _key_text(df: DataFrame, keys: list[str]) -> Column:
+    """A text that is the same exactly for rows that ``groupBy`` puts together."""
+    one = lambda c: F.col(c) + 0.0 if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else F.col(c)
+    return F.to_json(F.struct(*[one(k).alias(f"k{i}") for i, k in enumerate(keys)]), _JSON)
 
 
 def changed_keys(stream: DataFrame, keys: list[str], seq: str, retention: str, tie: str | None = None) -> DataFrame:
@@ -63,17 +83,18 @@ def changed_keys(stream: DataFrame, keys: list[str], seq: str, retention: str, t
     at = F.col(seq).cast("timestamp")
     rank = F.when(F.col(C.OP) == C.DELETE, 1).otherwise(0) if C.OP in stream.columns else F.lit(0)
     last = F.coalesce(F.col(tie).cast("bigint"), F.lit(-(2 ** 63)).cast("bigint")) if tie else row_hash(stream)
-    staged = checked.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], at.alias("__t"), F.unix_micros(at).alias("__s"),
-                            rank.cast("bigint").alias("__o"), last.alias("__i"),
+    text = _key_text(checked, keys)
+    staged = checked.select(F.pmod(F.xxhash64(text), F.lit(BUCKETS)).alias("__b"), text.alias("__k"), at.alias("__t"),
+                            F.unix_micros(at).alias("__s"), rank.cast("bigint").alias("__o"), last.alias("__i"),
                             F.to_json(F.struct(*stream.columns), _JSON).alias("__row"))
-    rows = (staged.withWatermark("__t", retention).groupBy(*[f"__k{i}" for i in range(len(keys))])
-            .applyInPandasWithState(_latest, "__row string", "s bigint, o bigint, i bigint", "update", GroupStateTimeout.EventTimeTimeout))
+    rows = (staged.withWatermark("__t", retention).groupBy("__b")
+            .applyInPandasWithState(_latest, "__row string", _STATE, "update", GroupStateTimeout.EventTimeTimeout))
     return rows.select(F.from_json("__row", schema, _JSON).alias("r")).select("r.*")
 
 
 def stream_state_run(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
-    """Upserts and deletes of the events, landed newest first and streamed a file at a time in two
-    runs, through the state store into a change table; the retention covers all of them."""
+    """Upserts and deletes of the events, landed newest first and streamed an arrival at a time in
+    two runs, through the state store into a change table; the retention covers all of them."""
     from keelson.plans import inputs as I
     from keelson.session import work_dir
     from keelson.streaming import flows as FL
@@ -81,14 +102,11 @@ def stream_state_run(spark: SparkSession, sf_dir: str, batches: int = 3) -> Data
     base = work_dir(spark, "stream-state")
     events = I.events(spark, sf_dir)
     feed = C.union_changes(C.mark(I.upserts_of(events), C.UPSERT), C.mark(I.deletes_of(events), C.DELETE))
-    landed = I.arrival_batch(feed, I.EVENT_SEQ, batches)
     table = ChangeTable(spark, f"{base}/target", I.EVENT_KEYS, I.EVENT_SEQ, I.EVENT_TIE, "scd1_deletes")
     states = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(min(int(states), 2 * spark.sparkContext.defaultParallelism)))
     try:
-        for part in (F.col("__batch") < batches - 1, F.col("__batch") == batches - 1):
-            landed.where(part).repartition(batches, "__batch").drop("__batch").write.mode("append").parquet(f"{base}/src")
-            stream = FL.file_stream(spark, f"{base}/src", feed.schema, files_per_batch=1)
+        for stream in FL.landed_runs(feed, I.EVENT_SEQ, batches, f"{base}/src"):
             FL.run_available(changed_keys(stream, I.EVENT_KEYS, I.EVENT_SEQ, "3650 days", I.EVENT_TIE), f"{base}/chk",
                              batch_fn=FL.ChangeSink(table), mode="update")
     finally:

@@ -46,6 +46,46 @@ def test_late_changes_expiry_and_restart(spark):
     assert run.batch(row(2, 40, "again"), row(1, 2, "b")) == [(2, "again", "upsert")]
 
 
+def test_keys_share_groups(spark, monkeypatch):
+    """Many keys in few groups: each key has its own winner, and its tombstone ends by itself."""
+    monkeypatch.setattr("keelson.streaming.state.BUCKETS", 3)
+    run, keys = Run(spark), range(1, 41)
+    assert len(run.batch(*[row(k, 1, "a") for k in keys], row(None, 1, "n"))) == 41
+    assert run.states() <= 3
+    got = run.batch(*[row(k, 0, "old") for k in keys], *[row(k, 2 + k % 2, None, "delete") for k in range(1, 5)], row(9, 4, "b"), row(9, 4, "b"))
+    assert got == sorted([(k, None, "delete") for k in range(1, 5)] + [(9, "b", "upsert")], key=str)
+    assert run.batch(*[row(k, 0.5, "late") for k in keys]) == []             # before the bound: winners and tombstones hold
+    assert run.batch(row(50, 12, "z"), row(2, 2, "late")) == [(50, "z", "upsert")]
+    assert run.batch(row(50, 12, "z"), row(3, 2, "late"), row(2, 3, "again")) == [(2, "again", "upsert")]
+    assert run.batch(row(60, 90, "z")) == [(60, "z", "upsert")]
+    assert run.batch(*[row(k, 85, "c") for k in keys], row(None, 85, "m")) == sorted([(k, "c", "upsert") for k in keys] + [(0, "m", "upsert")], key=str)
+    assert run.states() <= 3
+
+
+def test_a_group_of_expired_keys_leaves_the_state(spark, monkeypatch):
+    monkeypatch.setattr("keelson.streaming.state.BUCKETS", 1)
+    run = Run(spark)
+    assert len(run.batch(row(1, 1, None, "delete"), row(2, 3, None, "delete"))) == 2
+    assert run.states() == 1
+    assert run.batch(row(1, 30, None, "delete")) == [(1, None, "delete")]
+    assert run.batch(row(1, 80, None, "delete")) == [(1, None, "delete")]
+    assert run.batch(row(1, 80, None, "delete")) == [] and run.states() == 1
+
+
+def test_keys_are_told_apart_as_by_group_by(spark):
+    """Null, empty and quoted texts differ, zeros and NaNs do not; a key of two columns is not their concatenation."""
+    schema = "a string, b double, s timestamp"
+    rows = [(a, b, DAY0 + datetime.timedelta(days=i)) for i, (a, b) in enumerate([
+        (None, 0.0), (None, -0.0), ("", 0.0), ('"', 1.0), ('"', None), ("null", None), (None, None), ("x", float("nan")), ("x", float("nan")), ('x","k1":1.0', 1.0)])]
+    base, out = work_dir(spark, "t-state-keys"), []
+    df = spark.createDataFrame(rows, schema)
+    df.coalesce(1).write.parquet(f"{base}/src")
+    FL.run_available(changed_keys(FL.file_stream(spark, f"{base}/src", df.schema), ["a", "b"], "s", "100 days"), f"{base}/chk", mode="update",
+                     batch_fn=lambda d, i: out.extend(d.collect()))
+    want = df.groupBy("a", "b").agg(F.max("s").alias("s")).collect()
+    assert len(want) == 8 and sorted(r.s for r in out) == sorted(r.s for r in want)
+
+
 def test_rows_come_out_as_they_went_in(spark):
     run = Run(spark)
     run.spark.createDataFrame([row(2 ** 60 + 1, 0, 'q"\n')], SCHEMA).coalesce(1).write.parquet(f"{run.base}/src")
